@@ -1 +1,671 @@
-"""Validation reports (registered in the catalog)."""
+"""Validation reports over every layer, registered in the catalog.
+
+Each report is one aggregate pass (``count_if`` for conditional counts).
+Shares of a total are computed on the already-grouped rows (a handful of
+categories), with exact integer half-up rounding to one decimal.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from contactgate.functions.columns import NORMALIZED_PHONE_PATTERN, can_send_rule
+from contactgate.operators.decide import denial_reason
+from contactgate.operators.quality import (
+    bad_rows, evaluate, row_count_positive, verdict,
+)
+from contactgate.plans.catalog import Layers, register
+from contactgate.sources import schemas as S
+
+
+def _count(name: str = "cnt") -> Column:
+    return F.count(F.lit(1)).alias(name)
+
+
+def with_share(grouped: DataFrame, cnt: str = "cnt", out: str = "pct") -> DataFrame:
+    """Percent of the grouped total, half-up to one decimal (exact)."""
+    total = F.sum(cnt).over(Window.partitionBy())
+    tenths = F.expr(f"(2000 * {cnt} + __t) div (2 * __t)")
+    return (grouped.withColumn("__t", total)
+            .withColumn(out, tenths.cast("double") / 10).drop("__t"))
+
+
+def _pct_sql(cnt: str = "cnt") -> str:
+    return (f"CAST((2000 * {cnt} + sum({cnt}) OVER ()) // (2 * sum({cnt}) OVER ()) AS DOUBLE) / 10")
+
+
+def _ci(cond: Column, name: str) -> Column:
+    return F.count_if(cond).alias(name)
+
+
+# ============================ delivered feeds =================================
+
+def _tagged_dates(L: Layers) -> DataFrame:
+    return (L.enrollment.select(F.lit("enrollment").alias("table_name"), "_file_date")
+            .unionByName(L.nonfin.select(F.lit("nonfin").alias("table_name"), "_file_date"))
+            .unionByName(L.supplfwd.select(F.lit("supplfwd").alias("table_name"), "_file_date")))
+
+
+_TAGGED_SQL = """(SELECT 'enrollment' AS table_name, _file_date FROM enrollment
+  UNION ALL SELECT 'nonfin', _file_date FROM nonfin
+  UNION ALL SELECT 'supplfwd', _file_date FROM supplfwd)"""
+
+
+@register("feed_coverage", f"""
+SELECT table_name, count(*) AS row_count, min(_file_date) AS earliest, max(_file_date) AS latest,
+       count(DISTINCT _file_date) AS distinct_dates
+FROM {_TAGGED_SQL} t GROUP BY table_name""", "B10 U2 A4 A8")
+def q_feed_coverage(spark, sf):
+    return _tagged_dates(Layers(spark, sf)).groupBy("table_name").agg(
+        _count("row_count"), F.min("_file_date").alias("earliest"),
+        F.max("_file_date").alias("latest"),
+        F.countDistinct("_file_date").alias("distinct_dates"))
+
+
+@register("null_file_dates", f"""
+SELECT table_name, count(*) FILTER (WHERE _file_date IS NULL) AS null_file_dates
+FROM {_TAGGED_SQL} t GROUP BY table_name""", "A6 U2 Q1")
+def q_null_file_dates(spark, sf):
+    return _tagged_dates(Layers(spark, sf)).groupBy("table_name").agg(
+        _ci(F.col("_file_date").isNull(), "null_file_dates"))
+
+
+@register("null_counts_snapshot", """
+SELECT count(*) FILTER (WHERE cnsmr_phn_nmbr_txt IS NULL) AS null_phone,
+       count(*) FILTER (WHERE cnsmr_idntfr_lgcy_txt IS NULL) AS null_legacy_id,
+       count(*) FILTER (WHERE cnsmr_phn_id IS NULL) AS null_phone_id
+FROM nonfin""", "Q6 P8 A6")
+def q_null_counts_snapshot(spark, sf):
+    return Layers(spark, sf).nonfin.agg(
+        _ci(F.col("cnsmr_phn_nmbr_txt").isNull(), "null_phone"),
+        _ci(F.col("cnsmr_idntfr_lgcy_txt").isNull(), "null_legacy_id"),
+        _ci(F.col("cnsmr_phn_id").isNull(), "null_phone_id"))
+
+
+@register("null_counts_change", """
+SELECT count(*) FILTER (WHERE cnsmr_phn_nmbr_txt IS NULL) AS null_phone,
+       count(*) FILTER (WHERE cnsmr_idntfr_lgcy_txt IS NULL) AS null_legacy_id,
+       count(*) FILTER (WHERE record_date IS NULL) AS null_record_date,
+       count(*) FILTER (WHERE cnsmr_phn_sft_dlt_flg IS NULL) AS null_soft_delete_flag
+FROM supplfwd""", "Q6 P8 A6")
+def q_null_counts_change(spark, sf):
+    return Layers(spark, sf).supplfwd.agg(
+        _ci(F.col("cnsmr_phn_nmbr_txt").isNull(), "null_phone"),
+        _ci(F.col("cnsmr_idntfr_lgcy_txt").isNull(), "null_legacy_id"),
+        _ci(F.col("record_date").isNull(), "null_record_date"),
+        _ci(F.col("cnsmr_phn_sft_dlt_flg").isNull(), "null_soft_delete_flag"))
+
+
+@register("null_counts_enrollment", """
+SELECT count(*) FILTER (WHERE phone_number IS NULL) AS null_phone,
+       count(*) FILTER (WHERE consumer_legacy_identifier IS NULL) AS null_legacy_id,
+       count(*) FILTER (WHERE enrollment_date IS NULL) AS null_enrollment_date
+FROM enrollment""", "Q6 P8 A6")
+def q_null_counts_enrollment(spark, sf):
+    return Layers(spark, sf).enrollment.agg(
+        _ci(F.col("phone_number").isNull(), "null_phone"),
+        _ci(F.col("consumer_legacy_identifier").isNull(), "null_legacy_id"),
+        _ci(F.col("enrollment_date").isNull(), "null_enrollment_date"))
+
+
+def _dup_sql(table: str, a: str, b: str, total: str, dup: str) -> str:
+    return f"""
+SELECT count(*) AS {total},
+       count(DISTINCT CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN ({a}, {b}) END) AS distinct_keys,
+       count(*) - count(DISTINCT CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN ({a}, {b}) END)
+         AS {dup}
+FROM {table}"""
+
+
+def _dups(df: DataFrame, a: str, b: str, total: str, dup: str) -> DataFrame:
+    """Total rows vs distinct keys.  The distinct count is a two-level
+    aggregate (key dedup first), so a hot key is collapsed map-side."""
+    per_key = df.groupBy(a, b).agg(_count("n"))
+    return per_key.agg(
+        F.sum("n").cast("long").alias(total),
+        F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull()).alias("distinct_keys"),
+    ).select(F.coalesce(F.col(total), F.lit(0)).alias(total), "distinct_keys",
+             (F.coalesce(F.col(total), F.lit(0)) - F.col("distinct_keys")).alias(dup))
+
+
+@register("duplicate_keys_snapshot",
+          _dup_sql("nonfin", "cnsmr_phn_id", "_file_date", "total_rows", "duplicate_rows"), "A5 A10")
+def q_duplicate_keys_snapshot(spark, sf):
+    return _dups(Layers(spark, sf).nonfin, "cnsmr_phn_id", "_file_date", "total_rows",
+                 "duplicate_rows")
+
+
+@register("snapshot_source_counts", """
+SELECT cnsmr_phn_src_val_txt AS phone_source, count(*) AS cnt FROM nonfin
+GROUP BY cnsmr_phn_src_val_txt""", "A4 S1")
+def q_snapshot_source_counts(spark, sf):
+    return (Layers(spark, sf).nonfin.groupBy(F.col("cnsmr_phn_src_val_txt").alias("phone_source"))
+            .agg(_count()).orderBy(F.desc("cnt")))
+
+
+@register("format_check_phone", """
+SELECT count(*) AS total,
+       count(*) FILTER (WHERE regexp_matches(cnsmr_phn_nmbr_txt, '^[0-9]{10}$')) AS valid_10_digit,
+       count(*) FILTER (WHERE NOT regexp_matches(cnsmr_phn_nmbr_txt, '^[0-9]{10}$')) AS invalid_format
+FROM nonfin""", "P7 A6")
+def q_format_check_phone(spark, sf):
+    ok = F.col("cnsmr_phn_nmbr_txt").rlike(r"^[0-9]{10}$")
+    return Layers(spark, sf).nonfin.agg(_count("total"), _ci(ok, "valid_10_digit"),
+                                        _ci(~ok, "invalid_format"))
+
+
+# ================================ state =======================================
+
+@register("duplicate_keys_state",
+          _dup_sql("silver", "account_number", "phone_number", "total_rows", "duplicates"), "A5")
+def q_duplicate_keys_state(spark, sf):
+    return _dups(Layers(spark, sf).state, "account_number", "phone_number", "total_rows",
+                 "duplicates")
+
+
+@register("format_check_account", """
+SELECT count(*) AS total,
+       count(*) FILTER (WHERE length(account_number) = 16 AND regexp_matches(account_number, '^[0-9]+$'))
+         AS valid_format,
+       count(*) FILTER (WHERE length(account_number) <> 16 OR NOT regexp_matches(account_number, '^[0-9]+$'))
+         AS bad_format
+FROM silver""", "P7 F1 A6")
+def q_format_check_account(spark, sf):
+    a = F.col("account_number")
+    good = (F.length(a) == 16) & a.rlike("^[0-9]+$")
+    bad = (F.length(a) != 16) | ~a.rlike("^[0-9]+$")
+    return Layers(spark, sf).state.agg(_count("total"), _ci(good, "valid_format"),
+                                       _ci(bad, "bad_format"))
+
+
+@register("delete_consistency", """
+SELECT count(*) FILTER (WHERE is_deleted = true AND delete_type IS NULL) AS deleted_missing_type,
+       count(*) FILTER (WHERE is_deleted = false AND delete_type IS NOT NULL) AS not_deleted_has_type,
+       count(*) FILTER (WHERE deleted_at IS NOT NULL AND is_deleted = false) AS has_date_not_deleted,
+       count(*) FILTER (WHERE is_deleted = true AND deleted_at IS NULL) AS deleted_missing_date
+FROM silver""", "Q5 A6")
+def q_delete_consistency(spark, sf):
+    d = F.col("is_deleted")
+    return Layers(spark, sf).state.agg(
+        _ci(d & F.col("delete_type").isNull(), "deleted_missing_type"),
+        _ci(~d & F.col("delete_type").isNotNull(), "not_deleted_has_type"),
+        _ci(F.col("deleted_at").isNotNull() & ~d, "has_date_not_deleted"),
+        _ci(d & F.col("deleted_at").isNull(), "deleted_missing_date"))
+
+
+@register("delete_summary", """
+SELECT is_deleted, delete_type, count(*) AS cnt FROM silver GROUP BY is_deleted, delete_type""",
+          "A4 S1")
+def q_delete_summary(spark, sf):
+    return Layers(spark, sf).state.groupBy("is_deleted", "delete_type").agg(_count()) \
+        .orderBy("is_deleted", "delete_type")
+
+
+@register("record_source_share", f"""
+SELECT record_source, count(*) AS cnt, {_pct_sql()} AS pct FROM silver GROUP BY record_source""",
+          "A9 W7 F9")
+def q_record_source_share(spark, sf):
+    return with_share(Layers(spark, sf).state.groupBy("record_source").agg(_count()))
+
+
+@register("phone_source_share", f"""
+SELECT phone_source, count(*) AS cnt, {_pct_sql()} AS pct FROM silver GROUP BY phone_source""",
+          "A9 W7")
+def q_phone_source_share(spark, sf):
+    return with_share(Layers(spark, sf).state.groupBy("phone_source").agg(_count()))
+
+
+def _shared(state: DataFrame) -> DataFrame:
+    return (state.groupBy("phone_number")
+            .agg(F.countDistinct("account_number").alias("num_accounts"))
+            .where(F.col("num_accounts") > 1))
+
+
+@register("top_shared_entities", """
+SELECT phone_number, count(DISTINCT account_number) AS num_accounts FROM silver
+GROUP BY phone_number HAVING count(DISTINCT account_number) > 1
+ORDER BY num_accounts DESC, phone_number LIMIT 10""", "A7 S2")
+def q_top_shared_entities(spark, sf):
+    return _shared(Layers(spark, sf).state).orderBy(F.desc("num_accounts"), "phone_number").limit(10)
+
+
+@register("shared_entity_sample", """
+SELECT account_number, phone_number, is_deleted, delete_type, consent_flag, phone_source
+FROM silver
+WHERE phone_number IN (SELECT phone_number FROM silver GROUP BY phone_number
+                       HAVING count(DISTINCT account_number) > 1 ORDER BY phone_number LIMIT 1)""",
+          "J7")
+def q_shared_entity_sample(spark, sf):
+    st = Layers(spark, sf).state
+    first = _shared(st).agg(F.min("phone_number")).scalar()
+    return st.where(F.col("phone_number") == first).select(
+        "account_number", "phone_number", "is_deleted", "delete_type", "consent_flag",
+        "phone_source").orderBy("account_number")
+
+
+def _flagged_phones(L: Layers) -> DataFrame:
+    return (L.supplfwd.where(F.col("cnsmr_phn_sft_dlt_flg") == "Y")
+            .select(F.col("cnsmr_phn_nmbr_txt").alias("phone_number")))
+
+
+@register("readded_entities", """
+SELECT count(*) AS readded_count FROM silver
+WHERE record_source = 'NON-FIN' AND is_deleted = false
+  AND phone_number IN (SELECT cnsmr_phn_nmbr_txt FROM supplfwd WHERE cnsmr_phn_sft_dlt_flg = 'Y')""",
+          "J6 C2")
+def q_readded_entities(spark, sf):
+    L = Layers(spark, sf)
+    live = L.state.where((F.col("record_source") == S.SRC_SNAPSHOT) & ~F.col("is_deleted"))
+    return live.join(_flagged_phones(L), "phone_number", "left_semi").agg(_count("readded_count"))
+
+
+@register("readded_entities_by_key", """
+SELECT count(*) AS readded_count FROM silver s
+WHERE record_source = 'NON-FIN' AND is_deleted = false
+  AND EXISTS (SELECT 1 FROM supplfwd c WHERE c.cnsmr_phn_sft_dlt_flg = 'Y'
+              AND c.cnsmr_idntfr_lgcy_txt = s.legacy_identifier
+              AND c.cnsmr_phn_nmbr_txt = s.phone_number)""", "J6 C2 D17")
+def q_readded_entities_by_key(spark, sf):
+    L = Layers(spark, sf)
+    live = L.state.where((F.col("record_source") == S.SRC_SNAPSHOT) & ~F.col("is_deleted"))
+    flagged = (L.supplfwd.where(F.col("cnsmr_phn_sft_dlt_flg") == "Y")
+               .select(F.col("cnsmr_idntfr_lgcy_txt").alias("legacy_identifier"),
+                       F.col("cnsmr_phn_nmbr_txt").alias("phone_number")))
+    return live.join(flagged, ["legacy_identifier", "phone_number"], "left_semi") \
+        .agg(_count("readded_count"))
+
+
+@register("consent_summary", """
+SELECT consent_flag, count(*) AS cnt FROM silver GROUP BY consent_flag""", "A4 S1")
+def q_consent_summary(spark, sf):
+    return Layers(spark, sf).state.groupBy("consent_flag").agg(_count()).orderBy(F.desc("cnt"))
+
+
+@register("consent_date_profile", """
+SELECT min(consent_date) AS earliest_consent, max(consent_date) AS latest_consent,
+       count(*) AS records_with_consent_date
+FROM silver WHERE consent_date IS NOT NULL""", "A8")
+def q_consent_date_profile(spark, sf):
+    return Layers(spark, sf).state.where(F.col("consent_date").isNotNull()).agg(
+        F.min("consent_date").alias("earliest_consent"),
+        F.max("consent_date").alias("latest_consent"), _count("records_with_consent_date"))
+
+
+@register("change_winner_count", """
+SELECT count(*) AS supplfwd_wins FROM silver WHERE record_source = 'SUPPLFWD'""", "A4 W5")
+def q_change_winner_count(spark, sf):
+    return Layers(spark, sf).state.where(F.col("record_source") == S.SRC_CHANGE) \
+        .agg(_count("supplfwd_wins"))
+
+
+@register("change_winner_nulls", """
+SELECT count(*) FILTER (WHERE phone_source IS NULL) AS null_source,
+       count(*) FILTER (WHERE phone_number IS NULL) AS null_phone,
+       count(*) FILTER (WHERE event_date IS NULL) AS null_event_date
+FROM silver WHERE record_source = 'SUPPLFWD'""", "A6 Q6")
+def q_change_winner_nulls(spark, sf):
+    return Layers(spark, sf).state.where(F.col("record_source") == S.SRC_CHANGE).agg(
+        _ci(F.col("phone_source").isNull(), "null_source"),
+        _ci(F.col("phone_number").isNull(), "null_phone"),
+        _ci(F.col("event_date").isNull(), "null_event_date"))
+
+
+@register("layer_row_parity", """
+SELECT (SELECT count(*) FROM nonfin) AS bronze_nonfin_rows,
+       (SELECT count(*) FROM silver) AS silver_rows,
+       (SELECT count(*) FROM gold) AS gold_rows""", "A12 Q7")
+def q_layer_row_parity(spark, sf):
+    L = Layers(spark, sf)
+    n = L.nonfin.agg(_count("bronze_nonfin_rows"))
+    s = L.state.agg(_count("silver_rows"))
+    g = L.consent.agg(_count("gold_rows"))
+    return n.select("bronze_nonfin_rows", s.scalar().alias("silver_rows"),
+                    g.scalar().alias("gold_rows"))
+
+
+@register("hard_delete_profile", """
+SELECT min(deleted_at) AS earliest_hard_delete, max(deleted_at) AS latest_hard_delete,
+       count(*) AS hard_delete_count, (SELECT max(_file_date) FROM nonfin) AS latest_snapshot_date
+FROM silver WHERE delete_type = 'hard_delete'""", "A8 A3")
+def q_hard_delete_profile(spark, sf):
+    L = Layers(spark, sf)
+    latest = L.nonfin.agg(F.max("_file_date")).scalar()
+    return L.state.where(F.col("delete_type") == S.HARD_DELETE).agg(
+        F.min("deleted_at").alias("earliest_hard_delete"),
+        F.max("deleted_at").alias("latest_hard_delete"), _count("hard_delete_count"),
+    ).select("*", latest.alias("latest_snapshot_date"))
+
+
+@register("hard_deleted_in_latest", """
+SELECT count(*) AS hard_deleted_in_latest FROM silver s
+WHERE s.delete_type = 'hard_delete'
+  AND EXISTS (SELECT 1 FROM nonfin n
+              WHERE n.cnsmr_idntfr_lgcy_txt = s.legacy_identifier
+                AND n.cnsmr_phn_nmbr_txt = s.phone_number
+                AND n._file_date = (SELECT max(_file_date) FROM nonfin))""", "J8")
+def q_hard_deleted_in_latest(spark, sf):
+    L = Layers(spark, sf)
+    latest = L.nonfin.agg(F.max("_file_date")).scalar()
+    in_latest = (L.nonfin.where(F.col("_file_date") == latest)
+                 .select(F.col("cnsmr_idntfr_lgcy_txt").alias("legacy_identifier"),
+                         F.col("cnsmr_phn_nmbr_txt").alias("phone_number")))
+    return (L.state.where(F.col("delete_type") == S.HARD_DELETE)
+            .join(in_latest, ["legacy_identifier", "phone_number"], "left_semi")
+            .agg(_count("hard_deleted_in_latest")))
+
+
+@register("soft_delete_sources", """
+SELECT record_source, count(*) AS cnt FROM silver WHERE delete_type = 'soft_delete'
+GROUP BY record_source""", "A4 C1")
+def q_soft_delete_sources(spark, sf):
+    return Layers(spark, sf).state.where(F.col("delete_type") == S.SOFT_DELETE) \
+        .groupBy("record_source").agg(_count())
+
+
+@register("change_soft_delete_keys", """
+SELECT count(DISTINCT CASE WHEN cnsmr_idntfr_lgcy_txt IS NOT NULL AND cnsmr_phn_nmbr_txt IS NOT NULL
+                           THEN (cnsmr_idntfr_lgcy_txt, cnsmr_phn_nmbr_txt) END) AS supplfwd_soft_deletes
+FROM supplfwd WHERE cnsmr_phn_sft_dlt_flg = 'Y'""", "A5 C1")
+def q_change_soft_delete_keys(spark, sf):
+    return Layers(spark, sf).supplfwd.where(F.col("cnsmr_phn_sft_dlt_flg") == "Y").agg(
+        F.countDistinct("cnsmr_idntfr_lgcy_txt", "cnsmr_phn_nmbr_txt").alias("supplfwd_soft_deletes"))
+
+
+# =============================== consent ======================================
+
+@register("duplicate_keys_consent",
+          _dup_sql("gold", "account_number", "phone_number", "total_rows", "duplicates"), "A5")
+def q_duplicate_keys_consent(spark, sf):
+    return _dups(Layers(spark, sf).consent, "account_number", "phone_number", "total_rows",
+                 "duplicates")
+
+
+@register("format_check_consent_phone", r"""
+SELECT count(*) AS total,
+       count(*) FILTER (WHERE regexp_matches(phone_number, '^\+1[0-9]{10}$')) AS valid_format,
+       count(*) FILTER (WHERE NOT regexp_matches(phone_number, '^\+1[0-9]{10}$')) AS bad_format
+FROM gold""", "P7")
+def q_format_check_consent_phone(spark, sf):
+    ok = F.col("phone_number").rlike(r"^\+1[0-9]{10}$")
+    return Layers(spark, sf).consent.agg(_count("total"), _ci(ok, "valid_format"),
+                                         _ci(~ok, "bad_format"))
+
+
+@register("consent_share", f"""
+SELECT has_sms_consent, count(*) AS cnt, {_pct_sql()} AS pct FROM gold GROUP BY has_sms_consent""",
+          "A9")
+def q_consent_share(spark, sf):
+    return with_share(Layers(spark, sf).consent.groupBy("has_sms_consent").agg(_count()))
+
+
+@register("consent_delete_summary", """
+SELECT is_deleted, delete_type, count(*) AS cnt FROM gold GROUP BY is_deleted, delete_type""", "A4")
+def q_consent_delete_summary(spark, sf):
+    return Layers(spark, sf).consent.groupBy("is_deleted", "delete_type").agg(_count())
+
+
+@register("consent_delete_consistency", """
+SELECT count(*) FILTER (WHERE is_deleted = true AND delete_type IS NULL) AS deleted_missing_type,
+       count(*) FILTER (WHERE is_deleted = false AND delete_type IS NOT NULL) AS not_deleted_has_type
+FROM gold""", "Q5 A6")
+def q_consent_delete_consistency(spark, sf):
+    d = F.col("is_deleted")
+    return Layers(spark, sf).consent.agg(
+        _ci(d & F.col("delete_type").isNull(), "deleted_missing_type"),
+        _ci(~d & F.col("delete_type").isNotNull(), "not_deleted_has_type"))
+
+
+_DECISION_SQL = """CASE WHEN phone_source = 'CLIENT' AND is_deleted = false
+            AND (has_sms_consent = true OR has_sms_consent IS NULL)
+       THEN 'CAN_SEND' ELSE 'CANNOT_SEND' END"""
+
+
+def _decision() -> Column:
+    return F.when(can_send_rule(), F.lit("CAN_SEND")).otherwise(F.lit("CANNOT_SEND"))
+
+
+@register("decision_breakdown", f"""
+SELECT {_DECISION_SQL} AS sms_decision, count(*) AS cnt, {_pct_sql()} AS pct
+FROM gold GROUP BY 1""", "C6 A9 A11")
+def q_decision_breakdown(spark, sf):
+    return with_share(Layers(spark, sf).consent.groupBy(_decision().alias("sms_decision"))
+                      .agg(_count()))
+
+
+@register("denial_reasons", f"""
+SELECT CASE WHEN phone_source != 'CLIENT' THEN 'not_client_source'
+            WHEN is_deleted = true THEN 'deleted'
+            WHEN has_sms_consent = false THEN 'consent_withdrawn'
+            ELSE 'can_send' END AS reason,
+       count(*) AS cnt, {_pct_sql()} AS pct
+FROM gold GROUP BY 1""", "C7 A9 A11")
+def q_denial_reasons(spark, sf):
+    return with_share(denial_reason(Layers(spark, sf).consent).groupBy("reason").agg(_count())) \
+        .orderBy(F.desc("cnt"))
+
+
+@register("shared_entity_divergence", """
+SELECT phone_number, count(DISTINCT account_number) AS num_accounts,
+       count(DISTINCT phone_source) AS num_sources, count(DISTINCT is_deleted) AS num_delete_states,
+       min(account_number) AS first_account, max(account_number) AS last_account
+FROM gold GROUP BY phone_number
+HAVING count(DISTINCT account_number) > 1
+   AND (count(DISTINCT phone_source) > 1 OR count(DISTINCT is_deleted) > 1)""", "J4")
+def q_shared_entity_divergence(spark, sf):
+    """Phones whose accounts disagree on source or delete status.  One
+    aggregate per phone instead of an account-pair self join, so a phone on
+    a third of all accounts costs one group, not a quadratic pair list."""
+    g = Layers(spark, sf).consent
+    return (g.groupBy("phone_number").agg(
+        F.countDistinct("account_number").alias("num_accounts"),
+        F.countDistinct("phone_source").alias("num_sources"),
+        F.countDistinct("is_deleted").alias("num_delete_states"),
+        F.min("account_number").alias("first_account"),
+        F.max("account_number").alias("last_account"))
+        .where((F.col("num_accounts") > 1)
+               & ((F.col("num_sources") > 1) | (F.col("num_delete_states") > 1))))
+
+
+@register("readded_phones", """
+SELECT count(*) AS readded_phones FROM gold g
+WHERE g.is_deleted = false
+  AND g.phone_number IN (SELECT '+1' || cnsmr_phn_nmbr_txt FROM supplfwd
+                         WHERE cnsmr_phn_sft_dlt_flg = 'Y')""", "J6 C2")
+def q_readded_phones(spark, sf):
+    L = Layers(spark, sf)
+    flagged = _flagged_phones(L).select(F.concat(F.lit("+1"), "phone_number").alias("phone_number"))
+    return L.consent.where(~F.col("is_deleted")).join(flagged, "phone_number", "left_semi") \
+        .agg(_count("readded_phones"))
+
+
+@register("compliance_boundaries", f"""
+SELECT
+  count(*) FILTER (WHERE has_sms_consent = false AND phone_source = 'CLIENT' AND is_deleted = false)
+    AS consent_withdrawn,
+  count(*) FILTER (WHERE has_sms_consent = false AND phone_source = 'CLIENT' AND is_deleted = false
+                   AND {_DECISION_SQL} = 'CAN_SEND') AS withdrawn_can_send,
+  count(*) FILTER (WHERE has_sms_consent IS NULL AND phone_source = 'CLIENT' AND is_deleted = false
+                   AND {_DECISION_SQL} = 'CAN_SEND') AS null_consent_can_send,
+  count(*) FILTER (WHERE has_sms_consent IS NULL AND phone_source = 'CLIENT' AND is_deleted = false
+                   AND {_DECISION_SQL} = 'CANNOT_SEND') AS null_consent_cannot_send,
+  count(*) FILTER (WHERE phone_source != 'CLIENT' AND is_deleted = false
+                   AND (has_sms_consent = true OR has_sms_consent IS NULL)) AS non_client_sendable,
+  count(*) FILTER (WHERE is_deleted = true AND phone_source = 'CLIENT'
+                   AND (has_sms_consent = true OR has_sms_consent IS NULL)) AS deleted_would_send
+FROM gold""", "C8 A11")
+def q_compliance_boundaries(spark, sf):
+    src, dele, con = F.col("phone_source"), F.col("is_deleted"), F.col("has_sms_consent")
+    client_live = (src == "CLIENT") & ~dele
+    allowed_consent = (con == F.lit(True)) | con.isNull()
+    send = can_send_rule()
+    return Layers(spark, sf).consent.agg(
+        _ci((con == F.lit(False)) & client_live, "consent_withdrawn"),
+        _ci((con == F.lit(False)) & client_live & send, "withdrawn_can_send"),
+        _ci(con.isNull() & client_live & send, "null_consent_can_send"),
+        _ci(con.isNull() & client_live & ~send, "null_consent_cannot_send"),
+        _ci((src != "CLIENT") & ~dele & allowed_consent, "non_client_sendable"),
+        _ci(dele & (src == "CLIENT") & allowed_consent, "deleted_would_send"))
+
+
+@register("consent_null_share", """
+SELECT count(*) FILTER (WHERE has_sms_consent IS NULL) AS null_consent,
+       count(*) FILTER (WHERE has_sms_consent IS NOT NULL) AS explicit_consent,
+       CAST((2000 * count(*) FILTER (WHERE has_sms_consent IS NULL) + count(*)) // (2 * count(*))
+            AS DOUBLE) / 10 AS null_pct
+FROM gold""", "A6 A9")
+def q_consent_null_share(spark, sf):
+    c = F.col("has_sms_consent")
+    agg = Layers(spark, sf).consent.agg(_ci(c.isNull(), "null_consent"),
+                                        _ci(c.isNotNull(), "explicit_consent"), _count("__n"))
+    pct = F.expr("(2000 * null_consent + __n) div (2 * __n)").cast("double") / 10
+    return agg.select("null_consent", "explicit_consent", pct.alias("null_pct"))
+
+
+@register("winner_source_profile", """
+SELECT g.phone_source, g.has_sms_consent, g.is_deleted, count(*) AS cnt
+FROM gold g JOIN silver s
+  ON g.account_number = s.account_number AND g.phone_number = CONCAT('+1', s.phone_number)
+WHERE s.record_source = 'SUPPLFWD'
+GROUP BY g.phone_source, g.has_sms_consent, g.is_deleted""", "J5 A4 S1 D16")
+def q_winner_source_profile(spark, sf):
+    L = Layers(spark, sf)
+    g = L.consent.alias("g")
+    s = L.state.where(F.col("record_source") == S.SRC_CHANGE).alias("s")
+    j = g.join(s, (F.col("g.account_number") == F.col("s.account_number"))
+               & (F.col("g.phone_number") == F.concat(F.lit("+1"), F.col("s.phone_number"))))
+    return j.groupBy(F.col("g.phone_source").alias("phone_source"),
+                     F.col("g.has_sms_consent").alias("has_sms_consent"),
+                     F.col("g.is_deleted").alias("is_deleted")).agg(_count())
+
+
+@register("decision_sample", f"""
+SELECT account_number, phone_number, phone_source, is_deleted, delete_type, has_sms_consent,
+       sms_consent_updated_at,
+       CASE WHEN {_DECISION_SQL} = 'CAN_SEND' THEN true ELSE false END AS can_send_sms
+FROM gold ORDER BY account_number, phone_number LIMIT 20""", "C6 S2 S3")
+def q_decision_sample(spark, sf):
+    return (Layers(spark, sf).consent.select(
+        "account_number", "phone_number", "phone_source", "is_deleted", "delete_type",
+        "has_sms_consent", "sms_consent_updated_at", can_send_rule().alias("can_send_sms"))
+        .orderBy("account_number", "phone_number").limit(20))
+
+
+@register("source_ratio", """
+SELECT CAST(count(*) FILTER (WHERE phone_source = 'CLIENT') AS DOUBLE) / count(*) AS client_ratio
+FROM gold""", "A13")
+def q_source_ratio(spark, sf):
+    g = Layers(spark, sf).consent
+    return g.agg((F.count_if(F.col("phone_source") == "CLIENT").cast("double")
+                  / F.count(F.lit(1))).alias("client_ratio"))
+
+
+# =============================== quality ======================================
+
+def bronze_checks(df: DataFrame, source: str):
+    return [row_count_positive(f"{source}_row_count_positive"),
+            bad_rows(f"{source}_no_null_file_dates", F.col("_file_date").isNull())]
+
+
+def state_checks():
+    return [
+        Check_dups("silver_no_duplicate_account_phone"),
+        bad_rows("silver_no_null_accounts", F.col("account_number").isNull()),
+    ]
+
+
+def Check_dups(name: str):
+    from contactgate.operators.quality import Check
+    # rows minus distinct keys, evaluated on the per-key pre-aggregate
+    return Check(name, F.sum(F.col("__n") - 1), "eq0")
+
+
+def consent_checks():
+    return [
+        bad_rows("gold_phones_normalized",
+                 F.coalesce(~F.col("phone_number").rlike(NORMALIZED_PHONE_PATTERN), F.lit(True))),
+        bad_rows("gold_valid_phone_sources",
+                 F.coalesce(~F.col("phone_source").isin(*S.PHONE_SOURCES), F.lit(True))),
+        bad_rows("gold_valid_delete_types",
+                 F.col("delete_type").isNotNull() & ~F.col("delete_type").isin(*S.DELETE_TYPES)),
+    ]
+
+
+def _quality_sql(rows: list[tuple[str, str, str]]) -> str:
+    parts = [f"SELECT '{n}' AS name, CAST(({obs}) AS BIGINT) AS observed, '{exp}' AS expected"
+             for n, obs, exp in rows]
+    body = "\nUNION ALL ".join(parts)
+    return f"""
+SELECT name, COALESCE(CASE WHEN expected = 'eq0' THEN observed = 0 ELSE observed > 0 END, false)
+         AS passed, observed, expected
+FROM ({body}) q"""
+
+
+def _bronze_sql_rows():
+    out = []
+    for t in ("nonfin", "supplfwd", "enrollment"):
+        out.append((f"{t}_row_count_positive", f"SELECT count(*) FROM {t}", "gt0"))
+        out.append((f"{t}_no_null_file_dates",
+                    f"SELECT count(*) FILTER (WHERE _file_date IS NULL) FROM {t}", "eq0"))
+    return out
+
+
+@register("quality_bronze", _quality_sql(_bronze_sql_rows()), "Q1")
+def q_quality_bronze(spark, sf):
+    L = Layers(spark, sf)
+    res = None
+    for name, df in (("nonfin", L.nonfin), ("supplfwd", L.supplfwd), ("enrollment", L.enrollment)):
+        r = evaluate(df, bronze_checks(df, name))
+        res = r if res is None else res.unionByName(r)
+    return res
+
+
+_SILVER_Q = [
+    ("silver_no_duplicate_account_phone",
+     "SELECT count(*) - count(DISTINCT (account_number, phone_number)) FROM silver", "eq0"),
+    ("silver_no_null_accounts",
+     "SELECT count(*) FILTER (WHERE account_number IS NULL) FROM silver", "eq0"),
+]
+
+
+def silver_quality(state: DataFrame) -> DataFrame:
+    """Key uniqueness via a per-key pre-aggregate (collapses hot keys), then
+    all checks in one aggregate over the per-key rows."""
+    per_key = state.groupBy("account_number", "phone_number").agg(F.count(F.lit(1)).alias("__n"))
+    dup = evaluate(per_key, [Check_dups("silver_no_duplicate_account_phone")])
+    nulls = evaluate(state, [bad_rows("silver_no_null_accounts", F.col("account_number").isNull())])
+    return dup.unionByName(nulls)
+
+
+@register("quality_silver", _quality_sql(_SILVER_Q), "Q2 Q7")
+def q_quality_silver(spark, sf):
+    return silver_quality(Layers(spark, sf).state)
+
+
+_GOLD_Q = [
+    ("gold_phones_normalized",
+     r"SELECT count(*) FILTER (WHERE COALESCE(NOT regexp_matches(phone_number, '^\+1\d{10}$'), true)) FROM gold",
+     "eq0"),
+    ("gold_valid_phone_sources",
+     "SELECT count(*) FILTER (WHERE COALESCE(phone_source NOT IN ('CLIENT', 'CONSUMER', 'THIRD_PARTY', 'OTHER'), true)) FROM gold",
+     "eq0"),
+    ("gold_valid_delete_types",
+     "SELECT count(*) FILTER (WHERE delete_type IS NOT NULL AND delete_type NOT IN ('hard_delete', 'soft_delete')) FROM gold",
+     "eq0"),
+]
+
+
+@register("quality_gold", _quality_sql(_GOLD_Q), "Q3 P9 D13")
+def q_quality_gold(spark, sf):
+    return evaluate(Layers(spark, sf).consent, consent_checks())
+
+
+@register("quality_verdict", f"""
+SELECT COALESCE(bool_and(passed), true) AS all_passed,
+       count(*) FILTER (WHERE NOT passed) AS failed
+FROM ({_quality_sql(_bronze_sql_rows() + _SILVER_Q + _GOLD_Q)}) r""", "Q4")
+def q_quality_verdict(spark, sf):
+    L = Layers(spark, sf)
+    res = (q_quality_bronze(spark, sf).unionByName(silver_quality(L.state))
+           .unionByName(evaluate(L.consent, consent_checks())))
+    return verdict(res)
