@@ -50,6 +50,10 @@ class SourceSpec:
     tiebreak: Sequence[ColumnLike] = ()
     role: str | None = None
     snapshot_date: ColumnLike | None = None   # for role=snapshot: the delivery date
+    # for role=snapshot: frame the newest snapshot date is taken from; pass the
+    # raw feed when ``df`` is a deduplicated view of it (dedup never removes a
+    # whole delivery), so the scalar subquery is a pruned scan, not a re-shuffle
+    snapshot_dates: DataFrame | None = None
 
 
 @dataclass
@@ -105,7 +109,8 @@ def reconcile(sources: Sequence[SourceSpec], cfg: ReconcileConfig,
         snap = snapshots[0]
         date_expr = _c(snap.snapshot_date if snap.snapshot_date is not None
                        else snap.columns[ev])
-        latest = snap.df.agg(F.max(date_expr)).scalar()
+        dates = snap.snapshot_dates if snap.snapshot_dates is not None else snap.df
+        latest = dates.agg(F.max(date_expr)).scalar()
 
     key_complete = F.lit(True)
     for k in keys:

@@ -40,12 +40,30 @@ _PHONE_ATTRS = {
 }
 
 
+# raw columns the state actually uses (identity data -- SSN, names, agency -- is
+# pruned before the first shuffle, so it never reaches an aggregation buffer)
+SNAPSHOT_USED = ["cnsmr_phn_id", *_PHONE_ATTRS.values(), "cnsmr_phn_cnsnt_dt"]
+CHANGE_USED = ["cnsmr_phn_hst_id", *_PHONE_ATTRS.values(), "cnsmr_phn_cnsnt_dt",
+               "cnsmr_phn_sft_dlt_flg", "record_date"]
+ENROLLMENT_USED = ["consumer_legacy_identifier", "phone_number", "phone_type", "phone_status",
+                   "phone_source", "phone_technology", "quality_score", "enrollment_date"]
+
+
+def prune(df: DataFrame, used: list[str]) -> DataFrame:
+    """Keep the used raw columns plus lineage and an optional ``_row_id``."""
+    extra = [c for c in ("_source_file", "_file_date", "_row_id") if c in df.columns]
+    return df.select(*used, *extra)
+
+
 def row_key(df: DataFrame, raw_columns: list[str]) -> Column:
-    """Deterministic in-file tiebreak: a provided ``_row_id`` or else the record
-    text itself (all raw fields, NULL as empty)."""
+    """Deterministic in-file tiebreak: a provided ``_row_id``, or else the text
+    of the used fields (NULL as empty).  Rows equal on every used field are
+    interchangeable downstream, so ordering by them is a total order for all
+    that matters."""
     if "_row_id" in df.columns:
         return F.col("_row_id")
-    return F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in raw_columns])
+    present = [c for c in raw_columns if c in df.columns]
+    return F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in present])
 
 
 def change_date(df: DataFrame) -> Column:
@@ -54,16 +72,23 @@ def change_date(df: DataFrame) -> Column:
 
 # --- per-feed building blocks ---------------------------------------------
 
+# Both forms reduce map-side: ``row_number() = 1`` plans a partial
+# WindowGroupLimit before the exchange (top-1 per key per map task), the
+# aggregate a partial max_by.  The window form stays in codegen'd sorts and
+# measured faster for the wide dedup payloads; the reconcile itself must be an
+# aggregate (three results per key in one pass).
+DEDUP_METHOD = "window"
+
 def dedup_snapshot(nonfin: DataFrame) -> DataFrame:
     """One row per (phone id, snapshot date): the first by file, then record."""
     return dedup_by(nonfin, ["cnsmr_phn_id", "_file_date"],
-                    ["_source_file", row_key(nonfin, S.SNAPSHOT_COLUMNS)])
+                    ["_source_file", row_key(nonfin, S.SNAPSHOT_COLUMNS)], method=DEDUP_METHOD)
 
 
 def dedup_change(supplfwd: DataFrame) -> DataFrame:
     """One row per (legacy id, phone, raw record date): the lowest history id."""
     return dedup_by(supplfwd, ["cnsmr_idntfr_lgcy_txt", "cnsmr_phn_nmbr_txt", "record_date"],
-                    ["cnsmr_phn_hst_id", row_key(supplfwd, S.CHANGE_COLUMNS)])
+                    ["cnsmr_phn_hst_id", row_key(supplfwd, S.CHANGE_COLUMNS)], method=DEDUP_METHOD)
 
 
 def latest_snapshot_state(nonfin_dedup: DataFrame) -> DataFrame:
@@ -93,7 +118,7 @@ def soft_deletes(supplfwd_dedup: DataFrame) -> DataFrame:
 
 # --- source specs ------------------------------------------------------------
 
-def snapshot_source(nonfin_dedup: DataFrame) -> SourceSpec:
+def snapshot_source(nonfin_dedup: DataFrame, raw: DataFrame | None = None) -> SourceSpec:
     cols = dict(_PHONE_ATTRS)
     cols.update({
         "phone_id": "cnsmr_phn_id",
@@ -103,7 +128,8 @@ def snapshot_source(nonfin_dedup: DataFrame) -> SourceSpec:
     })
     return SourceSpec(nonfin_dedup, cols, S.SRC_SNAPSHOT, priority=0,
                       tiebreak=["_source_file", row_key(nonfin_dedup, S.SNAPSHOT_COLUMNS)],
-                      role=SNAPSHOT, snapshot_date="_file_date")
+                      role=SNAPSHOT, snapshot_date="_file_date",
+                      snapshot_dates=raw.select("_file_date") if raw is not None else None)
 
 
 def change_source(supplfwd_dedup: DataFrame) -> SourceSpec:
@@ -139,8 +165,9 @@ def aligned_events(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame
     """The three deduplicated feeds on the common event schema, tagged."""
     from contactgate.operators.reconcile import align
     cfg = _config()
-    specs = [snapshot_source(dedup_snapshot(nonfin)), change_source(dedup_change(supplfwd)),
-             enrollment_source(enrollment)]
+    specs = [snapshot_source(dedup_snapshot(prune(nonfin, SNAPSHOT_USED))),
+             change_source(dedup_change(prune(supplfwd, CHANGE_USED))),
+             enrollment_source(prune(enrollment, ENROLLMENT_USED))]
     out = None
     for s in specs:
         a = align(s, EVENT_COLUMNS, cfg).select(*EVENT_COLUMNS)
@@ -156,8 +183,9 @@ def _config() -> ReconcileConfig:
 
 def reconciled(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame) -> DataFrame:
     """Winner per key with raw hard/soft delete inputs (before precedence)."""
-    specs = [snapshot_source(dedup_snapshot(nonfin)), change_source(dedup_change(supplfwd)),
-             enrollment_source(enrollment)]
+    specs = [snapshot_source(dedup_snapshot(prune(nonfin, SNAPSHOT_USED)), raw=nonfin),
+             change_source(dedup_change(prune(supplfwd, CHANGE_USED))),
+             enrollment_source(prune(enrollment, ENROLLMENT_USED))]
     return reconcile(specs, _config(), EVENT_COLUMNS)
 
 
