@@ -40,23 +40,24 @@ def diff(old: DataFrame, new: DataFrame, keys: Sequence[str],
          change_col: str = "_change_type") -> DataFrame:
     """Row-level change feed between two versions of a table keyed by ``keys``:
     ``insert``, ``delete``, ``update_preimage`` and ``update_postimage`` rows
-    (values compared NULL-safely).  One full outer join on the key."""
+    (every value column compared NULL-safely).  One full outer join on the
+    key; both versions must be unique on it."""
     keys = list(keys)
     values = [c for c in old.columns if c not in keys]
-    o = old.select(*keys, F.struct(*values).alias("__o"))
-    n = new.select(*keys, F.struct(*values).alias("__n"))
+    o = old.select(*keys, F.struct(*values).alias("__o"), F.lit(True).alias("__in_o"))
+    n = new.select(*keys, F.struct(*values).alias("__n"), F.lit(True).alias("__in_n"))
     j = o.join(n, on=keys, how="full_outer")
-    kind = (F.when(F.col("__o").isNull(), F.lit("insert"))
-            .when(F.col("__n").isNull(), F.lit("delete"))
-            .when(~F.col("__o").eqNullSafe(F.col("__n")), F.lit("update")))
+    same = F.lit(True)
+    for c in values:
+        same = same & F.col(f"__o.{c}").eqNullSafe(F.col(f"__n.{c}"))
+    kind = (F.when(F.col("__in_o").isNull(), F.lit("insert"))
+            .when(F.col("__in_n").isNull(), F.lit("delete"))
+            .when(~same, F.lit("update")))
     j = j.withColumn("__k", kind).where(F.col("__k").isNotNull())
-    images = F.when(F.col("__k") == "insert", F.array(F.struct(F.lit("insert").alias("t"),
-                                                               F.col("__n").alias("v"))))
-    images = images.when(F.col("__k") == "delete",
-                         F.array(F.struct(F.lit("delete").alias("t"), F.col("__o").alias("v"))))
-    images = images.otherwise(F.array(
-        F.struct(F.lit("update_preimage").alias("t"), F.col("__o").alias("v")),
-        F.struct(F.lit("update_postimage").alias("t"), F.col("__n").alias("v"))))
+    img = lambda t, side: F.struct(F.lit(t).alias("t"), F.col(side).alias("v"))
+    images = (F.when(F.col("__k") == "insert", F.array(img("insert", "__n")))
+              .when(F.col("__k") == "delete", F.array(img("delete", "__o")))
+              .otherwise(F.array(img("update_preimage", "__o"), img("update_postimage", "__n"))))
     return (j.select(*keys, F.explode(images).alias("__i"))
              .select(*keys, *[F.col(f"__i.v.{c}").alias(c) for c in values],
                      F.col("__i.t").alias(change_col)))

@@ -47,10 +47,13 @@ def register(name: str, oracle: str | None, ids: str = ""):
 class Layers:
     """Lazy handles on every layer for one data directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, where=None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.nonfin, self.supplfwd, self.enrollment = feeds(spark, sf_dir)
+        if where is not None:   # deliveries restricted by file date
+            self.nonfin, self.supplfwd, self.enrollment = (
+                self.nonfin.where(where), self.supplfwd.where(where), self.enrollment.where(where))
 
     @property
     def nonfin_dedup(self) -> DataFrame:
@@ -363,4 +366,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all() -> None:
     # importing registers the remaining query families
-    from contactgate.plans import reports  # noqa: F401
+    from contactgate.plans import reports, tables_catalog  # noqa: F401

@@ -8,6 +8,8 @@ is checked against an independent formulation.  Only DuckDB runs this text.
 
 from __future__ import annotations
 
+import re
+
 _PAD = "lpad(CAST({x} AS VARCHAR), {n}, '0')"
 
 
@@ -225,9 +227,33 @@ SELECT account_number, phone_number,
 FROM gold GROUP BY account_number, phone_number"""
 
 _ORDER = list(CTES)
+_FEEDS = ("nonfin", "supplfwd", "enrollment")
+
+# Deliveries split at one date: an earlier run and a later incremental batch.
+SPLIT_DATE = "2000-01-01"
+VARIANTS = {
+    "_early": f"_file_date < DATE '{SPLIT_DATE}'",
+    "_late": f"_file_date >= DATE '{SPLIT_DATE}'",
+}
+
+
+def _variant(suffix: str, feed_filter: str) -> list[tuple[str, str]]:
+    """The whole CTE chain again, over feeds restricted by ``feed_filter``."""
+    out = []
+    for name in _ORDER:
+        body = CTES[name]
+        for other in _ORDER:
+            body = re.sub(rf"\b{other}\b", other + suffix, body)
+        if name in _FEEDS:
+            body = f"SELECT * FROM ({body}\n) f WHERE {feed_filter}"
+        out.append((name + suffix, body))
+    return out
 
 
 def with_ctes(body: str) -> str:
     """Prefix ``body`` with every CTE it needs (DuckDB drops unused ones)."""
-    parts = ",\n".join(f"{name} AS ({CTES[name]}\n)" for name in _ORDER)
+    items = [(n, CTES[n]) for n in _ORDER]
+    for suffix, flt in VARIANTS.items():
+        items += _variant(suffix, flt)
+    parts = ",\n".join(f"{name} AS ({text}\n)" for name, text in items)
     return f"WITH {parts}\n{body.strip()}"

@@ -74,6 +74,7 @@ def deliver(feed: DataFrame, root: str, folder: str, columns: list[str]) -> None
     (feed.select(*columns, stem.alias(DELIVERY_DIR))
          .sortWithinPartitions(DELIVERY_DIR)
          .write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")   # replace only these deliveries
          .partitionBy(DELIVERY_DIR)
          .option("sep", "|").option("header", "true")
          .option("compression", "gzip")
