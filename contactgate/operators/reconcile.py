@@ -89,11 +89,16 @@ def align(spec: SourceSpec, target: Sequence[str], cfg: ReconcileConfig) -> Data
 
 
 def reconcile(sources: Sequence[SourceSpec], cfg: ReconcileConfig,
-              target: Sequence[str]) -> DataFrame:
+              target: Sequence[str], extra: Mapping[str, Column] | None = None) -> DataFrame:
     """Current state per key.  Output: the ``target`` columns of the winning
     row plus ``last_seen_date``, ``is_hard_deleted``, ``hard_deleted_at``,
     ``is_soft_deleted``, ``soft_deleted_at`` (raw, before precedence) and
-    ``__snapshot_tag`` helpers are resolved by :func:`delete_status`."""
+    ``__snapshot_tag`` helpers are resolved by :func:`delete_status`.
+
+    ``extra`` maps output names to further aggregate expressions over the
+    aligned event columns (e.g. history summaries); they ride on the same
+    single shuffle."""
+    extra = dict(extra or {})
     keys = list(cfg.keys)
     ev = cfg.event_col
     aligned = [align(s, target, cfg) for s in sources]
@@ -130,6 +135,7 @@ def reconcile(sources: Sequence[SourceSpec], cfg: ReconcileConfig,
         F.max_by(payload, win_order).alias("__w"),
         F.max(F.when(is_snap, F.col(ev))).alias("last_seen_date"),
         F.max_by(F.when(is_change, change_row), F.when(is_change, change_order)).alias("__chg"),
+        *[agg.alias(name) for name, agg in extra.items()],
     )
 
     complete = F.lit(True)
@@ -147,6 +153,7 @@ def reconcile(sources: Sequence[SourceSpec], cfg: ReconcileConfig,
         is_soft.alias("is_soft_deleted"),
         F.col("__chg.at").alias("soft_deleted_at"),
         F.lit(snapshot_tag).cast("string").alias("__snapshot_tag"),
+        *[F.col(name) for name in extra],
     )
 
 

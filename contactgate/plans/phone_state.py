@@ -181,12 +181,13 @@ def _config() -> ReconcileConfig:
 
 # --- layers ------------------------------------------------------------------
 
-def reconciled(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame) -> DataFrame:
+def reconciled(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame,
+               extra: dict | None = None) -> DataFrame:
     """Winner per key with raw hard/soft delete inputs (before precedence)."""
     specs = [snapshot_source(dedup_snapshot(prune(nonfin, SNAPSHOT_USED)), raw=nonfin),
              change_source(dedup_change(prune(supplfwd, CHANGE_USED))),
              enrollment_source(prune(enrollment, ENROLLMENT_USED))]
-    return reconcile(specs, _config(), EVENT_COLUMNS)
+    return reconcile(specs, _config(), EVENT_COLUMNS, extra)
 
 
 def build_state(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame) -> DataFrame:
@@ -206,3 +207,29 @@ def build_consent(state: DataFrame) -> DataFrame:
         F.col("consent_date").alias("sms_consent_updated_at"),
         "is_deleted", "delete_type", "deleted_at", "_source_file",
     )
+
+
+def consent_history(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame) -> DataFrame:
+    """Consent transitions per (legacy id, phone), from the whole record
+    history, in the same single aggregate as the reconcile:
+
+    ``withdrawn``  current consent is N and an earlier record said Y
+    ``erased``     current record carries no consent, but an earlier record
+                   said N (a newer row without consent undoes a withdrawal)
+    Other keys are not reported.  Dates: newest Y, newest N, current event.
+    """
+    flag, ev = F.col("consent_flag"), F.col("event_date")
+    extra = {
+        "last_yes_date": F.max(F.when(flag == "Y", ev)),
+        "last_no_date": F.max(F.when(flag == "N", ev)),
+    }
+    r = reconciled(nonfin, supplfwd, enrollment, extra)
+    current = F.col("consent_flag")
+    status = (F.when((current == "N") & F.col("last_yes_date").isNotNull(), F.lit("withdrawn"))
+              .when((current.isNull() | (current == "")) & F.col("last_no_date").isNotNull(),
+                    F.lit("erased")))
+    return (r.withColumn("consent_change", status)
+             .where(F.col("consent_change").isNotNull())
+             .select("legacy_identifier", "phone_number", "consent_flag", "consent_date",
+                     "last_yes_date", "last_no_date", "event_date", "record_source",
+                     "consent_change"))

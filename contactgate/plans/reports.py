@@ -669,3 +669,31 @@ def q_quality_verdict(spark, sf):
     res = (q_quality_bronze(spark, sf).unionByName(silver_quality(L.state))
            .unionByName(evaluate(L.consent, consent_checks())))
     return verdict(res)
+
+
+# =============================== history ======================================
+
+@register("consent_withdrawals", """
+SELECT s.legacy_identifier, s.phone_number, s.consent_flag, s.consent_date,
+       h.last_yes_date, h.last_no_date, s.event_date, s.record_source,
+       CASE WHEN s.consent_flag = 'N' AND h.last_yes_date IS NOT NULL THEN 'withdrawn'
+            WHEN (s.consent_flag IS NULL OR s.consent_flag = '') AND h.last_no_date IS NOT NULL
+              THEN 'erased' END AS consent_change
+FROM silver s JOIN (
+  SELECT legacy_identifier, phone_number,
+         max(event_date) FILTER (WHERE consent_flag = 'Y') AS last_yes_date,
+         max(event_date) FILTER (WHERE consent_flag = 'N') AS last_no_date
+  FROM (SELECT cnsmr_idntfr_lgcy_txt AS legacy_identifier, cnsmr_phn_nmbr_txt AS phone_number,
+               cnsmr_phn_cnsnt_flg AS consent_flag, _file_date AS event_date FROM nf_dedup
+        UNION ALL
+        SELECT cnsmr_idntfr_lgcy_txt, cnsmr_phn_nmbr_txt, cnsmr_phn_cnsnt_flg,
+               CAST(try_strptime(record_date, '%Y-%m-%d') AS DATE) FROM sf_dedup) e
+  GROUP BY 1, 2) h
+  ON s.legacy_identifier = h.legacy_identifier AND s.phone_number = h.phone_number
+WHERE (s.consent_flag = 'N' AND h.last_yes_date IS NOT NULL)
+   OR ((s.consent_flag IS NULL OR s.consent_flag = '') AND h.last_no_date IS NOT NULL)""",
+          "I6 D12")
+def q_consent_withdrawals(spark, sf):
+    from contactgate.plans.phone_state import consent_history
+    L = Layers(spark, sf)
+    return consent_history(L.nonfin, L.supplfwd, L.enrollment)

@@ -175,3 +175,18 @@ def q_version_as_of(spark, sf):
     v0 = t.upsert(early, KEYS)
     t.upsert(late, KEYS)
     return t.read(version=v0)
+
+
+@register("stream_change_apply", """
+SELECT * EXCLUDE (_source_file, _row_id) FROM sf_latest""", "X1")
+def q_stream_change_apply(spark, sf):
+    """Change deliveries applied by an availableNow file stream, several files
+    per micro-batch, then read back as the newest record per key."""
+    from contactgate.streaming.change_stream import current_changes, run_change_stream
+    L = Layers(spark, sf)
+    root = _fresh(spark, "deliveries")
+    deliver(L.supplfwd, root, "MAINTENANCE", S.CHANGE_COLUMNS)
+    state = _fresh(spark, "change-state")
+    run_change_stream(spark, root, state, _fresh(spark, "stream-ckpt"), layout="directory",
+                      max_files_per_trigger=50)
+    return current_changes(spark, state).drop("_source_file")
