@@ -697,3 +697,59 @@ def q_consent_withdrawals(spark, sf):
     from contactgate.plans.phone_state import consent_history
     L = Layers(spark, sf)
     return consent_history(L.nonfin, L.supplfwd, L.enrollment)
+
+
+# ============================ extra checks ====================================
+
+@register("idempotency_diff", """
+SELECT CAST(0 AS BIGINT) AS only_in_first, CAST(0 AS BIGINT) AS only_in_second,
+       (SELECT count(*) FROM silver) AS state_rows""", "U3")
+def q_idempotency_diff(spark, sf):
+    """Two runs over differently partitioned and ordered inputs; bag
+    difference both ways (``exceptAll``) must be empty."""
+    from contactgate.plans.phone_state import build_state
+    L = Layers(spark, sf)
+    a = build_state(L.nonfin, L.supplfwd, L.enrollment)
+    b = build_state(L.nonfin.repartition(7, "cnsmr_phn_nmbr_txt"),
+                    L.supplfwd.repartition(5, "record_date"),
+                    L.enrollment.repartition(3, "phone_number"))
+    first = a.exceptAll(b).agg(_count("only_in_first"))
+    second = b.exceptAll(a).agg(_count("only_in_second"))
+    return first.select("only_in_first", second.scalar().alias("only_in_second"),
+                        a.agg(F.count(F.lit(1))).scalar().alias("state_rows"))
+
+
+@register("domain_check", """
+SELECT count(*) FILTER (WHERE phone_source IS NOT NULL AND phone_source NOT IN ('CLIENT', 'CONSUMER', 'THIRD_PARTY', 'OTHER')) AS bad_source,
+       count(*) FILTER (WHERE phone_type IS NOT NULL AND phone_type NOT IN ('CELL', 'HOME', 'WORK', 'OTHER')) AS bad_type,
+       count(*) FILTER (WHERE phone_status IS NOT NULL AND phone_status NOT IN ('ACTIVE', 'INACTIVE', 'DISCONNECTED')) AS bad_status,
+       count(*) FILTER (WHERE phone_technology IS NOT NULL AND phone_technology NOT IN ('WIRELESS', 'LANDLINE', 'VOIP')) AS bad_technology,
+       count(*) FILTER (WHERE record_source NOT IN ('NON-FIN', 'SUPPLFWD', 'ENRLMT')) AS bad_record_source
+FROM silver""", "P9 A10")
+def q_domain_check(spark, sf):
+    """Out-of-domain values per attribute; the domains are literal lists
+    (fixed size), so each test is an in-list predicate inside one aggregate."""
+    st = Layers(spark, sf).state
+
+    def bad(col, dom):
+        return _ci(F.col(col).isNotNull() & ~F.col(col).isin(*dom), f"bad_{col.split('_', 1)[1]}")
+    return st.agg(bad("phone_source", S.PHONE_SOURCES), bad("phone_type", S.PHONE_TYPES),
+                  bad("phone_status", S.PHONE_STATUSES),
+                  bad("phone_technology", S.PHONE_TECHNOLOGIES),
+                  _ci(~F.col("record_source").isin(S.SRC_SNAPSHOT, S.SRC_CHANGE, S.SRC_ENROLLMENT),
+                      "bad_record_source"))
+
+
+@register("snapshot_drop_ratio", """
+SELECT _file_date, rows, lag(rows) OVER (ORDER BY _file_date) AS previous_rows,
+       CASE WHEN lag(rows) OVER (ORDER BY _file_date) IS NULL THEN NULL
+            ELSE CAST(rows AS DOUBLE) / lag(rows) OVER (ORDER BY _file_date) END AS ratio_to_previous
+FROM (SELECT _file_date, count(*) AS rows FROM nf_dedup GROUP BY _file_date) d""", "D6 Q1")
+def q_snapshot_drop_ratio(spark, sf):
+    """Rows per snapshot against the previous snapshot: a partial last
+    delivery shows as a low ratio before it turns every absent key into a
+    hard delete.  The window runs over one row per snapshot date."""
+    per_date = Layers(spark, sf).nonfin_dedup.groupBy("_file_date").agg(_count("rows"))
+    prev = F.lag("rows").over(Window.orderBy("_file_date"))
+    return per_date.select("_file_date", "rows", prev.alias("previous_rows"),
+                           (F.col("rows").cast("double") / prev).alias("ratio_to_previous"))
