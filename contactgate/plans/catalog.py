@@ -74,12 +74,12 @@ class Layers:
 
 # --- core layers ---------------------------------------------------------------
 
-@register("phone_state", "SELECT * FROM silver", "C4")
+@register("phone_state", "SELECT * FROM silver", "C4 P4")
 def q_phone_state(spark, sf):
     return Layers(spark, sf).state
 
 
-@register("phone_consent", "SELECT * FROM gold", "C5")
+@register("phone_consent", "SELECT * FROM gold", "C5 P4")
 def q_phone_consent(spark, sf):
     return Layers(spark, sf).consent
 
