@@ -39,7 +39,9 @@ def row_count_positive(name: str) -> Check:
 
 def evaluate(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Run every check in one aggregate; one result row per check."""
-    values = df.agg(*[c.observed.cast("long").alias(f"c{i}") for i, c in enumerate(checks)])
+    # an aggregate over no rows (or a sum of no matches) observes 0, not NULL
+    values = df.agg(*[F.coalesce(c.observed.cast("long"), F.lit(0)).alias(f"c{i}")
+                      for i, c in enumerate(checks)])
     rows = [F.struct(F.lit(c.name).alias("name"), F.col(f"c{i}").alias("observed"),
                      F.lit(c.expected).alias("expected"))
             for i, c in enumerate(checks)]
