@@ -24,7 +24,10 @@ ColumnLike = str | Column
 
 
 def _c(c: ColumnLike) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    """A column name, a SQL expression string, or a Column."""
+    if isinstance(c, str):
+        return F.col(c) if c.isidentifier() else F.expr(c)
+    return c
 
 
 def order_key(order: Sequence[ColumnLike]) -> Column:

@@ -7,11 +7,14 @@ single ``groupBy(keys)``:
   newest event first, a higher-priority source wins a date tie, and *fallback*
   sources (class 0, e.g. enrollments) win only when the key has no primary
   record at all (gap fill without an anti join);
-* ``last_seen`` = newest event among *snapshot* rows (absence delete);
+* ``last_seen`` = newest event among *snapshot* rows (absence delete), compared
+  with the newest snapshot overall, a scalar subquery;
 * the newest *change* row gives the explicit delete flag (flag delete).
 
 One shuffle on the key replaces a chain of windows and joins, and the partial
-aggregate collapses hot keys before the exchange.
+aggregate collapses hot keys before the exchange.  Expressions are handed to
+Spark as SQL text (one JVM call per projection) -- the plan is the same as
+with Column objects, the driver just builds it faster.
 """
 
 from __future__ import annotations
@@ -22,18 +25,18 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contactgate.operators.latest import ColumnLike, _c, order_key
-
 SNAPSHOT = "snapshot"
 CHANGE = "change"
 
+Expr = str | Column   # a SQL expression (a bare column name is one) or a Column
+
 
 @dataclass
 class SourceSpec:
     """One input feed.
 
-    columns   target column -> source column name or expression; target columns
-              absent here are NULL (typed by ``types``)
+    columns   target column -> source column name / SQL expression / Column;
+              target columns absent here are NULL (typed by ``types``)
     tag       value of the provenance column for rows of this feed
     priority  precedence on an event-date tie (higher wins)
     fallback  gap-fill source: used only for keys no primary feed has
@@ -43,13 +46,13 @@ class SourceSpec:
     """
 
     df: DataFrame
-    columns: Mapping[str, ColumnLike]
+    columns: Mapping[str, Expr]
     tag: str
     priority: int = 0
     fallback: bool = False
-    tiebreak: Sequence[ColumnLike] = ()
+    tiebreak: Sequence[Expr] = ()
     role: str | None = None
-    snapshot_date: ColumnLike | None = None   # for role=snapshot: the delivery date
+    snapshot_date: Expr | None = None   # for role=snapshot: the delivery date
     # for role=snapshot: frame the newest snapshot date is taken from; pass the
     # raw feed when ``df`` is a deduplicated view of it (dedup never removes a
     # whole delivery), so the scalar subquery is a pruned scan, not a re-shuffle
@@ -67,40 +70,71 @@ class ReconcileConfig:
     tiebreak_width: int = 2
 
 
+def _q(name: str) -> str:
+    return f"`{name}`"
+
+
+def _lit(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def align(spec: SourceSpec, target: Sequence[str], cfg: ReconcileConfig) -> DataFrame:
     """Project one feed onto the common event schema plus ordering columns."""
-    cols: list[Column] = []
+    df = spec.df
+    staged: dict[str, str] = {}
+    # Column-valued specs are materialised first (slower path, same plan)
+    col_specs = {k: v for k, v in spec.columns.items() if isinstance(v, Column)}
+    tb = list(spec.tiebreak)[: cfg.tiebreak_width]
+    for i, t in enumerate(tb):
+        if isinstance(t, Column):
+            col_specs[f"__tbsrc{i}"] = t
+    if col_specs:
+        df = df.select("*", *[c.alias(f"__src_{k}") for k, c in col_specs.items()])
+        staged = {k: _q(f"__src_{k}") for k in col_specs}
+
+    def src(name: str, value) -> str:
+        return staged[name] if name in staged else str(value)
+
+    exprs = []
     for name in target:
+        typ = cfg.types.get(name, "string")
         if name == cfg.source_col:
-            cols.append(F.lit(spec.tag).alias(name))
+            exprs.append(f"{_lit(spec.tag)} AS {_q(name)}")
         elif name in spec.columns:
-            cols.append(_c(spec.columns[name]).cast(cfg.types.get(name, "string")).alias(name))
+            exprs.append(f"CAST({src(name, spec.columns[name])} AS {typ}) AS {_q(name)}")
         else:
-            cols.append(F.lit(None).cast(cfg.types.get(name, "string")).alias(name))
-    tb = list(spec.tiebreak)[: cfg.tiebreak_width]
-    tb += [F.lit(None)] * (cfg.tiebreak_width - len(tb))
-    cols += [
-        F.lit(0 if spec.fallback else 1).alias("__class"),
-        F.lit(spec.priority).alias("__prio"),
-        F.struct(*[_c(t).cast("string").alias(f"t{i}") for i, t in enumerate(tb)]).alias("__tb"),
-        F.lit(spec.role).cast("string").alias("__role"),
+            exprs.append(f"CAST(NULL AS {typ}) AS {_q(name)}")
+    tb_exprs = [src(f"__tbsrc{i}", t) for i, t in enumerate(tb)]
+    tb_exprs += ["NULL"] * (cfg.tiebreak_width - len(tb_exprs))
+    exprs += [
+        f"{0 if spec.fallback else 1} AS __class",
+        f"{int(spec.priority)} AS __prio",
+        "named_struct(" + ", ".join(f"'t{i}', CAST({t} AS STRING)" for i, t in enumerate(tb_exprs))
+        + ") AS __tb",
+        f"CAST({_lit(spec.role)} AS STRING) AS __role",
     ]
-    return spec.df.select(*cols)
+    return df.selectExpr(*exprs)
 
 
 def reconcile(sources: Sequence[SourceSpec], cfg: ReconcileConfig,
-              target: Sequence[str], extra: Mapping[str, Column] | None = None) -> DataFrame:
+              target: Sequence[str], extra: Mapping[str, Expr] | None = None) -> DataFrame:
     """Current state per key.  Output: the ``target`` columns of the winning
     row plus ``last_seen_date``, ``is_hard_deleted``, ``hard_deleted_at``,
-    ``is_soft_deleted``, ``soft_deleted_at`` (raw, before precedence) and
-    ``__snapshot_tag`` helpers are resolved by :func:`delete_status`.
+    ``is_soft_deleted``, ``soft_deleted_at`` (before precedence) and a
+    ``__snapshot_tag`` helper, all resolved by :func:`delete_status`.
 
     ``extra`` maps output names to further aggregate expressions over the
     aligned event columns (e.g. history summaries); they ride on the same
     single shuffle."""
     extra = dict(extra or {})
     keys = list(cfg.keys)
-    ev = cfg.event_col
+    ev = _q(cfg.event_col)
     aligned = [align(s, target, cfg) for s in sources]
     events = aligned[0]
     for a in aligned[1:]:
@@ -112,49 +146,46 @@ def reconcile(sources: Sequence[SourceSpec], cfg: ReconcileConfig,
     latest = None
     if snapshots:
         snap = snapshots[0]
-        date_expr = _c(snap.snapshot_date if snap.snapshot_date is not None
-                       else snap.columns[ev])
+        date_expr = snap.snapshot_date if snap.snapshot_date is not None else snap.columns[cfg.event_col]
         dates = snap.snapshot_dates if snap.snapshot_dates is not None else snap.df
-        latest = dates.agg(F.max(date_expr)).scalar()
+        agg = F.max(date_expr) if isinstance(date_expr, Column) else F.expr(f"max({date_expr})")
+        latest = dates.agg(agg).scalar()
 
-    key_complete = F.lit(True)
-    for k in keys:
-        key_complete = key_complete & F.col(k).isNotNull()
     # NULL keys never match in an equi-join: a fallback row with an incomplete
     # key is kept apart from the primary rows of the same (NULL) key.
-    events = events.withColumn("__apart", ~key_complete & (F.col("__class") == 0))
-
-    payload = F.struct(*[F.col(c) for c in target])
-    win_order = order_key([F.col("__class"), F.col(ev), F.col("__prio"), F.col("__tb")])
-    is_snap = F.col("__role") == SNAPSHOT
-    is_change = F.col("__role") == CHANGE
-    change_row = F.struct(F.col(cfg.flag_col).alias("flag"), F.col(ev).alias("at"))
-    change_order = order_key([F.col(ev), F.col("__tb")])
-
-    grouped = events.groupBy(*keys, "__apart").agg(
-        F.max_by(payload, win_order).alias("__w"),
-        F.max(F.when(is_snap, F.col(ev))).alias("last_seen_date"),
-        F.max_by(F.when(is_change, change_row), F.when(is_change, change_order)).alias("__chg"),
-        *[agg.alias(name) for name, agg in extra.items()],
-    )
-
-    complete = F.lit(True)
-    for k in keys:
-        complete = complete & F.col(f"__w.{k}").isNotNull()
-    is_hard = (complete & (F.col("last_seen_date") < latest)) if latest is not None \
-        else F.lit(None).cast("boolean")
-    is_soft = complete & (F.col("__chg.flag") == cfg.flag_value)
-    snapshot_tag = snapshots[0].tag if snapshots else None
-    return grouped.select(
-        *[F.col(f"__w.{c}").alias(c) for c in target],
-        F.col("last_seen_date"),
-        is_hard.alias("is_hard_deleted"),
-        F.when(is_hard, F.col("last_seen_date")).alias("hard_deleted_at"),
-        is_soft.alias("is_soft_deleted"),
+    incomplete = " OR ".join(f"{_q(k)} IS NULL" for k in keys)
+    payload = "struct(" + ", ".join(_q(c) for c in target) + ")"
+    win_order = f"struct(__class, {ev}, __prio, __tb)"
+    snap_row = "__role = 'snapshot'"
+    chg_row = "__role = 'change'"
+    aggs = [
+        F.expr(f"max_by({payload}, {win_order})").alias("__w"),
+        F.expr(f"max(CASE WHEN {snap_row} THEN {ev} END)").alias("last_seen_date"),
+        F.expr(f"max_by(CASE WHEN {chg_row} THEN named_struct('flag', {_q(cfg.flag_col)}, 'at', {ev}) END, "
+               f"CASE WHEN {chg_row} THEN struct({ev}, __tb) END)").alias("__chg"),
+    ]
+    aggs += [(F.expr(a) if isinstance(a, str) else a).alias(n) for n, a in extra.items()]
+    grouped = (events.selectExpr("*", f"(({incomplete}) AND __class = 0) AS __apart")
+               .groupBy(*keys, "__apart").agg(*aggs))
+
+    complete = " AND ".join(f"{_q(k)} IS NOT NULL" for k in keys)
+    flag = _lit(cfg.flag_value)
+    tag = _lit(snapshots[0].tag) if snapshots else "NULL"
+    out = grouped.select(
+        *[F.col(f"__w.{_q(c)}").alias(c) for c in target],
+        "last_seen_date",
+        ((F.expr(complete) & (F.col("last_seen_date") < latest)) if latest is not None
+         else F.lit(None).cast("boolean")).alias("is_hard_deleted"),
+        F.expr(f"({complete}) AND __chg.flag = {flag}").alias("is_soft_deleted"),
         F.col("__chg.at").alias("soft_deleted_at"),
-        F.lit(snapshot_tag).cast("string").alias("__snapshot_tag"),
-        *[F.col(name) for name in extra],
+        F.expr(f"CAST({tag} AS STRING)").alias("__snapshot_tag"),
+        *[F.col(n) for n in extra],
     )
+    # hard_deleted_at needs is_hard_deleted
+    cols = [_q(c) for c in out.columns]
+    at = cols.index("`is_soft_deleted`")
+    cols.insert(at, "CASE WHEN is_hard_deleted THEN last_seen_date END AS hard_deleted_at")
+    return out.selectExpr(*cols)
 
 
 def delete_status(df: DataFrame, event_col: str = "event_date",
@@ -166,16 +197,14 @@ def delete_status(df: DataFrame, event_col: str = "event_date",
     strictly newer than the flag (re-added).  Absence beats flag for both the
     label and the date.  Adds ``is_deleted``, ``delete_type``, ``deleted_at``.
     """
-    readded = (F.col("is_soft_deleted") & (F.col(source_col) == F.col("__snapshot_tag"))
-               & (F.col(event_col) > F.col("soft_deleted_at")))
-    soft = F.when(readded, F.lit(False)).otherwise(F.coalesce(F.col("is_soft_deleted"), F.lit(False)))
-    hard = F.col("is_hard_deleted")
-    return (
-        df.withColumn("__soft_final", soft)
-        .withColumn("is_deleted", F.coalesce(hard, F.lit(False)) | F.col("__soft_final"))
-        .withColumn("delete_type", F.when(hard, F.lit(hard_label))
-                    .when(F.col("__soft_final"), F.lit(soft_label)))
-        .withColumn("deleted_at", F.when(hard, F.col("hard_deleted_at"))
-                    .when(F.col("__soft_final"), F.col("soft_deleted_at")))
-        .drop("__soft_final")
+    soft = (f"(CASE WHEN is_soft_deleted AND {_q(source_col)} = __snapshot_tag "
+            f"AND {_q(event_col)} > soft_deleted_at THEN false "
+            f"ELSE COALESCE(is_soft_deleted, false) END)")
+    return df.selectExpr(
+        "*",
+        f"COALESCE(is_hard_deleted, false) OR {soft} AS is_deleted",
+        f"CASE WHEN is_hard_deleted THEN {_lit(hard_label)} WHEN {soft} THEN {_lit(soft_label)} END "
+        "AS delete_type",
+        f"CASE WHEN is_hard_deleted THEN hard_deleted_at WHEN {soft} THEN soft_deleted_at END "
+        "AS deleted_at",
     )

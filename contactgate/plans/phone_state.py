@@ -55,19 +55,24 @@ def prune(df: DataFrame, used: list[str]) -> DataFrame:
     return df.select(*used, *extra)
 
 
-def row_key(df: DataFrame, raw_columns: list[str]) -> Column:
+def row_key(df: DataFrame, raw_columns: list[str]) -> str:
     """Deterministic in-file tiebreak: a provided ``_row_id``, or else the text
     of the used fields (NULL as empty).  Rows equal on every used field are
     interchangeable downstream, so ordering by them is a total order for all
     that matters."""
     if "_row_id" in df.columns:
-        return F.col("_row_id")
+        return "_row_id"
     present = [c for c in raw_columns if c in df.columns]
-    return F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in present])
+    return "concat_ws('|', " + ", ".join(f"coalesce({c}, '')" for c in present) + ")"
+
+
+CHANGE_DATE = "try_to_date(record_date, 'yyyy-MM-dd')"
+CONSENT_DATE = "try_to_date(cnsmr_phn_cnsnt_dt, 'yyyy-MM-dd')"
+ENROLLMENT_DATE = "try_to_date(enrollment_date, 'yyyy-MM-dd')"
 
 
 def change_date(df: DataFrame) -> Column:
-    return parse_date(F.col("record_date"))
+    return F.expr(CHANGE_DATE)
 
 
 # --- per-feed building blocks ---------------------------------------------
@@ -122,7 +127,7 @@ def snapshot_source(nonfin_dedup: DataFrame, raw: DataFrame | None = None) -> So
     cols = dict(_PHONE_ATTRS)
     cols.update({
         "phone_id": "cnsmr_phn_id",
-        "consent_date": parse_date(F.col("cnsmr_phn_cnsnt_dt")),
+        "consent_date": CONSENT_DATE,
         "event_date": "_file_date",
         "_source_file": "_source_file",
     })
@@ -135,8 +140,8 @@ def snapshot_source(nonfin_dedup: DataFrame, raw: DataFrame | None = None) -> So
 def change_source(supplfwd_dedup: DataFrame) -> SourceSpec:
     cols = dict(_PHONE_ATTRS)
     cols.update({
-        "consent_date": parse_date(F.col("cnsmr_phn_cnsnt_dt")),
-        "event_date": change_date(supplfwd_dedup),
+        "consent_date": CONSENT_DATE,
+        "event_date": CHANGE_DATE,
         "soft_delete_flag": "cnsmr_phn_sft_dlt_flg",
         "_source_file": "_source_file",
     })
@@ -154,7 +159,7 @@ def enrollment_source(enrollment: DataFrame) -> SourceSpec:
         "phone_source": "phone_source",
         "phone_technology": "phone_technology",
         "quality_score": "quality_score",
-        "event_date": parse_date(F.col("enrollment_date")),
+        "event_date": ENROLLMENT_DATE,
         "_source_file": "_source_file",
     }
     return SourceSpec(enrollment, cols, S.SRC_ENROLLMENT, priority=0, fallback=True,
@@ -193,18 +198,19 @@ def reconciled(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame,
 def build_state(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame) -> DataFrame:
     """Silver: one row per (legacy id, phone), 17 columns."""
     df = delete_status(reconciled(nonfin, supplfwd, enrollment))
-    return df.withColumn("account_number", account_from_legacy("legacy_identifier")) \
-             .select(*S.STATE_COLUMNS)
+    return df.selectExpr(
+        "substring(legacy_identifier, 1, length(legacy_identifier) - 1) AS account_number",
+        *[c for c in S.STATE_COLUMNS if c != "account_number"])
 
 
 def build_consent(state: DataFrame) -> DataFrame:
     """Gold: published phone number, tri-state consent, delete status."""
-    return state.select(
+    return state.selectExpr(
         "account_number",
-        normalize_phone("phone_number").alias("phone_number"),
+        "concat('+1', phone_number) AS phone_number",
         "phone_source",
-        tri_state("consent_flag").alias("has_sms_consent"),
-        F.col("consent_date").alias("sms_consent_updated_at"),
+        "CASE consent_flag WHEN 'Y' THEN true WHEN 'N' THEN false END AS has_sms_consent",
+        "consent_date AS sms_consent_updated_at",
         "is_deleted", "delete_type", "deleted_at", "_source_file",
     )
 
@@ -218,10 +224,9 @@ def consent_history(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFram
                    said N (a newer row without consent undoes a withdrawal)
     Other keys are not reported.  Dates: newest Y, newest N, current event.
     """
-    flag, ev = F.col("consent_flag"), F.col("event_date")
     extra = {
-        "last_yes_date": F.max(F.when(flag == "Y", ev)),
-        "last_no_date": F.max(F.when(flag == "N", ev)),
+        "last_yes_date": "max(CASE WHEN consent_flag = 'Y' THEN event_date END)",
+        "last_no_date": "max(CASE WHEN consent_flag = 'N' THEN event_date END)",
     }
     r = reconciled(nonfin, supplfwd, enrollment, extra)
     current = F.col("consent_flag")

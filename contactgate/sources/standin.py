@@ -1,9 +1,11 @@
 """Stand-in delivery feeds derived from the shared test tables.
 
 The test tables (``orders``, ``events``, ``customer``) carry no phone feeds, so
-each feed is a deterministic projection of one table.  Every feed is lazy: it
-is a scan + projection that Catalyst prunes to the few columns it needs, and
-its size grows with the table.
+each feed is a deterministic projection of one table.  Every feed is lazy: a
+scan + one projection that Catalyst prunes to the columns it needs, and its
+size grows with the table.  Projections are written as Spark SQL expressions
+(one ``selectExpr`` call each) and the scanned columns are declared up front,
+so building a feed costs no schema-inference job.
 
 snapshot   ``orders`` minus every tenth customer; one full snapshot per year
 change     even ``events``; weekly change files
@@ -13,10 +15,7 @@ requests   every ``orders`` row as an (account, phone) permission question
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from contactgate.functions.columns import pad
+from pyspark.sql import DataFrame, SparkSession
 
 # Fixed values of the stand-in definition.
 CHANGE_EPOCH = "1998-01-01"       # record dates: epoch + event_id % 1462 days
@@ -24,154 +23,143 @@ CHANGE_SPAN_DAYS = 1462
 ENROLLMENT_EPOCH = "1995-01-01"   # enrollment dates: epoch + custkey % 365 days
 ENROLLMENT_SPAN_DAYS = 365
 SNAPSHOT_EXCLUDED_REMAINDER = 9   # customers with custkey % 10 = 9 never appear in snapshots
+TYPES = ("CELL", "HOME", "WORK", "OTHER")
+STATUSES = ("ACTIVE", "INACTIVE", "DISCONNECTED")
+TECHNOLOGIES = ("WIRELESS", "LANDLINE", "VOIP")
 
+# columns read from each test table (declared: no inference job per read)
+TABLE_SCHEMAS = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "events": "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE",
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+}
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
-def _pick(index: Column, values: tuple[str, ...]) -> Column:
-    """values[index] as a CASE chain (index is a non-negative integer)."""
-    expr = F.when(index == 0, F.lit(values[0]))
-    for i, v in enumerate(values[1:], start=1):
-        expr = expr.when(index == i, F.lit(v))
-    return expr
 
+def _pad(x: str, n: int) -> str:
+    return f"lpad(CAST({x} AS STRING), {n}, '0')"
 
-_TYPES = ("CELL", "HOME", "WORK", "OTHER")
-_STATUSES = ("ACTIVE", "INACTIVE", "DISCONNECTED")
-_TECHS = ("WIRELESS", "LANDLINE", "VOIP")
 
+def _pick(index: str, values: tuple[str, ...]) -> str:
+    return f"element_at(array({', '.join(repr(v) for v in values)}), CAST({index} AS INT) + 1)"
 
-def _phone(base: Column, suffix: Column) -> Column:
-    return pad((base % 50) * 4 + suffix, 10)
 
+def _identity(x: str) -> list[str]:
+    """Agency, SSN and name columns of a synthetic person ``x``."""
+    return [f"concat('AGN', {_pad(f'{x} % 1000000', 6)})",
+            _pad(f"{x} * 7919 % 1000000000", 9),
+            f"concat('F', CAST({x} AS STRING))",
+            f"concat('L', CAST({x} AS STRING))"]
 
-def _legacy(base: Column) -> Column:
-    return F.concat(pad(base, 16), F.lit("P"))
 
-
-def _delivery_name(folder: str, prefix: str, day: Column, marker: str) -> Column:
-    return F.concat(
-        F.lit(f"{folder}/{prefix}-"), F.date_format(day, "yyyyMMdd"),
-        F.lit(f"000000000-{marker}_000.csv.gz"),
-    )
+def _delivery(folder: str, prefix: str, day: str, marker: str) -> str:
+    return (f"concat('{folder}/{prefix}-', date_format({day}, 'yyyyMMdd'), "
+            f"'000000000-{marker}_000.csv.gz')")
 
 
 def snapshot_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly-style full snapshots (here: one per order year)."""
-    o = _table(spark, sf_dir, "orders")
-    cust, key = F.col("o_custkey"), F.col("o_orderkey")
-    file_date = F.make_date(F.year("o_orderdate"), F.lit(1), F.lit(1))
-    flag = (F.when(F.col("o_orderstatus") == "F", F.lit("Y"))
-            .when(F.col("o_orderstatus") == "O", F.lit("N")))
-    prio = F.substring("o_orderpriority", 1, 1)
-    source = (F.when(prio.isin("1", "2"), F.lit("CLIENT"))
-              .when(prio == "3", F.lit("CONSUMER"))
-              .when(prio == "4", F.lit("THIRD_PARTY"))
-              .when(prio == "5", F.lit("OTHER")))
-    return (
-        o.where(cust % 10 != SNAPSHOT_EXCLUDED_REMAINDER)
-        .select(
-            (cust * 4 + key % 4).cast("string").alias("cnsmr_phn_id"),
-            _legacy(cust).alias("cnsmr_idntfr_lgcy_txt"),
-            F.concat(F.lit("AGN"), pad(cust % 1000000, 6)).alias("cnsmr_idntfr_agncy_id"),
-            pad(cust * 7919 % 1000000000, 9).alias("cnsmr_idntfr_ssn_txt"),
-            F.concat(F.lit("F"), cust.cast("string")).alias("cnsmr_nm_frst_txt"),
-            F.concat(F.lit("L"), cust.cast("string")).alias("cnsmr_nm_lst_txt"),
-            _phone(cust, key % 4).alias("cnsmr_phn_nmbr_txt"),
-            _pick(key % 4, _TYPES).alias("cnsmr_phn_typ_val_txt"),
-            _pick(key % 3, _STATUSES).alias("cnsmr_phn_stts_val_txt"),
-            source.alias("cnsmr_phn_src_val_txt"),
-            _pick(cust % 3, _TECHS).alias("cnsmr_phn_tchnlgy_typ_val_txt"),
-            (key % 100).cast("string").alias("cnsmr_phn_qlty_score_nmbr"),
-            flag.alias("cnsmr_phn_cnsnt_flg"),
-            F.when(flag.isNotNull(), F.date_format("o_orderdate", "yyyy-MM-dd"))
-            .alias("cnsmr_phn_cnsnt_dt"),
-            _delivery_name("MAINTENANCE", "SN_SVC_DMBDL_DataManager", file_date,
-                           "NON-FIN-BDL_EXPORT").alias("_source_file"),
-            file_date.alias("_file_date"),
-            F.concat(F.lit("s"), pad(key, 10)).alias("_row_id"),
-        )
-    )
+    """Full snapshots (here: one per order year)."""
+    day = "make_date(year(o_orderdate), 1, 1)"
+    flag = "CASE o_orderstatus WHEN 'F' THEN 'Y' WHEN 'O' THEN 'N' END"
+    agn, ssn, first, last = _identity("o_custkey")
+    return (_table(spark, sf_dir, "orders")
+            .where(f"o_custkey % 10 <> {SNAPSHOT_EXCLUDED_REMAINDER}")
+            .selectExpr(
+                "CAST(o_custkey * 4 + o_orderkey % 4 AS STRING) AS cnsmr_phn_id",
+                f"concat({_pad('o_custkey', 16)}, 'P') AS cnsmr_idntfr_lgcy_txt",
+                f"{agn} AS cnsmr_idntfr_agncy_id",
+                f"{ssn} AS cnsmr_idntfr_ssn_txt",
+                f"{first} AS cnsmr_nm_frst_txt",
+                f"{last} AS cnsmr_nm_lst_txt",
+                f"{_pad('o_custkey % 50 * 4 + o_orderkey % 4', 10)} AS cnsmr_phn_nmbr_txt",
+                f"{_pick('o_orderkey % 4', TYPES)} AS cnsmr_phn_typ_val_txt",
+                f"{_pick('o_orderkey % 3', STATUSES)} AS cnsmr_phn_stts_val_txt",
+                "CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 'CLIENT' WHEN '2' THEN 'CLIENT' "
+                "WHEN '3' THEN 'CONSUMER' WHEN '4' THEN 'THIRD_PARTY' WHEN '5' THEN 'OTHER' END "
+                "AS cnsmr_phn_src_val_txt",
+                f"{_pick('o_custkey % 3', TECHNOLOGIES)} AS cnsmr_phn_tchnlgy_typ_val_txt",
+                "CAST(o_orderkey % 100 AS STRING) AS cnsmr_phn_qlty_score_nmbr",
+                f"{flag} AS cnsmr_phn_cnsnt_flg",
+                f"CASE WHEN {flag} IS NOT NULL THEN date_format(o_orderdate, 'yyyy-MM-dd') END "
+                "AS cnsmr_phn_cnsnt_dt",
+                f"{_delivery('MAINTENANCE', 'SN_SVC_DMBDL_DataManager', day, 'NON-FIN-BDL_EXPORT')} "
+                "AS _source_file",
+                f"{day} AS _file_date",
+                f"concat('s', {_pad('o_orderkey', 10)}) AS _row_id",
+            ))
 
 
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekly change records with a soft-delete flag and their own record date."""
-    e = _table(spark, sf_dir, "events")
-    eid = F.col("event_id")
-    c = F.col("user_id") * 10 + (eid % 3) * 3
-    offset = (eid % CHANGE_SPAN_DAYS).cast("int")
-    record_day = F.date_add(F.lit(CHANGE_EPOCH).cast("date"), offset)
-    file_day = F.date_add(F.lit(CHANGE_EPOCH).cast("date"), offset - offset % 7 + 7)
-    flag = (F.when(F.col("event_type") == "signup", F.lit("Y"))
-            .when(F.col("event_type") == "click", F.lit("N")))
-    return (
-        e.where(eid % 2 == 0)
-        .select(
-            F.concat(F.lit("h"), pad(eid, 10)).alias("cnsmr_phn_hst_id"),
-            _legacy(c).alias("cnsmr_idntfr_lgcy_txt"),
-            F.concat(F.lit("AGN"), pad(c % 1000000, 6)).alias("cnsmr_idntfr_agncy_id"),
-            pad(c * 7919 % 1000000000, 9).alias("cnsmr_idntfr_ssn_txt"),
-            F.concat(F.lit("F"), c.cast("string")).alias("cnsmr_nm_frst_txt"),
-            F.concat(F.lit("L"), c.cast("string")).alias("cnsmr_nm_lst_txt"),
-            _phone(c, eid % 4).alias("cnsmr_phn_nmbr_txt"),
-            _pick(eid % 4, _TYPES).alias("cnsmr_phn_typ_val_txt"),
-            _pick(eid % 3, _STATUSES).alias("cnsmr_phn_stts_val_txt"),
-            F.when(F.col("value") < 5, F.lit("CLIENT")).otherwise(F.lit("CONSUMER"))
-            .alias("cnsmr_phn_src_val_txt"),
-            _pick(c % 3, _TECHS).alias("cnsmr_phn_tchnlgy_typ_val_txt"),
-            (eid % 100).cast("string").alias("cnsmr_phn_qlty_score_nmbr"),
-            flag.alias("cnsmr_phn_cnsnt_flg"),
-            F.when(flag.isNotNull(), record_day.cast("string")).alias("cnsmr_phn_cnsnt_dt"),
-            F.when(F.col("event_type") == "error", F.lit("Y")).otherwise(F.lit("N"))
-            .alias("cnsmr_phn_sft_dlt_flg"),
-            record_day.cast("string").alias("record_date"),
-            _delivery_name("MAINTENANCE", "SN_SVC_DMBDL_DataManager", file_day,
-                           "SUPPLFWD-BDL_EXPORT").alias("_source_file"),
-            file_day.alias("_file_date"),
-            F.concat(F.lit("h"), pad(eid, 10)).alias("_row_id"),
-        )
-    )
+    off = f"CAST(event_id % {CHANGE_SPAN_DAYS} AS INT)"
+    record_day = f"date_add(DATE'{CHANGE_EPOCH}', {off})"
+    file_day = f"date_add(DATE'{CHANGE_EPOCH}', {off} - {off} % 7 + 7)"
+    c = "(user_id * 10 + event_id % 3 * 3)"
+    flag = "CASE event_type WHEN 'signup' THEN 'Y' WHEN 'click' THEN 'N' END"
+    agn, ssn, first, last = _identity(c)
+    return (_table(spark, sf_dir, "events")
+            .where("event_id % 2 = 0")
+            .selectExpr(
+                f"concat('h', {_pad('event_id', 10)}) AS cnsmr_phn_hst_id",
+                f"concat({_pad(c, 16)}, 'P') AS cnsmr_idntfr_lgcy_txt",
+                f"{agn} AS cnsmr_idntfr_agncy_id",
+                f"{ssn} AS cnsmr_idntfr_ssn_txt",
+                f"{first} AS cnsmr_nm_frst_txt",
+                f"{last} AS cnsmr_nm_lst_txt",
+                f"{_pad(f'{c} % 50 * 4 + event_id % 4', 10)} AS cnsmr_phn_nmbr_txt",
+                f"{_pick('event_id % 4', TYPES)} AS cnsmr_phn_typ_val_txt",
+                f"{_pick('event_id % 3', STATUSES)} AS cnsmr_phn_stts_val_txt",
+                "CASE WHEN value < 5 THEN 'CLIENT' ELSE 'CONSUMER' END AS cnsmr_phn_src_val_txt",
+                f"{_pick(f'{c} % 3', TECHNOLOGIES)} AS cnsmr_phn_tchnlgy_typ_val_txt",
+                "CAST(event_id % 100 AS STRING) AS cnsmr_phn_qlty_score_nmbr",
+                f"{flag} AS cnsmr_phn_cnsnt_flg",
+                f"CASE WHEN {flag} IS NOT NULL THEN CAST({record_day} AS STRING) END "
+                "AS cnsmr_phn_cnsnt_dt",
+                "CASE WHEN event_type = 'error' THEN 'Y' ELSE 'N' END AS cnsmr_phn_sft_dlt_flg",
+                f"CAST({record_day} AS STRING) AS record_date",
+                f"{_delivery('MAINTENANCE', 'SN_SVC_DMBDL_DataManager', file_day, 'SUPPLFWD-BDL_EXPORT')} "
+                "AS _source_file",
+                f"{file_day} AS _file_date",
+                f"concat('h', {_pad('event_id', 10)}) AS _row_id",
+            ))
 
 
 def enrollment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First association of a phone with an account (lowest precedence)."""
-    cu = _table(spark, sf_dir, "customer")
-    k = F.col("c_custkey")
-    day = F.date_add(F.lit(ENROLLMENT_EPOCH).cast("date"), (k % ENROLLMENT_SPAN_DAYS).cast("int"))
-    file_date = F.make_date(F.year(day), F.month(day), F.lit(1))
-    return cu.select(
-        pad(k, 16).alias("account_number"),
-        _legacy(k).alias("consumer_legacy_identifier"),
-        F.concat(F.lit("AGN"), pad(k % 1000000, 6)).alias("agency_id"),
-        pad(k * 7919 % 1000000000, 9).alias("ssn"),
-        F.concat(F.lit("F"), k.cast("string")).alias("first_name"),
-        F.concat(F.lit("L"), k.cast("string")).alias("last_name"),
-        _phone(k, k % 4).alias("phone_number"),
-        _pick(k % 4, _TYPES).alias("phone_type"),
-        _pick(k % 3, _TECHS).alias("phone_technology"),
-        _pick(k % 3, _STATUSES).alias("phone_status"),
-        F.when(F.col("c_nationkey") % 2 == 0, F.lit("CLIENT")).otherwise(F.lit("OTHER"))
-        .alias("phone_source"),
-        (k % 100).cast("string").alias("quality_score"),
-        day.cast("string").alias("enrollment_date"),
-        _delivery_name("ENROLLMENT", "IC_DMENRL_DataManager", file_date,
-                       "ENRLMT-EXPORT").alias("_source_file"),
-        file_date.alias("_file_date"),
-        F.concat(F.lit("e"), pad(k, 10)).alias("_row_id"),
+    day = f"date_add(DATE'{ENROLLMENT_EPOCH}', CAST(c_custkey % {ENROLLMENT_SPAN_DAYS} AS INT))"
+    file_day = f"make_date(year({day}), month({day}), 1)"
+    agn, ssn, first, last = _identity("c_custkey")
+    return _table(spark, sf_dir, "customer").selectExpr(
+        f"{_pad('c_custkey', 16)} AS account_number",
+        f"concat({_pad('c_custkey', 16)}, 'P') AS consumer_legacy_identifier",
+        f"{agn} AS agency_id",
+        f"{ssn} AS ssn",
+        f"{first} AS first_name",
+        f"{last} AS last_name",
+        f"{_pad('c_custkey % 50 * 4 + c_custkey % 4', 10)} AS phone_number",
+        f"{_pick('c_custkey % 4', TYPES)} AS phone_type",
+        f"{_pick('c_custkey % 3', TECHNOLOGIES)} AS phone_technology",
+        f"{_pick('c_custkey % 3', STATUSES)} AS phone_status",
+        "CASE WHEN c_nationkey % 2 = 0 THEN 'CLIENT' ELSE 'OTHER' END AS phone_source",
+        "CAST(c_custkey % 100 AS STRING) AS quality_score",
+        f"CAST({day} AS STRING) AS enrollment_date",
+        f"{_delivery('ENROLLMENT', 'IC_DMENRL_DataManager', file_day, 'ENRLMT-EXPORT')} AS _source_file",
+        f"{file_day} AS _file_date",
+        f"concat('e', {_pad('c_custkey', 10)}) AS _row_id",
     )
 
 
 def permission_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bulk permission questions: one per order, by the snapshot key rules but
     without the snapshot's customer filter, so unknown keys occur."""
-    o = _table(spark, sf_dir, "orders")
-    cust, key = F.col("o_custkey"), F.col("o_orderkey")
-    return o.select(
-        key.alias("request_id"),
-        pad(cust, 16).alias("account_number"),
-        _phone(cust, key % 4).alias("phone_number"),
+    return _table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS request_id",
+        f"{_pad('o_custkey', 16)} AS account_number",
+        f"{_pad('o_custkey % 50 * 4 + o_orderkey % 4', 10)} AS phone_number",
     )
 
 
