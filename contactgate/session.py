@@ -13,7 +13,8 @@ from pyspark.sql import SparkSession
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "contactgate") -> SparkSession:
-    """Local/cluster session with AQE and skew-join handling switched on."""
+    """Local/cluster session with AQE, skew-join handling and measured-size
+    broadcasts only."""
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
@@ -23,6 +24,11 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Broadcast only behind a measured size: no static broadcast from file-
+        # size estimates; AQE may switch a join to broadcast after the shuffle
+        # stage of the small side has run and its real size is known.
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if master:
