@@ -122,72 +122,102 @@ def align(spec: SourceSpec, target: Sequence[str], cfg: ReconcileConfig) -> Data
     return df.selectExpr(*exprs)
 
 
-def reconcile(sources: Sequence[SourceSpec], cfg: ReconcileConfig,
-              target: Sequence[str], extra: Mapping[str, Expr] | None = None) -> DataFrame:
-    """Current state per key.  Output: the ``target`` columns of the winning
-    row plus ``last_seen_date``, ``is_hard_deleted``, ``hard_deleted_at``,
-    ``is_soft_deleted``, ``soft_deleted_at`` (before precedence) and a
-    ``__snapshot_tag`` helper, all resolved by :func:`delete_status`.
+CANDIDATE_COLUMNS = ["__apart", "__cand", "__ord", "__seen", "__chg", "__chg_ord"]
 
-    ``extra`` maps output names to further aggregate expressions over the
-    aligned event columns (e.g. history summaries); they ride on the same
-    single shuffle."""
-    extra = dict(extra or {})
+
+def candidates(sources: Sequence[SourceSpec], cfg: ReconcileConfig,
+               target: Sequence[str]) -> DataFrame:
+    """Aligned rows of every feed as reduction candidates: keys, the row
+    (``__cand``) and its precedence (``__ord``), the snapshot date it proves
+    (``__seen``) and, for change rows, the flag candidate (``__chg``,
+    ``__chg_ord``).  Reducing candidates is associative, so candidates of new
+    deliveries can be folded into an earlier reduction (see
+    :func:`reduce_candidates`)."""
     keys = list(cfg.keys)
     ev = _q(cfg.event_col)
     aligned = [align(s, target, cfg) for s in sources]
     events = aligned[0]
     for a in aligned[1:]:
         events = events.unionByName(a)
-
-    snapshots = [s for s in sources if s.role == SNAPSHOT]
-    if len(snapshots) > 1:
-        raise ValueError("at most one snapshot feed is supported")
-    latest = None
-    if snapshots:
-        snap = snapshots[0]
-        date_expr = snap.snapshot_date if snap.snapshot_date is not None else snap.columns[cfg.event_col]
-        dates = snap.snapshot_dates if snap.snapshot_dates is not None else snap.df
-        agg = F.max(date_expr) if isinstance(date_expr, Column) else F.expr(f"max({date_expr})")
-        latest = dates.agg(agg).scalar()
-
     # NULL keys never match in an equi-join: a fallback row with an incomplete
     # key is kept apart from the primary rows of the same (NULL) key.
     incomplete = " OR ".join(f"{_q(k)} IS NULL" for k in keys)
-    payload = "struct(" + ", ".join(_q(c) for c in target) + ")"
-    win_order = f"struct(__class, {ev}, __prio, __tb)"
-    snap_row = "__role = 'snapshot'"
-    chg_row = "__role = 'change'"
+    chg = "__role = 'change'"
+    return events.selectExpr(
+        *[_q(k) for k in keys],
+        f"(({incomplete}) AND __class = 0) AS __apart",
+        "struct(" + ", ".join(_q(c) for c in target) + ") AS __cand",
+        f"struct(__class, {ev}, __prio, __tb) AS __ord",
+        f"CASE WHEN __role = 'snapshot' THEN {ev} END AS __seen",
+        f"CASE WHEN {chg} THEN named_struct('flag', {_q(cfg.flag_col)}, 'at', {ev}) END AS __chg",
+        f"CASE WHEN {chg} THEN struct({ev}, __tb) END AS __chg_ord",
+        *[_q(c) for c in target],
+    )
+
+
+def reduce_candidates(cands: DataFrame, cfg: ReconcileConfig,
+                      extra: Mapping[str, Expr] | None = None) -> DataFrame:
+    """One row per key (and ``__apart``): the best candidate, newest snapshot
+    date and best change flag, as one partial + final aggregate."""
+    extra = dict(extra or {})
     aggs = [
-        F.expr(f"max_by({payload}, {win_order})").alias("__w"),
-        F.expr(f"max(CASE WHEN {snap_row} THEN {ev} END)").alias("last_seen_date"),
-        F.expr(f"max_by(CASE WHEN {chg_row} THEN named_struct('flag', {_q(cfg.flag_col)}, 'at', {ev}) END, "
-               f"CASE WHEN {chg_row} THEN struct({ev}, __tb) END)").alias("__chg"),
+        F.expr("max_by(__cand, __ord)").alias("__cand"),
+        F.expr("max(__ord)").alias("__ord"),
+        F.expr("max(__seen)").alias("__seen"),
+        F.expr("max_by(__chg, __chg_ord)").alias("__chg"),
+        F.expr("max(__chg_ord)").alias("__chg_ord"),
     ]
     aggs += [(F.expr(a) if isinstance(a, str) else a).alias(n) for n, a in extra.items()]
-    grouped = (events.selectExpr("*", f"(({incomplete}) AND __class = 0) AS __apart")
-               .groupBy(*keys, "__apart").agg(*aggs))
+    return cands.groupBy(*cfg.keys, "__apart").agg(*aggs)
+
 
-    complete = " AND ".join(f"{_q(k)} IS NOT NULL" for k in keys)
+def finish(reduced: DataFrame, cfg: ReconcileConfig, target: Sequence[str], latest: Column | None,
+           snapshot_tag: str | None, extra_names: Sequence[str] = ()) -> DataFrame:
+    """Winner columns plus raw delete inputs, from a reduction."""
+    complete = " AND ".join(f"__cand.{_q(k)} IS NOT NULL" for k in cfg.keys)
     flag = _lit(cfg.flag_value)
-    tag = _lit(snapshots[0].tag) if snapshots else "NULL"
-    out = grouped.select(
-        *[F.col(f"__w.{_q(c)}").alias(c) for c in target],
-        "last_seen_date",
-        ((F.expr(complete) & (F.col("last_seen_date") < latest)) if latest is not None
+    out = reduced.select(
+        *[F.col(f"__cand.{_q(c)}").alias(c) for c in target],
+        F.col("__seen").alias("last_seen_date"),
+        ((F.expr(complete) & (F.col("__seen") < latest)) if latest is not None
          else F.lit(None).cast("boolean")).alias("is_hard_deleted"),
         F.expr(f"({complete}) AND __chg.flag = {flag}").alias("is_soft_deleted"),
         F.col("__chg.at").alias("soft_deleted_at"),
-        F.expr(f"CAST({tag} AS STRING)").alias("__snapshot_tag"),
-        *[F.col(n) for n in extra],
+        F.expr(f"CAST({_lit(snapshot_tag)} AS STRING)").alias("__snapshot_tag"),
+        *[F.col(n) for n in extra_names],
     )
-    # hard_deleted_at needs is_hard_deleted
     cols = [_q(c) for c in out.columns]
-    at = cols.index("`is_soft_deleted`")
-    cols.insert(at, "CASE WHEN is_hard_deleted THEN last_seen_date END AS hard_deleted_at")
+    cols.insert(cols.index("`is_soft_deleted`"),
+                "CASE WHEN is_hard_deleted THEN last_seen_date END AS hard_deleted_at")
     return out.selectExpr(*cols)
 
 
+def reconcile(sources: Sequence[SourceSpec], cfg: ReconcileConfig,
+              target: Sequence[str], extra: Mapping[str, Expr] | None = None) -> DataFrame:
+    """Current state per key.  Output: the ``target`` columns of the winning
+    row plus ``last_seen_date``, ``is_hard_deleted``, ``hard_deleted_at``,
+    ``is_soft_deleted``, ``soft_deleted_at`` (before precedence) and a
+    ``__snapshot_tag`` helper, all resolved by :func:`delete_status`.
+
+    ``extra`` maps output names to further aggregate expressions over the
+    aligned event columns (e.g. history summaries); they ride on the same
+    single shuffle."""
+    extra = dict(extra or {})
+    snapshots = [s for s in sources if s.role == SNAPSHOT]
+    if len(snapshots) > 1:
+        raise ValueError("at most one snapshot feed is supported")
+    latest = None
+    if snapshots:
+        snap = snapshots[0]
+        date_expr = snap.snapshot_date if snap.snapshot_date is not None else snap.columns[cfg.event_col]
+        dates = snap.snapshot_dates if snap.snapshot_dates is not None else snap.df
+        agg = F.max(date_expr) if isinstance(date_expr, Column) else F.expr(f"max({date_expr})")
+        latest = dates.agg(agg).scalar()
+    reduced = reduce_candidates(candidates(sources, cfg, target), cfg, extra)
+    return finish(reduced, cfg, target, latest, snapshots[0].tag if snapshots else None,
+                  list(extra))
+
+
 def delete_status(df: DataFrame, event_col: str = "event_date",
                   source_col: str = "record_source",
                   hard_label: str = "hard_delete", soft_label: str = "soft_delete") -> DataFrame:

@@ -190,3 +190,16 @@ def q_stream_change_apply(spark, sf):
     run_change_stream(spark, root, state, _fresh(spark, "stream-ckpt"), layout="directory",
                       max_files_per_trigger=50)
     return current_changes(spark, state).drop("_source_file")
+
+
+@register("incremental_state", "SELECT * FROM silver", "C4 I1 A3")
+def q_incremental_state(spark, sf):
+    """The state folded from two delivery batches (before / from the split
+    date) through stored reductions; equals the batch state."""
+    from contactgate.plans.incremental import IncrementalState
+    split = F.lit(SPLIT_DATE).cast("date")
+    inc = IncrementalState(spark, _fresh(spark, "incremental"))
+    for cond in (F.col("_file_date") < split, F.col("_file_date") >= split):
+        L = Layers(spark, sf, where=cond)
+        inc.apply(L.nonfin, L.supplfwd, L.enrollment)
+    return inc.state()
