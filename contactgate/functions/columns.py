@@ -19,6 +19,27 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# --- SQL-text forms --------------------------------------------------------
+# The same rules as SQL expressions over a column name, for plans that build
+# wide projections with one ``selectExpr`` call.  The Column helpers below
+# are defined through these, so both forms cannot drift apart.
+
+def account_from_legacy_sql(col: str) -> str:
+    return f"substring({col}, 1, length({col}) - 1)"
+
+
+def normalize_phone_sql(col: str) -> str:
+    return f"concat('{PHONE_PREFIX}', {col})"
+
+
+def tri_state_sql(col: str, true_value: str = "Y", false_value: str = "N") -> str:
+    return f"CASE {col} WHEN '{true_value}' THEN true WHEN '{false_value}' THEN false END"
+
+
+def parse_date_sql(col: str, fmt: str = DATE_FORMAT) -> str:
+    return f"try_to_date({col}, '{fmt}')"
+
+
 def pad(col: str | Column, width: int) -> Column:
     """Left-pad the string form of ``col`` with zeros."""
     return F.lpad(_c(col).cast("string"), width, "0")
@@ -27,7 +48,9 @@ def pad(col: str | Column, width: int) -> Column:
 def parse_date(col: str | Column, fmt: str = DATE_FORMAT) -> Column:
     """Lenient date parse: a malformed or empty value becomes NULL instead of
     failing the job (Spark 4 runs with ANSI mode on)."""
-    return F.try_to_date(_c(col), fmt)
+    if isinstance(col, str):
+        return F.expr(parse_date_sql(col, fmt))
+    return F.try_to_date(col, fmt)
 
 
 def file_date_from_name(name: str | Column, pattern: str = FILE_DATE_PATTERN,
@@ -38,13 +61,16 @@ def file_date_from_name(name: str | Column, pattern: str = FILE_DATE_PATTERN,
 
 def account_from_legacy(legacy: str | Column) -> Column:
     """Account number = legacy identifier without its one-character suffix."""
-    c = _c(legacy)
-    return c.substr(F.lit(1), F.length(c) - 1)
+    if isinstance(legacy, str):
+        return F.expr(account_from_legacy_sql(legacy))
+    return legacy.substr(F.lit(1), F.length(legacy) - 1)
 
 
 def normalize_phone(col: str | Column) -> Column:
     """Prefix the country code.  NULL stays NULL; no digit cleaning."""
-    return F.concat(F.lit(PHONE_PREFIX), _c(col))
+    if isinstance(col, str):
+        return F.expr(normalize_phone_sql(col))
+    return F.concat(F.lit(PHONE_PREFIX), col)
 
 
 def normalize_phone_input(col: str | Column) -> Column:
@@ -56,10 +82,11 @@ def normalize_phone_input(col: str | Column) -> Column:
 
 def tri_state(col: str | Column, true_value: str = "Y", false_value: str = "N") -> Column:
     """Map a flag to TRUE / FALSE / NULL; anything else (NULL, '') is NULL."""
-    c = _c(col)
+    if isinstance(col, str):
+        return F.expr(tri_state_sql(col, true_value, false_value))
     return (
-        F.when(c == true_value, F.lit(True))
-        .when(c == false_value, F.lit(False))
+        F.when(col == true_value, F.lit(True))
+        .when(col == false_value, F.lit(False))
         .otherwise(F.lit(None).cast("boolean"))
     )
 

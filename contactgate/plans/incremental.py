@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contactgate.functions.columns import account_from_legacy_sql
 from contactgate.operators.reconcile import (
     CANDIDATE_COLUMNS, candidates, delete_status, finish, reduce_candidates,
 )
@@ -64,5 +65,5 @@ class IncrementalState:
         reduced = reduce_candidates(buf.unionByName(chg), self.cfg)
         df = delete_status(finish(reduced, self.cfg, P.EVENT_COLUMNS, latest, S.SRC_SNAPSHOT))
         return df.selectExpr(
-            "substring(legacy_identifier, 1, length(legacy_identifier) - 1) AS account_number",
+            f"{account_from_legacy_sql('legacy_identifier')} AS account_number",
             *[c for c in S.STATE_COLUMNS if c != "account_number"])

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contactgate.functions.columns import (
-    account_from_legacy, normalize_phone, parse_date, tri_state,
+    account_from_legacy_sql, normalize_phone_sql, parse_date_sql, tri_state_sql,
 )
 from contactgate.operators.deletes import absent_from_latest, flag_deletes
 from contactgate.operators.latest import dedup_by, latest_by
@@ -66,9 +66,9 @@ def row_key(df: DataFrame, raw_columns: list[str]) -> str:
     return "concat_ws('|', " + ", ".join(f"coalesce({c}, '')" for c in present) + ")"
 
 
-CHANGE_DATE = "try_to_date(record_date, 'yyyy-MM-dd')"
-CONSENT_DATE = "try_to_date(cnsmr_phn_cnsnt_dt, 'yyyy-MM-dd')"
-ENROLLMENT_DATE = "try_to_date(enrollment_date, 'yyyy-MM-dd')"
+CHANGE_DATE = parse_date_sql("record_date")
+CONSENT_DATE = parse_date_sql("cnsmr_phn_cnsnt_dt")
+ENROLLMENT_DATE = parse_date_sql("enrollment_date")
 
 
 def change_date(df: DataFrame) -> Column:
@@ -199,7 +199,7 @@ def build_state(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame) -
     """Silver: one row per (legacy id, phone), 17 columns."""
     df = delete_status(reconciled(nonfin, supplfwd, enrollment))
     return df.selectExpr(
-        "substring(legacy_identifier, 1, length(legacy_identifier) - 1) AS account_number",
+        f"{account_from_legacy_sql('legacy_identifier')} AS account_number",
         *[c for c in S.STATE_COLUMNS if c != "account_number"])
 
 
@@ -207,9 +207,9 @@ def build_consent(state: DataFrame) -> DataFrame:
     """Gold: published phone number, tri-state consent, delete status."""
     return state.selectExpr(
         "account_number",
-        "concat('+1', phone_number) AS phone_number",
+        f"{normalize_phone_sql('phone_number')} AS phone_number",
         "phone_source",
-        "CASE consent_flag WHEN 'Y' THEN true WHEN 'N' THEN false END AS has_sms_consent",
+        f"{tri_state_sql('consent_flag')} AS has_sms_consent",
         "consent_date AS sms_consent_updated_at",
         "is_deleted", "delete_type", "deleted_at", "_source_file",
     )
