@@ -45,15 +45,24 @@ def decide(requests: DataFrame, consent: DataFrame, keys: Sequence[str] = KEYS,
                .select(*req.columns, out))
 
 
+def lookup(spark: SparkSession, consent: DataFrame, account_number: str,
+           phone_number: str) -> DataFrame:
+    """One permission question as a one-row DataFrame.  The key equality is
+    applied to the consent table before the join, so on a parquet table it
+    is pushed into the scan (row groups whose min/max exclude the key are
+    skipped; write the table sorted by key for that)."""
+    req = spark.createDataFrame([(account_number, phone_number)], list(KEYS))
+    narrowed = consent.where((F.col("account_number") == account_number)
+                             & (F.col("phone_number") == normalize_phone_input(F.lit(phone_number))))
+    return decide(req, narrowed)
+
+
 def can_send_sms(spark: SparkSession, consent: DataFrame, account_number: str,
                  phone_number: str) -> bool:
     """Single question; the one-row case of :func:`decide`.  The lookup is a
     pushed-down equality filter, so only row groups that can hold the key are
     read."""
-    req = spark.createDataFrame([(account_number, phone_number)], list(KEYS))
-    narrowed = consent.where((F.col("account_number") == account_number)
-                             & (F.col("phone_number") == normalize_phone_input(F.lit(phone_number))))
-    row = decide(req, narrowed).select("can_send_sms").first()
+    row = lookup(spark, consent, account_number, phone_number).select("can_send_sms").first()
     return bool(row[0]) if row is not None else False
 
 

@@ -103,10 +103,8 @@ SELECT '{LOOKUP_ACCOUNT}' AS account_number, '+1{LOOKUP_PHONE}' AS phone_number,
                  WHERE account_number = '{LOOKUP_ACCOUNT}'
                    AND phone_number = '+1{LOOKUP_PHONE}'), false) AS can_send_sms""", "P6 C6")
 def q_permission_lookup(spark, sf):
-    req = spark.createDataFrame([(LOOKUP_ACCOUNT, LOOKUP_PHONE)], ["account_number", "phone_number"])
-    consent = Layers(spark, sf).consent.where(
-        (F.col("account_number") == LOOKUP_ACCOUNT) & (F.col("phone_number") == "+1" + LOOKUP_PHONE))
-    return decide(req, consent)
+    from contactgate.operators.decide import lookup
+    return lookup(spark, Layers(spark, sf).consent, LOOKUP_ACCOUNT, LOOKUP_PHONE)
 
 
 # --- building blocks -------------------------------------------------------

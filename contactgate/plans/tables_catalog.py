@@ -203,3 +203,27 @@ def q_incremental_state(spark, sf):
         L = Layers(spark, sf, where=cond)
         inc.apply(L.nonfin, L.supplfwd, L.enrollment)
     return inc.state()
+
+
+from contactgate.plans.catalog import LOOKUP_ACCOUNT, LOOKUP_PHONE  # noqa: E402
+
+LOOKUP_SQL = f"""
+SELECT '{LOOKUP_ACCOUNT}' AS account_number, '+1{LOOKUP_PHONE}' AS phone_number,
+       COALESCE((SELECT can_send_sms FROM decisions
+                 WHERE account_number = '{LOOKUP_ACCOUNT}'
+                   AND phone_number = '+1{LOOKUP_PHONE}'), false) AS can_send_sms"""
+
+
+def publish(spark, sf) -> VersionedTable:
+    """Write the consent table as a new version, range-sorted on the key."""
+    t = VersionedTable(spark, _fresh(spark, "consent"))
+    t.write(Layers(spark, sf).consent, sort_by=KEYS)
+    return t
+
+
+@register("published_lookup", LOOKUP_SQL, "P6 C6 B7")
+def q_published_lookup(spark, sf):
+    """Point lookup against the published (written, key-sorted) table."""
+    from contactgate.operators.decide import lookup
+    from contactgate.plans.catalog import LOOKUP_ACCOUNT, LOOKUP_PHONE
+    return lookup(spark, publish(spark, sf).read(), LOOKUP_ACCOUNT, LOOKUP_PHONE)
