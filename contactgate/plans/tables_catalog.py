@@ -227,3 +227,17 @@ def q_published_lookup(spark, sf):
     from contactgate.operators.decide import lookup
     from contactgate.plans.catalog import LOOKUP_ACCOUNT, LOOKUP_PHONE
     return lookup(spark, publish(spark, sf).read(), LOOKUP_ACCOUNT, LOOKUP_PHONE)
+
+
+@register("bronze_since", f"""
+SELECT * EXCLUDE (_source_file, _row_id) FROM nonfin WHERE _file_date >= DATE '{SPLIT_DATE}'""",
+          "B5 B7 B8 I4")
+def q_bronze_since(spark, sf):
+    """Snapshot deliveries ingested from files into a date-partitioned bronze
+    table, then read back from the split date on (partition-pruned)."""
+    from contactgate.sources.tables import DeliveryTable
+    root = _fresh(spark, "deliveries")
+    deliver(Layers(spark, sf).nonfin, root, "MAINTENANCE", S.SNAPSHOT_COLUMNS)
+    bronze = DeliveryTable(spark, _fresh(spark, "bronze-nonfin"))
+    bronze.append(ingest_snapshot(spark, root, layout="directory"))
+    return bronze.read(since=SPLIT_DATE).drop("_source_file")

@@ -28,3 +28,24 @@ def test_lookup_filter_reaches_scan(spark):
 def test_scan_prunes_identity_columns(spark):
     plan = _plan(Layers(spark, SF_SMALL).state)
     assert "o_totalprice" not in plan
+
+
+def test_published_lookup_pushes_key_into_scan(spark, tmp_path):
+    from contactgate.operators.decide import lookup
+    from contactgate.sources.tables import VersionedTable
+    t = VersionedTable(spark, str(tmp_path / "consent"))
+    t.write(Layers(spark, SF_SMALL).consent, sort_by=["account_number", "phone_number"])
+    plan = _plan(lookup(spark, t.read(), "0000000000000001", "0000000005"))
+    assert "PushedFilters: [IsNotNull(account_number), IsNotNull(phone_number), " \
+           "EqualTo(account_number,0000000000000001)" in plan
+
+
+def test_bronze_read_prunes_partitions(spark, tmp_path):
+    from contactgate.sources.standin import snapshot_feed
+    from contactgate.sources.tables import DeliveryTable
+    b = DeliveryTable(spark, str(tmp_path / "bronze"))
+    b.append(snapshot_feed(spark, SF_SMALL))
+    df = b.read(since="2000-01-01")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_file_date" in plan
+    assert df.select("_file_date").distinct().count() == 2
