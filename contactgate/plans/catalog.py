@@ -17,7 +17,7 @@ from contactgate.functions.columns import (
 )
 from contactgate.operators.decide import decide
 from contactgate.operators.merge import gap_fill
-from contactgate.operators.reconcile import delete_status, reconcile
+from contactgate.operators.reconcile import reconcile
 from contactgate.plans import phone_state as P
 from contactgate.plans.oracle import with_ctes
 from contactgate.sources import schemas as S

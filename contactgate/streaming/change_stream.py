@@ -19,7 +19,6 @@ directory.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from contactgate.plans.phone_state import dedup_change, latest_change_state
 from contactgate.sources import schemas as S

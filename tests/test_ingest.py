@@ -7,7 +7,7 @@ from pyspark.sql.types import DateType, StringType
 from conftest import ENR_HDR, write_gz
 from contactgate.sources import schemas as S
 from contactgate.sources.delivery import (
-    deliver, ingest_change, ingest_enrollment, ingest_snapshot,
+    deliver, ingest_enrollment, ingest_snapshot,
 )
 
 

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from contactgate.operators.merge import diff, gap_fill, upsert
 from contactgate.sources.tables import VersionedTable
