@@ -56,6 +56,14 @@ class IncrementalState:
             changes = self.survivors.read().select(*changes.columns).unionByName(changes)
         self.survivors.write(P.dedup_change(changes))
 
+    def apply_deliveries(self, nonfin_table, supplfwd_table, enrollment_table,
+                         since=None, until=None) -> None:
+        """Fold the deliveries dated ``since <= _file_date < until`` from three
+        date-partitioned bronze tables (:class:`DeliveryTable`); only those
+        partitions are read."""
+        self.apply(nonfin_table.read(since, until), supplfwd_table.read(since, until),
+                   enrollment_table.read(since, until))
+
     def state(self) -> DataFrame:
         """Silver state as of the last fold (same 17 columns as the batch plan)."""
         buf = self.buffer.read()

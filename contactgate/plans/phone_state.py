@@ -238,3 +238,16 @@ def consent_history(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFram
              .select("legacy_identifier", "phone_number", "consent_flag", "consent_date",
                      "last_yes_date", "last_no_date", "event_date", "record_source",
                      "consent_change"))
+
+
+def publish_consent(consent: DataFrame, table, on_fail: str = "raise",
+                    keys: tuple[str, ...] = ("account_number", "phone_number")) -> int | None:
+    """Check, then publish: evaluate the state/consent checks in one pass and
+    upsert ``consent`` into the versioned ``table`` only when they pass (or
+    ``on_fail='warn'``).  Returns the new version, or None when blocked."""
+    from contactgate.operators.quality import gate
+    from contactgate.plans.reports import published_quality
+    if not gate(published_quality(consent), on_fail=on_fail):
+        if on_fail != "warn":
+            return None
+    return table.upsert(consent, list(keys), sort_by=list(keys))

@@ -241,3 +241,30 @@ def q_bronze_since(spark, sf):
     bronze = DeliveryTable(spark, _fresh(spark, "bronze-nonfin"))
     bronze.append(ingest_snapshot(spark, root, layout="directory"))
     return bronze.read(since=SPLIT_DATE).drop("_source_file")
+
+
+@register("gated_publish", "SELECT * FROM gold", "Q4 D8 I1 I2")
+def q_gated_publish(spark, sf):
+    """Checks pass, so the consent table is published (version 0) and read back."""
+    from contactgate.plans.phone_state import publish_consent
+    t = VersionedTable(spark, _fresh(spark, "consent"))
+    v = publish_consent(Layers(spark, sf).consent, t)
+    return t.read(version=v)
+
+
+@register("incremental_catch_up", "SELECT * FROM silver", "C4 B7 I4")
+def q_incremental_catch_up(spark, sf):
+    """Deliveries land in date-partitioned bronze tables; the state is caught
+    up in two folds that each read only their partitions."""
+    from contactgate.plans.incremental import IncrementalState
+    from contactgate.sources.tables import DeliveryTable
+    L = Layers(spark, sf)
+    tables = []
+    for name, feed in (("nonfin", L.nonfin), ("supplfwd", L.supplfwd), ("enrollment", L.enrollment)):
+        t = DeliveryTable(spark, _fresh(spark, f"bronze-{name}"))
+        t.append(feed)
+        tables.append(t)
+    inc = IncrementalState(spark, _fresh(spark, "incremental"))
+    inc.apply_deliveries(*tables, until=SPLIT_DATE)
+    inc.apply_deliveries(*tables, since=SPLIT_DATE)
+    return inc.state()

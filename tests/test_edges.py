@@ -101,3 +101,18 @@ def test_gate_raises_and_warns(spark):
 def test_duplicate_source_keys_are_reported(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int")
     assert [r["k"] for r in assert_unique(df, ["k"]).collect()] == ["a"]
+
+
+def test_publish_is_blocked_by_failed_checks(spark, tmp_path):
+    from contactgate.plans.phone_state import publish_consent
+    from contactgate.sources.tables import VersionedTable
+    bad = spark.createDataFrame(
+        [("1", "2025550100", "CLIENT", None, None, False, None, None, "f")],
+        "account_number string, phone_number string, phone_source string, has_sms_consent boolean, "
+        "sms_consent_updated_at date, is_deleted boolean, delete_type string, deleted_at date, _source_file string")
+    t = VersionedTable(spark, str(tmp_path / "c"))
+    with pytest.raises(QualityGateError):
+        publish_consent(bad, t)
+    assert not t.exists()
+    good = bad.withColumn("phone_number", F.lit("+12025550100"))
+    assert publish_consent(good, t) == 0 and t.read().count() == 1
