@@ -20,11 +20,12 @@ DELIVERY_DIR = "delivery"   # directory-per-delivery layout written by :func:`de
 
 
 def read_pipe_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
-    """Pipe-delimited CSV with header, no inference; empty fields are NULL."""
+    """Pipe-delimited CSV with header, no inference; empty fields are NULL.
+    The header must match the declared columns (checked per file)."""
     return (spark.read.schema(schema)
             .option("sep", "|").option("header", "true")
             .option("enforceSchema", "false")
-            .option("mode", "FAILFAST")
+            .option("mode", "PERMISSIVE")   # a short row is NULL-padded, as delivered
             .csv(path))
 
 

@@ -81,3 +81,10 @@ def test_deliver_roundtrip_directory_layout(spark, tmp_path):
     cols = S.SNAPSHOT_COLUMNS + ["_file_date"]
     assert back.select(*cols).exceptAll(feed.select(*cols)).count() == 0
     assert feed.select(*cols).exceptAll(back.select(*cols)).count() == 0
+
+
+def test_short_row_is_null_padded(spark, tmp_path):
+    write_gz(tmp_path / "ENROLLMENT" / "X-20200101000000000-ENRLMT-EXPORT_000.csv.gz", ENR_HDR,
+             ["1|1P|A|S|F|L|2025550100|CELL"])
+    r = ingest_enrollment(spark, str(tmp_path)).first()
+    assert r["phone_type"] == "CELL" and r["enrollment_date"] is None
