@@ -6,21 +6,33 @@ The library never creates a session inside an operator; callers pass one in.
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def _local_cores(master: str) -> int | None:
+    m = re.fullmatch(r"local\[(\d+)\]", master or "")
+    return int(m.group(1)) if m else (os.cpu_count() if (master or "").startswith("local") else None)
+
+
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "contactgate") -> SparkSession:
-    """Local/cluster session with AQE, skew-join handling and measured-size
-    broadcasts only."""
+    """Session with AQE, skew-join handling and measured-size broadcasts only.
+
+    Shuffle partitions: on a local master they default to the core count; on
+    a cluster they are left to the cluster configuration (size them so a
+    post-shuffle partition is ~100-200 MB at the target scale; AQE coalesces
+    and splits from there)."""
+    if shuffle_partitions is None and master:
+        shuffle_partitions = _local_cores(master)
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -31,6 +43,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if master:
         builder = builder.master(master)
     spark = builder.getOrCreate()
@@ -42,14 +56,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Reads ``spark.checkpoint.dir`` from the session (the cluster names it).  Only
-    when it is unset -- local tests -- a private scratch folder is created.
+    when it is unset *and* the master is local (tests) is a private scratch
+    folder created; on a cluster a machine-local folder would be invisible to
+    other executors, so an unset directory is an error there.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or \
+        spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         configured = tempfile.mkdtemp(prefix="contactgate-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(configured)
     return configured.rstrip("/")
