@@ -11,6 +11,13 @@ snapshot   ``orders`` minus every tenth customer; one full snapshot per year
 change     even ``events``; weekly change files
 enrollment ``customer``; one enrollment per customer
 requests   every ``orders`` row as an (account, phone) permission question
+
+The two modulo predicates are part of the feed *definitions*, not sampling:
+customers with ``custkey % 10 = 9`` are never in a snapshot, so permission
+requests for them hit unknown keys (or enrollment/change-only keys), and the
+change feed is the even half of the event stream so that its keys only partly
+overlap the snapshots.  Every query still reads the whole tables; the oracle
+applies the same definitions.
 """
 
 from __future__ import annotations
