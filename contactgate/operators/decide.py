@@ -32,17 +32,47 @@ def keyed_decisions(consent: DataFrame, keys: Sequence[str] = KEYS,
     return consent.groupBy(*keys).agg(F.bool_and(rule).alias(out))
 
 
+def hot_keys(requests: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
+    """Keys holding more than ``share`` of all request rows.  At most
+    ``1 / share`` keys can qualify, so the result has a proven size bound."""
+    total = requests.agg(F.count(F.lit(1))).scalar()
+    return (requests.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+            .where(F.col("__n") > total * F.lit(share))
+            .select(*keys, F.lit(True).alias("__hot")))
+
+
 def decide(requests: DataFrame, consent: DataFrame, keys: Sequence[str] = KEYS,
            allowed_sources: tuple[str, ...] = SEND_SOURCES, phone_col: str = "phone_number",
-           out: str = "can_send_sms") -> DataFrame:
+           out: str = "can_send_sms", hot_key_share: float | None = None,
+           salt_buckets: int = 64) -> DataFrame:
     """Answer every request row; keeps the request columns, with the phone
     normalised (a bare 10-digit number gets the country prefix), and adds
-    ``out`` (never NULL)."""
+    ``out`` (never NULL).
+
+    Skew: by default a hot request key is split at run time by AQE's skew
+    join (its partner is one decision row).  With ``hot_key_share`` the split
+    is explicit: keys above that share of all requests (a list of at most
+    ``1 / hot_key_share`` rows, hence broadcast) are salted -- their request
+    rows spread over ``salt_buckets`` buckets, their single decision row
+    replicated to each bucket; all other keys join unsalted."""
+    keys = list(keys)
     req = requests.withColumn(phone_col, normalize_phone_input(phone_col))
     decided = keyed_decisions(consent, keys, allowed_sources, out)
-    return (req.join(decided, on=list(keys), how="left")
-               .withColumn(out, F.coalesce(F.col(out), F.lit(False)))
-               .select(*req.columns, out))
+    if hot_key_share is None:
+        joined = req.join(decided, on=keys, how="left")
+    else:
+        hot = F.broadcast(hot_keys(req, keys, hot_key_share))
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in req.columns]), F.lit(salt_buckets))
+        req_s = (req.join(hot, on=keys, how="left")
+                 .withColumn("__salt", F.when(F.col("__hot"), salt).otherwise(F.lit(0)))
+                 .drop("__hot"))
+        buckets = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1).cast("long")))
+        dec_s = (decided.join(hot, on=keys, how="left")
+                 .withColumn("__salt", F.explode(F.coalesce(buckets, F.array(F.lit(0).cast("long")))))
+                 .drop("__hot"))
+        joined = req_s.join(dec_s, on=[*keys, "__salt"], how="left")
+    return (joined.withColumn(out, F.coalesce(F.col(out), F.lit(False)))
+                  .select(*req.columns, out))
 
 
 def lookup(spark: SparkSession, consent: DataFrame, account_number: str,

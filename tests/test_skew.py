@@ -51,3 +51,23 @@ def test_hot_key_state_is_whole(spark):
     best = df.where("k = 'hot'").agg(F.max(F.struct("d", "v")).alias("m")).first()["m"]
     got = latest_by(df, ["k"], ["d", "v"]).where("k = 'hot'").first()
     assert (got["d"], got["v"]) == (best["d"], best["v"])
+
+
+def test_salted_decide_equals_plain(spark):
+    from conftest import SF_SMALL
+    from contactgate.operators.decide import decide, hot_keys
+    from contactgate.plans.catalog import Layers
+    from contactgate.sources.standin import permission_requests
+    consent = Layers(spark, SF_SMALL).consent
+    req = permission_requests(spark, SF_SMALL)
+    hot = req.first()
+    extra = spark.range(3000).select(
+        (F.col("id") + 10_000_000).alias("request_id"),
+        F.lit(hot["account_number"]).alias("account_number"),
+        F.lit(hot["phone_number"]).alias("phone_number"))
+    req = req.unionByName(extra)
+    assert hot_keys(req, ["account_number", "phone_number"], 0.3).count() == 1
+    plain = decide(req, consent)
+    salted = decide(req, consent, hot_key_share=0.3, salt_buckets=8)
+    assert salted.count() == plain.count() == req.count()
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
