@@ -24,3 +24,20 @@ def test_restart_is_idempotent(spark, tmp_path, scenario_dir):
     run_change_stream(spark, str(scenario_dir), state, ckpt, max_files_per_trigger=1)
     assert sorted(map(tuple, current_changes(spark, state).collect())) == sorted(map(tuple, first))
     assert len(first) == 4
+
+
+def test_second_wave_of_files_is_picked_up(spark, tmp_path):
+    from pyspark.sql import functions as F
+    feed = change_feed(spark, SF_SMALL)
+    split = F.lit("2000-01-01").cast("date")
+    root, state, ckpt = str(tmp_path / "in"), str(tmp_path / "state"), str(tmp_path / "ckpt")
+    deliver(feed.where(F.col("_file_date") < split), root, "MAINTENANCE", S.CHANGE_COLUMNS)
+    run_change_stream(spark, root, state, ckpt, layout="directory")
+    first_batches = len(list((tmp_path / "state").glob("batch=*")))
+    deliver(feed.where(F.col("_file_date") >= split), root, "MAINTENANCE", S.CHANGE_COLUMNS)
+    run_change_stream(spark, root, state, ckpt, layout="directory")
+    assert len(list((tmp_path / "state").glob("batch=*"))) > first_batches
+    streamed = current_changes(spark, state).drop("_source_file")
+    batch = P.latest_change_state(P.dedup_change(feed)).drop("_source_file", "_row_id")
+    assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
+    assert batch.count() == streamed.count()
