@@ -796,3 +796,39 @@ def q_snapshot_drop_ratio(spark, sf):
     prev = F.lag("rows").over(Window.orderBy("_file_date"))
     return per_date.select("_file_date", "rows", prev.alias("previous_rows"),
                            (F.col("rows").cast("double") / prev).alias("ratio_to_previous"))
+
+
+# ============================ monitoring ======================================
+
+def snapshot_drop_check(nonfin: DataFrame, min_ratio: float = 0.5) -> DataFrame:
+    """Anomaly check for a partial last delivery: rows of the newest snapshot
+    against the one before it (one row per snapshot date is all that is
+    windowed).  Observed = the ratio in percent, rounded down; passes at or
+    above ``min_ratio``; a single snapshot passes."""
+    from contactgate.operators.quality import Check
+    per_date = nonfin.groupBy("_file_date").agg(_count("rows"))
+    ranked = per_date.withColumn("__r", F.row_number().over(Window.orderBy(F.desc("_file_date"))))
+    last_two = ranked.where("__r <= 2").agg(
+        F.max(F.when(F.col("__r") == 1, F.col("rows"))).alias("latest"),
+        F.max(F.when(F.col("__r") == 2, F.col("rows"))).alias("previous"))
+    pct = F.floor(F.col("latest") * 100 / F.col("previous"))
+    out = last_two.select(
+        F.lit("snapshot_drop_ratio").alias("name"),
+        F.coalesce(pct >= F.lit(min_ratio * 100), F.lit(True)).alias("passed"),
+        F.coalesce(pct, F.lit(100)).cast("long").alias("observed"),
+        F.lit(f"ge{int(min_ratio * 100)}").alias("expected"))
+    return out
+
+
+@register("quality_snapshot_drop", """
+SELECT 'snapshot_drop_ratio' AS name,
+       COALESCE(floor(latest * 100 / previous) >= 50, true) AS passed,
+       CAST(COALESCE(floor(latest * 100 / previous), 100) AS BIGINT) AS observed,
+       'ge50' AS expected
+FROM (SELECT max(CASE WHEN rn = 1 THEN rows END) AS latest,
+             max(CASE WHEN rn = 2 THEN rows END) AS previous
+      FROM (SELECT rows, row_number() OVER (ORDER BY _file_date DESC) AS rn
+            FROM (SELECT _file_date, count(*) AS rows FROM nf_dedup GROUP BY _file_date) d) r
+      WHERE rn <= 2) t""", "D6 Q1")
+def q_quality_snapshot_drop(spark, sf):
+    return snapshot_drop_check(Layers(spark, sf).nonfin_dedup)

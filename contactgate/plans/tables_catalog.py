@@ -7,6 +7,7 @@ so the work grows with the input tables.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import functions as F
@@ -268,3 +269,25 @@ def q_incremental_catch_up(spark, sf):
     inc.apply_deliveries(*tables, until=SPLIT_DATE)
     inc.apply_deliveries(*tables, since=SPLIT_DATE)
     return inc.state()
+
+
+def _history_sql() -> str:
+    from contactgate.plans.reports import _GOLD_Q, _SILVER_Q, _quality_sql
+    full = _quality_sql(_SILVER_Q + _GOLD_Q)
+    early = full
+    for name in ("silver", "gold"):
+        early = re.sub(rf"\b{name}\b", f"{name}_early", early)
+    return (f"SELECT name, passed, observed, expected, 0 AS v FROM ({early}) e\n"
+            f"UNION ALL\nSELECT name, passed, observed, expected, 1 AS v FROM ({full}) f")
+
+
+@register("quality_history", _history_sql(), "Q4 I4")
+def q_quality_history(spark, sf):
+    """Check results persisted per run: the earlier run's and the current
+    run's results as two versions of one history table, read back whole."""
+    from contactgate.plans.reports import published_quality
+    early, _ = _early_late(spark, sf)
+    t = VersionedTable(spark, _fresh(spark, "quality-history"))
+    t.write(published_quality(early))
+    t.write(published_quality(Layers(spark, sf).consent))
+    return t.history()

@@ -116,3 +116,13 @@ def test_publish_is_blocked_by_failed_checks(spark, tmp_path):
     assert not t.exists()
     good = bad.withColumn("phone_number", F.lit("+12025550100"))
     assert publish_consent(good, t) == 0 and t.read().count() == 1
+
+
+def test_partial_last_snapshot_fails_drop_check(spark):
+    from contactgate.plans.reports import snapshot_drop_check
+    full = snap(spark, [(str(i), f"{i}P", "2025550100", "CLIENT", None, None) for i in range(10)], "2020-01-01")
+    partial = snap(spark, [("1", "1P", "2025550100", "CLIENT", None, None)], "2020-02-01")
+    r = snapshot_drop_check(full.unionByName(partial)).first()
+    assert (r["passed"], r["observed"]) == (False, 10)
+    r = snapshot_drop_check(full).first()
+    assert (r["passed"], r["observed"]) == (True, 100)
