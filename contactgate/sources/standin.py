@@ -63,8 +63,13 @@ def _identity(x: str) -> list[str]:
             f"concat('L', CAST({x} AS STRING))"]
 
 
+def _yyyymmdd(day: str) -> str:
+    # a date's ISO text without dashes (cheaper than timestamp formatting)
+    return f"replace(CAST({day} AS STRING), '-', '')"
+
+
 def _delivery(folder: str, prefix: str, day: str, marker: str) -> str:
-    return (f"concat('{folder}/{prefix}-', date_format({day}, 'yyyyMMdd'), "
+    return (f"concat('{folder}/{prefix}-', {_yyyymmdd(day)}, "
             f"'000000000-{marker}_000.csv.gz')")
 
 
@@ -91,7 +96,7 @@ def snapshot_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
                 f"{_pick('o_custkey % 3', TECHNOLOGIES)} AS cnsmr_phn_tchnlgy_typ_val_txt",
                 "CAST(o_orderkey % 100 AS STRING) AS cnsmr_phn_qlty_score_nmbr",
                 f"{flag} AS cnsmr_phn_cnsnt_flg",
-                f"CASE WHEN {flag} IS NOT NULL THEN date_format(o_orderdate, 'yyyy-MM-dd') END "
+                f"CASE WHEN {flag} IS NOT NULL THEN CAST(CAST(o_orderdate AS DATE) AS STRING) END "
                 "AS cnsmr_phn_cnsnt_dt",
                 f"{_delivery('MAINTENANCE', 'SN_SVC_DMBDL_DataManager', day, 'NON-FIN-BDL_EXPORT')} "
                 "AS _source_file",
