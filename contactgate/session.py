@@ -19,7 +19,7 @@ def _local_cores(master: str) -> int | None:
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "contactgate") -> SparkSession:
+                  app_name: str = "contactgate", driver_memory: str | None = None) -> SparkSession:
     """Session with AQE, skew-join handling and measured-size broadcasts only.
 
     Shuffle partitions: on a local master they default to the core count; on
@@ -45,6 +45,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local") and driver_memory:
+        # local mode runs every task inside the driver JVM; size it for the
+        # data when needed.  Only applies when the JVM is not yet up.
+        builder = builder.config("spark.driver.memory", driver_memory)
     if master:
         builder = builder.master(master)
     spark = builder.getOrCreate()
