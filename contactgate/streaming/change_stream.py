@@ -10,6 +10,10 @@ newest record per key.  Because both steps are order-insensitive
 result as one batch run over all files, with no watermark: nothing is ever
 finalised early, so no late record can be dropped.
 
+:func:`compact` folds the applied batches into a versioned survivors table
+that records the newest epoch it covers; reads then take that version plus
+only the newer batch folders.
+
 The streaming checkpoint and the state folder must live on shared storage
 (under ``spark.checkpoint.dir``); a restarted query resumes from the
 checkpoint and re-runs an unfinished epoch, which rewrites the same batch
@@ -19,12 +23,16 @@ directory.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from contactgate.plans.phone_state import dedup_change, latest_change_state
 from contactgate.sources import schemas as S
 from contactgate.sources.delivery import DELIVERY_DIR, with_lineage
 
 BATCH_COL = "batch"
+BATCHES = "batches"        # <state>/batches/batch=<epoch>/   one folder per micro-batch
+COMPACTED = "compacted"    # <state>/compacted/v=<n>/         survivors up to an epoch
+UPTO_COL = "__upto"
 
 
 def change_stream(spark: SparkSession, data_dir: str, layout: str = "file",
@@ -46,7 +54,7 @@ def change_stream(spark: SparkSession, data_dir: str, layout: str = "file",
 def _apply_batch(state_path: str):
     def apply(batch: DataFrame, epoch_id: int) -> None:
         (dedup_change(batch).write.mode("overwrite")
-         .parquet(f"{state_path}/{BATCH_COL}={epoch_id}"))
+         .parquet(f"{state_path}/{BATCHES}/{BATCH_COL}={epoch_id}"))
     return apply
 
 
@@ -65,7 +73,36 @@ def run_change_stream(spark: SparkSession, data_dir: str, state_path: str,
     return handle
 
 
+def _survivors(spark: SparkSession, state_path: str) -> tuple[DataFrame, int | None]:
+    """Deduplicated change rows over every applied batch, and the newest
+    epoch they include: the latest compacted version plus the batch folders
+    after it (pruned on the ``batch`` partition column)."""
+    from contactgate.sources.tables import VersionedTable
+    comp = VersionedTable(spark, f"{state_path}/{COMPACTED}")
+    batches = spark.read.parquet(f"{state_path}/{BATCHES}")
+    upto = None
+    if comp.exists():
+        base = comp.read()
+        upto = base.agg(F.max(UPTO_COL)).first()[0]     # one scalar
+        newer = batches.where(F.col(BATCH_COL) > upto).drop(BATCH_COL)
+        applied = base.drop(UPTO_COL).unionByName(newer)
+    else:
+        applied = batches.drop(BATCH_COL)
+    newest = batches.agg(F.max(BATCH_COL)).first()[0]
+    return dedup_change(applied), (newest if newest is not None else upto)
+
+
+def compact(spark: SparkSession, state_path: str) -> int:
+    """Fold every applied batch into a new compacted version (nothing is
+    deleted; later reads skip the covered batch folders).  Returns the
+    version number."""
+    from contactgate.sources.tables import VersionedTable
+    survivors, newest = _survivors(spark, state_path)
+    comp = VersionedTable(spark, f"{state_path}/{COMPACTED}")
+    return comp.write(survivors.withColumn(UPTO_COL, F.lit(newest).cast("long")))
+
+
 def current_changes(spark: SparkSession, state_path: str) -> DataFrame:
     """Newest change record per (legacy id, phone) over every applied batch."""
-    applied = spark.read.parquet(state_path).drop(BATCH_COL)
-    return latest_change_state(dedup_change(applied))
+    survivors, _ = _survivors(spark, state_path)
+    return latest_change_state(survivors)

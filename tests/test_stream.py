@@ -33,11 +33,31 @@ def test_second_wave_of_files_is_picked_up(spark, tmp_path):
     root, state, ckpt = str(tmp_path / "in"), str(tmp_path / "state"), str(tmp_path / "ckpt")
     deliver(feed.where(F.col("_file_date") < split), root, "MAINTENANCE", S.CHANGE_COLUMNS)
     run_change_stream(spark, root, state, ckpt, layout="directory")
-    first_batches = len(list((tmp_path / "state").glob("batch=*")))
+    first_batches = len(list((tmp_path / "state" / "batches").glob("batch=*")))
     deliver(feed.where(F.col("_file_date") >= split), root, "MAINTENANCE", S.CHANGE_COLUMNS)
     run_change_stream(spark, root, state, ckpt, layout="directory")
-    assert len(list((tmp_path / "state").glob("batch=*"))) > first_batches
+    assert len(list((tmp_path / "state" / "batches").glob("batch=*"))) > first_batches
     streamed = current_changes(spark, state).drop("_source_file")
     batch = P.latest_change_state(P.dedup_change(feed)).drop("_source_file", "_row_id")
     assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
     assert batch.count() == streamed.count()
+
+
+def test_compaction_between_waves(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from contactgate.streaming.change_stream import compact
+    feed = change_feed(spark, SF_SMALL)
+    split = F.lit("2000-01-01").cast("date")
+    root, state, ckpt = str(tmp_path / "in"), str(tmp_path / "state"), str(tmp_path / "ckpt")
+    deliver(feed.where(F.col("_file_date") < split), root, "MAINTENANCE", S.CHANGE_COLUMNS)
+    run_change_stream(spark, root, state, ckpt, layout="directory")
+    assert compact(spark, state) == 0
+    deliver(feed.where(F.col("_file_date") >= split), root, "MAINTENANCE", S.CHANGE_COLUMNS)
+    run_change_stream(spark, root, state, ckpt, layout="directory")
+    streamed = current_changes(spark, state).drop("_source_file")
+    batch = P.latest_change_state(P.dedup_change(feed)).drop("_source_file", "_row_id")
+    assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
+    assert batch.count() == streamed.count()
+    assert compact(spark, state) == 1
+    again = current_changes(spark, state).drop("_source_file")
+    assert again.exceptAll(streamed).count() == 0 and streamed.exceptAll(again).count() == 0
