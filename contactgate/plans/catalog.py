@@ -115,8 +115,13 @@ SELECT '{LOOKUP_ACCOUNT}' AS account_number, '+1{LOOKUP_PHONE}' AS phone_number,
                  WHERE account_number = '{LOOKUP_ACCOUNT}'
                    AND phone_number = '+1{LOOKUP_PHONE}'), false) AS can_send_sms""", "P6 C6")
 def q_permission_lookup(spark, sf):
+    """One key from the raw feeds, reconciling only the rows that can affect
+    it (see ``phone_state.state_for_keys``)."""
     from contactgate.operators.decide import lookup
-    return lookup(spark, Layers(spark, sf).consent, LOOKUP_ACCOUNT, LOOKUP_PHONE)
+    L = Layers(spark, sf)
+    req = spark.createDataFrame([(LOOKUP_ACCOUNT, LOOKUP_PHONE)], ["account_number", "phone_number"])
+    state = P.state_for_keys(L.nonfin, L.supplfwd, L.enrollment, req)
+    return lookup(spark, P.build_consent(state), LOOKUP_ACCOUNT, LOOKUP_PHONE)
 
 
 # --- building blocks -------------------------------------------------------

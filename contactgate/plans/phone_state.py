@@ -251,3 +251,36 @@ def publish_consent(consent: DataFrame, table, on_fail: str = "raise",
         if on_fail != "warn":
             return None
     return table.upsert(consent, list(keys), sort_by=list(keys))
+
+
+def state_for_keys(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame,
+                   requests: DataFrame) -> DataFrame:
+    """The state rows of the requested (account_number, phone_number) keys
+    only -- exact, without reconciling every key.
+
+    Change and enrollment rows are filtered to the requested keys before any
+    shuffle.  Snapshot dedup runs per (phone id, delivery date), so every
+    snapshot row sharing a phone id with a requested key's rows is kept for
+    it; everything else is dropped before the shuffle.  The newest snapshot
+    date still comes from the whole feed (a pruned scan).
+    """
+    keys = requests.selectExpr("account_number AS __acct", "phone_number AS __phone").distinct()
+
+    def of_keys(df: DataFrame, legacy: str, phone: str) -> DataFrame:
+        k = df.selectExpr("*", f"{account_from_legacy_sql(legacy)} AS __acct",
+                          f"{phone} AS __phone")
+        return k.join(keys, ["__acct", "__phone"], "left_semi").drop("__acct", "__phone")
+
+    nf = prune(nonfin, SNAPSHOT_USED)
+    key_rows = of_keys(nf, "cnsmr_idntfr_lgcy_txt", "cnsmr_phn_nmbr_txt")
+    ids = key_rows.select("cnsmr_phn_id").distinct()
+    nf_relevant = nf.join(ids, "cnsmr_phn_id", "left_semi")
+    nf_dedup = of_keys(dedup_snapshot(nf_relevant), "cnsmr_idntfr_lgcy_txt", "cnsmr_phn_nmbr_txt")
+    ch = of_keys(prune(supplfwd, CHANGE_USED), "cnsmr_idntfr_lgcy_txt", "cnsmr_phn_nmbr_txt")
+    en = of_keys(prune(enrollment, ENROLLMENT_USED), "consumer_legacy_identifier", "phone_number")
+    specs = [snapshot_source(nf_dedup, raw=nonfin), change_source(dedup_change(ch)),
+             enrollment_source(en)]
+    df = delete_status(reconcile(specs, _config(), EVENT_COLUMNS))
+    return df.selectExpr(
+        f"{account_from_legacy_sql('legacy_identifier')} AS account_number",
+        *[c for c in S.STATE_COLUMNS if c != "account_number"])

@@ -158,3 +158,25 @@ def test_latest_by_null_order_is_smallest(spark):
     assert latest_by(df, ["k"], ["d"], newest=False).first()["v"] == "a"
     assert latest_by(df, ["k"], ["d"], method="window").first()["v"] == "b"
     assert latest_by(df, ["k"], ["d"], newest=False, method="window").first()["v"] == "a"
+
+
+def test_state_for_keys_equals_full_state(spark):
+    from conftest import SF_SMALL
+    from contactgate.plans.catalog import Layers
+    L = Layers(spark, SF_SMALL)
+    full = L.state
+    req = full.select("account_number", "phone_number").orderBy("account_number", "phone_number").limit(40)
+    want = full.join(req, ["account_number", "phone_number"], "left_semi").select(*full.columns)
+    got = P.state_for_keys(L.nonfin, L.supplfwd, L.enrollment, req)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert got.count() == want.count() > 0
+
+
+def test_state_for_keys_keeps_phone_id_competitors(spark):
+    # the other key's row wins the (phone id, date) dedup, so the requested key
+    # has no snapshot row that day -- exactly as in the full state
+    s1 = _snap(spark, [_row("1", "7P", "2025550100"), _row("1", "8P", "2025550101")], "2020-01-01")
+    req = spark.createDataFrame([("8", "2025550101")], "account_number string, phone_number string")
+    got = P.state_for_keys(s1, _empty_change(spark), _empty_enrollment(spark), req)
+    full = P.build_state(s1, _empty_change(spark), _empty_enrollment(spark))
+    assert got.count() == full.where("account_number = '8'").count() == 0
