@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, mixing, simhash
+from . import bpe, language, mixing, simhash, suffix
 from .common import table
 
 
@@ -54,10 +54,19 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", "taken"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return suffix.remove_repeats(docs).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_language_id": (op1_language_id, None),
     "op3_byte_bpe": (op3_byte_bpe, None),
     "op5_simhash": (op5_simhash, None),
+    "op10_suffix_dedup": (op10_suffix_dedup, None),
     "op9_source_mixing": (op9_source_mixing, mixing.SQL),
 }
 
