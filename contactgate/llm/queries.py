@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, mixing, simhash, suffix
-from .common import table
+from . import bpe, chat, language, mixing, neardup, quality, simhash, suffix, topk, urlfilter
+from .common import table, union
 
 
 def held_out(id_col: str, modulus: int, remainder: int) -> Column:
@@ -33,6 +33,22 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score"))
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = "\\### Assistant: </turn> ok"
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                 F.lit(text).alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    made = chat.format_paths(chat.paths(chat.linear_trees(union(turns, more))))
+    read = made.select("tree", "formatted", chat.read_turns(F.col("formatted")).alias("turns"),
+                       F.array_join(chat.read_loss(F.col("formatted"), F.col("loss_spans")), "").alias("loss"))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        F.col("tree").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(told, 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     vocab = vocabulary()
@@ -43,12 +59,33 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs).select(
         "doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    fold = held_out("doc_id", 4, 2)
+    model = quality.fit(docs.where(~fold), labels.where(~fold))
+    return quality.score(docs, model).select(
+        "doc_id", fold.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (mixing.mix(table(spark, sf_dir, "documents"))
             .select("doc_id", "size", "source_size", "target", "taken"))
@@ -64,7 +101,12 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_language_id": (op1_language_id, None),
+    "op2_chat_format": (op2_chat_format, chat.SQL),
+    "op6_exact_topk": (op6_exact_topk, topk.SQL),
     "op3_byte_bpe": (op3_byte_bpe, None),
+    "op4_url_filter": (op4_url_filter, None),
+    "op7_quality": (op7_quality, None),
+    "op8_embedding_dedup": (op8_embedding_dedup, neardup.SQL),
     "op5_simhash": (op5_simhash, None),
     "op10_suffix_dedup": (op10_suffix_dedup, None),
     "op9_source_mixing": (op9_source_mixing, mixing.SQL),

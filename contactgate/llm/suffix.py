@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import ship
+from .common import ship, union
 
 LENGTH = 100
 GRAM = 24
@@ -576,8 +576,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keys = blocks.groupBy("block").applyInArrow(lambda t: _keys(t, length, n), _COUNT_DDL)
     repeated = keys.groupBy("bucket").applyInArrow(lambda t: _repeated(t, REPEATED, hot), _NOTE_DDL)
     windows = noted(repeated, lambda t, m: _windows(t, m, length, n), _COUNT_DDL)
-    notes = repeated.union(windows.groupBy("bucket").applyInArrow(lambda t: _repeated(t, WINDOW, None), _NOTE_DDL))
+    notes = union(repeated, windows.groupBy("bucket").applyInArrow(lambda t: _repeated(t, WINDOW, None), _NOTE_DDL))
     pieces = noted(notes, lambda t, m: _pieces(t, m, length, n), _PIECE_DDL)
     classes = pieces.groupBy("bucket").applyInArrow(lambda t: _classes(t, length), _NOTE_DDL)
-    return noted(notes.union(classes),
+    return noted(union(notes, classes),
                  lambda t, m: _removed(t, m, length, whole_characters) if len(t) else nothing, result)

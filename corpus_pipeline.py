@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contactgate.llm import bpe, language, mixing, simhash, suffix
-from contactgate.llm.common import materialized, table
+from contactgate.llm.common import materialized, table, union
 from contactgate.llm.queries import vocabulary
 
 MIN_POSTERIOR = 0.5
@@ -43,7 +43,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     again = (kept.where("__rows > 1").select(F.struct(*columns).alias("row"))
              .groupBy(F.col("row.doc_id").alias("id")).agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row"))
              .select("row.*"))
-    return once.union(again)
+    return union(once, again)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
