@@ -23,16 +23,19 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import ship
 
 BUCKETS = (4, 8, 12, 16, 24, 32, 64, 128)   # row widths in bytes; longer pieces use the heap
 MATRIX_CELLS = 1 << 20                      # cells of one matrix
 SLAB_PIECES = 200_000                       # pieces held at a time
-CACHE_PIECES = 400_000                      # distinct pieces remembered by a task
+CACHE_PIECES = 200_000                      # distinct pieces remembered by a task
+BATCH_ROWS = 512                            # rows whose results are held at a time
 NONE = np.iinfo(np.int32).max
 HASH = np.uint64(0x9E3779B97F4A7C15)
 
@@ -283,26 +286,63 @@ class Encoder:
         return np.concatenate(flat), counts
 
 
-def encode(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", out: str = "ids") -> DataFrame:
-    """``docs`` with the token ids of the whole text as ``out`` (array of int).
+def _decoded(vocab: Vocabulary, flat: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The bytes of each run of ids."""
+    if len(flat) and (flat.min() < 0 or flat.max() >= len(vocab.offsets) - 1):
+        raise ValueError("token id outside the vocabulary")
+    body, sizes = gather(vocab.blob, vocab.offsets, flat.astype(np.int64))
+    ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(body)]).cast(pa.binary())
+
+
+def _lists(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
+    offsets = np.zeros(len(counts) + 1, np.int32)
+    np.cumsum(counts, out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+
+def _added(docs: DataFrame, made: dict[str, T.DataType], step) -> DataFrame:
+    """``docs`` with the columns that ``step`` makes of a record batch.  Batches are
+    cut so that a task holds few rows' results at a time."""
+    ship(docs.sparkSession)
+    kept = [c for c in docs.columns if c not in made]
+    schema = T.StructType([*docs.select(*[F.col(f"`{c}`") for c in kept]).schema,
+                           *[T.StructField(c, t) for c, t in made.items()]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = step()
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                rows = batch.slice(at, BATCH_ROWS)
+                yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in kept], *work(rows)], names=[*kept, *made])
+
+    return docs.mapInArrow(run, schema)
+
+
+def encode(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", out: str = "ids",
+           decoded_out: str | None = None) -> DataFrame:
+    """``docs`` with the token ids of the whole text as ``out`` (array of int) and,
+    if ``decoded_out`` is given, with the bytes that these ids decode to.
 
     A null or empty text has no ids.  Special tokens are never made: their
-    strings are ordinary text.  An input column named ``out`` is replaced, all
+    strings are ordinary text.  Input columns with the output names are replaced, all
     other columns stay; an empty table stays empty."""
-    spark = docs.sparkSession
-    ship(spark)
-    shared = spark.sparkContext.broadcast(vocab)
+    shared = docs.sparkSession.sparkContext.broadcast(vocab)
 
-    @F.arrow_udf("array<int>")
-    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def step():
         encoder = Encoder(shared.value)
-        for batch in batches:
-            flat, counts = encoder.encode(batch.to_pylist())
-            offsets = np.zeros(len(counts) + 1, np.int32)
-            np.cumsum(counts, out=offsets[1:])
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
-    return docs.withColumn(out, ids(F.col(text_col)))
+        def work(rows: pa.RecordBatch) -> list[pa.Array]:
+            flat, counts = encoder.encode(rows.column(text_col).to_pylist())
+            made = [_lists(flat, counts)]
+            if decoded_out:
+                made.append(_decoded(encoder.vocab, flat, counts))
+            return made
+
+        return work
+
+    return _added(docs, {out: T.ArrayType(T.IntegerType()), **({decoded_out: T.BinaryType()} if decoded_out else {})}, step)
 
 
 def decode(docs: DataFrame, vocab: Vocabulary, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -310,20 +350,14 @@ def decode(docs: DataFrame, vocab: Vocabulary, ids_col: str = "ids", out: str =
 
     Null or empty ids give empty bytes; an id outside the vocabulary fails; an
     input column named ``out`` is replaced."""
-    spark = docs.sparkSession
-    ship(spark)
-    shared = spark.sparkContext.broadcast(vocab)
+    shared = docs.sparkSession.sparkContext.broadcast(vocab)
 
-    @F.arrow_udf("binary")
-    def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        v = shared.value
-        for batch in batches:
-            out = []
-            for row in batch:
-                chosen = np.asarray(row.values.to_numpy(zero_copy_only=False), np.int64) if row.is_valid else np.zeros(0, np.int64)
-                if len(chosen) and chosen.min() < 0:
-                    raise ValueError("negative token id")
-                out.append(gather(v.blob, v.offsets, chosen)[0].tobytes())
-            yield pa.array(out, pa.binary())
-
-    return docs.withColumn(out, text(F.col(ids_col)))
+    def step():
+        def work(rows: pa.RecordBatch) -> list[pa.Array]:
+            ids = pc.fill_null(rows.column(ids_col), pa.scalar([], rows.column(ids_col).type))
+            counts = pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64)
+            return [_decoded(shared.value, pc.list_flatten(ids).to_numpy(zero_copy_only=False), counts)]
+
+        return work
+
+    return _added(docs, {out: T.BinaryType()}, step)
