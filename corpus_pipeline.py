@@ -7,7 +7,7 @@ returns the next stage's ``docs``.  All but the last return the columns of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contactgate.llm import bpe, language, mixing, simhash, suffix
@@ -17,14 +17,19 @@ from contactgate.llm.queries import vocabulary
 MIN_POSTERIOR = 0.5
 
 
+def _row(docs: DataFrame) -> Column:
+    """All columns as one struct, out of reach of other names."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose language is recognised: they have letters and the
     best language has at least half of the posterior.  The model learns from
     the documents that carry a language."""
     model = language.fit(docs)
-    marked = language.identify(docs, model, "text", "__lang", "__score")
-    return (marked.where((F.col("__lang") != language.UNKNOWN) & (F.col("__score") >= MIN_POSTERIOR))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    marked = language.identify(docs.select("text", _row(docs)), model, "text", "language", "posterior")
+    return (marked.where((F.col("language") != language.UNKNOWN) & (F.col("posterior") >= MIN_POSTERIOR))
+            .select("row.*"))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,14 +40,12 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     they are alone in their group with no other id."""
     groups = materialized(simhash.near_duplicates(docs))
     ids = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("__rows"))
-    d, k = docs.alias("d"), ids.alias("k")
-    kept = d.join(k, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")))
-    columns = [F.col(f"d.`{c}`") for c in docs.columns]
-    once = kept.where("__rows = 1").select(*columns)
-    again = (kept.where("__rows > 1").select(F.struct(*columns).alias("row"))
-             .groupBy(F.col("row.doc_id").alias("id")).agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row"))
-             .select("row.*"))
+        F.count(F.lit(1)).alias("rows"))
+    d, k = docs.select("doc_id", "text", _row(docs)).alias("d"), ids.alias("k")
+    kept = (d.join(k, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")))
+            .select("k.doc_id", F.coalesce("d.text", F.lit("")).alias("text"), "d.row", "k.rows"))
+    once = kept.where("rows = 1").select("row.*")
+    again = (kept.where("rows > 1").groupBy("doc_id").agg(F.min_by("row", "text").alias("row")).select("row.*"))
     return union(once, again)
 
 
@@ -50,30 +53,29 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Remove passages of 100 bytes or more that also start earlier; ``n_chars`` is
     counted again.  Every document stays, if only as an empty text; null texts
     stay null."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    found = suffix.remove_repeats(docs.withColumn("__null", F.col("text").isNull()), carry=(*others, "__null"), whole_characters=True)
+    found = suffix.remove_repeats(
+        docs.select("doc_id", "text", F.struct(F.col("text").isNull().alias("null"), *[
+            F.col(f"`{c}`").alias(f"of {c}") for c in docs.columns if c not in ("doc_id", "text")]).alias("rest")),
+        carry=("rest",), whole_characters=True)
+    known = ~F.col("carried.rest.null")
     made = {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType),
-            "text": F.when(~F.col("carried.__null"), F.col("kept")),
-            "n_chars": F.when(~F.col("carried.__null"), F.length("kept").cast("long"))}
-    return found.select(*[made.get(c, F.col(f"carried.`{c}`")).alias(c) for c in docs.columns])
+            "text": F.when(known, F.col("kept")), "n_chars": F.when(known, F.length("kept").cast("long"))}
+    return found.select(*[made.get(c, F.col(f"carried.rest.`of {c}`")).alias(c) for c in docs.columns])
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it (0 to 3 rows).
 
     Rows that repeat an id are taken as often as the most taken of them."""
-    taken = materialized(mixing.mix(docs).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("__copies")))
-    d, t = docs.alias("d"), taken.alias("t")
+    taken = materialized(mixing.mix(docs).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("copies")))
+    d, t = docs.select("doc_id", _row(docs)).alias("d"), taken.alias("t")
     return (d.join(t, F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")))
-            .select(*[F.col(f"d.`{c}`") for c in docs.columns],
-                    F.explode(F.sequence(F.lit(1), F.col("t.__copies"))).alias("__copy"))
-            .drop("__copy"))
+            .select("d.row", F.explode(F.sequence(F.lit(1), F.col("t.copies")))).select("row.*"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, read back once to make sure of them."""
-    vocab = vocabulary()
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocab), vocab)
+    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary(), decoded_out="decoded")
     return coded.select(
         "doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
         (F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("reads_back"))
