@@ -47,11 +47,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .common import ship, union
 
 LENGTH = 100
-GRAM = 24
+GRAM = 36
 BLOCK_BYTES = 4 << 20
 SLAB = 1 << 20              # window starts hashed at a time
 RUN = 4096                  # windows of one piece at most
-CHUNK = 1 << 20             # symbols of one suffix array, unless one key has more
+CHUNK = 1 << 18             # symbols of one suffix array, unless one key has more
 HOT = 8192                  # pieces of a key beyond which its windows are counted
 ROW = 1 << 40               # place of the n-th row that repeats an id: n * ROW + byte
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -135,11 +135,15 @@ class Texts:
             count = min(SLAB, total - at)
             gram = hashes(self.data[at: at + count + length - 1], GRAM)
             key = sliding_min(gram, width)[:count]
-            place = np.arange(at, at + count)
-            doc = np.searchsorted(ends, place, "right")
-            inside = place + length <= ends[doc]
-            edge = np.ones(count, bool)
-            edge[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]) | ~inside[:-1]
+            inside, edge = np.ones(count, bool), np.ones(count, bool)
+            edge[1:] = key[1:] != key[:-1]
+            doc = int(np.searchsorted(ends, at, "right"))
+            while doc < len(ends) and self.offsets[doc] < at + count:     # windows that would leave their text
+                start, end = max(0, int(self.offsets[doc]) - at), int(ends[doc]) - at
+                inside[max(start, end - length + 1): end] = False
+                edge[start] = True
+                doc += 1
+            edge[1:] |= ~inside[:-1]
             first = np.flatnonzero(edge & inside)
             if not len(first):
                 continue
@@ -188,11 +192,11 @@ def _packed(rows: dict[str, list], schema: pa.Schema) -> pa.Table:
 
 _COUNT = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 _NOTE = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
-_PIECE = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("sizes", pa.binary()),
+_PIECE = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("sizes", pa.binary()), ("doubled", pa.binary()),
                     ("ids", pa.binary()), ("places", pa.binary()), ("data", pa.binary())])
 _COUNT_DDL = "bucket long, block long, keys binary, counts binary"
 _NOTE_DDL = "block long, kind int, a binary, b binary, c binary"
-_PIECE_DDL = "bucket long, block long, keys binary, sizes binary, ids binary, places binary, data binary"
+_PIECE_DDL = "bucket long, block long, keys binary, sizes binary, doubled binary, ids binary, places binary, data binary"
 REPEATED, HOT_KEY, WINDOW, REPEAT = 0, 1, 2, 3      # kinds of notes to a block
 
 
@@ -265,9 +269,9 @@ class Candidates:
 
     def __init__(self, found: pa.Table, notes: pa.Table, length: int):
         self.texts, self.length = Texts(found), length
-        keys, starts, sizes, _ = self.texts.runs(length)
+        keys, starts, sizes, doubled = self.texts.runs(length)
         own = _member(keys, _noted(notes, REPEATED))
-        self.keys, self.starts, self.sizes = keys[own], starts[own], sizes[own]
+        self.keys, self.starts, self.sizes, self.doubled = keys[own], starts[own], sizes[own], doubled[own]
         self.hot = _member(self.keys, _noted(notes, HOT_KEY))
 
     def hot_windows(self) -> np.ndarray:
@@ -289,6 +293,7 @@ class Candidates:
         windows = self.hot_windows()
         often = _member(self.hot_hashes(windows), _noted(notes, WINDOW))
         key = np.repeat(self.keys[self.hot], self.sizes[self.hot])
+        twice = np.repeat(self.doubled[self.hot], self.sizes[self.hot])
         piece = np.repeat(np.arange(int(self.hot.sum())), self.sizes[self.hot])
         edge = np.ones(len(windows), bool)
         edge[1:] = (piece[1:] != piece[:-1]) | ~often[:-1]
@@ -299,8 +304,10 @@ class Candidates:
         self.keys = np.concatenate([self.keys[cold], key[first]])
         self.starts = np.concatenate([self.starts[cold], windows[first]])
         self.sizes = np.concatenate([self.sizes[cold], size])
+        self.doubled = np.concatenate([self.doubled[cold], twice[first]])
         order = np.argsort(self.starts, kind="stable")
-        self.keys, self.starts, self.sizes = self.keys[order], self.starts[order], self.sizes[order]
+        self.keys, self.starts, self.sizes, self.doubled = (
+            x[order] for x in (self.keys, self.starts, self.sizes, self.doubled))
 
     def collapse(self) -> np.ndarray:
         return _first(self.texts.data, self.starts, self.sizes + self.length - 1)
@@ -324,7 +331,7 @@ def _pieces(found: pa.Table, notes: pa.Table, length: int, buckets: int) -> pa.T
     first = own.collapse()
     chosen = np.flatnonzero(first == np.arange(len(first)))
     ids, places = own.texts.place(own.starts[chosen])
-    keys, starts, sizes = own.keys[chosen], own.starts[chosen], own.sizes[chosen]
+    keys, starts, sizes, doubled = own.keys[chosen], own.starts[chosen], own.sizes[chosen], own.doubled[chosen]
     raw = own.texts.data.tobytes()
     rows: dict[str, list] = {f.name: [] for f in _PIECE}
     for bucket, part in _dealt(keys, buckets):
@@ -332,6 +339,7 @@ def _pieces(found: pa.Table, notes: pa.Table, length: int, buckets: int) -> pa.T
         rows["block"].append(_block(found))
         rows["keys"].append(keys[part].tobytes())
         rows["sizes"].append(sizes[part].astype(np.int32).tobytes())
+        rows["doubled"].append(doubled[part].astype(np.uint8).tobytes())
         rows["ids"].append(ids[part].tobytes())
         rows["places"].append(places[part].tobytes())
         rows["data"].append(b"".join([raw[a: a + n + length - 1] for a, n in zip(starts[part].tolist(), sizes[part].tolist())]))
@@ -341,8 +349,8 @@ def _pieces(found: pa.Table, notes: pa.Table, length: int, buckets: int) -> pa.T
 def suffix_array(text: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes of concatenated pieces in the order of their first ``depth`` symbols
     at least.  ``text`` holds symbols, 0 at the end of each piece; ``left`` is the
-    number of symbols before the piece's end.  Ends differ from each other, in
-    the order of the pieces; suffixes equal to that depth are in any order."""
+    number of symbols before the piece's end.  Ends differ from each other;
+    suffixes equal up to an end or to that depth are in any order."""
     n, size = len(text), 7
     key = np.zeros(n, np.int64)
     alive = np.ones(n, bool)
@@ -351,7 +359,7 @@ def suffix_array(text: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
         alive[n - k:] = False
         key <<= 9
         key[: n - k][alive[: n - k]] |= text[k:][alive[: n - k]]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     while True:
         own = key[order]
         new = np.ones(n, bool)
@@ -473,6 +481,10 @@ def _classes(found: pa.Table, length: int) -> pa.Table:
     told = [(np.flatnonzero(first != np.arange(len(keys))), None, None)]     # whole pieces
     chosen = order[first[order] == order]
     group = np.cumsum(np.append(True, keys[chosen][1:] != keys[chosen][:-1])) if len(chosen) else chosen
+    # a key left with one piece that has its gram at one place only has no two windows to compare
+    alone = np.bincount(group, minlength=1)[group] == 1 if len(chosen) else group > 0
+    chosen = chosen[~alone | take("doubled", np.uint8).astype(bool)[chosen]]
+    group = np.cumsum(np.append(True, keys[chosen][1:] != keys[chosen][:-1])) if len(chosen) else chosen
     fill = np.cumsum(spans[chosen])
     at = 0
     while at < len(chosen):
