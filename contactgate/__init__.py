@@ -28,10 +28,10 @@ from contactgate.plans.phone_state import (  # noqa: E402
 from contactgate.sources.delivery import (  # noqa: E402
     ingest_change, ingest_enrollment, ingest_snapshot,
 )
-from contactgate.sources.tables import VersionedTable  # noqa: E402
+from contactgate.sources.tables import RunTable  # noqa: E402
 
 __all__ = [
-    "IncrementalState", "VersionedTable", "build_consent", "build_state", "can_send_sms",
+    "IncrementalState", "RunTable", "build_consent", "build_state", "can_send_sms",
     "consent_history", "decide", "dedup_by", "denial_reason", "diff", "evaluate", "gap_fill",
     "gate", "ingest_change", "ingest_enrollment", "ingest_snapshot", "latest_by", "upsert",
     "verdict",

@@ -6,10 +6,11 @@ key.  If a key has several published rows (two legacy suffixes of one
 account), the most restrictive answer wins (``bool_and``), so the result never
 depends on row order.  Unknown keys are denied.
 
-Plan shape: the published side is aggregated on the key (partial + final
-aggregate), which leaves it hash-partitioned on the key; only the question side
-is shuffled to meet it.  A hot question key is split by AQE's skew-join
-handling; the matching published side is a single row per key.
+Plan shape: the published side is reduced to a *written* decision table, one row
+per key.  Joined as a table, both sides of the join are plain shuffles, which is
+what AQE's skew-join handling needs to split a hot question key (an aggregate
+straight under the join would not be split); a table that Spark measures as
+small is broadcast instead.  :func:`decide` can also salt hot keys explicitly.
 """
 
 from __future__ import annotations
@@ -20,8 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contactgate.functions.columns import SEND_SOURCES, can_send_rule, normalize_phone_input
+from contactgate.session import checkpoint_dir, fresh_path
 
 KEYS = ("account_number", "phone_number")
+MAX_BROADCAST_HOT_KEYS = 100_000    # longest list of hot keys that is broadcast
 
 
 def keyed_decisions(consent: DataFrame, keys: Sequence[str] = KEYS,
@@ -32,9 +35,21 @@ def keyed_decisions(consent: DataFrame, keys: Sequence[str] = KEYS,
     return consent.groupBy(*keys).agg(F.bool_and(rule).alias(out))
 
 
+def decision_table(consent: DataFrame, path: str | None = None, keys: Sequence[str] = KEYS,
+                   allowed_sources: tuple[str, ...] = SEND_SOURCES, out: str = "can_send_sms") -> DataFrame:
+    """:func:`keyed_decisions`, written once to ``path`` (default: a new folder in the
+    shared checkpoint directory) and read back."""
+    spark = consent.sparkSession
+    path = path or fresh_path(spark, "decisions")
+    keyed_decisions(consent, keys, allowed_sources, out).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def hot_keys(requests: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
     """Keys holding more than ``share`` of all request rows.  At most
     ``1 / share`` keys can qualify, so the result has a proven size bound."""
+    if not 0 < share <= 1:
+        raise ValueError("share must be above 0 and at most 1")
     total = requests.agg(F.count(F.lit(1))).scalar()
     return (requests.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
             .where(F.col("__n") > total * F.lit(share))
@@ -44,27 +59,31 @@ def hot_keys(requests: DataFrame, keys: Sequence[str], share: float) -> DataFram
 def decide(requests: DataFrame, consent: DataFrame, keys: Sequence[str] = KEYS,
            allowed_sources: tuple[str, ...] = SEND_SOURCES, phone_col: str = "phone_number",
            out: str = "can_send_sms", hot_key_share: float | None = None,
-           salt_buckets: int = 64) -> DataFrame:
+           salt_buckets: int = 64, decisions: DataFrame | None = None) -> DataFrame:
     """Answer every request row; keeps the request columns, with the phone
     normalised (a bare 10-digit number gets the country prefix), and adds
     ``out`` (never NULL).
 
-    Skew: by default a hot request key is split at run time by AQE's skew
-    join (its partner is one decision row).  With ``hot_key_share`` the split
-    is explicit: keys above that share of all requests (a list of at most
-    ``1 / hot_key_share`` rows, hence broadcast) are salted -- their request
-    rows spread over ``salt_buckets`` buckets, their single decision row
-    replicated to each bucket; all other keys join unsalted."""
+    ``decisions`` is a decision table to join (see :func:`decision_table`); by default
+    one is written first.  Skew: a hot request key is split at run time by AQE's skew
+    join.  With ``hot_key_share`` the split is explicit: keys above that share of all
+    requests (a list of at most ``1 / hot_key_share`` rows, broadcast if that is no
+    more than ``MAX_BROADCAST_HOT_KEYS``) are salted -- their request rows are spread
+    over ``salt_buckets`` buckets by a row number, whatever columns they have, and their
+    single decision row is replicated to each bucket; all other keys join unsalted."""
     keys = list(keys)
     req = requests.withColumn(phone_col, normalize_phone_input(phone_col))
-    decided = keyed_decisions(consent, keys, allowed_sources, out)
+    decided = decisions if decisions is not None else \
+        decision_table(consent, keys=keys, allowed_sources=allowed_sources, out=out)
     if hot_key_share is None:
         joined = req.join(decided, on=keys, how="left")
     else:
-        hot = F.broadcast(hot_keys(req, keys, hot_key_share))
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in req.columns]), F.lit(salt_buckets))
-        req_s = (req.join(hot, on=keys, how="left")
-                 .withColumn("__salt", F.when(F.col("__hot"), salt).otherwise(F.lit(0)))
+        checkpoint_dir(req.sparkSession)
+        hot = hot_keys(req, keys, hot_key_share).checkpoint()
+        hot = F.broadcast(hot) if 1 / hot_key_share <= MAX_BROADCAST_HOT_KEYS else hot
+        salt = F.pmod(F.monotonically_increasing_id(), F.lit(salt_buckets))
+        req_s = (req.withColumn("__salt", salt).join(hot, on=keys, how="left")
+                 .withColumn("__salt", F.when(F.col("__hot"), F.col("__salt")).otherwise(F.lit(0)))
                  .drop("__hot"))
         buckets = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1).cast("long")))
         dec_s = (decided.join(hot, on=keys, how="left")
@@ -78,13 +97,13 @@ def decide(requests: DataFrame, consent: DataFrame, keys: Sequence[str] = KEYS,
 def lookup(spark: SparkSession, consent: DataFrame, account_number: str,
            phone_number: str) -> DataFrame:
     """One permission question as a one-row DataFrame.  The key equality is
-    applied to the consent table before the join, so on a parquet table it
-    is pushed into the scan (row groups whose min/max exclude the key are
-    skipped; write the table sorted by key for that)."""
-    req = spark.createDataFrame([(account_number, phone_number)], list(KEYS))
-    narrowed = consent.where((F.col("account_number") == account_number)
-                             & (F.col("phone_number") == normalize_phone_input(F.lit(phone_number))))
-    return decide(req, narrowed)
+    pushed into the scan of a parquet table (row groups whose min/max exclude
+    the key are skipped; write the table sorted by key for that), and the
+    rows found are reduced by one aggregate; there is no join."""
+    phone = normalize_phone_input(F.lit(phone_number))
+    narrowed = consent.where((F.col("account_number") == account_number) & (F.col("phone_number") == phone))
+    return narrowed.agg(F.coalesce(F.bool_and(can_send_rule()), F.lit(False)).alias("can_send_sms")).select(
+        F.lit(account_number).alias("account_number"), phone.alias("phone_number"), "can_send_sms")
 
 
 def can_send_sms(spark: SparkSession, consent: DataFrame, account_number: str,

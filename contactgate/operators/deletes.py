@@ -24,10 +24,11 @@ def latest_snapshot_date(snapshots: DataFrame, date_col: str = "_file_date") ->
 
 
 def absent_from_latest(snapshots: DataFrame, keys: Sequence[str],
-                       date_col: str = "_file_date") -> DataFrame:
+                       date_col: str = "_file_date", dates: DataFrame | None = None) -> DataFrame:
     """Per key: ``last_seen_date``, ``is_hard_deleted`` (last seen before the
-    newest snapshot) and ``hard_deleted_at`` (the last-seen date when deleted)."""
-    latest = latest_snapshot_date(snapshots, date_col)
+    newest snapshot) and ``hard_deleted_at`` (the last-seen date when deleted).
+    ``dates`` is the frame the newest date is taken from (default: ``snapshots``)."""
+    latest = latest_snapshot_date(snapshots if dates is None else dates, date_col)
     return (
         snapshots.groupBy(*keys)
         .agg(F.max(date_col).alias("last_seen_date"))

@@ -20,16 +20,31 @@ def gap_fill(primary: DataFrame, fallback: DataFrame, keys: Sequence[str]) -> Da
     return primary.unionByName(missing)
 
 
-def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys of ``df`` that occur more than once (empty when unique)."""
-    return df.groupBy(*keys).count().where(F.col("count") > 1)
+class RepeatedKeyError(ValueError):
+    """A merge source holds a key more than once."""
+
+
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of ``df`` that occur more than once (empty when unique).  Keys with a
+    NULL part are not counted: they match nothing."""
+    complete = df.dropna(subset=list(keys))
+    return complete.groupBy(*keys).count().where(F.col("count") > 1)
+
+
+def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise unless ``df`` is unique on ``keys`` (one aggregate job, one row fetched)."""
+    found = repeated_keys(df, keys).take(1)
+    if found:
+        raise RepeatedKeyError(f"merge source repeats key {found[0].asDict()}")
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            delete_missing: bool = False) -> DataFrame:
     """MERGE semantics: matched target rows are replaced by the source row,
     unmatched source rows are inserted, unmatched target rows are kept
-    (or dropped with ``delete_missing``).  ``source`` must be unique on keys."""
+    (or dropped with ``delete_missing``).  ``source`` must be unique on keys
+    (:func:`require_unique`).  NULL keys match nothing, as in a MERGE on
+    equality, so a source row with a NULL key is inserted by every upsert."""
     if delete_missing:
         return source.select(*target.columns)
     kept = target.join(source.select(*keys), on=list(keys), how="left_anti")
@@ -40,13 +55,19 @@ def diff(old: DataFrame, new: DataFrame, keys: Sequence[str],
          change_col: str = "_change_type") -> DataFrame:
     """Row-level change feed between two versions of a table keyed by ``keys``:
     ``insert``, ``delete``, ``update_preimage`` and ``update_postimage`` rows
-    (every value column compared NULL-safely).  One full outer join on the
+    (keys and value columns are compared NULL-safely, so a row with a NULL in
+    its key meets itself in the other version).  One full outer join on the
     key; both versions must be unique on it."""
     keys = list(keys)
     values = [c for c in old.columns if c not in keys]
-    o = old.select(*keys, F.struct(*values).alias("__o"), F.lit(True).alias("__in_o"))
-    n = new.select(*keys, F.struct(*values).alias("__n"), F.lit(True).alias("__in_n"))
-    j = o.join(n, on=keys, how="full_outer")
+    o = old.select(F.struct(*keys).alias("__ko"), F.struct(*values).alias("__o"), F.lit(True).alias("__in_o"))
+    n = new.select(F.struct(*keys).alias("__kn"), F.struct(*values).alias("__n"), F.lit(True).alias("__in_n"))
+    same_key = F.lit(True)
+    for k in keys:
+        same_key = same_key & F.col(f"__ko.{k}").eqNullSafe(F.col(f"__kn.{k}"))
+    j = o.join(n, on=same_key, how="full_outer")
+    j = j.select(*[F.when(F.col("__in_o"), F.col(f"__ko.{k}")).otherwise(F.col(f"__kn.{k}")).alias(k) for k in keys],
+                 "__o", "__in_o", "__n", "__in_n")
     same = F.lit(True)
     for c in values:
         same = same & F.col(f"__o.{c}").eqNullSafe(F.col(f"__n.{c}"))

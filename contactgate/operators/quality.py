@@ -58,8 +58,18 @@ def verdict(results: DataFrame) -> DataFrame:
                        F.count_if(~F.col("passed")).cast("long").alias("failed"))
 
 
+ON_FAIL = ("raise", "warn", "block")
+
+
+def check_mode(on_fail: str) -> None:
+    if on_fail not in ON_FAIL:
+        raise ValueError(f"on_fail must be one of {ON_FAIL}, not {on_fail!r}")
+
+
 def gate(results: DataFrame, on_fail: str = "raise") -> bool:
-    """Publish gate: evaluate the verdict (one small job) and raise or warn."""
+    """Publish gate: evaluate the verdict (one small job) and raise, warn, or just
+    return False (``block``)."""
+    check_mode(on_fail)
     failed = [r["name"] for r in results.where(~F.col("passed")).select("name").collect()]
     if failed and on_fail == "raise":
         raise QualityGateError(f"quality checks failed: {', '.join(failed)}")

@@ -8,7 +8,8 @@ single ``groupBy(keys)``:
   sources (class 0, e.g. enrollments) win only when the key has no primary
   record at all (gap fill without an anti join);
 * ``last_seen`` = newest event among *snapshot* rows (absence delete), compared
-  with the newest snapshot overall, a scalar subquery;
+  with the newest snapshot overall, a scalar subquery; with several snapshot
+  feeds a key is absent when every feed that ever listed it has since left it out;
 * the newest *change* row gives the explicit delete flag (flag delete).
 
 One shuffle on the key replaces a chain of windows and joins, and the partial
@@ -67,7 +68,6 @@ class ReconcileConfig:
     flag_col: str = "soft_delete_flag"
     flag_value: str = "Y"
     types: Mapping[str, str] = field(default_factory=dict)
-    tiebreak_width: int = 2
 
 
 def _q(name: str) -> str:
@@ -84,13 +84,18 @@ def _lit(v) -> str:
     return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def align(spec: SourceSpec, target: Sequence[str], cfg: ReconcileConfig) -> DataFrame:
-    """Project one feed onto the common event schema plus ordering columns."""
+def align(spec: SourceSpec, target: Sequence[str], cfg: ReconcileConfig,
+          width: int | None = None, feed: int = 0) -> DataFrame:
+    """Project one feed onto the common event schema plus ordering columns.
+
+    ``width`` is the number of tiebreak fields of the feed that has most (shorter
+    lists are padded with NULL); ``feed`` numbers the snapshot feeds."""
     df = spec.df
+    width = len(spec.tiebreak) if width is None else width
     staged: dict[str, str] = {}
     # Column-valued specs are materialised first (slower path, same plan)
     col_specs = {k: v for k, v in spec.columns.items() if isinstance(v, Column)}
-    tb = list(spec.tiebreak)[: cfg.tiebreak_width]
+    tb = list(spec.tiebreak)
     for i, t in enumerate(tb):
         if isinstance(t, Column):
             col_specs[f"__tbsrc{i}"] = t
@@ -111,31 +116,49 @@ def align(spec: SourceSpec, target: Sequence[str], cfg: ReconcileConfig) -> Data
         else:
             exprs.append(f"CAST(NULL AS {typ}) AS {_q(name)}")
     tb_exprs = [src(f"__tbsrc{i}", t) for i, t in enumerate(tb)]
-    tb_exprs += ["NULL"] * (cfg.tiebreak_width - len(tb_exprs))
+    tb_exprs += ["NULL"] * (max(width, 1) - len(tb_exprs))
     exprs += [
         f"{0 if spec.fallback else 1} AS __class",
         f"{int(spec.priority)} AS __prio",
         "named_struct(" + ", ".join(f"'t{i}', CAST({t} AS STRING)" for i, t in enumerate(tb_exprs))
         + ") AS __tb",
         f"CAST({_lit(spec.role)} AS STRING) AS __role",
+        f"{int(feed)} AS __feed",
     ]
     return df.selectExpr(*exprs)
 
 
+def _seen(feed: int) -> str:
+    """Column of the newest date in snapshot feed number ``feed``."""
+    return "__seen" if feed == 0 else f"__seen{feed}"
+
+
 CANDIDATE_COLUMNS = ["__apart", "__cand", "__ord", "__seen", "__chg", "__chg_ord"]
 
 
+def tiebreak_width(sources: Sequence[SourceSpec]) -> int:
+    """Fields of the longest tiebreak list."""
+    return max((len(s.tiebreak) for s in sources), default=0)
+
+
+def _snapshots(sources: Sequence[SourceSpec]) -> list[SourceSpec]:
+    return [s for s in sources if s.role == SNAPSHOT]
+
+
 def candidates(sources: Sequence[SourceSpec], cfg: ReconcileConfig,
-               target: Sequence[str]) -> DataFrame:
+               target: Sequence[str], width: int | None = None) -> DataFrame:
     """Aligned rows of every feed as reduction candidates: keys, the row
     (``__cand``) and its precedence (``__ord``), the snapshot date it proves
     (``__seen``) and, for change rows, the flag candidate (``__chg``,
     ``__chg_ord``).  Reducing candidates is associative, so candidates of new
     deliveries can be folded into an earlier reduction (see
-    :func:`reduce_candidates`)."""
+    :func:`reduce_candidates`); reductions that are folded together need the same
+    ``width`` of tiebreak fields (default: the longest list given)."""
     keys = list(cfg.keys)
     ev = _q(cfg.event_col)
-    aligned = [align(s, target, cfg) for s in sources]
+    width = tiebreak_width(sources) if width is None else width
+    numbers = {id(s): i for i, s in enumerate(_snapshots(sources))}
+    aligned = [align(s, target, cfg, width, numbers.get(id(s), 0)) for s in sources]
     events = aligned[0]
     for a in aligned[1:]:
         events = events.unionByName(a)
@@ -143,13 +166,19 @@ def candidates(sources: Sequence[SourceSpec], cfg: ReconcileConfig,
     # key is kept apart from the primary rows of the same (NULL) key.
     incomplete = " OR ".join(f"{_q(k)} IS NULL" for k in keys)
     chg = "__role = 'change'"
+    flag = _q(cfg.flag_col) if cfg.flag_col in target else "CAST(NULL AS STRING)"
+    if len(numbers) > 1:
+        seen = [f"CASE WHEN __role = 'snapshot' AND __feed = {i} THEN {ev} END AS {_seen(i)}"
+                for i in range(len(numbers))]
+    else:
+        seen = [f"CASE WHEN __role = 'snapshot' THEN {ev} END AS __seen"]
     return events.selectExpr(
         *[_q(k) for k in keys],
         f"(({incomplete}) AND __class = 0) AS __apart",
         "struct(" + ", ".join(_q(c) for c in target) + ") AS __cand",
         f"struct(__class, {ev}, __prio, __tb) AS __ord",
-        f"CASE WHEN __role = 'snapshot' THEN {ev} END AS __seen",
-        f"CASE WHEN {chg} THEN named_struct('flag', {_q(cfg.flag_col)}, 'at', {ev}) END AS __chg",
+        *seen,
+        f"CASE WHEN {chg} THEN named_struct('flag', {flag}, 'at', {ev}) END AS __chg",
         f"CASE WHEN {chg} THEN struct({ev}, __tb) END AS __chg_ord",
         *[_q(c) for c in target],
     )
@@ -163,7 +192,7 @@ def reduce_candidates(cands: DataFrame, cfg: ReconcileConfig,
     aggs = [
         F.expr("max_by(__cand, __ord)").alias("__cand"),
         F.expr("max(__ord)").alias("__ord"),
-        F.expr("max(__seen)").alias("__seen"),
+        *[F.expr(f"max({c})").alias(c) for c in cands.columns if c.startswith("__seen")],
         F.expr("max_by(__chg, __chg_ord)").alias("__chg"),
         F.expr("max(__chg_ord)").alias("__chg_ord"),
     ]
@@ -171,19 +200,30 @@ def reduce_candidates(cands: DataFrame, cfg: ReconcileConfig,
     return cands.groupBy(*cfg.keys, "__apart").agg(*aggs)
 
 
-def finish(reduced: DataFrame, cfg: ReconcileConfig, target: Sequence[str], latest: Column | None,
-           snapshot_tag: str | None, extra_names: Sequence[str] = ()) -> DataFrame:
-    """Winner columns plus raw delete inputs, from a reduction."""
+def finish(reduced: DataFrame, cfg: ReconcileConfig, target: Sequence[str],
+           latest: Column | Sequence[Column] | None,
+           snapshot_tag: str | Sequence[str] | None, extra_names: Sequence[str] = ()) -> DataFrame:
+    """Winner columns plus raw delete inputs, from a reduction.
+
+    ``latest`` holds the newest date of each snapshot feed, in order."""
     complete = " AND ".join(f"__cand.{_q(k)} IS NOT NULL" for k in cfg.keys)
     flag = _lit(cfg.flag_value)
+    latest = [latest] if isinstance(latest, Column) else list(latest or [])
+    tags = [snapshot_tag] if isinstance(snapshot_tag, str) else list(snapshot_tag or [])
+    seen = [F.col(_seen(i)) for i in range(len(latest))]
+    if seen:    # listed somewhere, and in no feed's newest snapshot
+        gone = F.coalesce(*seen).isNotNull()
+        for s, newest in zip(seen, latest):
+            gone = gone & (F.coalesce(s < newest, F.lit(True)))
+        gone = F.when(F.coalesce(*seen).isNotNull(), gone)
+    last_seen = seen[0] if len(seen) == 1 else F.greatest(*seen) if seen else F.col("__seen")
     out = reduced.select(
         *[F.col(f"__cand.{_q(c)}").alias(c) for c in target],
-        F.col("__seen").alias("last_seen_date"),
-        ((F.expr(complete) & (F.col("__seen") < latest)) if latest is not None
-         else F.lit(None).cast("boolean")).alias("is_hard_deleted"),
+        last_seen.alias("last_seen_date"),
+        ((F.expr(complete) & gone) if seen else F.lit(None).cast("boolean")).alias("is_hard_deleted"),
         F.expr(f"({complete}) AND __chg.flag = {flag}").alias("is_soft_deleted"),
         F.col("__chg.at").alias("soft_deleted_at"),
-        F.expr(f"CAST({_lit(snapshot_tag)} AS STRING)").alias("__snapshot_tag"),
+        F.expr("CAST(array(" + ", ".join(map(_lit, tags)) + ") AS ARRAY<STRING>)").alias("__snapshot_tags"),
         *[F.col(n) for n in extra_names],
     )
     cols = [_q(c) for c in out.columns]
@@ -197,25 +237,20 @@ def reconcile(sources: Sequence[SourceSpec], cfg: ReconcileConfig,
     """Current state per key.  Output: the ``target`` columns of the winning
     row plus ``last_seen_date``, ``is_hard_deleted``, ``hard_deleted_at``,
     ``is_soft_deleted``, ``soft_deleted_at`` (before precedence) and a
-    ``__snapshot_tag`` helper, all resolved by :func:`delete_status`.
+    ``__snapshot_tags`` helper, all resolved by :func:`delete_status`.
 
     ``extra`` maps output names to further aggregate expressions over the
     aligned event columns (e.g. history summaries); they ride on the same
     single shuffle."""
     extra = dict(extra or {})
-    snapshots = [s for s in sources if s.role == SNAPSHOT]
-    if len(snapshots) > 1:
-        raise ValueError("at most one snapshot feed is supported")
-    latest = None
-    if snapshots:
-        snap = snapshots[0]
+    latest = []
+    for snap in _snapshots(sources):
         date_expr = snap.snapshot_date if snap.snapshot_date is not None else snap.columns[cfg.event_col]
         dates = snap.snapshot_dates if snap.snapshot_dates is not None else snap.df
         agg = F.max(date_expr) if isinstance(date_expr, Column) else F.expr(f"max({date_expr})")
-        latest = dates.agg(agg).scalar()
+        latest.append(dates.agg(agg).scalar())
     reduced = reduce_candidates(candidates(sources, cfg, target), cfg, extra)
-    return finish(reduced, cfg, target, latest, snapshots[0].tag if snapshots else None,
-                  list(extra))
+    return finish(reduced, cfg, target, latest, [s.tag for s in _snapshots(sources)], list(extra))
 
 
 def delete_status(df: DataFrame, event_col: str = "event_date",
@@ -227,7 +262,7 @@ def delete_status(df: DataFrame, event_col: str = "event_date",
     strictly newer than the flag (re-added).  Absence beats flag for both the
     label and the date.  Adds ``is_deleted``, ``delete_type``, ``deleted_at``.
     """
-    soft = (f"(CASE WHEN is_soft_deleted AND {_q(source_col)} = __snapshot_tag "
+    soft = (f"(CASE WHEN is_soft_deleted AND array_contains(__snapshot_tags, {_q(source_col)}) "
             f"AND {_q(event_col)} > soft_deleted_at THEN false "
             f"ELSE COALESCE(is_soft_deleted, false) END)")
     return df.selectExpr(

@@ -105,6 +105,21 @@ def q_bulk_permission_salted(spark, sf):
                   hot_key_share=0.0002, salt_buckets=16)
 
 
+@register("permission_hot_key", f"""
+SELECT r.request_id, r.account_number, '+1' || r.phone_number AS phone_number,
+       COALESCE(d.can_send_sms, false) AS can_send_sms
+FROM (SELECT request_id, if(request_id % 3 = 0, '0000000000000001', account_number) AS account_number,
+             if(request_id % 3 = 0, '0000000005', phone_number) AS phone_number FROM requests) r
+LEFT JOIN decisions d ON r.account_number = d.account_number AND '+1' || r.phone_number = d.phone_number""", "C6")
+def q_permission_hot_key(spark, sf):
+    """Every third request asks for one and the same key."""
+    hot = F.col("request_id") % 3 == 0
+    requests = permission_requests(spark, sf).withColumns({
+        "account_number": F.when(hot, F.lit(LOOKUP_ACCOUNT)).otherwise(F.col("account_number")),
+        "phone_number": F.when(hot, F.lit(LOOKUP_PHONE)).otherwise(F.col("phone_number"))})
+    return decide(requests, Layers(spark, sf).consent, hot_key_share=0.2)
+
+
 LOOKUP_ACCOUNT = "0000000000000001"   # customer 1 exists at every scale
 LOOKUP_PHONE = "0000000005"           # its enrollment phone
 
@@ -259,7 +274,8 @@ SELECT h_legacy AS cnsmr_idntfr_lgcy_txt, h_phone AS cnsmr_phn_nmbr_txt, last_se
        is_hard_deleted, CASE WHEN is_hard_deleted THEN last_seen_date END AS hard_deleted_at
 FROM hard""", "A3")
 def q_detect_hard_deletes(spark, sf):
-    return P.hard_deletes(Layers(spark, sf).nonfin_dedup)
+    L = Layers(spark, sf)
+    return P.hard_deletes(L.nonfin_dedup, raw=L.nonfin)
 
 
 @register("detect_soft_deletes", """

@@ -1,8 +1,8 @@
 """Incremental phone state: fold new deliveries into stored reductions
 instead of re-reading every historical snapshot.
 
-Two tables, each a :class:`VersionedTable` (every fold writes a new version,
-which also cuts lineage):
+Tables, each a :class:`RunTable` (every fold writes a run of its own, which also
+cuts lineage):
 
 ``buffer``     one row per key: the best snapshot/enrollment candidate, its
                precedence and the newest snapshot date that listed the key.
@@ -15,9 +15,12 @@ which also cuts lineage):
 
 The current state combines both in the same aggregate the batch plan uses.
 Because every reduction is a max over a total order, the result equals the
-batch result over all deliveries, in any fold order.  Contract: one snapshot
-delivery (file date) is never split across batches -- snapshot dedup is per
-delivery.
+batch result over all deliveries, in any fold order.  Snapshot dedup is per
+delivery date, so a date is folded whole: the dates folded so far are kept in
+
+``dates``      the snapshot dates of each fold
+
+and a batch that brings rows of an earlier date is refused.
 """
 
 from __future__ import annotations
@@ -27,34 +30,57 @@ from pyspark.sql import functions as F
 
 from contactgate.functions.columns import account_from_legacy_sql
 from contactgate.operators.reconcile import (
-    CANDIDATE_COLUMNS, candidates, delete_status, finish, reduce_candidates,
+    CANDIDATE_COLUMNS, candidates, delete_status, finish, reduce_candidates, tiebreak_width,
 )
 from contactgate.plans import phone_state as P
 from contactgate.sources import schemas as S
-from contactgate.sources.tables import VersionedTable
+from contactgate.sources.tables import RunTable
+
+
+class SplitDeliveryError(ValueError):
+    """A snapshot date was folded before; its rows must come in one batch."""
 
 
 class IncrementalState:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
-        self.buffer = VersionedTable(spark, f"{path.rstrip('/')}/buffer")
-        self.survivors = VersionedTable(spark, f"{path.rstrip('/')}/survivors")
+        root = path.rstrip("/")
+        self.buffer = RunTable(spark, f"{root}/buffer")
+        self.survivors = RunTable(spark, f"{root}/survivors")
+        self.dates = RunTable(spark, f"{root}/dates")
         self.cfg = P._config()
 
-    def apply(self, nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame) -> None:
-        """Fold one batch of deliveries (any feed may be empty)."""
-        specs = [P.snapshot_source(P.dedup_snapshot(P.prune(nonfin, P.SNAPSHOT_USED))),
-                 P.enrollment_source(P.prune(enrollment, P.ENROLLMENT_USED))]
-        cands = candidates(specs, self.cfg, P.EVENT_COLUMNS).select(*P.KEYS, *CANDIDATE_COLUMNS)
-        if self.buffer.exists():
-            cands = cands.unionByName(self.buffer.read())
-        self.buffer.write(reduce_candidates(cands, self.cfg)
-                          .select(*P.KEYS, *CANDIDATE_COLUMNS))
+    def last_run(self) -> int | None:
+        """Newest complete fold; ``dates`` is written last."""
+        if not self.dates.exists():
+            return None
+        return self.dates.history().agg(F.max("run")).first()[0]
+
+    def apply(self, nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame) -> int:
+        """Fold one batch of deliveries (any feed may be empty); returns the fold's run."""
+        last = self.last_run()
+        run = 0 if last is None else last + 1
+        dates = nonfin.select("_file_date").distinct().withColumn("fold", F.lit(run))
+        if last is not None:
+            before = self.dates.history().where(F.col("run") <= last).select("_file_date")
+            split = dates.join(before, "_file_date", "left_semi").take(1)
+            if split:
+                raise SplitDeliveryError(f"snapshot date {split[0][0]} was folded before")
+        snapshot = P.snapshot_source(P.dedup_snapshot(P.prune(nonfin, P.SNAPSHOT_USED)))
+        first = P.enrollment_source(P.prune(enrollment, P.ENROLLMENT_USED))
+        changed = P.change_source(P.prune(supplfwd, P.CHANGE_USED))
+        width = tiebreak_width([snapshot, first, changed])
+        cands = candidates([snapshot, first], self.cfg, P.EVENT_COLUMNS, width).select(*P.KEYS, *CANDIDATE_COLUMNS)
+        if last is not None:
+            cands = cands.unionByName(self.buffer.read(last))
+        self.buffer.write(reduce_candidates(cands, self.cfg).select(*P.KEYS, *CANDIDATE_COLUMNS), run)
 
         changes = P.prune(supplfwd, P.CHANGE_USED)
-        if self.survivors.exists():
-            changes = self.survivors.read().select(*changes.columns).unionByName(changes)
-        self.survivors.write(P.dedup_change(changes))
+        if last is not None:
+            changes = self.survivors.read(last).select(*changes.columns).unionByName(changes)
+        self.survivors.write(P.dedup_change(changes), run)
+        self.dates.write(dates, run)
+        return run
 
     def apply_deliveries(self, nonfin_table, supplfwd_table, enrollment_table,
                          since=None, until=None) -> None:
@@ -66,8 +92,12 @@ class IncrementalState:
 
     def state(self) -> DataFrame:
         """Silver state as of the last fold (same 17 columns as the batch plan)."""
-        buf = self.buffer.read()
-        chg = candidates([P.change_source(self.survivors.read())], self.cfg, P.EVENT_COLUMNS) \
+        last = self.last_run()
+        if last is None:
+            raise FileNotFoundError("nothing has been folded yet")
+        buf = self.buffer.read(last)
+        width = len(buf.schema["__ord"].dataType["__tb"].dataType.fields)
+        chg = candidates([P.change_source(self.survivors.read(last))], self.cfg, P.EVENT_COLUMNS, width) \
             .select(*P.KEYS, *CANDIDATE_COLUMNS)
         latest = buf.agg(F.max("__seen")).scalar()
         reduced = reduce_candidates(buf.unionByName(chg), self.cfg)

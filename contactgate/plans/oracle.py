@@ -35,12 +35,12 @@ CTES: dict[str, str] = {}
 
 CTES["nonfin"] = f"""
 SELECT
-  CAST(o_custkey * 4 + o_orderkey % 4 AS VARCHAR) AS cnsmr_phn_id,
-  {pad('o_custkey', 16)} || 'P' AS cnsmr_idntfr_lgcy_txt,
-  'AGN' || {pad('o_custkey % 1000000', 6)} AS cnsmr_idntfr_agncy_id,
-  {pad('o_custkey * 7919 % 1000000000', 9)} AS cnsmr_idntfr_ssn_txt,
-  'F' || CAST(o_custkey AS VARCHAR) AS cnsmr_nm_frst_txt,
-  'L' || CAST(o_custkey AS VARCHAR) AS cnsmr_nm_lst_txt,
+  CAST(k * 4 + o_orderkey % 4 AS VARCHAR) AS cnsmr_phn_id,
+  {pad('k', 16)} || 'P' AS cnsmr_idntfr_lgcy_txt,
+  'AGN' || {pad('k % 1000000', 6)} AS cnsmr_idntfr_agncy_id,
+  {pad('k * 7919 % 1000000000', 9)} AS cnsmr_idntfr_ssn_txt,
+  'F' || CAST(k AS VARCHAR) AS cnsmr_nm_frst_txt,
+  'L' || CAST(k AS VARCHAR) AS cnsmr_nm_lst_txt,
   {pad('o_custkey % 50 * 4 + o_orderkey % 4', 10)} AS cnsmr_phn_nmbr_txt,
   {_pick('o_orderkey % 4', _TYPES)} AS cnsmr_phn_typ_val_txt,
   {_pick('o_orderkey % 3', _STATUSES)} AS cnsmr_phn_stts_val_txt,
@@ -52,12 +52,11 @@ SELECT
   CASE o_orderstatus WHEN 'F' THEN 'Y' WHEN 'O' THEN 'N' END AS cnsmr_phn_cnsnt_flg,
   CASE WHEN o_orderstatus IN ('F', 'O') THEN strftime(o_orderdate, '%Y-%m-%d') END
     AS cnsmr_phn_cnsnt_dt,
-  'MAINTENANCE/SN_SVC_DMBDL_DataManager-' || strftime(make_date(year(o_orderdate), 1, 1), '%Y%m%d')
+  'MAINTENANCE/MAINTFEED-' || strftime(make_date(year(o_orderdate), 1, 1), '%Y%m%d')
     || '000000000-NON-FIN-BDL_EXPORT_000.csv.gz' AS _source_file,
   make_date(year(o_orderdate), 1, 1) AS _file_date,
   's' || {pad('o_orderkey', 10)} AS _row_id
-FROM orders
-WHERE o_custkey % 10 <> 9"""
+FROM (SELECT *, o_custkey + CASE WHEN o_custkey % 10 = 9 THEN 1000000000 ELSE 0 END AS k FROM orders) o"""
 
 CTES["supplfwd"] = f"""
 SELECT
@@ -78,12 +77,14 @@ SELECT
     AS cnsmr_phn_cnsnt_dt,
   CASE WHEN event_type = 'error' THEN 'Y' ELSE 'N' END AS cnsmr_phn_sft_dlt_flg,
   CAST(DATE '1998-01-01' + off AS VARCHAR) AS record_date,
-  'MAINTENANCE/SN_SVC_DMBDL_DataManager-' || strftime(DATE '1998-01-01' + (off - off % 7 + 7), '%Y%m%d')
+  'MAINTENANCE/MAINTFEED-' || strftime(DATE '1998-01-01' + (off - off % 7 + 7), '%Y%m%d')
     || '000000000-SUPPLFWD-BDL_EXPORT_000.csv.gz' AS _source_file,
   DATE '1998-01-01' + (off - off % 7 + 7) AS _file_date,
   'h' || {pad('event_id', 10)} AS _row_id
-FROM (SELECT *, user_id * 10 + event_id % 3 * 3 AS c, CAST(event_id % 1462 AS INTEGER) AS off
-      FROM events WHERE event_id % 2 = 0) e"""
+FROM (SELECT *, user_id * 10 + event_id % 3 * 3
+                + CASE WHEN event_id % 2 = 1 THEN 500000000 ELSE 0 END AS c,
+             CAST(event_id % 1462 AS INTEGER) AS off
+      FROM events) e"""
 
 CTES["enrollment"] = f"""
 SELECT
@@ -100,7 +101,7 @@ SELECT
   CASE WHEN c_nationkey % 2 = 0 THEN 'CLIENT' ELSE 'OTHER' END AS phone_source,
   CAST(c_custkey % 100 AS VARCHAR) AS quality_score,
   CAST(d AS VARCHAR) AS enrollment_date,
-  'ENROLLMENT/IC_DMENRL_DataManager-' || strftime(make_date(year(d), month(d), 1), '%Y%m%d')
+  'ENROLLMENT/ENROLLFEED-' || strftime(make_date(year(d), month(d), 1), '%Y%m%d')
     || '000000000-ENRLMT-EXPORT_000.csv.gz' AS _source_file,
   make_date(year(d), month(d), 1) AS _file_date,
   'e' || {pad('c_custkey', 10)} AS _row_id
@@ -256,4 +257,7 @@ def with_ctes(body: str) -> str:
     for suffix, flt in VARIANTS.items():
         items += _variant(suffix, flt)
     parts = ",\n".join(f"{name} AS ({text}\n)" for name, text in items)
-    return f"WITH {parts}\n{body.strip()}"
+    body = body.strip()
+    if body.startswith("WITH "):    # a body with CTEs of its own
+        body = f"SELECT * FROM ({body}) body"
+    return f"WITH {parts}\n{body}"

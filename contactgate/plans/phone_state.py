@@ -7,11 +7,13 @@ one row per account and phone) → decisions.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contactgate.functions.columns import (
-    account_from_legacy_sql, normalize_phone_sql, parse_date_sql, tri_state_sql,
+    PHONE_PREFIX, account_from_legacy_sql, normalize_phone_input, normalize_phone_sql, parse_date_sql, tri_state_sql,
 )
 from contactgate.operators.deletes import absent_from_latest, flag_deletes
 from contactgate.operators.latest import dedup_by, latest_by
@@ -109,8 +111,10 @@ def latest_change_state(supplfwd_dedup: DataFrame) -> DataFrame:
                      ["record_date_parsed", "cnsmr_phn_hst_id", row_key(df, S.CHANGE_COLUMNS)])
 
 
-def hard_deletes(nonfin_dedup: DataFrame) -> DataFrame:
-    return absent_from_latest(nonfin_dedup, ["cnsmr_idntfr_lgcy_txt", "cnsmr_phn_nmbr_txt"])
+def hard_deletes(nonfin_dedup: DataFrame, raw: DataFrame | None = None) -> DataFrame:
+    """``raw``: the feed before dedup (which never removes a whole delivery), for a
+    newest date that costs a pruned scan and not a second dedup."""
+    return absent_from_latest(nonfin_dedup, ["cnsmr_idntfr_lgcy_txt", "cnsmr_phn_nmbr_txt"], dates=raw)
 
 
 def soft_deletes(supplfwd_dedup: DataFrame) -> DataFrame:
@@ -166,16 +170,19 @@ def enrollment_source(enrollment: DataFrame) -> SourceSpec:
                       tiebreak=["_source_file", row_key(enrollment, S.ENROLLMENT_COLUMNS)])
 
 
-def aligned_events(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame) -> DataFrame:
-    """The three deduplicated feeds on the common event schema, tagged."""
-    from contactgate.operators.reconcile import align
+def aligned_events(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame,
+                   ordered: bool = False) -> DataFrame:
+    """The three deduplicated feeds on the common event schema, tagged; ``ordered`` keeps
+    the columns that records are ordered by."""
+    from contactgate.operators.reconcile import align, tiebreak_width
     cfg = _config()
     specs = [snapshot_source(dedup_snapshot(prune(nonfin, SNAPSHOT_USED))),
              change_source(dedup_change(prune(supplfwd, CHANGE_USED))),
              enrollment_source(prune(enrollment, ENROLLMENT_USED))]
     out = None
+    more = ["__class", "__prio", "__tb"] if ordered else []
     for s in specs:
-        a = align(s, EVENT_COLUMNS, cfg).select(*EVENT_COLUMNS)
+        a = align(s, EVENT_COLUMNS, cfg, tiebreak_width(specs)).select(*EVENT_COLUMNS, *more)
         out = a if out is None else out.unionByName(a)
     return out
 
@@ -240,41 +247,130 @@ def consent_history(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFram
                      "consent_change"))
 
 
-def publish_consent(consent: DataFrame, table, on_fail: str = "raise",
+def consent_transitions(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame) -> DataFrame:
+    """Every withdrawal in a key's history: a record that says N directly after one that
+    said Y, in the order of the records (records without a consent value are passed
+    over).  One row per withdrawal: ``legacy_identifier, phone_number, given_at,
+    withdrawn_at, record_source``.
+
+    The window runs along the records of one (legacy id, phone); such a history is
+    bounded by the deliveries there have been.  Only records with a consent value enter it."""
+    from pyspark.sql import Window
+    records = aligned_events(nonfin, supplfwd, enrollment, ordered=True).where("consent_flag IN ('Y', 'N')")
+    order = Window.partitionBy(*KEYS).orderBy("__class", "event_date", "__prio", "__tb")
+    before = F.lag(F.struct("consent_flag", "event_date")).over(order)
+    return (records.withColumn("__before", before)
+            .where((F.col("consent_flag") == "N") & (F.col("__before.consent_flag") == "Y"))
+            .select(*KEYS, F.col("__before.event_date").alias("given_at"),
+                    F.col("event_date").alias("withdrawn_at"), "record_source"))
+
+
+class LayerGateError(RuntimeError):
+    """A layer's checks failed; nothing further was built."""
+
+
+def gated_run(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame, tables: str, run: int,
+              base: int | None = None, on_fail: str = "raise") -> int | None:
+    """Feeds -> state -> consent with a gate after each layer.
+
+    Every layer is written once under ``tables`` as ``run`` and checked there: feeds
+    (rows, dates, share of keys kept from the snapshot before), state, consent (with its
+    consistency against the state).  The results of all checks are stored as a run of
+    ``<tables>/quality`` before the verdict is acted on.  A failed gate stops the run
+    (``raise``), or ends it returning None (``block``), or is warned of (``warn``); the
+    consent table is merged into ``<tables>/consent`` from run ``base`` only behind all gates."""
+    from contactgate.operators.quality import check_mode, gate
+    from contactgate.plans import reports as R
+    from contactgate.sources.tables import RunTable
+    check_mode(on_fail)
+    spark = nonfin.sparkSession
+    root = tables.rstrip("/")
+    results = RunTable(spark, f"{root}/quality")
+
+    def passed(layer: int, found: DataFrame) -> bool:
+        # runs of the results table: three layers to a run
+        results.write(found, run * 3 + layer)
+        return gate(results.read(run * 3 + layer), on_fail) or on_fail == "warn"
+
+    if not passed(0, R.feed_quality(nonfin, supplfwd, enrollment)):
+        return None
+    state = RunTable(spark, f"{root}/state")
+    state.write(build_state(nonfin, supplfwd, enrollment), run)
+    if not passed(1, R.state_gate(state.read(run))):
+        return None
+    consent = RunTable(spark, f"{root}/consent_candidate")
+    consent.write(build_consent(state.read(run)), run)
+    if not passed(2, R.consent_gate(consent.read(run), state.read(run))):
+        return None
+    keys = ["account_number", "phone_number"]
+    return RunTable(spark, f"{root}/consent").upsert(consent.read(run), keys, run, base, sort_by=keys)
+
+
+def publish_consent(consent: DataFrame, table, run: int, base: int | None = None, on_fail: str = "raise",
                     keys: tuple[str, ...] = ("account_number", "phone_number")) -> int | None:
-    """Check, then publish: evaluate the state/consent checks in one pass and
-    upsert ``consent`` into the versioned ``table`` only when they pass (or
-    ``on_fail='warn'``).  Returns the new version, or None when blocked."""
-    from contactgate.operators.quality import gate
-    from contactgate.plans.reports import published_quality
-    if not gate(published_quality(consent), on_fail=on_fail):
-        if on_fail != "warn":
-            return None
-    return table.upsert(consent, list(keys), sort_by=list(keys))
+    """Check, then publish: write ``consent`` once beside the table, evaluate its checks in
+    one pass there, and merge it into the :class:`RunTable` ``table`` as ``run`` only when
+    they pass (or ``on_fail='warn'``).  An empty table does not pass.  Returns the run, or
+    None when blocked (``on_fail='block'``)."""
+    from contactgate.operators.quality import check_mode, gate
+    from contactgate.plans.reports import consent_gate
+    from contactgate.sources.tables import RunTable
+    check_mode(on_fail)
+    staged = RunTable(consent.sparkSession, f"{table.path}_candidate")
+    staged.write(consent, run)
+    rows = staged.read(run)
+    if not gate(consent_gate(rows), on_fail) and on_fail != "warn":
+        return None
+    return table.upsert(rows, list(keys), run, base, sort_by=list(keys))
+
+
+# Up to so many requested keys (and phone ids of their rows) are put into the plan as
+# literals, which reach the scans; beyond that they are joined.
+MAX_LITERAL_KEYS = 200
+MAX_LITERAL_IDS = 2000
+
+
+def _few(df: DataFrame, limit: int) -> list | None:
+    """The rows of ``df`` if there are no more than ``limit``, else None."""
+    rows = df.limit(limit + 1).collect()
+    return rows if len(rows) <= limit else None
 
 
 def state_for_keys(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame,
                    requests: DataFrame) -> DataFrame:
-    """The state rows of the requested (account_number, phone_number) keys
-    only -- exact, without reconciling every key.
-
-    Change and enrollment rows are filtered to the requested keys before any
-    shuffle.  Snapshot dedup runs per (phone id, delivery date), so every
-    snapshot row sharing a phone id with a requested key's rows is kept for
-    it; everything else is dropped before the shuffle.  The newest snapshot
-    date still comes from the whole feed (a pruned scan).
-    """
-    keys = requests.selectExpr("account_number AS __acct", "phone_number AS __phone").distinct()
+    """The state rows of the requested (account_number, phone_number) keys only, without
+    reconciling every key.  Phones may be given bare or with the country prefix.
+
+    Change and enrollment rows are filtered to the requested keys before any shuffle.
+    Snapshot dedup runs per (phone id, delivery date), so every snapshot row that
+    shares a phone id with a requested key's rows takes part (rows without a phone id share
+    that); everything else is dropped before the shuffle.  Few keys and ids are filters of
+    the scan, many are semi joins.  The newest snapshot date comes from the whole feed."""
+    keys = requests.select(
+        F.col("account_number").alias("__acct"), normalize_phone_input("phone_number").alias("__phone")).distinct()
+    literal = _few(keys, MAX_LITERAL_KEYS)
 
     def of_keys(df: DataFrame, legacy: str, phone: str) -> DataFrame:
-        k = df.selectExpr("*", f"{account_from_legacy_sql(legacy)} AS __acct",
-                          f"{phone} AS __phone")
+        account, published = account_from_legacy_sql(legacy), normalize_phone_sql(phone)
+        if literal is not None:
+            known = [(a, p) for a, p in literal if a is not None and p is not None]
+            raw = sorted({p.removeprefix(PHONE_PREFIX) for _, p in known if p.startswith(PHONE_PREFIX)})
+            pairs = [(F.expr(account) == a) & (F.expr(published) == p) for a, p in known]
+            return df.where(F.col(phone).isin(raw)).where(reduce(lambda x, y: x | y, pairs, F.lit(False)))
+        k = df.selectExpr("*", f"{account} AS __acct", f"{published} AS __phone")
         return k.join(keys, ["__acct", "__phone"], "left_semi").drop("__acct", "__phone")
 
     nf = prune(nonfin, SNAPSHOT_USED)
     key_rows = of_keys(nf, "cnsmr_idntfr_lgcy_txt", "cnsmr_phn_nmbr_txt")
     ids = key_rows.select("cnsmr_phn_id").distinct()
-    nf_relevant = nf.join(ids, "cnsmr_phn_id", "left_semi")
+    few_ids = _few(ids, MAX_LITERAL_IDS) if literal is not None else None
+    if few_ids is not None:
+        found = [r[0] for r in few_ids]
+        same = F.col("cnsmr_phn_id").isin([i for i in found if i is not None])
+        nf_relevant = nf.where(same | F.col("cnsmr_phn_id").isNull() if None in found else same)
+    else:
+        wanted = ids.select(F.col("cnsmr_phn_id").alias("__id"))
+        nf_relevant = nf.join(wanted, nf["cnsmr_phn_id"].eqNullSafe(wanted["__id"]), "left_semi")
     nf_dedup = of_keys(dedup_snapshot(nf_relevant), "cnsmr_idntfr_lgcy_txt", "cnsmr_phn_nmbr_txt")
     ch = of_keys(prune(supplfwd, CHANGE_USED), "cnsmr_idntfr_lgcy_txt", "cnsmr_phn_nmbr_txt")
     en = of_keys(prune(enrollment, ENROLLMENT_USED), "consumer_legacy_identifier", "phone_number")

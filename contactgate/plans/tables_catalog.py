@@ -8,27 +8,22 @@ so the work grows with the input tables.
 from __future__ import annotations
 
 import re
-import uuid
 
 from pyspark.sql import functions as F
 
 from contactgate.operators.merge import diff, upsert
 from contactgate.plans.catalog import Layers, register
 from contactgate.plans.oracle import SPLIT_DATE
-from contactgate.session import scratch_path
+from contactgate.session import fresh_path as _fresh
 from contactgate.sources import schemas as S
 from contactgate.sources.delivery import (
     deliver, ingest_change, ingest_enrollment, ingest_snapshot,
 )
-from contactgate.sources.tables import VersionedTable
+from contactgate.sources.tables import DeliveryTable, RunTable
 
 KEYS = ["account_number", "phone_number"]
 
 
-def _fresh(spark, kind: str) -> str:
-    return scratch_path(spark, "contactgate", f"{kind}-{uuid.uuid4().hex}")
-
-
 def _delivered(spark, sf):
     """Stand-in feeds written as gzip delivery files, read back by ingest."""
     L = Layers(spark, sf)
@@ -58,6 +53,18 @@ def q_ingest_enrollment(spark, sf):
     return ingest_enrollment(spark, root, layout="directory").drop("_source_file")
 
 
+@register("ingest_file_layout", """
+SELECT * EXCLUDE (_source_file, _row_id), 'snapshot' AS feed FROM nonfin""", "B1 B2 B3 B5")
+def q_ingest_file_layout(spark, sf):
+    """The same files in the original layout, ``<folder>/<name>.csv.gz``, found by name
+    alone.  Spark names what it writes, so each name here is a folder holding its parts;
+    the reader's glob and the date in the name work on it as on a file."""
+    L = Layers(spark, sf)
+    root = _fresh(spark, "files")
+    deliver(L.nonfin, root, "MAINTENANCE", S.SNAPSHOT_COLUMNS, layout="file")
+    return ingest_snapshot(spark, root, layout="file").drop("_source_file").withColumn("feed", F.lit("snapshot"))
+
+
 @register("lineage_columns", """
 SELECT regexp_extract(_source_file, '([^/]+)\\.csv\\.gz$', 1) AS delivery, count(*) AS row_count,
        min(_file_date) AS file_date
@@ -82,20 +89,20 @@ def q_lineage_columns(spark, sf):
 
 @register("table_roundtrip", "SELECT * FROM gold", "B7 B8")
 def q_table_roundtrip(spark, sf):
-    t = VersionedTable(spark, _fresh(spark, "consent"))
-    t.write(Layers(spark, sf).consent, sort_by=KEYS)
-    return t.read()
+    t = RunTable(spark, _fresh(spark, "consent"))
+    t.write(Layers(spark, sf).consent, run=1, sort_by=KEYS)
+    return t.read(1)
 
 
 @register("sql_on_path", """
 SELECT phone_source, count(*) AS cnt, count(*) FILTER (WHERE is_deleted) AS deleted
 FROM gold GROUP BY phone_source""", "B9")
 def q_sql_on_path(spark, sf):
-    t = VersionedTable(spark, _fresh(spark, "consent"))
-    v = t.write(Layers(spark, sf).consent)
+    t = RunTable(spark, _fresh(spark, "consent"))
+    t.write(Layers(spark, sf).consent, run=1)
     return spark.sql(
         f"SELECT phone_source, count(*) AS cnt, count_if(is_deleted) AS deleted "
-        f"FROM parquet.`{t.path}/v={v}` GROUP BY phone_source")
+        f"FROM parquet.`{t.path}` WHERE run = 1 GROUP BY phone_source")
 
 
 def _early_late(spark, sf):
@@ -104,6 +111,20 @@ def _early_late(spark, sf):
     return early.consent, late.consent
 
 
+def _after_late(spark, sf):
+    """The consent table once the late deliveries are in: both batches folded into one
+    state.  (A state of the late batch alone would leave keys live that the newer
+    snapshots no longer list.)"""
+    from contactgate.plans.incremental import IncrementalState
+    from contactgate.plans.phone_state import build_consent
+    split = F.lit(SPLIT_DATE).cast("date")
+    inc = IncrementalState(spark, _fresh(spark, "incremental"))
+    for cond in (F.col("_file_date") < split, F.col("_file_date") >= split):
+        L = Layers(spark, sf, where=cond)
+        inc.apply(L.nonfin, L.supplfwd, L.enrollment)
+    return build_consent(inc.state())
+
+
 _UPSERT_SQL = """
 SELECT * FROM gold_early e
 WHERE NOT EXISTS (SELECT 1 FROM gold_late l WHERE l.account_number = e.account_number
@@ -112,14 +133,15 @@ UNION ALL
 SELECT * FROM gold_late"""
 
 
-@register("upsert_merge", _UPSERT_SQL, "I1 I2 J9")
+# the full state lists every key of the earlier run, so the merge replaces all of them
+@register("upsert_merge", "SELECT * FROM gold", "I1 I2 J9")
 def q_upsert_merge(spark, sf):
     """An earlier run's table, then a later delivery batch merged into it."""
-    early, late = _early_late(spark, sf)
-    t = VersionedTable(spark, _fresh(spark, "consent"))
-    t.upsert(early, KEYS)          # creates v=0
-    t.upsert(late, KEYS)           # merges into v=1
-    return t.read()
+    early, _ = _early_late(spark, sf)
+    t = RunTable(spark, _fresh(spark, "consent"))
+    t.upsert(early, KEYS, run=1, base=None)
+    t.upsert(_after_late(spark, sf), KEYS, run=2, base=1)
+    return t.read(2)
 
 
 @register("upsert_merge_plain", _UPSERT_SQL, "I1 J9")
@@ -153,13 +175,13 @@ SELECT n.account_number, n.phone_number, {n_cols}, 'update_postimage'
 FROM {old} o JOIN {new} n USING (account_number, phone_number) WHERE {distinct}"""
 
 
-@register("change_feed", _change_feed_sql("gold_early", "(" + _UPSERT_SQL + ")"), "I3")
+@register("change_feed", _change_feed_sql("gold_early", "gold"), "I3")
 def q_change_feed(spark, sf):
-    early, late = _early_late(spark, sf)
-    t = VersionedTable(spark, _fresh(spark, "consent"))
-    v0 = t.upsert(early, KEYS)
-    v1 = t.upsert(late, KEYS)
-    return t.changes(v0, v1, KEYS)
+    early, _ = _early_late(spark, sf)
+    t = RunTable(spark, _fresh(spark, "consent"))
+    t.upsert(early, KEYS, run=1, base=None)
+    t.upsert(_after_late(spark, sf), KEYS, run=2, base=1)
+    return t.changes(1, 2, KEYS)
 
 
 @register("change_feed_layers", _change_feed_sql("gold_early", "gold"), "I3")
@@ -171,11 +193,11 @@ def q_change_feed_layers(spark, sf):
 
 @register("version_as_of", "SELECT * FROM gold_early", "I4")
 def q_version_as_of(spark, sf):
-    early, late = _early_late(spark, sf)
-    t = VersionedTable(spark, _fresh(spark, "consent"))
-    v0 = t.upsert(early, KEYS)
-    t.upsert(late, KEYS)
-    return t.read(version=v0)
+    early, _ = _early_late(spark, sf)
+    t = RunTable(spark, _fresh(spark, "consent"))
+    t.upsert(early, KEYS, run=1, base=None)
+    t.upsert(_after_late(spark, sf), KEYS, run=2, base=1)
+    return t.read(1)
 
 
 @register("stream_change_apply", """
@@ -215,10 +237,10 @@ SELECT '{LOOKUP_ACCOUNT}' AS account_number, '+1{LOOKUP_PHONE}' AS phone_number,
                    AND phone_number = '+1{LOOKUP_PHONE}'), false) AS can_send_sms"""
 
 
-def publish(spark, sf) -> VersionedTable:
-    """Write the consent table as a new version, range-sorted on the key."""
-    t = VersionedTable(spark, _fresh(spark, "consent"))
-    t.write(Layers(spark, sf).consent, sort_by=KEYS)
+def publish(spark, sf) -> RunTable:
+    """Write the consent table as run 1, range-sorted on the key."""
+    t = RunTable(spark, _fresh(spark, "consent"))
+    t.write(Layers(spark, sf).consent, run=1, sort_by=KEYS)
     return t
 
 
@@ -227,7 +249,7 @@ def q_published_lookup(spark, sf):
     """Point lookup against the published (written, key-sorted) table."""
     from contactgate.operators.decide import lookup
     from contactgate.plans.catalog import LOOKUP_ACCOUNT, LOOKUP_PHONE
-    return lookup(spark, publish(spark, sf).read(), LOOKUP_ACCOUNT, LOOKUP_PHONE)
+    return lookup(spark, publish(spark, sf).read(1), LOOKUP_ACCOUNT, LOOKUP_PHONE)
 
 
 @register("bronze_since", f"""
@@ -236,7 +258,6 @@ SELECT * EXCLUDE (_source_file, _row_id) FROM nonfin WHERE _file_date >= DATE '{
 def q_bronze_since(spark, sf):
     """Snapshot deliveries ingested from files into a date-partitioned bronze
     table, then read back from the split date on (partition-pruned)."""
-    from contactgate.sources.tables import DeliveryTable
     root = _fresh(spark, "deliveries")
     deliver(Layers(spark, sf).nonfin, root, "MAINTENANCE", S.SNAPSHOT_COLUMNS)
     bronze = DeliveryTable(spark, _fresh(spark, "bronze-nonfin"))
@@ -244,13 +265,39 @@ def q_bronze_since(spark, sf):
     return bronze.read(since=SPLIT_DATE).drop("_source_file")
 
 
-@register("gated_publish", "SELECT * FROM gold", "Q4 D8 I1 I2")
+@register("two_deliveries_of_a_date", """
+SELECT * EXCLUDE (_source_file, _row_id) FROM supplfwd""", "B6 B8")
+def q_two_deliveries_of_a_date(spark, sf):
+    """Change records delivered in two files for every date, appended one after the
+    other (and the first once more): both stay, neither twice."""
+    feed = Layers(spark, sf).supplfwd.drop("_row_id")
+    second = F.crc32("cnsmr_phn_hst_id") % 2 == 1
+    other = F.regexp_replace("_source_file", r"_000\.csv\.gz$", "_001.csv.gz")
+    bronze = DeliveryTable(spark, _fresh(spark, "bronze-supplfwd"))
+    bronze.append(feed.where(~second))
+    bronze.append(feed.where(second).withColumn("_source_file", other))
+    bronze.append(feed.where(~second))
+    return bronze.read().drop("_source_file")
+
+
+@register("gated_publish", """
+SELECT *, 'published' AS outcome FROM gold
+UNION ALL BY NAME SELECT 'blocked' AS outcome, 'empty feed' AS account_number
+UNION ALL BY NAME SELECT 'blocked' AS outcome, 'partial snapshot' AS account_number""", "Q4 D8 I1 I2")
 def q_gated_publish(spark, sf):
-    """Checks pass, so the consent table is published (version 0) and read back."""
-    from contactgate.plans.phone_state import publish_consent
-    t = VersionedTable(spark, _fresh(spark, "consent"))
-    v = publish_consent(Layers(spark, sf).consent, t)
-    return t.read(version=v)
+    """Three runs through the gates: all feeds (published), an empty change feed and
+    a partial newest snapshot (both blocked before anything is published)."""
+    from contactgate.plans.phone_state import gated_run
+    L = Layers(spark, sf)
+    root = _fresh(spark, "gated")
+    newest = L.nonfin.agg(F.max("_file_date")).scalar()
+    partial = L.nonfin.where((F.col("_file_date") < newest) | (F.crc32("cnsmr_phn_id") % 5 == 0))
+    runs = [("empty feed", gated_run(L.nonfin, L.supplfwd.limit(0), L.enrollment, root, run=1, on_fail="block")),
+            ("partial snapshot", gated_run(partial, L.supplfwd, L.enrollment, root, run=2, on_fail="block"))]
+    done = gated_run(L.nonfin, L.supplfwd, L.enrollment, root, run=3)
+    published = RunTable(spark, f"{root}/consent").read(done).withColumn("outcome", F.lit("published"))
+    blocked = spark.createDataFrame([(why, "blocked") for why, run in runs if run is None], "account_number string, outcome string")
+    return published.unionByName(blocked, allowMissingColumns=True)
 
 
 @register("incremental_catch_up", "SELECT * FROM silver", "C4 B7 I4")
@@ -258,7 +305,6 @@ def q_incremental_catch_up(spark, sf):
     """Deliveries land in date-partitioned bronze tables; the state is caught
     up in two folds that each read only their partitions."""
     from contactgate.plans.incremental import IncrementalState
-    from contactgate.sources.tables import DeliveryTable
     L = Layers(spark, sf)
     tables = []
     for name, feed in (("nonfin", L.nonfin), ("supplfwd", L.supplfwd), ("enrollment", L.enrollment)):
@@ -277,17 +323,17 @@ def _history_sql() -> str:
     early = full
     for name in ("silver", "gold"):
         early = re.sub(rf"\b{name}\b", f"{name}_early", early)
-    return (f"SELECT name, passed, observed, expected, 0 AS v FROM ({early}) e\n"
-            f"UNION ALL\nSELECT name, passed, observed, expected, 1 AS v FROM ({full}) f")
+    return (f"SELECT name, passed, observed, expected, 1::BIGINT AS run FROM ({early}) e\n"
+            f"UNION ALL\nSELECT name, passed, observed, expected, 2::BIGINT AS run FROM ({full}) f")
 
 
 @register("quality_history", _history_sql(), "Q4 I4")
 def q_quality_history(spark, sf):
     """Check results persisted per run: the earlier run's and the current
-    run's results as two versions of one history table, read back whole."""
+    run's results as two runs of one history table, read back whole."""
     from contactgate.plans.reports import published_quality
     early, _ = _early_late(spark, sf)
-    t = VersionedTable(spark, _fresh(spark, "quality-history"))
-    t.write(published_quality(early))
-    t.write(published_quality(Layers(spark, sf).consent))
+    t = RunTable(spark, _fresh(spark, "quality-history"))
+    t.write(published_quality(early), run=1)
+    t.write(published_quality(Layers(spark, sf).consent), run=2)
     return t.history()

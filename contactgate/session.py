@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -80,9 +81,15 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([checkpoint_dir(spark), *parts])
 
 
+def fresh_path(spark: SparkSession, kind: str) -> str:
+    """A new path under the shared checkpoint folder for one intermediate table.
+    The folder belongs to the job: clear it as a whole when the job is done."""
+    return scratch_path(spark, "contactgate", f"{kind}-{uuid.uuid4().hex}")
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for local-only helpers (tests)."""
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "checkpoint_dir", "scratch_path", "local_path"]
+__all__ = ["build_session", "checkpoint_dir", "scratch_path", "fresh_path", "local_path"]

@@ -66,11 +66,21 @@ def ingest_change(spark: SparkSession, data_dir: str, layout: str = "file") -> D
     return _ingest(spark, data_dir, S.CHANGE_GLOB, S.CHANGE_SCHEMA, layout)
 
 
-def deliver(feed: DataFrame, root: str, folder: str, columns: list[str]) -> None:
+def deliver(feed: DataFrame, root: str, folder: str, columns: list[str], layout: str = "directory") -> None:
     """Write a feed as gzip pipe-delimited delivery files, one directory per
     delivery (``<root>/<folder>/delivery=<name stem>/part-*.csv.gz``), the
     directory named after the feed's ``_source_file``.  No shuffle: each task
-    writes one part file per delivery it holds (``EXPORT_000..NNN`` style)."""
+    writes one part file per delivery it holds (``EXPORT_000..NNN`` style).
+
+    ``layout="file"`` names the directories like files (``<folder>/<name>.csv.gz/``), one
+    write per delivery: for the few deliveries of a catch-up, not for a history."""
+    if layout == "file":
+        names = [r[0] for r in feed.select("_source_file").distinct().collect()]    # one per delivery
+        for name in names:
+            (feed.where(F.col("_source_file") == name).select(*columns)
+                 .write.mode("overwrite").option("sep", "|").option("header", "true").option("compression", "gzip")
+                 .csv(f"{root.rstrip('/')}/{folder}/{name.rsplit('/', 1)[-1]}"))
+        return
     stem = F.regexp_extract(F.col("_source_file"), r"([^/]+)\.csv\.gz$", 1)
     (feed.select(*columns, stem.alias(DELIVERY_DIR))
          .sortWithinPartitions(DELIVERY_DIR)

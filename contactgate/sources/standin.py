@@ -7,17 +7,16 @@ size grows with the table.  Projections are written as Spark SQL expressions
 (one ``selectExpr`` call each) and the scanned columns are declared up front,
 so building a feed costs no schema-inference job.
 
-snapshot   ``orders`` minus every tenth customer; one full snapshot per year
-change     even ``events``; weekly change files
+snapshot   ``orders``; one full snapshot per year
+change     ``events``; weekly change files
 enrollment ``customer``; one enrollment per customer
 requests   every ``orders`` row as an (account, phone) permission question
 
-The two modulo predicates are part of the feed *definitions*, not sampling:
-customers with ``custkey % 10 = 9`` are never in a snapshot, so permission
-requests for them hit unknown keys (or enrollment/change-only keys), and the
-change feed is the even half of the event stream so that its keys only partly
-overlap the snapshots.  Every query still reads the whole tables; the oracle
-applies the same definitions.
+No row of a table is left out.  Keys that do not meet across the feeds are made by
+mapping: customers with ``custkey % 10 = 9`` appear in the snapshots under account
+keys of their own, so permission requests for them hit unknown keys (or
+enrollment/change-only keys), and odd events name accounts of their own, so the
+change feed's keys only partly overlap the snapshots'.
 """
 
 from __future__ import annotations
@@ -29,7 +28,9 @@ CHANGE_EPOCH = "1998-01-01"       # record dates: epoch + event_id % 1462 days
 CHANGE_SPAN_DAYS = 1462
 ENROLLMENT_EPOCH = "1995-01-01"   # enrollment dates: epoch + custkey % 365 days
 ENROLLMENT_SPAN_DAYS = 365
-SNAPSHOT_EXCLUDED_REMAINDER = 9   # customers with custkey % 10 = 9 never appear in snapshots
+SNAPSHOT_OTHER_REMAINDER = 9          # customers with custkey % 10 = 9 have other keys in snapshots:
+SNAPSHOT_OTHER_OFFSET = 1_000_000_000  # custkey plus this
+CHANGE_OTHER_OFFSET = 500_000_000      # accounts of odd events: the usual key plus this
 TYPES = ("CELL", "HOME", "WORK", "OTHER")
 STATUSES = ("ACTIVE", "INACTIVE", "DISCONNECTED")
 TECHNOLOGIES = ("WIRELESS", "LANDLINE", "VOIP")
@@ -77,12 +78,14 @@ def snapshot_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full snapshots (here: one per order year)."""
     day = "make_date(year(o_orderdate), 1, 1)"
     flag = "CASE o_orderstatus WHEN 'F' THEN 'Y' WHEN 'O' THEN 'N' END"
-    agn, ssn, first, last = _identity("o_custkey")
+    # expressions repeat this text; the optimizer evaluates it once per row
+    key = (f"(o_custkey + IF(o_custkey % 10 = {SNAPSHOT_OTHER_REMAINDER}, "
+           f"CAST({SNAPSHOT_OTHER_OFFSET} AS BIGINT), 0L))")
+    agn, ssn, first, last = _identity(key)
     return (_table(spark, sf_dir, "orders")
-            .where(f"o_custkey % 10 <> {SNAPSHOT_EXCLUDED_REMAINDER}")
             .selectExpr(
-                "CAST(o_custkey * 4 + o_orderkey % 4 AS STRING) AS cnsmr_phn_id",
-                f"concat({_pad('o_custkey', 16)}, 'P') AS cnsmr_idntfr_lgcy_txt",
+                f"CAST({key} * 4 + o_orderkey % 4 AS STRING) AS cnsmr_phn_id",
+                f"concat({_pad(key, 16)}, 'P') AS cnsmr_idntfr_lgcy_txt",
                 f"{agn} AS cnsmr_idntfr_agncy_id",
                 f"{ssn} AS cnsmr_idntfr_ssn_txt",
                 f"{first} AS cnsmr_nm_frst_txt",
@@ -98,7 +101,7 @@ def snapshot_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
                 f"{flag} AS cnsmr_phn_cnsnt_flg",
                 f"CASE WHEN {flag} IS NOT NULL THEN CAST(CAST(o_orderdate AS DATE) AS STRING) END "
                 "AS cnsmr_phn_cnsnt_dt",
-                f"{_delivery('MAINTENANCE', 'SN_SVC_DMBDL_DataManager', day, 'NON-FIN-BDL_EXPORT')} "
+                f"{_delivery('MAINTENANCE', 'MAINTFEED', day, 'NON-FIN-BDL_EXPORT')} "
                 "AS _source_file",
                 f"{day} AS _file_date",
                 f"concat('s', {_pad('o_orderkey', 10)}) AS _row_id",
@@ -110,11 +113,11 @@ def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     off = f"CAST(event_id % {CHANGE_SPAN_DAYS} AS INT)"
     record_day = f"date_add(DATE'{CHANGE_EPOCH}', {off})"
     file_day = f"date_add(DATE'{CHANGE_EPOCH}', {off} - {off} % 7 + 7)"
-    c = "(user_id * 10 + event_id % 3 * 3)"
+    c = (f"(user_id * 10 + event_id % 3 * 3 + IF(event_id % 2 = 1, "
+         f"CAST({CHANGE_OTHER_OFFSET} AS BIGINT), 0L))")
     flag = "CASE event_type WHEN 'signup' THEN 'Y' WHEN 'click' THEN 'N' END"
     agn, ssn, first, last = _identity(c)
     return (_table(spark, sf_dir, "events")
-            .where("event_id % 2 = 0")
             .selectExpr(
                 f"concat('h', {_pad('event_id', 10)}) AS cnsmr_phn_hst_id",
                 f"concat({_pad(c, 16)}, 'P') AS cnsmr_idntfr_lgcy_txt",
@@ -133,7 +136,7 @@ def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "AS cnsmr_phn_cnsnt_dt",
                 "CASE WHEN event_type = 'error' THEN 'Y' ELSE 'N' END AS cnsmr_phn_sft_dlt_flg",
                 f"CAST({record_day} AS STRING) AS record_date",
-                f"{_delivery('MAINTENANCE', 'SN_SVC_DMBDL_DataManager', file_day, 'SUPPLFWD-BDL_EXPORT')} "
+                f"{_delivery('MAINTENANCE', 'MAINTFEED', file_day, 'SUPPLFWD-BDL_EXPORT')} "
                 "AS _source_file",
                 f"{file_day} AS _file_date",
                 f"concat('h', {_pad('event_id', 10)}) AS _row_id",
@@ -159,7 +162,7 @@ def enrollment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN c_nationkey % 2 = 0 THEN 'CLIENT' ELSE 'OTHER' END AS phone_source",
         "CAST(c_custkey % 100 AS STRING) AS quality_score",
         f"CAST({day} AS STRING) AS enrollment_date",
-        f"{_delivery('ENROLLMENT', 'IC_DMENRL_DataManager', file_day, 'ENRLMT-EXPORT')} AS _source_file",
+        f"{_delivery('ENROLLMENT', 'ENROLLFEED', file_day, 'ENRLMT-EXPORT')} AS _source_file",
         f"{file_day} AS _file_date",
         f"concat('e', {_pad('c_custkey', 10)}) AS _row_id",
     )
@@ -167,7 +170,7 @@ def enrollment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def permission_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bulk permission questions: one per order, by the snapshot key rules but
-    without the snapshot's customer filter, so unknown keys occur."""
+    without the snapshot's mapping of some customers, so unknown keys occur."""
     return _table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS request_id",
         f"{_pad('o_custkey', 16)} AS account_number",

@@ -1,121 +1,131 @@
-"""Versioned parquet tables: time travel, upsert and change feed without a
-table-format jar.
-
-Layout: ``<path>/v=<n>/part-*.parquet``, one directory per version, written
-by Spark's own file committer.  A version is visible only once its
-``_SUCCESS`` marker exists, so a crashed or retried write is never read.  A
-new version is always a new directory: nothing is overwritten while it may be
-read, and an upsert that reads version n writes n+1.  Each written version is
-also a lineage cut for the jobs that read it.
+"""Plain parquet tables partitioned by what the caller names.
+
+``RunTable``       one partition per run id.  The caller supplies the id (a scheduler's
+                   run number, an epoch); writing a run replaces that run alone, so a
+                   retried run is idempotent, and two runs never touch each other's
+                   rows.  Reading as of a run prunes on the partition column.
+``DeliveryTable``  bronze rows of one feed, one partition per delivery date and delivery.
+
+Both are ordinary partitioned directories written by Spark's file committer
+(``partitionOverwriteMode=dynamic``); nothing here lists or moves files.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from contactgate.operators.merge import diff, require_unique, upsert
 
-from contactgate.operators.merge import diff, upsert
+RUN_COL = "run"
+_NO_TABLE = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
-VERSION_COL = "v"
 
+def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """A parquet folder, or None while nothing has been written to it."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if (e.getCondition() or "").split(".")[0] not in _NO_TABLE:
+            raise
+        return None
+
+
+class RunTable:
+    """A table partitioned by run id: folder ``run=<id>`` holds that run's rows."""
 
-class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
-    # -- catalogue (driver-side listing of version directories only) --------
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
-
-    def versions(self) -> list[int]:
-        fs, root = self._fs()
-        if not fs.exists(root):
-            return []
-        out = []
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(f"{VERSION_COL}="):
-                marker = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-                    st.getPath(), "_SUCCESS")
-                if fs.exists(marker):
-                    out.append(int(name.split("=", 1)[1]))
-        return sorted(out)
-
-    def latest_version(self) -> int | None:
-        vs = self.versions()
-        return vs[-1] if vs else None
-
-    def exists(self) -> bool:
-        return self.latest_version() is not None
-
     # -- reads ----------------------------------------------------------------
-    def read(self, version: int | None = None) -> DataFrame:
-        """The table as of ``version`` (default: latest committed)."""
-        if version is None:
-            version = self.latest_version()
-        if version is None or version not in self.versions():
-            raise FileNotFoundError(f"no committed version {version} at {self.path}")
-        return self.spark.read.parquet(f"{self.path}/{VERSION_COL}={version}")
+    def exists(self) -> bool:
+        return read_or_none(self.spark, self.path) is not None
 
     def history(self) -> DataFrame:
-        """Every committed version, with the version number as a column."""
-        vs = self.versions()
-        paths = [f"{self.path}/{VERSION_COL}={v}" for v in vs]
-        return self.spark.read.option("basePath", self.path).parquet(*paths)
+        """Rows of every run, with the run id."""
+        found = read_or_none(self.spark, self.path)
+        if found is None:
+            raise FileNotFoundError(f"nothing written to {self.path}")
+        return found.withColumn(RUN_COL, F.col(RUN_COL).cast("long"))
+
+    def read(self, run: int) -> DataFrame:
+        """The table as of ``run`` (only that partition is scanned)."""
+        return self.history().where(F.col(RUN_COL) == F.lit(run)).drop(RUN_COL)
 
     # -- writes -----------------------------------------------------------------
-    def write(self, df: DataFrame, sort_by: Sequence[str] = ()) -> int:
-        """Commit ``df`` as the next version; returns its number.  Rows are
+    def write(self, df: DataFrame, run: int, sort_by: Sequence[str] = ()) -> int:
+        """``df`` as the contents of ``run``, replacing an earlier attempt at it.  Rows are
         range-partitioned and sorted by ``sort_by`` so that parquet min/max
         statistics let key lookups skip row groups."""
-        v = (self.latest_version() if self.exists() else -1) + 1
         out = df
         if sort_by:
             out = out.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
-        # overwrite only clears a half-written directory of this same version
-        out.write.mode("overwrite").parquet(f"{self.path}/{VERSION_COL}={v}")
-        return v
-
-    def upsert(self, source: DataFrame, keys: Sequence[str], sort_by: Sequence[str] = ()) -> int:
-        """MERGE ``source`` into the latest version (create if absent)."""
-        if not self.exists():
-            return self.write(source, sort_by)
-        merged = upsert(self.read(), source, keys)
-        return self.write(merged, sort_by)
+        out.write.mode("overwrite").parquet(f"{self.path}/{RUN_COL}={int(run)}")
+        return run
+
+    def upsert(self, source: DataFrame, keys: Sequence[str], run: int, base: int | None,
+               sort_by: Sequence[str] = ()) -> int:
+        """MERGE ``source`` into the contents of run ``base`` (None: create) and write
+        the result as ``run``.
+
+        ``source`` is computed once, into a staging run of its own; its keys are checked
+        there and the merge reads it from there."""
+        if base == run:
+            raise ValueError("a run cannot be merged into itself")
+        staged = RunTable(self.spark, f"{self.path}_staging")
+        staged.write(source, run)
+        rows = staged.read(run).select(*source.columns)
+        require_unique(rows, keys)
+        merged = rows if base is None else upsert(self.read(base), rows, keys)
+        return self.write(merged, run, sort_by)
 
     def changes(self, start: int, end: int, keys: Sequence[str]) -> DataFrame:
-        """Row-level change feed from version ``start`` to ``end``."""
+        """Row-level change feed from run ``start`` to run ``end``."""
         return diff(self.read(start), self.read(end), keys)
 
 
 class DeliveryTable:
-    """Bronze table of one feed, partitioned by delivery date.
+    """Bronze table of one feed, partitioned by delivery date and delivery.
 
-    Re-ingesting a delivery replaces only its own partition (dynamic
-    partition overwrite), so a retried or repeated load is idempotent, and a
-    reader asking for deliveries since a date touches only those partitions
-    (partition pruning on ``_file_date``)."""
+    The delivery is named by the file its rows came from.  Re-ingesting a delivery
+    replaces only its own partition (dynamic partition overwrite), so a
+    retried or repeated load is idempotent, deliveries of one date and
+    undated ones stand beside each other, and a reader asking for deliveries
+    since a date touches only those partitions (pruning on ``_file_date``)."""
 
     PART_COL = "_file_date"
+    DELIVERY_COL = "_delivery"
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
+    @staticmethod
+    def delivery_of(source_file: str = "_source_file"):
+        """Name of the delivery: of its file, or of its ``delivery=`` folder."""
+        folder = F.regexp_extract(source_file, r"delivery=([^/]+)/", 1)
+        return F.when(folder != "", folder).otherwise(F.regexp_extract(source_file, r"([^/]+)$", 1))
+
     def append(self, df: DataFrame) -> None:
-        (df.write.mode("overwrite")
+        (df.withColumn(self.DELIVERY_COL, self.delivery_of())
+           .write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic")
-           .partitionBy(self.PART_COL)
+           .partitionBy(self.PART_COL, self.DELIVERY_COL)
            .parquet(self.path))
 
     def read(self, since=None, until=None) -> DataFrame:
-        """Deliveries with ``since <= _file_date < until`` (either optional)."""
-        from pyspark.sql import functions as F
-        df = self.spark.read.parquet(self.path)
+        """Deliveries with ``since <= _file_date < until`` (either optional); without
+        bounds undated deliveries are included."""
+        df = read_or_none(self.spark, self.path)
+        if df is None:
+            raise FileNotFoundError(f"nothing delivered to {self.path}")
+        df = df.drop(self.DELIVERY_COL)
+        if dict(df.dtypes)[self.PART_COL] != "date":    # nothing but undated deliveries
+            df = df.withColumn(self.PART_COL, F.col(self.PART_COL).cast("date"))
         if since is not None:
             df = df.where(F.col(self.PART_COL) >= F.lit(since).cast("date"))
         if until is not None:

@@ -10,9 +10,9 @@ newest record per key.  Because both steps are order-insensitive
 result as one batch run over all files, with no watermark: nothing is ever
 finalised early, so no late record can be dropped.
 
-:func:`compact` folds the applied batches into a versioned survivors table
-that records the newest epoch it covers; reads then take that version plus
-only the newer batch folders.
+:func:`compact` folds the applied batches into a run of survivors named by the
+newest epoch it covers; reads then take that run plus only the newer batch
+folders.
 
 The streaming checkpoint and the state folder must live on shared storage
 (under ``spark.checkpoint.dir``); a restarted query resumes from the
@@ -28,11 +28,12 @@ from pyspark.sql import functions as F
 from contactgate.plans.phone_state import dedup_change, latest_change_state
 from contactgate.sources import schemas as S
 from contactgate.sources.delivery import DELIVERY_DIR, with_lineage
+from contactgate.sources.tables import RunTable, read_or_none
 
 BATCH_COL = "batch"
 BATCHES = "batches"        # <state>/batches/batch=<epoch>/   one folder per micro-batch
-COMPACTED = "compacted"    # <state>/compacted/v=<n>/         survivors up to an epoch
-UPTO_COL = "__upto"
+COMPACTED = "compacted"    # <state>/compacted/run=<epoch>/   survivors up to that epoch
+MARKS = "compactions"      # <state>/compactions/run=<epoch>/ one row per finished compaction
 
 
 def change_stream(spark: SparkSession, data_dir: str, layout: str = "file",
@@ -75,31 +76,37 @@ def run_change_stream(spark: SparkSession, data_dir: str, state_path: str,
 
 def _survivors(spark: SparkSession, state_path: str) -> tuple[DataFrame, int | None]:
     """Deduplicated change rows over every applied batch, and the newest
-    epoch they include: the latest compacted version plus the batch folders
-    after it (pruned on the ``batch`` partition column)."""
-    from contactgate.sources.tables import VersionedTable
-    comp = VersionedTable(spark, f"{state_path}/{COMPACTED}")
-    batches = spark.read.parquet(f"{state_path}/{BATCHES}")
-    upto = None
-    if comp.exists():
-        base = comp.read()
-        upto = base.agg(F.max(UPTO_COL)).first()[0]     # one scalar
-        newer = batches.where(F.col(BATCH_COL) > upto).drop(BATCH_COL)
-        applied = base.drop(UPTO_COL).unionByName(newer)
-    else:
-        applied = batches.drop(BATCH_COL)
+    epoch they include: the newest compacted run plus the batch folders
+    after it (pruned on the ``batch`` partition column).  The epochs a
+    compaction covers are the id of its run, not a column of its rows, so a run without
+    rows covers them too.  Before the first batch there are no rows."""
+    empty = spark.createDataFrame([], S.CHANGE_SCHEMA).select(
+        *S.CHANGE_COLUMNS, F.lit(None).cast("string").alias("_source_file"), F.lit(None).cast("date").alias("_file_date"))
+    batches = read_or_none(spark, f"{state_path}/{BATCHES}")
+    marks = RunTable(spark, f"{state_path}/{MARKS}")
+    upto = marks.history().agg(F.max("run")).first()[0] if marks.exists() else None
+    if batches is None:
+        return empty, upto
+    applied = batches if upto is None else batches.where(F.col(BATCH_COL) > upto)
     newest = batches.agg(F.max(BATCH_COL)).first()[0]
+    applied = applied.drop(BATCH_COL)
+    if upto is not None:
+        applied = RunTable(spark, f"{state_path}/{COMPACTED}").read(upto).unionByName(applied)
     return dedup_change(applied), (newest if newest is not None else upto)
 
 
-def compact(spark: SparkSession, state_path: str) -> int:
-    """Fold every applied batch into a new compacted version (nothing is
-    deleted; later reads skip the covered batch folders).  Returns the
-    version number."""
-    from contactgate.sources.tables import VersionedTable
+def compact(spark: SparkSession, state_path: str) -> int | None:
+    """Fold every applied batch into a compacted run named by the newest epoch it
+    covers (nothing is deleted; later reads skip the covered batch
+    folders).  The mark that makes it count is written after its rows.  Returns the epoch,
+    or None when there is nothing new to fold."""
     survivors, newest = _survivors(spark, state_path)
-    comp = VersionedTable(spark, f"{state_path}/{COMPACTED}")
-    return comp.write(survivors.withColumn(UPTO_COL, F.lit(newest).cast("long")))
+    marks = RunTable(spark, f"{state_path}/{MARKS}")
+    if newest is None or (marks.exists() and marks.read(newest).take(1)):
+        return None
+    RunTable(spark, f"{state_path}/{COMPACTED}").write(survivors, newest)
+    marks.write(spark.range(1).select(F.lit(newest).cast("long").alias("upto")), newest)
+    return newest
 
 
 def current_changes(spark: SparkSession, state_path: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from contactgate.operators.merge import assert_unique
+from contactgate.operators.merge import repeated_keys
 from contactgate.operators.quality import (
     QualityGateError, bad_rows, evaluate, gate, row_count_positive,
 )
@@ -100,22 +100,27 @@ def test_gate_raises_and_warns(spark):
 
 def test_duplicate_source_keys_are_reported(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int")
-    assert [r["k"] for r in assert_unique(df, ["k"]).collect()] == ["a"]
+    assert [r["k"] for r in repeated_keys(df, ["k"]).collect()] == ["a"]
 
 
 def test_publish_is_blocked_by_failed_checks(spark, tmp_path):
     from contactgate.plans.phone_state import publish_consent
-    from contactgate.sources.tables import VersionedTable
+    from contactgate.sources.tables import RunTable
     bad = spark.createDataFrame(
         [("1", "2025550100", "CLIENT", None, None, False, None, None, "f")],
         "account_number string, phone_number string, phone_source string, has_sms_consent boolean, "
         "sms_consent_updated_at date, is_deleted boolean, delete_type string, deleted_at date, _source_file string")
-    t = VersionedTable(spark, str(tmp_path / "c"))
+    t = RunTable(spark, str(tmp_path / "c"))
     with pytest.raises(QualityGateError):
-        publish_consent(bad, t)
+        publish_consent(bad, t, run=1)
+    assert publish_consent(bad, t, run=1, on_fail="block") is None
+    with pytest.raises(QualityGateError):       # an empty table does not pass
+        publish_consent(bad.limit(0), t, run=1)
+    with pytest.raises(ValueError):
+        publish_consent(bad, t, run=1, on_fail="maybe")
     assert not t.exists()
     good = bad.withColumn("phone_number", F.lit("+12025550100"))
-    assert publish_consent(good, t) == 0 and t.read().count() == 1
+    assert publish_consent(good, t, run=1) == 1 and t.read(1).count() == 1
 
 
 def test_partial_last_snapshot_fails_drop_check(spark):

@@ -23,14 +23,26 @@ def test_fold_in_any_order_equals_batch(spark, tmp_path):
         for cond in order:
             L = Layers(spark, SF_SMALL, where=cond)
             inc.apply(L.nonfin, L.supplfwd, L.enrollment)
-        assert inc.buffer.versions() == [0, 1, 2]
+        assert inc.last_run() == 2
         _same(inc.state(), expected)
 
 
 def test_fold_of_scenario(spark, tmp_path, scenario):
     nf, ch, en = scenario
     inc = IncrementalState(spark, str(tmp_path / "s"))
-    early = F.col("_file_date") < F.lit("2020-03-01").cast("date")
+    early = F.col("_file_date") < F.lit("2023-08-01").cast("date")
     inc.apply(nf.where(early), ch.where(early), en.where(early))
     inc.apply(nf.where(~early), ch.where(~early), en.where(~early))
     _same(inc.state(), P.build_state(nf, ch, en))
+
+
+def test_a_split_snapshot_date_is_refused(spark, tmp_path, scenario):
+    import pytest
+    from contactgate.plans.incremental import SplitDeliveryError
+    nf, ch, en = scenario
+    inc = IncrementalState(spark, str(tmp_path / "s"))
+    first = F.col("_source_file").contains("_000.csv")
+    inc.apply(nf.where(first), ch, en)
+    with pytest.raises(SplitDeliveryError):
+        inc.apply(nf.where(~first), ch.limit(0), en.limit(0))
+    assert inc.last_run() == 0

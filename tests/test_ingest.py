@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType
 
-from conftest import ENR_HDR, write_gz
+from conftest import DELIVERIES, ENR_HDR, write_gz
 from contactgate.sources import schemas as S
 from contactgate.sources.delivery import (
     deliver, ingest_enrollment, ingest_snapshot,
@@ -27,33 +27,34 @@ def test_all_raw_columns_are_strings(scenario):
                 assert f.dataType == StringType(), f.name
 
 
+def _rows(kind):
+    return sum(len(rows) for name, (_, rows) in DELIVERIES.items() if kind in name)
+
+
 def test_row_counts(scenario):
-    nf, ch, en = scenario
-    assert (nf.count(), ch.count(), en.count()) == (14, 5, 7)
+    assert [df.count() for df in scenario] == [_rows("NON-FIN"), _rows("SUPPLFWD"), _rows("ENRLMT")]
 
 
 def test_file_dates_from_names(scenario):
-    nf, ch, en = scenario
-    dates = sorted(r[0] for r in nf.select("_file_date").distinct().collect())
-    assert dates == [dt.date(2020, 1, 1), dt.date(2020, 2, 1), dt.date(2020, 3, 1)]
-    assert {r[0] for r in en.select("_file_date").distinct().collect()} == {dt.date(2020, 1, 1)}
-    assert ch.where(F.col("_file_date").isNull()).count() == 0
+    for df, days in zip(scenario, ([(5, 1), (8, 1), (11, 1)], [(6, 15), (12, 5)], None)):
+        found = sorted(r[0] for r in df.select("_file_date").distinct().collect())
+        assert found == ([dt.date(2023, m, d) for m, d in days] if days else [dt.date(2022, 12, 1), dt.date(2023, 9, 1)])
 
 
-def test_source_file_is_full_path(scenario):
-    nf = scenario[0]
-    names = {r[0] for r in nf.select("_source_file").distinct().collect()}
-    assert len(names) == 3 and all(n.endswith(".csv.gz") and "NON-FIN-BDL" in n for n in names)
+def test_source_file_is_full_path(scenario, scenario_dir):
+    names = {r[0] for r in scenario[0].select("_source_file").distinct().collect()}
+    assert {n.rsplit("/", 1)[1] for n in names} == {n.rsplit("/", 1)[1] for n in DELIVERIES if "NON-FIN" in n}
+    assert all(str(scenario_dir) in n for n in names)
 
 
 def test_empty_fields_are_null(scenario):
-    nf = scenario[0]
-    row = nf.where(F.col("cnsmr_phn_id") == "p-x1").first()
+    row = scenario[0].where(F.col("cnsmr_phn_id") == "id-24").first()
     assert row["cnsmr_phn_cnsnt_flg"] is None and row["cnsmr_phn_cnsnt_dt"] is None
+    assert scenario[0].where("cnsmr_phn_id IS NULL").count() == 2
 
 
 def test_trailing_slash_in_root(spark, scenario_dir):
-    assert ingest_snapshot(spark, str(scenario_dir) + "/").count() == 14
+    assert ingest_snapshot(spark, str(scenario_dir) + "/").count() == _rows("NON-FIN")
 
 
 def test_unstamped_file_name_gives_null_date(spark, tmp_path):

@@ -34,9 +34,9 @@ def test_layer_contracts(layers):
 def test_class_counts(layers):
     got = {(r[0], r[1]): r[2] for r in
            layers.state.groupBy("record_source", "delete_type").count().collect()}
-    assert got == {("ENRLMT", None): 241, ("NON-FIN", None): 909, ("NON-FIN", "hard_delete"): 3255,
-                   ("SUPPLFWD", None): 166, ("SUPPLFWD", "hard_delete"): 632,
-                   ("SUPPLFWD", "soft_delete"): 42}
+    assert got == {("ENRLMT", None): 241, ("NON-FIN", None): 1036, ("NON-FIN", "hard_delete"): 3679,
+                   ("SUPPLFWD", None): 877, ("SUPPLFWD", "hard_delete"): 632,
+                   ("SUPPLFWD", "soft_delete"): 228}
 
 
 def test_delete_consistency(spark):
@@ -57,7 +57,7 @@ def test_decisions_follow_rule(spark, layers):
     rule = ((F.col("phone_source") == "CLIENT") & ~F.col("is_deleted")
             & F.coalesce(F.col("has_sms_consent"), F.lit(True)))
     assert d.where(F.col("can_send_sms") != rule).count() == 0
-    assert d.where("can_send_sms").count() == 378
+    assert d.where("can_send_sms").count() == 453
 
 
 def test_hot_request_key(spark, layers):

@@ -71,3 +71,18 @@ def test_salted_decide_equals_plain(spark):
     salted = decide(req, consent, hot_key_share=0.3, salt_buckets=8)
     assert salted.count() == plain.count() == req.count()
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+
+
+def test_salt_does_not_depend_on_the_request_columns(spark):
+    """Requests that are nothing but one key are spread all the same; the share is checked."""
+    import pytest
+    from conftest import SF_SMALL
+    from contactgate.operators.decide import decide, hot_keys
+    from contactgate.plans.catalog import LOOKUP_ACCOUNT, LOOKUP_PHONE, Layers
+    consent = Layers(spark, SF_SMALL).consent
+    req = spark.range(2000).select(F.lit(LOOKUP_ACCOUNT).alias("account_number"), F.lit(LOOKUP_PHONE).alias("phone_number"))
+    salted = decide(req, consent, hot_key_share=0.5, salt_buckets=8)
+    assert salted.count() == 2000 and salted.distinct().count() == 1
+    for share in (0, -1, 1.5):
+        with pytest.raises(ValueError):
+            hot_keys(req, ["account_number", "phone_number"], share)

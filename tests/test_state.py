@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from conftest import ACC, PH
+from conftest import ACCOUNTS, N_STATE, OUTCOMES, PHONES
 from contactgate.operators.latest import latest_by
 from contactgate.plans import phone_state as P
 from contactgate.sources import schemas as S
@@ -23,58 +23,116 @@ def test_account_from_legacy(spark):
     assert [r[0] for r in df.select(account_from_legacy("l")).collect()] == ["1234", "ABC", ""]
 
 
-def test_dedup_snapshot_removes_same_file_duplicate(scenario):
+def test_dedup_snapshot(scenario):
     nf = scenario[0]
     d = P.dedup_snapshot(nf)
-    assert d.count() == nf.count() - 1
-    assert d.where(F.col("cnsmr_phn_id") == "p-x2").count() == 3
+    assert d.count() == nf.count() - 2      # a second row of an id, a second row without id
+    may = d.where("_file_date = DATE'2023-05-01'")
+    assert one(may, cnsmr_phn_id="id-21")["cnsmr_phn_src_val_txt"] == "CLIENT"
+    assert [r["cnsmr_idntfr_lgcy_txt"] for r in may.where("cnsmr_phn_id IS NULL").collect()] == [ACCOUNTS["nameless"] + "P"]
 
 
 def test_dedup_change_keeps_lowest_history_id(scenario):
     d = P.dedup_change(scenario[1])
-    assert d.count() == 4
-    assert one(d, cnsmr_phn_nmbr_txt=PH["W1"])["cnsmr_phn_hst_id"] == "h-w1-01"
+    assert d.count() == scenario[1].count() - 1
+    kept = {r["cnsmr_phn_hst_id"] for r in d.where(F.col("cnsmr_phn_nmbr_txt") == PHONES["writer"]).collect()}
+    assert kept == {"g-02", "g-03"}
 
 
 def test_hard_deletes(scenario):
-    h = P.hard_deletes(P.dedup_snapshot(scenario[0]))
-    x1 = one(h, cnsmr_phn_nmbr_txt=PH["X1"])
-    assert x1["is_hard_deleted"] is True and x1["hard_deleted_at"] == dt.date(2020, 2, 1)
-    assert one(h, cnsmr_phn_nmbr_txt=PH["X2"])["is_hard_deleted"] is False
-    z1 = one(h, cnsmr_idntfr_lgcy_txt=ACC["Z"] + "P")
-    assert z1["is_hard_deleted"] is False and z1["hard_deleted_at"] is None
+    dedup = P.dedup_snapshot(scenario[0])
+    for h in (P.hard_deletes(dedup), P.hard_deletes(dedup, raw=scenario[0])):
+        moved = one(h, cnsmr_phn_nmbr_txt=PHONES["moved"])
+        assert moved["is_hard_deleted"] is True and moved["hard_deleted_at"] == dt.date(2023, 8, 1)
+        assert one(h, cnsmr_phn_nmbr_txt=PHONES["stayed"])["is_hard_deleted"] is False
+        twin = {r["cnsmr_idntfr_lgcy_txt"][-1]: r["is_hard_deleted"] for r in h.where(F.col("cnsmr_phn_nmbr_txt") == PHONES["twin"]).collect()}
+        assert twin == {"P": False, "S": True}
 
 
 def test_soft_deletes(scenario):
     s = P.soft_deletes(P.dedup_change(scenario[1]))
-    y1 = one(s, phone_number=PH["Y1"])
-    assert y1["is_soft_deleted"] is True and y1["soft_deleted_at"] == dt.date(2020, 4, 1)
-    assert one(s, phone_number=PH["W1"])["is_soft_deleted"] is False
+    flagged = one(s, phone_number=PHONES["flagged"])
+    assert flagged["is_soft_deleted"] is True and flagged["soft_deleted_at"] == dt.date(2023, 12, 1)
+    assert one(s, phone_number=PHONES["writer"])["is_soft_deleted"] is False
 
 
 def test_state_scenario(scenario):
     st = P.build_state(*scenario)
     assert st.columns == S.STATE_COLUMNS
-    assert st.count() == 8
-    assert st.select("account_number", "phone_number").distinct().count() == 8
-    x1 = one(st, phone_number=PH["X1"])
-    assert (x1["is_deleted"], x1["delete_type"], x1["deleted_at"]) == (True, "hard_delete", dt.date(2020, 2, 1))
-    assert x1["consent_flag"] is None and x1["account_number"] == ACC["X"]
-    x2 = one(st, phone_number=PH["X2"])
-    assert (x2["consent_flag"], x2["consent_date"], x2["is_deleted"]) == ("N", dt.date(2020, 2, 20), False)
-    y1 = one(st, phone_number=PH["Y1"])
-    assert (y1["delete_type"], y1["deleted_at"], y1["record_source"]) == ("soft_delete", dt.date(2020, 4, 1), "SUPPLFWD")
-    z1 = one(st, account_number=ACC["Z"], phone_number=PH["Z1"])
-    assert (z1["is_deleted"], z1["delete_type"], z1["record_source"]) == (False, None, "NON-FIN")
-    w1 = one(st, phone_number=PH["W1"])
-    assert (w1["record_source"], w1["consent_flag"], w1["is_deleted"]) == ("SUPPLFWD", "Y", False)
-    v1 = one(st, phone_number=PH["V1"])
-    assert (v1["record_source"], v1["phone_source"], v1["is_deleted"]) == ("ENRLMT", "CLIENT", False)
-    u1 = one(st, account_number=ACC["U"], phone_number=PH["U1"])
-    assert (u1["delete_type"], u1["phone_source"]) == ("hard_delete", "OTHER")
-    t1 = one(st, phone_number=PH["T1"])
-    assert (t1["record_source"], t1["phone_source"], t1["consent_flag"], t1["is_deleted"]) == \
-        ("SUPPLFWD", "CLIENT", "N", False)
+    assert st.count() == N_STATE
+    for who, (record, source, kind, day, _) in OUTCOMES.items():
+        r = one(st, legacy_identifier=ACCOUNTS[who] + "P", phone_number=PHONES[who])
+        assert (r["record_source"], r["phone_source"], r["delete_type"], r["is_deleted"]) == (record, source, kind, kind is not None), who
+        assert r["deleted_at"] == (dt.date.fromisoformat(day) if day else None) and r["account_number"] == ACCOUNTS[who]
+    other = one(st, legacy_identifier=ACCOUNTS["twin"] + "S")
+    assert (other["delete_type"], other["deleted_at"]) == ("hard_delete", dt.date(2023, 5, 1))
+    stayed = one(st, phone_number=PHONES["stayed"])
+    assert (stayed["consent_flag"], stayed["consent_date"]) == ("N", dt.date(2023, 10, 15))
+    assert one(st, phone_number=PHONES["writer"])["consent_flag"] == "Y"
+
+
+def test_state_for_keys_is_the_state_of_those_keys(spark, scenario, monkeypatch):
+    whole = P.build_state(*scenario)
+    for limits in ((200, 2000), (200, 1), (2, 2)):      # literals; ids joined; all joined
+        monkeypatch.setattr(P, "MAX_LITERAL_KEYS", limits[0])
+        monkeypatch.setattr(P, "MAX_LITERAL_IDS", limits[1])
+        for prefix in ("", "+1"):
+            for names in (["shadow"], ["nameless", "shadow", "back"], list(ACCOUNTS)):
+                asked = spark.createDataFrame([(ACCOUNTS[k], prefix + PHONES[k]) for k in names] + [("0", "4155500000"), (None, None)],
+                                              "account_number string, phone_number string")
+                got = P.state_for_keys(*scenario, asked)
+                keys = [ACCOUNTS[k] + PHONES[k] for k in names]
+                want = whole.where(F.concat("account_number", "phone_number").isin(keys))
+                assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_a_row_without_phone_id_cannot_permit(spark):
+    """The snapshot row of another source must not be lost for want of a phone id."""
+    nf = _snap(spark, [_row(None, "7P", "4155500001", src="OTHER")], "2023-01-01")
+    en = _empty_enrollment(spark).drop("_file_date")
+    en = spark.createDataFrame([("7", "7P", "A", "S", "F", "L", "4155500001", "CELL", "WIRELESS", "ACTIVE", "CLIENT", "1", "2022-01-01", "e.csv.gz")],
+                               en.schema).withColumn("_file_date", F.lit("2022-01-01").cast("date"))
+    asked = spark.createDataFrame([("7", "+14155500001")], "account_number string, phone_number string")
+    got = P.state_for_keys(nf, _empty_change(spark), en, asked)
+    assert one(got, account_number="7")["phone_source"] == "OTHER"
+
+
+def _spec(spark, rows, tag, **more):
+    from contactgate.operators.reconcile import SourceSpec
+    df = spark.createDataFrame(rows, "k string, v string, d string, a string, b string, c string")
+    return SourceSpec(df, {"k": "k", "v": "v", "event_date": "CAST(d AS DATE)"}, tag, tiebreak=["a", "b", "c"], **more)
+
+
+def test_every_tiebreak_field_counts(spark):
+    from contactgate.operators.reconcile import ReconcileConfig, reconcile
+    rows = [("k", "lo", "2023-01-01", "1", "1", "1"), ("k", "hi", "2023-01-01", "1", "1", "2")]
+    cfg = ReconcileConfig(keys=["k"], types={"event_date": "date"})
+    for order in (rows, rows[::-1]):
+        got = reconcile([_spec(spark, order, "s")], cfg, ["k", "v", "event_date", "record_source"])
+        assert got.first()["v"] == "hi"
+
+
+def test_two_snapshot_feeds_and_no_flag_column(spark):
+    from contactgate.operators.reconcile import SNAPSHOT, ReconcileConfig, delete_status, reconcile
+    cfg = ReconcileConfig(keys=["k"], types={"event_date": "date"})
+    t = ("1", "1", "1")
+    a = _spec(spark, [("both", "x", "2023-01-01", *t), ("gone", "x", "2023-01-01", *t), ("one", "x", "2023-01-01", *t), ("one", "x", "2023-02-01", *t)], "A", role=SNAPSHOT)
+    b = _spec(spark, [("both", "x", "2022-05-01", *t), ("gone", "x", "2022-04-01", *t), ("both", "x", "2022-04-01", *t), ("new", "x", "2022-05-01", *t)], "B", role=SNAPSHOT)
+    got = delete_status(reconcile([a, b], cfg, ["k", "v", "event_date", "record_source"]))
+    found = {r["k"]: (r["is_deleted"], r["last_seen_date"]) for r in got.collect()}
+    assert found == {"both": (False, dt.date(2023, 1, 1)), "gone": (True, dt.date(2023, 1, 1)),
+                     "one": (False, dt.date(2023, 2, 1)), "new": (False, dt.date(2022, 5, 1))}
+
+
+def test_consent_transitions(spark):
+    for flags, days in (("YNY", [2]), ("YNYNN", [2, 4]), ("NY", []), ("", []), ("Y-N", [3])):
+        nf = None
+        for i, f in enumerate(flags, start=1):
+            part = _snap(spark, [_row("id", "7P", "4155500001", flag=None if f == "-" else f)], f"2023-01-{i:02d}")
+            nf = part if nf is None else nf.unionByName(part)
+        nf = nf if nf is not None else _snap(spark, [], "2023-01-01")
+        got = P.consent_transitions(nf, _empty_change(spark), _empty_enrollment(spark))
+        assert sorted(r["withdrawn_at"].day for r in got.collect()) == days
 
 
 def test_feed_order_does_not_matter(scenario):

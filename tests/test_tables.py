@@ -1,31 +1,63 @@
 
 from contactgate.operators.merge import diff, gap_fill, upsert
-from contactgate.sources.tables import VersionedTable
+from contactgate.sources.tables import RunTable
 
 
 def _df(spark, rows):
     return spark.createDataFrame(rows, "k string, v string")
 
 
-def test_versions_upsert_and_time_travel(spark, tmp_path):
-    t = VersionedTable(spark, str(tmp_path / "t"))
-    assert t.versions() == [] and not t.exists()
-    v0 = t.upsert(_df(spark, [("a", "1"), ("b", "1")]), ["k"])
-    v1 = t.upsert(_df(spark, [("b", "2"), ("c", "2")]), ["k"])
-    assert (v0, v1) == (0, 1) and t.versions() == [0, 1]
-    assert sorted(map(tuple, t.read().collect())) == [("a", "1"), ("b", "2"), ("c", "2")]
-    assert sorted(map(tuple, t.read(version=0).collect())) == [("a", "1"), ("b", "1")]
-    assert t.history().select("v").distinct().count() == 2
-
-
-def test_uncommitted_version_is_invisible(spark, tmp_path):
-    t = VersionedTable(spark, str(tmp_path / "t"))
-    t.write(_df(spark, [("a", "1")]))
-    (tmp_path / "t" / "v=1").mkdir()
-    (tmp_path / "t" / "v=1" / "part-0.parquet").write_bytes(b"garbage")
-    assert t.versions() == [0]
-    assert t.write(_df(spark, [("a", "2")])) == 1      # half-written v=1 is replaced
-    assert t.read().first()["v"] == "2"
+def test_runs_upsert_and_as_of_reads(spark, tmp_path):
+    t = RunTable(spark, str(tmp_path / "t"))
+    assert not t.exists()
+    t.upsert(_df(spark, [("a", "1"), ("b", "1")]), ["k"], run=20230101, base=None)
+    t.upsert(_df(spark, [("b", "2"), ("c", "2")]), ["k"], run=20230201, base=20230101)
+    assert sorted(map(tuple, t.read(20230201).collect())) == [("a", "1"), ("b", "2"), ("c", "2")]
+    assert sorted(map(tuple, t.read(20230101).collect())) == [("a", "1"), ("b", "1")]
+    assert t.history().select("run").distinct().count() == 2
+    plan = t.read(20230101)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run" in plan
+
+
+def test_a_retried_run_replaces_itself_alone(spark, tmp_path):
+    t = RunTable(spark, str(tmp_path / "t"))
+    t.write(_df(spark, [("a", "1")]), run=1)
+    t.write(_df(spark, [("a", "2"), ("b", "2")]), run=2)
+    t.write(_df(spark, [("a", "3")]), run=2)
+    assert t.read(1).first()["v"] == "1" and [r["v"] for r in t.read(2).collect()] == ["3"]
+    t.write(_df(spark, []), run=2)
+    assert t.read(2).count() == 0 and t.read(1).count() == 1
+
+
+def test_repeated_source_keys_are_refused(spark, tmp_path):
+    import pytest
+    from contactgate.operators.merge import RepeatedKeyError
+    t = RunTable(spark, str(tmp_path / "t"))
+    with pytest.raises(RepeatedKeyError):
+        t.upsert(_df(spark, [("a", "1"), ("a", "2")]), ["k"], run=1, base=None)
+    with pytest.raises(ValueError):
+        t.upsert(_df(spark, [("a", "1")]), ["k"], run=1, base=1)
+    assert not t.exists()
+
+
+def test_deliveries_of_one_date_and_undated_ones_stay(spark, tmp_path):
+    from contactgate.sources.tables import DeliveryTable
+    from pyspark.sql import functions as F
+    rows = lambda day, name, *vs: spark.createDataFrame([(v, name) for v in vs], "v string, _source_file string") \
+        .withColumn("_file_date", F.lit(day).cast("date"))
+    b = DeliveryTable(spark, str(tmp_path / "b"))
+    b.append(rows("2023-01-01", "d/x-1.csv.gz", "1"))
+    b.append(rows("2023-01-01", "d/x-2.csv.gz", "2"))
+    b.append(rows(None, "d/u-1.csv.gz", "3"))
+    b.append(rows(None, "d/u-2.csv.gz", "4"))
+    b.append(rows("2023-01-01", "d/x-1.csv.gz", "1b"))
+    assert sorted(r["v"] for r in b.read().collect()) == ["1b", "2", "3", "4"]
+    assert sorted(r["v"] for r in b.read(since="2023-01-01").collect()) == ["1b", "2"]
+
+
+def test_diff_meets_null_keys(spark):
+    old, new = _df(spark, [(None, "1"), ("a", "1")]), _df(spark, [(None, "1"), ("a", "2")])
+    assert sorted(r["_change_type"] for r in diff(old, new, ["k"]).collect()) == ["update_postimage", "update_preimage"]
 
 
 def test_change_feed(spark, tmp_path):

@@ -13,8 +13,8 @@ IMPL = {
     "B1": "sources.delivery.read_pipe_csv", "B2": "sources.delivery.with_lineage",
     "B3": "functions.columns.file_date_from_name", "B4": "sources.delivery.ingest_enrollment",
     "B5": "sources.delivery.ingest_snapshot", "B6": "sources.delivery.ingest_change",
-    "B7": "sources.tables.VersionedTable.read / DeliveryTable.read",
-    "B8": "sources.tables.VersionedTable.write / DeliveryTable.append",
+    "B7": "sources.tables.RunTable.read / DeliveryTable.read",
+    "B8": "sources.tables.RunTable.write / DeliveryTable.append",
     "B9": "spark.sql over parquet.`path`", "B10": "plans.reports.q_feed_coverage",
     "P1": "operators.reconcile.align", "P2": "SourceSpec.tag", "P3": "functions.columns.account_from_legacy",
     "P4": "plans.phone_state.build_state / build_consent", "P5": "operators.latest.latest_by (window form)",
@@ -49,8 +49,8 @@ IMPL = {
     "Q1": "operators.quality.evaluate (feed checks)", "Q2": "reports.published_quality",
     "Q3": "reports.published_quality", "Q4": "operators.quality.verdict / gate",
     "Q5": "count_if consistency", "Q6": "count_if(isNull)", "Q7": "row parity",
-    "I1": "operators.merge.upsert / VersionedTable.upsert", "I2": "VersionedTable.upsert (create)",
-    "I3": "operators.merge.diff / VersionedTable.changes", "I4": "VersionedTable.read(version)",
+    "I1": "operators.merge.upsert / RunTable.upsert", "I2": "RunTable.upsert (create)",
+    "I3": "operators.merge.diff / RunTable.changes", "I4": "RunTable.read(run)",
     "I5": "_source_file carried in the winning row", "I6": "plans.phone_state.consent_history",
     "X1": "streaming.change_stream.run_change_stream",
 }
