@@ -131,3 +131,22 @@ def test_partial_last_snapshot_fails_drop_check(spark):
     assert (r["passed"], r["observed"]) == (False, 10)
     r = snapshot_drop_check(full).first()
     assert (r["passed"], r["observed"]) == (True, 100)
+
+
+def test_every_layer_is_gated_and_results_are_kept(spark, tmp_path, scenario):
+    from contactgate.plans.phone_state import gated_run
+    from contactgate.sources.tables import RunTable
+    nf, ch, en = scenario
+    root = str(tmp_path / "g")
+    with pytest.raises(QualityGateError, match="supplfwd_row_count_positive"):
+        gated_run(nf, ch.limit(0), en, root, run=1)
+    # the twin's two suffixes repeat a key: the state's gate stops the run before anything is published
+    with pytest.raises(QualityGateError, match="silver_no_duplicate"):
+        gated_run(nf, ch, en, root, run=2)
+    assert not RunTable(spark, f"{root}/consent").exists()
+    one_suffix = nf.where("cnsmr_idntfr_lgcy_txt NOT LIKE '%S'")
+    assert gated_run(one_suffix, ch, en, root, run=3) == 3
+    assert RunTable(spark, f"{root}/consent").read(3).count() == 10
+    kept = RunTable(spark, f"{root}/quality").history()
+    assert sorted(r["run"] for r in kept.select("run").distinct().collect()) == [3, 6, 7, 9, 10, 11]
+    assert kept.where("NOT passed").select("name").distinct().count() == 2
