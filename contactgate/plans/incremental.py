@@ -7,11 +7,11 @@ cuts lineage):
 ``buffer``     one row per key: the best snapshot/enrollment candidate, its
                precedence and the newest snapshot date that listed the key.
                Folding a batch is one union + aggregate over (buffer, batch).
-``survivors``  the deduplicated change history, one row per (legacy id,
-               phone, raw record date).  Change dedup keeps the lowest history
-               id of a raw date, which can *lower* a key's best change record,
-               so survivors are kept whole (a delta feed, small next to the
-               snapshots) instead of only the per-key winner.
+``survivors``  the change history, each fold's records deduplicated to one row per
+               (legacy id, phone, raw record date) and appended as a run of their
+               own; reading deduplicates across the runs.  Change dedup keeps the
+               lowest history id of a raw date, which can *lower* a key's best
+               change record, so the history is kept and not only the winner.
 
 The current state combines both in the same aggregate the batch plan uses.
 Because every reduction is a max over a total order, the result equals the
@@ -75,10 +75,7 @@ class IncrementalState:
             cands = cands.unionByName(self.buffer.read(last))
         self.buffer.write(reduce_candidates(cands, self.cfg).select(*P.KEYS, *CANDIDATE_COLUMNS), run)
 
-        changes = P.prune(supplfwd, P.CHANGE_USED)
-        if last is not None:
-            changes = self.survivors.read(last).select(*changes.columns).unionByName(changes)
-        self.survivors.write(P.dedup_change(changes), run)
+        self.survivors.write(P.dedup_change(P.prune(supplfwd, P.CHANGE_USED)), run)
         self.dates.write(dates, run)
         return run
 
@@ -97,7 +94,8 @@ class IncrementalState:
             raise FileNotFoundError("nothing has been folded yet")
         buf = self.buffer.read(last)
         width = len(buf.schema["__ord"].dataType["__tb"].dataType.fields)
-        chg = candidates([P.change_source(self.survivors.read(last))], self.cfg, P.EVENT_COLUMNS, width) \
+        changes = P.dedup_change(self.survivors.history().where(F.col("run") <= last).drop("run"))
+        chg = candidates([P.change_source(changes)], self.cfg, P.EVENT_COLUMNS, width) \
             .select(*P.KEYS, *CANDIDATE_COLUMNS)
         latest = buf.agg(F.max("__seen")).scalar()
         reduced = reduce_candidates(buf.unionByName(chg), self.cfg)
