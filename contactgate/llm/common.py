@@ -6,7 +6,7 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -56,6 +56,26 @@ def union(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.union(b).coalesce(1 << 20)
 
 
+def bounded_sample(rows: DataFrame, most: int, *key: str) -> DataFrame:
+    """About ``most`` of the rows, those whose hashed key is in the lowest part of the
+    hash range (all rows, if there are no more than that).
+
+    The part is ``most`` / number of rows, so a task filters its own rows and nothing is
+    sorted or gathered; reruns choose the same keys.  Rows that share a key are chosen
+    together; twice ``most`` rows are never exceeded."""
+    n = rows.count()
+    if n <= most:
+        return rows
+    return rows.where(hash_part(*key) < int(most / n * HASH_RANGE)).limit(2 * most)
+
+
+HASH_RANGE = 1 << 32
+
+
+def hash_part(*key: str) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(HASH_RANGE))
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
 

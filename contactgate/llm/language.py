@@ -6,8 +6,8 @@ features of each language in Spark; the model is a matrix of log probabilities
 (buckets x languages, a few MB at most, broadcast).  Scoring adds the matrix
 rows of a text's features, in numpy, over Arrow batches.
 
-The model is fitted on a bounded sample: of each language the
-``docs_per_language`` documents whose hashed ids are smallest.  Scoring covers
+The model is fitted on a bounded sample: of each language about
+``docs_per_language`` documents, chosen by their hashed ids.  Scoring covers
 every whole text.
 """
 
@@ -20,10 +20,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import HASH_RANGE, hash_part, ship
 
 UNKNOWN = "und"
 ORDERS = 3
@@ -98,26 +98,23 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         buckets: int = BUCKETS, docs_per_language: int = DOCS_PER_LANGUAGE) -> LanguageModel:
     """Fit on the rows whose language and text are not null.
 
-    At most ``docs_per_language`` documents of a language are read for counting
-    (all copies of an id count as that document's rows, up to the same bound
-    over all languages together).  No such rows give a model that predicts
-    ``und`` everywhere.  The driver receives one threshold per language and the
-    counts: languages x buckets at most."""
+    About ``docs_per_language`` documents of a language are read for counting: those whose
+    hashed id lies in the lowest ``docs_per_language`` / (rows of the language) of the hash
+    range, never more than twice that over all languages.  No such rows give a model that
+    predicts ``und`` everywhere.  The driver receives one count per language and the
+    feature counts: languages x buckets at most."""
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
-                       F.xxhash64(F.col(id_col)).alias("h")).where("lang IS NOT NULL")
-    order = Window.partitionBy("lang").orderBy("h")
-    chosen = (rows.select("lang", "h").withColumn("rn", F.row_number().over(order))
-              .where(F.col("rn") <= docs_per_language)
-              .groupBy("lang").agg(F.max("h").alias("upto"), F.count(F.lit(1)).alias("n")).collect())
-    languages = sorted(r["lang"] for r in chosen)
+                       hash_part(id_col).alias("h")).where("lang IS NOT NULL")
+    counts_of = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    languages = sorted(counts_of)
     if not languages:
         return LanguageModel([], np.zeros((buckets, 0), np.float32), np.zeros(0))
-    upto = {r["lang"]: r["upto"] for r in chosen}
+    upto = {lang: min(HASH_RANGE, int(docs_per_language / n * HASH_RANGE)) for lang, n in counts_of.items()}
     bound = F.element_at(F.create_map(*[F.lit(x) for lang in languages for x in (lang, upto[lang])]), F.col("lang"))
-    sample = (rows.where("text IS NOT NULL").where(F.col("h") <= bound).select("text", "lang")
-              .limit(docs_per_language * len(languages)))
+    sample = (rows.where("text IS NOT NULL").where(F.col("h") < bound).select("text", "lang")
+              .limit(2 * docs_per_language * len(languages)))
     place = {lang: i for i, lang in enumerate(languages)}
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

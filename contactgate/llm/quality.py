@@ -9,7 +9,7 @@ texts), the step goes the other way.
 
 Features are figures of the whole text: shares of character classes, words and
 their repetition, lines and their repetition.  The sample that is fitted is
-bounded (``max_positives`` and ``max_unlabelled`` documents, those with the smallest
+bounded (about ``max_positives`` and ``max_unlabelled`` documents, chosen by their
 hashed ids) and so is what reaches the driver; every whole text is scored.
 """
 
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import bounded_sample, ship
 
 MAX_POSITIVES = 4000
 MAX_UNLABELLED = 8000
@@ -143,10 +143,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     n = labelled.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("y") == 1).alias("p")).first()
     prior = (n["p"] + 1) / (n["n"] + 2)
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    some = lambda rows, most: rows.orderBy(F.xxhash64("id"), "id").limit(most)
-    known = some(labelled.where("y = 1").select("id"), max_positives).withColumn("positive", F.lit(True))
-    other = some(texts.select("id").distinct(), max_unlabelled).withColumn("free", F.lit(True))
-    chosen = known.join(other, "id", "full")        # at most max_positives + max_unlabelled rows
+    known = bounded_sample(labelled.where("y = 1").select("id"), max_positives, "id").withColumn("positive", F.lit(True))
+    other = bounded_sample(texts.select("id"), max_unlabelled, "id").distinct().withColumn("free", F.lit(True))
+    chosen = known.join(other, "id", "full")        # at most twice max_positives + max_unlabelled rows
 
     def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -8,8 +8,8 @@ label and hyphen counts, and statistics of the host's suffix: its share of
 all URLs, the mean length and depth of its URLs.
 
 Only DataFrame functions and the JVM's tree learner run here.  The trees are
-fitted on a bounded sample, the ``max_training_rows`` labelled URLs with the
-smallest hash; suffix statistics cover every URL.
+fitted on a bounded sample, about ``max_training_rows`` labelled URLs chosen by
+their hash; suffix statistics cover every URL.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialized
+from .common import bounded_sample, materialized
 
 #: (verdict, rule): host (with its subdomains), then the start of the path
 RULES = (
@@ -32,6 +32,7 @@ RULES = (
 )
 MAX_TRAINING_ROWS = 20_000
 TREES, DEPTH = 10, 4
+TRAINING_PARTITIONS = 4
 SUFFIX_BROADCAST_ROWS = 10_000      # rows of a host label and three numbers
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -119,8 +120,9 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     rows = rows.join(F.broadcast(suffixes) if few else suffixes, "suffix")
     ready = VectorAssembler(inputCols=names + extra, outputCol="features").transform(rows)
     labelled = (ready.where("found IS NOT NULL")
-                .select("features", (F.col("found.verdict") == "block").cast("double").alias("label"), F.xxhash64("url", "page_id").alias("h")))
-    sample = materialized(labelled.orderBy("h").limit(max_training_rows).select("features", "label"))
+                .select("features", (F.col("found.verdict") == "block").cast("double").alias("label"), "url", "page_id"))
+    sample = materialized(bounded_sample(labelled, max_training_rows, "url", "page_id")
+                          .select("features", "label").coalesce(TRAINING_PARTITIONS))
     known = {r["label"] for r in sample.select("label").distinct().collect()}
     if len(known) == 2:
         learner = GBTClassifier(featuresCol="features", labelCol="label", maxIter=trees, maxDepth=depth, seed=7)
