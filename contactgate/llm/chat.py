@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import is_empty, materialized
+from .common import is_empty, materialized, union
 
 HEAD, SEP, END = "### ", ": ", "</turn>\n"
 ASSISTANT = "assistant"
@@ -79,11 +79,12 @@ def paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
     leaves = s.join(i, _same("s", "i", "id", "id"), "left_anti").select("s.tree", "s.id")
     levels, previous, open_rows = [step], step, step.count()
     while not is_empty(previous.where("up IS NOT NULL")):
-        a, b = previous.alias("a"), previous.alias("b")
-        previous = materialized(a.join(b, _same("a", "b", "up", "id"), "left").select(
-            "a.tree", "a.id", F.col("b.up").alias("up"),
-            (F.col("a.score") + F.coalesce("b.score", F.lit(0.0))).alias("score"),
-            (F.col("a.size") + F.coalesce("b.size", F.lit(0))).alias("size")))
+        # only pointers that have not reached a root are joined further
+        a, b = previous.where("up IS NOT NULL").alias("a"), previous.alias("b")
+        longer = a.join(b, _same("a", "b", "up", "id")).select(
+            "a.tree", "a.id", F.col("b.up").alias("up"), (F.col("a.score") + F.col("b.score")).alias("score"),
+            (F.col("a.size") + F.col("b.size")).alias("size"))
+        previous = materialized(union(longer, previous.where("up IS NULL")))
         if 2 ** len(levels) > open_rows:    # longer than any path: what is left is a cycle
             break
         levels.append(previous)
