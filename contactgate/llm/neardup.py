@@ -33,7 +33,8 @@ from .simhash import forest
 MIN_COSINE = 0.98
 BLOCKS = 4
 GRID_DIMS = 2
-SPLIT_ROWS = 4096
+SPLIT_ROWS = 1024
+BROADCAST_CELLS = 10_000    # rows of a label and four numbers
 SLAB = 1 << 22              # distances of one slab
 SLACK = 1e-9                # budgets are widened by rounding errors; the cosine decides
 
@@ -164,13 +165,17 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         f"id long, copies long, vector {rows.schema['vector'].dataType.simpleString()}, label {label_type}, "
         "dims int, block int, cell long, home boolean")
     key = ["label", "dims", "block", "cell"]
-    loads = cells.groupBy(*key).agg(F.count(F.lit(1)).alias("rows"), F.count_if("home").alias("homes"))
-    loads = materialized(loads.where("homes > 0 AND rows > 1")
-                         .select(*key, F.ceil(F.col("rows") / F.lit(split_rows)).cast("int").alias("parts")))
-    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    dealt = (cells.join(loads, key).withColumn("part", part)
+    # cells to split: at most cells' rows / split_rows; broadcast only if counted to be few
+    hot = materialized(cells.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > split_rows)
+                       .select(*key, F.ceil(F.col("rows") / F.lit(split_rows)).cast("int").alias("parts")))
+    few = hot.limit(BROADCAST_CELLS + 1).count() <= BROADCAST_CELLS
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = (cells.join(F.broadcast(hot) if few else hot, key, "left")
+             .withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .withColumns({"part_a": F.least("part", "other"), "part_b": F.greatest("part", "other")}))
+    if not few:     # the join has dealt the rows by cell; the groups of a split cell must part again
+        dealt = dealt.repartition(*key, "part_a", "part_b")
     links = materialized(dealt.groupBy(*key, "part_a", "part_b").applyInPandas(
         lambda found: _join(found, blocks, min_cosine), "u long, v long, n long, edge boolean"))
     counts = links.where("NOT edge").groupBy(F.col("u").alias("id")).agg(F.sum("n").alias("n"))
