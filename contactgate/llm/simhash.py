@@ -179,6 +179,19 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS,
             .mapInPandas(link, "u long, v long").distinct())
 
 
+def groups(marked: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row per distinct fingerprint of ``marked`` (``doc_id, fp``): ``fp, component,
+    component_id``.  ``component`` is the smallest fingerprint reachable and names the
+    group; ``component_id`` is the smallest id of its rows (null if all are null)."""
+    first = materialized(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    linked = components(links(first.select("fp"), max_bits))
+    named = first.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first", F.coalesce("component", "fp").alias("component"))
+    smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
+    return materialized(named.select("fp", "component").join(smallest, "component")
+                        .select("fp", "component", "component_id"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One row per document: ``doc_id, fp, component_id`` (smallest id reachable
@@ -190,13 +203,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     read; an empty table gives no rows."""
     marked = materialized(fingerprints(
         docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text", words).select("doc_id", "fp"))
-    first = materialized(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    groups = components(links(first.select("fp"), max_bits))
-    named = first.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("component"))
-    smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    of_fp = materialized(named.select("fp", "component").join(smallest, "component").select("fp", "component_id"))
-    return marked.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    return marked.join(groups(marked, max_bits), "fp").select("doc_id", "fp", "component_id")
 
 
 def fingerprint_hex(fp: str = "fp") -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contactgate.llm import bpe, language, mixing, simhash, suffix
-from contactgate.llm.common import materialized, table, union
+from contactgate.llm.common import materialized, table
 from contactgate.llm.queries import vocabulary
 
 MIN_POSTERIOR = 0.5
@@ -33,20 +33,19 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near-duplicates.
-
-    Rows that repeat a kept id count as one document: the one with the smallest
-    text stays.  Rows with a null id have no name to be kept by and go unless
-    they are alone in their group with no other id."""
-    groups = materialized(simhash.near_duplicates(docs))
-    ids = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("rows"))
-    d, k = docs.select("doc_id", "text", _row(docs)).alias("d"), ids.alias("k")
-    kept = (d.join(k, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")))
-            .select("k.doc_id", F.coalesce("d.text", F.lit("")).alias("text"), "d.row", "k.rows"))
-    once = kept.where("rows = 1").select("row.*")
-    again = (kept.where("rows > 1").groupBy("doc_id").agg(F.min_by("row", "text").alias("row")).select("row.*"))
-    return union(once, again)
+    """Keep one document of each group of near-duplicates: the one with the smallest id.
+
+    Null ids come last, so they name a group only if it has no other id.  Of rows
+    that share the id within the group the one with the smallest text stays (a null
+    text before all others, then by the other columns).  Groups are told apart by
+    their fingerprints, never by an id, which several groups may share."""
+    groups = simhash.groups(simhash.fingerprints(docs.select("doc_id", "text")).select("doc_id", "fp"))
+    d = simhash.fingerprints(docs.select("doc_id", "text", _row(docs))).select("doc_id", "fp", "row").alias("d")
+    g = groups.alias("g")
+    named = d.join(g, (F.col("d.fp") == F.col("g.fp")) & F.col("d.doc_id").eqNullSafe(F.col("g.component_id")))
+    by = ["text", *[c for c in docs.columns if c != "text"]]
+    kept = named.groupBy("g.component").agg(F.min(F.struct(*[F.col(f"d.row.`{c}`") for c in by])).alias("row"))
+    return kept.select(*[F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,6 +42,19 @@ def test_near_duplicate_stage(spark, rows):
     assert cp.one_of_each_group(spark, _docs(spark, rows).limit(0), "").count() == 0
 
 
+def test_near_duplicate_stage_keeps_one_of_each_group_whatever_the_ids(spark):
+    c, d = "ships leave the harbour at dawn with salt and rope", "seven green apples on the table of an old inn"
+    rows = [(None, A, "a"), (None, A.upper(), "b"), (None, B, "a"), (None, c, "a"),     # null ids, three groups
+            (5, d, "a"), (None, d.upper(), "a"),                                        # a null id beside a named one
+            (7, "one tale of the sea", "a"), (7, "another story of the high mountains", "b"),   # one id, two groups
+            (7, None, "a"), (7, "", "b")]
+    got = sorted((r["doc_id"] or 0, r["text"] or "") for r in cp.one_of_each_group(spark, _docs(spark, rows), "").collect())
+    assert got == sorted([(0, A.upper()), (0, B), (0, c), (5, d), (7, rows[6][1]), (7, rows[7][1]), (7, "")])
+    alone = [(1, A, "a"), (2, A.upper(), "a"), (None, A.title(), "a"), (None, B, "a")]
+    got = sorted((r["doc_id"] or 0, r["text"]) for r in cp.one_of_each_group(spark, _docs(spark, alone), "").collect())
+    assert got == [(0, B), (1, A)]
+
+
 def test_repeats_stage(spark, rows):
     unique = rows[:8]
     got = {r["doc_id"]: r for r in cp.without_repeats(spark, _docs(spark, unique), "").collect()}
