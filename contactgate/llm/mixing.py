@@ -70,8 +70,9 @@ def source_targets(sized: DataFrame, weights=DEFAULT_WEIGHTS, max_repeats: int =
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
-        weights=DEFAULT_WEIGHTS, max_repeats: int = 3) -> DataFrame:
-    """One row per document: ``doc_id, source, size, source_size, target, copies, taken``.
+        weights=DEFAULT_WEIGHTS, max_repeats: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: ``doc_id, source, size, source_size, target, copies, taken``
+    and the columns named in ``carry``, if any, as the struct ``carried``.
 
     ``copies`` (0 to ``max_repeats``) says how often the mix takes the document and
     ``taken = copies * size``.  The copy that would pass the total budget and all
@@ -80,20 +81,22 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
 
     Null texts have size 0 and are never counted; null sources form a source of
     their own; a null id sorts as the empty string; rows that repeat an id are
-    separate documents (ordered among themselves by size, which leaves equal
-    ones interchangeable); an empty table gives no rows; other columns are
+    separate documents (ordered among themselves by size and ``carried``, which leaves
+    equal ones interchangeable); an empty table gives no rows; other columns are
     not read.
     """
+    kept = ["carried"] if carry else []
     key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     sized = materialized(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                                     word_count(text_col).alias("size"), key.alias("key")))
+                                     word_count(text_col).alias("size"), key.alias("key"),
+                                     *[F.struct(*[F.col(f"`{c}`") for c in carry]).alias(c) for c in kept]))
     rows = sized.count()
     buckets = max(1, math.isqrt(rows))
     bucket = (F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * buckets / F.lit(1 << 32)).cast("int")
     targets = materialized(source_targets(sized, weights, max_repeats))
 
     # running words along each queue: inside a bucket, plus the buckets before it
-    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size")
+    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size", *kept)
     queued = (sized.withColumn("bucket", bucket)
               .select("*", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias("run"),
                       F.row_number().over(inside).alias("rn")))
@@ -107,7 +110,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     served = materialized(
         q.join(s, F.col("q.source").eqNullSafe(F.col("s.source")) & (F.col("q.bucket") == F.col("s.bucket")))
         .select("q.doc_id", "q.source", "q.bucket", "q.rn", "q.size", "q.key", "s.source_size", "s.target",
-                (F.col("s.start") + F.col("q.run")).alias("run")))
+                (F.col("s.start") + F.col("q.run")).alias("run"), *[f"q.{c}" for c in kept]))
 
     # every copy with its finish time, sorted over the corpus
     turns = (served.where("size > 0")
@@ -134,7 +137,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     return (v.join(c, F.col("v.source").eqNullSafe(F.col("c.source")) & (F.col("v.bucket") == F.col("c.bucket"))
                    & (F.col("v.rn") == F.col("c.rn")), "left")
             .select("v.doc_id", "v.source", "v.size", "v.source_size", "v.target", n.cast("int").alias("copies"),
-                    (n * F.col("v.size")).cast("long").alias("taken")))
+                    (n * F.col("v.size")).cast("long").alias("taken"), *[f"v.{c}" for c in kept]))
 
 
 SQL = f"""

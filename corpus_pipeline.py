@@ -11,10 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contactgate.llm import bpe, language, mixing, simhash, suffix
-from contactgate.llm.common import materialized, table
+from contactgate.llm.common import materialized, table, union
 from contactgate.llm.queries import vocabulary
 
 MIN_POSTERIOR = 0.5
+BATCH = 1024            # copies of equal rows made at a time
 
 
 def _row(docs: DataFrame) -> Column:
@@ -65,11 +66,24 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it (0 to 3 rows).
 
-    Rows that repeat an id are taken as often as the most taken of them."""
-    taken = materialized(mixing.mix(docs).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("copies")))
-    d, t = docs.select("doc_id", _row(docs)).alias("d"), taken.alias("t")
-    return (d.join(t, F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")))
-            .select("d.row", F.explode(F.sequence(F.lit(1), F.col("t.copies")))).select("row.*"))
+    Rows are named by a hash of all their columns, so rows that share an id, or have
+    none, are each taken as the mix decided.  Rows equal in every column are
+    interchangeable and taken together as often as the mix takes them in all."""
+    name = F.concat(F.md5(F.coalesce("text", F.lit(""))), F.hex(F.xxhash64(*[
+        x for c in docs.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))])))
+    decided = materialized(
+        mixing.mix(docs.select("doc_id", "source", "text", name.alias("name")), carry=("name",))
+        .groupBy("carried.name").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("copies > 0"))
+    d = docs.select(name.alias("name"), _row(docs))
+    once = (d.join(decided.where("rows = 1"), "name")
+            .select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*"))
+    # one of equal rows, repeated in two steps: no array is longer than copies / BATCH or BATCH
+    again = (d.join(decided.where("rows > 1"), "name").groupBy("name")
+             .agg(F.min("row").alias("row"), F.max("copies").alias("copies"))
+             .select("row", "copies", F.explode(F.sequence(F.lit(0), F.col("copies") - 1, F.lit(BATCH))).alias("at"))
+             .select("row", F.explode(F.sequence(F.lit(1), F.least(F.lit(BATCH), F.col("copies") - F.col("at")))))
+             .select("row.*"))
+    return union(once, again)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

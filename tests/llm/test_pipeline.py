@@ -75,6 +75,25 @@ def test_mixing_stage(spark, rows):
     assert all(found.count(i) == c for i, c in copies.items())
 
 
+def test_mixing_stage_takes_each_row_as_decided_whatever_the_ids(spark, monkeypatch):
+    from collections import Counter
+
+    from contactgate.llm import mixing
+    rows = [(None, f"n{i} " * (1 + i % 7), "a" if i % 3 else "b") for i in range(40)]
+    rows += [(7, f"r{i} " * (1 + i % 5), "a") for i in range(20)] + [(8, "same words here", "c")] * 9 + [(9, "x", None), (9, None, "x")]
+    docs = _docs(spark, rows)
+    monkeypatch.setattr(cp, "BATCH", 4)
+    want, words = Counter(), Counter()
+    for r in mixing.mix(docs).collect():
+        want[r["doc_id"], r["source"], r["size"]] += r["copies"]
+        words[r["source"]] += r["taken"]
+    got, taken = Counter(), Counter()
+    for r in cp.mixed(spark, docs, "").collect():
+        got[r["doc_id"], r["source"], len(r["text"].split())] += 1
+        taken[r["source"]] += len(r["text"].split())
+    assert got == +want and taken == +words
+
+
 def test_bpe_stage(spark, rows):
     import base64
 
