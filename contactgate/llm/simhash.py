@@ -1,17 +1,21 @@
 """SimHash near-duplicates with pivot distance tables.
 
 The fingerprint of a text has bit i set if over half of its shingles' 64-bit
-hashes have it set.  To link fingerprints within ``max_bits`` differing bits
-without comparing all pairs, the distances of every fingerprint to many
-reference fingerprints (the pivots) are tabulated.  The pivots of one block are
-zero outside it, so a pivot's distance minus the distance to the zero pivot
-depends on that block's bits alone.  A pair within ``max_bits`` leaves all but
-``max_bits`` blocks unchanged, and with them all their pivot coordinates: a
-fingerprint therefore meets its partners in cells keyed by the coordinates of
-``blocks - max_bits`` blocks (one cell per choice of blocks).  Within a cell a pair
-is discarded when the largest difference of any two pivot coordinates exceeds
-``max_bits`` (triangle inequality) and survivors are verified bit by bit.  No pair
-is lost.
+hashes have it set.  Fingerprints within ``max_bits`` differing bits are linked
+without comparing all pairs, in three steps.
+
+1. Cells, by blocks (pigeonhole).  The block pivots are zero outside their
+   block, so such a pivot's distance minus the distance to the zero pivot
+   depends on that block's bits alone; the block's single bits are among them, so
+   its coordinates amount to its bits.  A pair within ``max_bits`` leaves all but
+   ``max_bits`` blocks unchanged and meets in a cell keyed by the coordinates of
+   ``blocks - max_bits`` blocks (one cell per choice of blocks).
+2. Pivot tables.  Inside a cell the distances of every fingerprint to many random
+   64-bit references are tabulated.  The cell is sorted by the distance to the first
+   reference, and a row is paired only with rows at most ``max_bits`` further along;
+   a pair goes when its distances to any reference differ by more than ``max_bits``
+   (triangle inequality).
+3. Survivors are verified bit by bit.  No pair is lost.
 
 Equal fingerprints are collapsed before any of this.  With 8 blocks of 8 bits
 and 2 bits a cell leaves 16 bits free, so it holds at most 65,536 fingerprints
@@ -39,6 +43,7 @@ MAX_BITS = 2
 SEED = 42
 BLOCKS = 8
 PIVOTS_PER_BLOCK = 8
+REFERENCES = 64             # random fingerprints whose distances are tabulated
 PAIR_CHUNK = 1 << 18        # candidate pairs checked at a time
 SLAB_SHINGLES = 1 << 17     # shingles hashed at a time
 
@@ -76,7 +81,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text", words: int = SHINGLE_W
 
 
 def pivots(blocks: int = BLOCKS, per_block: int = PIVOTS_PER_BLOCK) -> list[list[int]]:
-    """Reference fingerprints: for each block, masks within it (fixed by a seed).
+    """Block pivots: for each block, masks within it (fixed by a seed).
 
     The first are the block's single bits, which alone tell all values of the
     block apart; the rest, if any, are random."""
@@ -89,6 +94,16 @@ def pivots(blocks: int = BLOCKS, per_block: int = PIVOTS_PER_BLOCK) -> list[list
     return made
 
 
+def references(n: int = REFERENCES) -> np.ndarray:
+    """Random reference fingerprints of 64 bits (fixed by a seed)."""
+    return np.random.default_rng(11).integers(0, 1 << 64, n, np.uint64)
+
+
+def distances(fps: np.ndarray, refs: np.ndarray) -> np.ndarray:
+    """Differing bits of each fingerprint and each reference."""
+    return np.bitwise_count(fps[:, None] ^ refs[None, :]).astype(np.int8)
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
@@ -101,9 +116,11 @@ def _coordinates(fp: Column, block: list[int]) -> Column:
 
 
 def _pair_links(fps: np.ndarray, group: np.ndarray, table: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs (positions) among rows of equal ``group`` (sorted)."""
-    ends = np.searchsorted(group, group, "right")
-    counts = ends - np.arange(len(group)) - 1       # later rows of the same cell
+    """Linked pairs (positions) among rows of equal ``group``, the rows being sorted by
+    group (numbers from 0) and distance to the first reference."""
+    along = group * 256 + table[:, 0]
+    ends = np.searchsorted(along, along + max_bits, "right")
+    counts = ends - np.arange(len(group)) - 1       # later rows of the same cell, no further along than that
     left, right = [], []
     stop = np.cumsum(counts)
     at = 0
@@ -141,9 +158,9 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS,
     """Edges ``(u, v)`` that connect the distinct fingerprints of column ``fp``
     exactly as all pairs within ``max_bits`` do (a spanning forest per cell)."""
     ship(fps.sparkSession)
-    refs = pivots(blocks, per_block)
-    flat = np.array([p for block in refs for p in block], np.uint64)
-    signatures = fps.select("fp", *[_coordinates(F.col("fp"), b).alias(f"c{i}") for i, b in enumerate(refs)])
+    signatures = fps.select("fp", *[
+        _coordinates(F.col("fp"), b).alias(f"c{i}") for i, b in enumerate(pivots(blocks, per_block))])
+    refs = references()
     keys = [F.xxhash64(F.lit(k), *[F.col(f"c{i}") for i in range(blocks) if i not in gone])
             for k, gone in enumerate(combinations(range(blocks), max_bits))]
     cells = signatures.select("fp", F.explode(F.array(*keys)).alias("cell"))
@@ -158,8 +175,10 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS,
             many[1:] |= same
             many[:-1] |= same
             cell, fp = cell[many], fp[many]
-            table = np.bitwise_count(fp[:, None] ^ flat[None, :]).astype(np.int8)
-            left, right = _pair_links(fp, cell, table, max_bits)
+            group = np.cumsum(np.append(False, cell[1:] != cell[:-1])) if len(cell) else cell
+            order = np.lexsort((np.bitwise_count(fp ^ refs[0]), group))
+            group, fp = group[order], fp[order]
+            left, right = _pair_links(fp, group, distances(fp, refs), max_bits)
             label = forest(len(fp), left, right)
             child = np.flatnonzero(label != np.arange(len(fp)))
             return pd.DataFrame({"u": fp[label[child]].view(np.int64), "v": fp[child].view(np.int64)})

@@ -70,3 +70,28 @@ def test_pivots_tell_blocks_apart():
         values = np.arange(1 << width, dtype=np.uint64) << np.uint64(shift)
         seen = {tuple((int(v) ^ p).bit_count() - int(v).bit_count() for p in block) for v in values}
         assert len(seen) == 1 << width
+
+
+def test_references_discard_nearly_all_pairs_of_a_cell_that_are_too_far_apart():
+    rng = np.random.default_rng(3)
+    base = int(rng.integers(1 << 62))
+    fps = np.unique(np.uint64(base) ^ rng.integers(0, 1 << 16, 500, np.uint64))     # two blocks of a cell are free
+    table = simhash.distances(fps, simhash.references())
+    i, j = np.triu_indices(len(fps), 1)
+    bits = np.bitwise_count(fps[i] ^ fps[j])
+    left = np.abs(table[i] - table[j]).max(axis=1) <= simhash.MAX_BITS
+    assert left[bits <= simhash.MAX_BITS].all() and (bits <= simhash.MAX_BITS).any()
+    far = bits > simhash.MAX_BITS
+    assert left[far].mean() < 0.001             # pairs of equal bit counts, which block pivots keep, are far more:
+    assert (np.bitwise_count(fps[i]) == np.bitwise_count(fps[j]))[far].mean() > 0.1
+
+
+def test_only_rows_near_along_the_first_reference_are_paired(monkeypatch):
+    fps = np.arange(1 << 12, dtype=np.uint64)
+    refs = simhash.references()
+    fps = fps[np.argsort(np.bitwise_count(fps ^ refs[0]), kind="stable")]
+    made = []
+    monkeypatch.setattr(simhash.np, "repeat", lambda a, n, f=np.repeat: made.append(int(np.sum(n))) or f(a, n))
+    left, right = simhash._pair_links(fps, np.zeros(len(fps), np.int64), simhash.distances(fps, refs), 2)
+    assert len(left) == len(fps) * (12 + 66) // 2 and (np.bitwise_count(fps[left] ^ fps[right]) <= 2).all()
+    assert sum(made) // 2 < 0.8 * len(fps) * (len(fps) - 1) // 2
