@@ -35,7 +35,8 @@ BUCKETS = (4, 8, 12, 16, 24, 32, 64, 128)   # row widths in bytes; longer pieces
 MATRIX_CELLS = 1 << 20                      # cells of one matrix
 SLAB_PIECES = 200_000                       # pieces held at a time
 CACHE_PIECES = 200_000                      # distinct pieces remembered by a task
-BATCH_ROWS = 512                            # rows whose results are held at a time
+SLICE_BYTES = 2 << 20                       # input bytes whose results are held at a time, unless one row has more
+GATHERED = 1 << 20                          # elements gathered at a time
 NONE = np.iinfo(np.int32).max
 HASH = np.uint64(0x9E3779B97F4A7C15)
 
@@ -220,10 +221,16 @@ def gather(flat: np.ndarray, offsets: np.ndarray, chosen: np.ndarray) -> tuple[n
     """The runs ``flat[offsets[i]:offsets[i + 1]]`` of each chosen ``i``, and their sizes."""
     sizes = offsets[chosen + 1] - offsets[chosen]
     ends = np.cumsum(sizes)
-    if not len(ends) or not ends[-1]:
-        return flat[:0], sizes
-    at = np.repeat(offsets[chosen] - (ends - sizes), sizes) + np.arange(ends[-1])
-    return flat[at], sizes
+    out = np.empty(int(ends[-1]) if len(ends) else 0, flat.dtype)
+    at = 0
+    while at < len(chosen):     # positions take eight bytes an element, so not all at once
+        base = int(ends[at - 1]) if at else 0
+        upto = max(at + 1, int(np.searchsorted(ends, base + GATHERED, "right")))
+        n = sizes[at:upto]
+        out[base:ends[upto - 1]] = flat[np.repeat(offsets[chosen[at:upto]] - (ends[at:upto] - n - base), n)
+                                        + np.arange(int(ends[upto - 1]) - base)]
+        at = upto
+    return out, sizes
 
 
 class Encoder:
@@ -302,47 +309,67 @@ def _lists(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
-def _added(docs: DataFrame, made: dict[str, T.DataType], step) -> DataFrame:
-    """``docs`` with the columns that ``step`` makes of a record batch.  Batches are
-    cut so that a task holds few rows' results at a time."""
+def _slices(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of consecutive slices of about ``SLICE_BYTES``, a row at least."""
+    ends, at = np.cumsum(sizes), 0
+    while at < len(ends):
+        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_BYTES, "right")))
+        yield at, upto - at
+        at = upto
+
+
+def _added(docs: DataFrame, made: dict[str, T.DataType], sizes, step, without: tuple[str, ...] = ()) -> DataFrame:
+    """``docs`` with the columns that ``step`` makes of a record batch and no columns ``without``.
+    Batches are cut by ``sizes``, the bytes of each row's input, so that a task holds few
+    results at a time."""
     ship(docs.sparkSession)
-    kept = [c for c in docs.columns if c not in made]
+    kept = [c for c in docs.columns if c not in made and c not in without]
     schema = T.StructType([*docs.select(*[F.col(f"`{c}`") for c in kept]).schema,
                            *[T.StructField(c, t) for c, t in made.items()]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = step()
         for batch in batches:
-            for at in range(0, batch.num_rows, BATCH_ROWS):
-                rows = batch.slice(at, BATCH_ROWS)
+            for at, n in _slices(sizes(batch)):
+                rows = batch.slice(at, n)
                 yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in kept], *work(rows)], names=[*kept, *made])
 
     return docs.mapInArrow(run, schema)
 
 
 def encode(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", out: str = "ids",
-           decoded_out: str | None = None) -> DataFrame:
-    """``docs`` with the token ids of the whole text as ``out`` (array of int) and,
-    if ``decoded_out`` is given, with the bytes that these ids decode to.
+           decoded_out: str | None = None, checked_out: str | None = None, without: tuple[str, ...] = ()) -> DataFrame:
+    """``docs`` with the token ids of the whole text as ``out`` (array of int); if
+    ``decoded_out`` is given, with the bytes that these ids decode to; if ``checked_out``
+    is given, with whether these bytes are the text's own (boolean).
 
     A null or empty text has no ids.  Special tokens are never made: their
-    strings are ordinary text.  Input columns with the output names are replaced, all
-    other columns stay; an empty table stays empty."""
+    strings are ordinary text.  Input columns with the output names are replaced, those named in
+    ``without`` are left out, all other columns stay; an empty table stays empty."""
     shared = docs.sparkSession.sparkContext.broadcast(vocab)
 
+    def sizes(batch: pa.RecordBatch) -> np.ndarray:
+        return pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
     def step():
         encoder = Encoder(shared.value)
 
         def work(rows: pa.RecordBatch) -> list[pa.Array]:
             flat, counts = encoder.encode(rows.column(text_col).to_pylist())
             made = [_lists(flat, counts)]
-            if decoded_out:
-                made.append(_decoded(encoder.vocab, flat, counts))
+            if decoded_out or checked_out:
+                decoded = _decoded(encoder.vocab, flat, counts)
+                if decoded_out:
+                    made.append(decoded)
+                if checked_out:
+                    made.append(pc.equal(decoded, pc.fill_null(rows.column(text_col), "").cast(pa.binary())))
             return made
 
         return work
 
-    return _added(docs, {out: T.ArrayType(T.IntegerType()), **({decoded_out: T.BinaryType()} if decoded_out else {})}, step)
+    made = {out: T.ArrayType(T.IntegerType()), **({decoded_out: T.BinaryType()} if decoded_out else {}),
+            **({checked_out: T.BooleanType()} if checked_out else {})}
+    return _added(docs, made, sizes, step, without)
 
 
 def decode(docs: DataFrame, vocab: Vocabulary, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -352,6 +379,9 @@ def decode(docs: DataFrame, vocab: Vocabulary, ids_col: str = "ids", out: str =
     input column named ``out`` is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(vocab)
 
+    def sizes(batch: pa.RecordBatch) -> np.ndarray:
+        return pc.fill_null(pc.list_value_length(batch.column(ids_col)), 0).to_numpy(zero_copy_only=False).astype(np.int64) * 4
+
     def step():
         def work(rows: pa.RecordBatch) -> list[pa.Array]:
             ids = pc.fill_null(rows.column(ids_col), pa.scalar([], rows.column(ids_col).type))
@@ -360,4 +390,4 @@ def decode(docs: DataFrame, vocab: Vocabulary, ids_col: str = "ids", out: str =
 
         return work
 
-    return _added(docs, {out: T.BinaryType()}, step)
+    return _added(docs, {out: T.BinaryType()}, sizes, step)
