@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contactgate.llm import bpe, language, mixing, simhash, suffix
-from contactgate.llm.common import materialized, table, union
+from contactgate.llm.common import is_empty, materialized, table, union
 from contactgate.llm.queries import vocabulary
 
 MIN_POSTERIOR = 0.5
@@ -23,14 +23,28 @@ def _row(docs: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``docs`` has it."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
+def _name(docs: DataFrame) -> Column:
+    """A hash of all columns: rows equal in every column share it, others do not."""
+    return F.concat(F.md5(F.coalesce("text", F.lit(""))), F.hex(F.xxhash64(*[
+        x for c in docs.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))])))
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose language is recognised: they have letters and the
     best language has at least half of the posterior.  The model learns from
     the documents that carry a language."""
     model = language.fit(docs)
-    marked = language.identify(docs.select("text", _row(docs)), model, "text", "language", "posterior")
-    return (marked.where((F.col("language") != language.UNKNOWN) & (F.col("posterior") >= MIN_POSTERIOR))
-            .select("row.*"))
+    lang, posterior = _unused(docs, "language_found"), _unused(docs, "posterior_found")
+    marked = language.identify(docs, model, "text", lang, posterior)
+    return (marked.where((F.col(lang) != language.UNKNOWN) & (F.col(posterior) >= MIN_POSTERIOR))
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,14 +53,26 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Null ids come last, so they name a group only if it has no other id.  Of rows
     that share the id within the group the one with the smallest text stays (a null
     text before all others, then by the other columns).  Groups are told apart by
-    their fingerprints, never by an id, which several groups may share."""
-    groups = simhash.groups(simhash.fingerprints(docs.select("doc_id", "text")).select("doc_id", "fp"))
-    d = simhash.fingerprints(docs.select("doc_id", "text", _row(docs))).select("doc_id", "fp", "row").alias("d")
-    g = groups.alias("g")
-    named = d.join(g, (F.col("d.fp") == F.col("g.fp")) & F.col("d.doc_id").eqNullSafe(F.col("g.component_id")))
+    their fingerprints, never by an id, which several groups may share.
+
+    Texts are fingerprinted once; which rows stay is decided on ids, fingerprints and row
+    names alone, and the texts are joined to the names last."""
+    marked = materialized(simhash.fingerprints(docs.select("doc_id", "text", _name(docs).alias("name")))
+                          .select("doc_id", "fp", "name"))
+    m, g = marked.alias("m"), simhash.groups(marked.select("doc_id", "fp")).alias("g")
+    named = materialized(
+        m.join(g, (F.col("m.fp") == F.col("g.fp")) & F.col("m.doc_id").eqNullSafe(F.col("g.component_id")))
+        .groupBy("g.component", "m.name").agg(F.count(F.lit(1)).alias("rows")))
+    first = named.groupBy("component").agg(F.min("name").alias("name"), F.sum("rows").alias("rows"))
+    d = docs.select(_name(docs).alias("name"), _row(docs))
+    once = d.join(first.where("rows = 1").select("name"), "name", "left_semi").select("row.*")
+    tied = first.where("rows > 1").select("component")
+    if is_empty(tied):
+        return once
     by = ["text", *[c for c in docs.columns if c != "text"]]
-    kept = named.groupBy("g.component").agg(F.min(F.struct(*[F.col(f"d.row.`{c}`") for c in by])).alias("row"))
-    return kept.select(*[F.col(f"row.`{c}`") for c in docs.columns])
+    again = (d.join(named.join(tied, "component").select("component", "name"), "name")
+             .groupBy("component").agg(F.min(F.struct(*[F.col(f"row.`{c}`") for c in by])).alias("row")))
+    return union(once, again.select(*[F.col(f"row.`{c}`") for c in docs.columns]))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,14 +95,15 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows are named by a hash of all their columns, so rows that share an id, or have
     none, are each taken as the mix decided.  Rows equal in every column are
     interchangeable and taken together as often as the mix takes them in all."""
-    name = F.concat(F.md5(F.coalesce("text", F.lit(""))), F.hex(F.xxhash64(*[
-        x for c in docs.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))])))
+    name = _name(docs)
     decided = materialized(
         mixing.mix(docs.select("doc_id", "source", "text", name.alias("name")), carry=("name",))
         .groupBy("carried.name").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("copies > 0"))
     d = docs.select(name.alias("name"), _row(docs))
     once = (d.join(decided.where("rows = 1"), "name")
             .select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*"))
+    if is_empty(decided.where("rows > 1")):
+        return once
     # one of equal rows, repeated in two steps: no array is longer than copies / BATCH or BATCH
     again = (d.join(decided.where("rows > 1"), "name").groupBy("name")
              .agg(F.min("row").alias("row"), F.max("copies").alias("copies"))
@@ -87,11 +114,12 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, read back once to make sure of them."""
-    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary(), decoded_out="decoded")
-    return coded.select(
-        "doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
-        (F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("reads_back"))
+    """Token ids of every document, read back once to make sure of them: ``doc_id, lang,
+    source, ids, n_tokens, reads_back``.  A null text has no ids, like an empty one.  The
+    text itself, ``n_chars`` and any other column end here."""
+    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary(),
+                       checked_out="reads_back", without=("text",))
+    return coded.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), "reads_back")
 
 
 STAGES = [
