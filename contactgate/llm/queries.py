@@ -6,12 +6,13 @@ its contract from what the operator returns.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, language, mixing, neardup, quality, simhash, suffix, topk, urlfilter
+from . import bpe, chat, language, merkle, mixing, neardup, periods, quality, rlz, simhash, suffix, topk, urlfilter
 from .common import table, union
 
 
@@ -98,6 +99,52 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return rlz.remove_repeats(docs).select(
+        "doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    lowered = [F.translate("text", upper, lower) if c == "text" else F.col(c) for c in fields]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    docs = table(spark, sf_dir, "documents").withColumn("tampered", F.when(tampered, merkle.leaf_digest(*lowered)))
+    found = merkle.witnesses(merkle.build(docs, fields, carry=("tampered",)))
+    folded = merkle.fold(F.coalesce("carried.tampered", "leaf"), F.col("witness"))
+    return found.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("witness")).alias("proof_sha256"),
+        folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))
+
+
+def tail_repeated(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words with a planted period: of every tenth id the words from some place on
+    repeat the first few of them."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not words:
+        return words
+    g = h // 10
+    a = g % len(words)
+    p = 1 + (len(words) - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, len(words))]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # the first of the runs with the greatest length / period, compared as products
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda b, r: F.when(
+        r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b))
+    told = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return (periods.find_runs(docs, rewrite=tail_repeated)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+                    F.sha2(told, 256).alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256"))
+            .select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+                    F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256"))
+
+
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_language_id": (op1_language_id, None),
     "op2_chat_format": (op2_chat_format, chat.SQL),
@@ -109,6 +156,9 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op5_simhash": (op5_simhash, None),
     "op10_suffix_dedup": (op10_suffix_dedup, None),
     "op9_source_mixing": (op9_source_mixing, mixing.SQL),
+    "op11_substring_dedup": (op11_substring_dedup, rlz.SQL),
+    "op12_merkle_manifest": (op12_merkle_manifest, merkle.SQL),
+    "op13_periodic_runs": (op13_periodic_runs, None),
 }
 
 
