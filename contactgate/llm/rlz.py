@@ -22,8 +22,8 @@ with one key), and the reference block of a key holds all pieces with that key.
    of the whole window.
 3. A bucket cuts its pieces at keys into reference blocks, indexes each by a suffix array
    and parses every piece against what smaller ids have in its block (``_parse``).
-4. A group removes the words of the windows found (``_removed``); a document that has a piece
-   which a smaller id of its own group has loses all windows of it.
+   A piece's copies within its group share its answer, but those of larger ids go whole.
+4. A group removes the words of the windows it is told (``_removed``).
 
 Rows between the steps are packed arrays, one per (group, bucket); texts are shuffled once.
 Copies collapse inside a group before anything is sent, so many copies of a text cost a
@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import ship, union
+from .common import ship
 from .suffix import _array, _dealt, _member, _mix, _packed
 from .words import WordHash, common_prefix, factor_ranks, numbers, ranges, split
 
@@ -67,11 +67,12 @@ def _word_grams(words: np.ndarray, n: int) -> np.ndarray:
 
 def _leftmost_min(x: np.ndarray, n: int) -> np.ndarray:
     """Place of the first smallest of every ``n`` consecutive values."""
-    at, size = np.arange(len(x)), 1
+    at, size = np.arange(len(x), dtype=np.int32), 1
     while size < n:
         step = min(size, n - size)
-        left, right = at[: len(at) - step], at[step:]
-        at = np.where(x[right] < x[left], right, left)
+        less = x[step:] < x[: len(x) - step]
+        x = np.where(less, x[step:], x[: len(x) - step])
+        at = np.where(less, at[step:], at[: len(at) - step])
         size += step
     return at
 
@@ -131,31 +132,27 @@ class Pieces:
         self._collapse(hashes)
 
     def _collapse(self, hashes: np.ndarray) -> None:
-        """``first``: for each piece the first one with the same key and words."""
-        # a running polynomial gives the hash of any stretch; equality is checked on the words
+        """``first``: for each piece the first one with the same words."""
+        # a running polynomial gives the hash of any stretch; equality is checked word by word
         n = len(hashes)
         power = np.ones(n + 1, np.uint64)
         np.multiply.accumulate(np.full(n, _STEP, np.uint64), out=power[1:])
         before = np.zeros(n + 1, np.uint64)
         np.cumsum(hashes * power[:n], out=before[1:])
         size = self.count + self.window - 1
-        stretch = (before[self.start + size] - before[self.start]) * power[n - self.start]
-        by = np.lexsort((self.start, stretch, self.count, self.key))
+        stretch = (before[self.start + size] - before[self.start]) * power[n - self.start] + size.astype(np.uint64)
+        by = np.argsort(stretch, kind="stable")
         new = np.ones(len(by), bool)
-        for x in (stretch, self.count, self.key):
-            new[1:] &= x[by][1:] == x[by][:-1]
-        new[1:] = ~new[1:]
-        new[:1] = True
+        new[1:] = stretch[by][1:] != stretch[by][:-1]
         head = np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))
         self.first = np.empty(len(by), np.int64)
         self.first[by] = by[head]
-        words = numbers(self.texts.words)
         copy = np.flatnonzero(self.first != np.arange(len(by)))
-        differs = np.zeros(len(copy), bool)
         size, mine, other = size[copy], self.start[copy], self.start[self.first[copy]]
+        differs = size != (self.count + self.window - 1)[self.first[copy]]
         for k in range(int(size.max()) if len(size) else 0):
-            live = k < size
-            differs[live] |= words[mine[live] + k] != words[other[live] + k]
+            live = np.flatnonzero((k < size) & ~differs)
+            differs[live] = hashes[mine[live] + k] != hashes[other[live] + k]
         self.first[copy[differs]] = copy[differs]
 
     def chosen(self) -> np.ndarray:
@@ -164,18 +161,20 @@ class Pieces:
 
 
 _KEYS = pa.schema([("bucket", pa.int64()), ("group", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
-_NOTE = pa.schema([("group", pa.int64()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
-_PIECE = pa.schema([("bucket", pa.int64()), ("group", pa.int64()), ("keys", pa.binary()), ("numbers", pa.binary()),
-                    ("ids", pa.binary()), ("sizes", pa.binary()), ("words", pa.binary())])
+_NOTE = pa.schema([("group", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary())])
+_PIECE = pa.schema([("bucket", pa.int64()), ("group", pa.int64()), ("keys", pa.binary()), ("ids", pa.binary()), ("sizes", pa.binary()),
+                    ("copies", pa.binary()), ("starts", pa.binary()), ("later", pa.binary()), ("words", pa.binary())])
+_GONE = pa.schema([("group", pa.int64()), ("starts", pa.binary()), ("counts", pa.binary())])
 _KEYS_DDL = "bucket long, group long, keys binary, counts binary"
-_NOTE_DDL = "group long, kind int, a binary, b binary, c binary"
-_PIECE_DDL = "bucket long, group long, keys binary, numbers binary, ids binary, sizes binary, words binary"
-SHARED, HOT_KEY, REPEAT = 0, 1, 2       # kinds of notes to a group
+_NOTE_DDL = "group long, kind int, keys binary"
+_PIECE_DDL = "bucket long, group long, keys binary, ids binary, sizes binary, copies binary, starts binary, later binary, words binary"
+_GONE_DDL = "group long, starts binary, counts binary"
+SHARED, HOT_KEY = 0, 1      # kinds of notes to a group
 
 
-def _noted(notes: pa.Table, kind: int, column: str = "a", as_type=np.uint64) -> np.ndarray:
-    own = notes.filter(pc.equal(notes["kind"], kind))[column]
-    return np.concatenate([_array(x, as_type) for x in own]) if len(own) else np.zeros(0, as_type)
+def _noted(notes: pa.Table, kind: int) -> np.ndarray:
+    own = notes.filter(pc.equal(notes["kind"], kind))["keys"]
+    return np.concatenate([_array(x, np.uint64) for x in own]) if len(own) else np.zeros(0, np.uint64)
 
 
 def _group(found: pa.Table) -> int:
@@ -215,25 +214,31 @@ def _shared(found: pa.Table, hot: int) -> pa.Table:
         at += len(own)
         for kind, part in ((SHARED, shared[which]), (HOT_KEY, shared[which] & (pieces[which] > hot))):
             if part.any():
-                for name, value in zip(rows, (group, kind, own[part].tobytes(), b"", b"")):
+                for name, value in zip(rows, (group, kind, own[part].tobytes())):
                     rows[name].append(value)
     return _packed(rows, _NOTE)
 
 
 def _pieces(found: pa.Table, notes: pa.Table, window: int, buckets: int) -> pa.Table:
-    """The distinct pieces of shared keys, numbered, with the smallest id of each."""
+    """The distinct pieces of shared keys, each with the smallest id that has it and where the
+    group has it (its first words, counted through the group's texts)."""
     if not len(found) or not len(notes):
         return _PIECE.empty_table()
     own = Pieces(found, window, notes)
-    chosen = own.chosen()
-    ids, sizes = own.texts.ids[own.texts.doc[own.start]], own.count + window - 1
-    words = own.texts.words
+    chosen, words = own.chosen(), own.texts.words
+    owner, sizes = own.texts.ids[own.texts.doc[own.start]], own.count + window - 1
+    later = owner > owner[own.first]
+    members = np.argsort(own.first, kind="stable")      # the copies of a piece together, it before them
+    copies = np.bincount(own.first, minlength=len(own.first))[chosen]
+    at = np.cumsum(copies) - copies
     rows: dict[str, list] = {f.name: [] for f in _PIECE}
     for bucket, part in _dealt(own.key[chosen], buckets):
-        part = chosen[part]
-        text = b" ".join([words[i] for i in ranges(own.start[part], sizes[part]).tolist()])
-        for name, value in zip(rows, (bucket, _group(found), own.key[part].tobytes(), part.astype(np.int32).tobytes(),
-                                      ids[part].tobytes(), sizes[part].astype(np.uint8).tobytes(), text)):
+        piece, copy = chosen[part], members[ranges(at[part], copies[part])]
+        text = b" ".join([words[i] for i in ranges(own.start[piece], sizes[piece]).tolist()])
+        for name, value in zip(rows, (
+                bucket, _group(found), own.key[piece].tobytes(), owner[piece].tobytes(), sizes[piece].astype(np.uint8).tobytes(),
+                copies[part].astype(np.int32).tobytes(), own.start[copy].astype(np.int32).tobytes(),
+                later[copy].astype(np.uint8).tobytes(), text)):
             rows[name].append(value)
     return _packed(rows, _PIECE)
 
@@ -301,11 +306,10 @@ class Reference:
 
 
 def _parse(found: pa.Table, window: int) -> pa.Table:
-    """The repeated windows of a bucket's pieces, told to their groups."""
+    """The repeated windows among a bucket's pieces, told to their groups: runs of windows by
+    first word and number."""
     take = lambda name, kind: np.concatenate([_array(x, kind) for x in found[name]])
-    keys, ids, nth = take("keys", np.uint64), take("ids", np.int64), take("numbers", np.int32)
-    sizes = take("sizes", np.uint8).astype(np.int64)
-    group = np.repeat(found["group"].to_numpy(), [len(x.as_py()) // 4 for x in found["numbers"]])
+    keys, ids, sizes = take("keys", np.uint64), take("ids", np.int64), take("sizes", np.uint8).astype(np.int64)
     words = numbers(b" ".join([x.as_py() for x in found["words"]]).split())
     begin = np.cumsum(sizes) - sizes
     by = np.lexsort((ids, keys))
@@ -320,9 +324,8 @@ def _parse(found: pa.Table, window: int) -> pa.Table:
         upto = int(key_at[cut]) if key_at[cut] > at else int(key_at[np.searchsorted(key_at, at, "right")])
         own = by[at:upto]
         block = Reference(words[ranges(begin[own], sizes[own])], sizes[own], ids[own], window)
-        starts = np.cumsum(sizes[own]) - sizes[own]
-        flags = block.repeats(starts, sizes[own], window)
         windows = sizes[own] - window + 1
+        flags = block.repeats(np.cumsum(sizes[own]) - sizes[own], sizes[own], window)
         piece = np.repeat(np.arange(len(own)), windows)
         first = np.ones(len(flags), bool)
         first[1:] = (piece[1:] != piece[:-1]) | ~flags[:-1]
@@ -332,35 +335,31 @@ def _parse(found: pa.Table, window: int) -> pa.Table:
         told.append((own[piece[head]], head - (np.cumsum(windows) - windows)[piece[head]], count))
         at = upto
     piece, skip, count = (np.concatenate([t[c] for t in told]) for c in range(3))
-    rows: dict[str, list] = {f.name: [] for f in _NOTE}
-    for g in np.unique(group[piece]).tolist():
-        own = group[piece] == g
-        for name, value in zip(rows, (g, REPEAT, nth[piece[own]].tobytes(), skip[own].astype(np.uint8).tobytes(),
-                                      count[own].astype(np.uint8).tobytes())):
-            rows[name].append(value)
-    return _packed(rows, _NOTE)
-
-
-def _removed(found: pa.Table, notes: pa.Table, window: int) -> pa.Table:
-    """The documents of a group without their repeated windows."""
-    if len(notes):
-        own = Pieces(found, window, notes)
-        texts = own.texts
-        owner = texts.ids[texts.doc[own.start]]
-        # a piece that a smaller id of the group has goes whole; others share the answer on their first
-        whole = np.flatnonzero(owner[own.first] < owner)
-        piece, skip, count = (_noted(notes, REPEAT, c, k).astype(np.int64) for c, k in
-                              (("a", np.int32), ("b", np.uint8), ("c", np.uint8)))
-        by = np.argsort(piece, kind="stable")
-        piece, skip, count = piece[by], skip[by], count[by]
-        rest = np.flatnonzero(owner[own.first] == owner)
-        low, high = np.searchsorted(piece, own.first[rest], "left"), np.searchsorted(piece, own.first[rest], "right")
-        answer = ranges(low, high - low)
-        start = np.concatenate([own.start[whole], np.repeat(own.start[rest], high - low) + skip[answer]])
-        count = np.concatenate([own.count[whole], count[answer]])
-    else:
-        texts = Texts(found)
-        start = count = np.zeros(0, np.int64)
+    order = np.argsort(piece, kind="stable")
+    piece, skip, count = piece[order], skip[order], count[order]
+    # a copy with a larger id than its group's first one goes whole, others share the answer
+    copies, starts, later = take("copies", np.int32), take("starts", np.int32).astype(np.int64), take("later", np.uint8) > 0
+    of = np.repeat(np.arange(len(copies)), copies)
+    group = np.repeat(found["group"].to_numpy(), [len(x.as_py()) // 4 for x in found["starts"]])
+    same = np.flatnonzero(~later)
+    low, high = np.searchsorted(piece, of[same], "left"), np.searchsorted(piece, of[same], "right")
+    answer = ranges(low, high - low)
+    group = np.concatenate([group[later], np.repeat(group[same], high - low)])
+    start = np.concatenate([starts[later], np.repeat(starts[same], high - low) + skip[answer]])
+    count = np.concatenate([(sizes - window + 1)[of[later]], count[answer]])
+    order = np.argsort(group, kind="stable")
+    group, start, count = group[order], start[order].astype(np.int32), count[order].astype(np.uint8)
+    cut = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else group
+    ends = np.append(cut[1:], len(group)).tolist()
+    return _packed({"group": group[cut].tolist(), "starts": [start[a:b].tobytes() for a, b in zip(cut.tolist(), ends)],
+                    "counts": [count[a:b].tobytes() for a, b in zip(cut.tolist(), ends)]}, _GONE)
+
+
+def _removed(found: pa.Table, gone_runs: pa.Table, window: int) -> pa.Table:
+    """The documents of a group without the words of the windows told."""
+    texts = Texts(found)
+    take = lambda name, kind: np.concatenate([np.zeros(0, kind), *[_array(x, kind) for x in gone_runs[name]]]).astype(np.int64)
+    start, count = take("starts", np.int32), take("counts", np.uint8)
     cover = np.zeros(len(texts.words) + 1, np.int64)
     np.add.at(cover, start, 1)
     np.add.at(cover, start + count + window - 1, -1)
@@ -419,8 +418,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keys = groups.groupBy("group").applyInArrow(lambda t: _keys(t, window, n), _KEYS_DDL)
     shared = keys.groupBy("bucket").applyInArrow(lambda t: _shared(t, hot), _NOTE_DDL)
     pieces = noted(shared, lambda t, m: _pieces(t, m, window, n), _PIECE_DDL)
-    found = pieces.groupBy("bucket").applyInArrow(lambda t: _parse(t, window), _NOTE_DDL)
-    return noted(union(shared, found), lambda t, m: _removed(t, m, window) if len(t) else nothing, result)
+    gone = pieces.groupBy("bucket").applyInArrow(lambda t: _parse(t, window), _GONE_DDL)
+    return noted(gone, lambda t, m: _removed(t, m, window) if len(t) else nothing, result)
 
 
 SQL = f"""
