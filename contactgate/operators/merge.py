@@ -1,14 +1,15 @@
-"""Key-based merges: gap fill, upsert and row-level change feed.
+"""Key-based merges: gap fill, upsert and row-level change feed; bag equality by digest.
 
-All three are joins on the key, never a pairwise scan; they shuffle both sides
-on the key once (or broadcast a side only when Spark has measured it small).
+The merges are joins on the key, never a pairwise scan; they shuffle both sides
+on the key once (or broadcast a side only when Spark has measured it small).  Digests are
+one aggregate over each side: the rows themselves are not shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -82,3 +83,51 @@ def diff(old: DataFrame, new: DataFrame, keys: Sequence[str],
     return (j.select(*keys, F.explode(images).alias("__i"))
              .select(*keys, *[F.col(f"__i.v.{c}").alias(c) for c in values],
                      F.col("__i.t").alias(change_col)))
+
+
+def row_hashes(columns: Sequence[str]) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a row, independent of each other; a NULL counts, and where it is."""
+    parts = [x for c in columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    return F.xxhash64(*parts), F.xxhash64(F.lit("second"), *parts)
+
+
+def bag_digest(df: DataFrame, group: Column | None = None) -> DataFrame:
+    """Order-free fingerprint of a bag of rows: their number, and sum and xor of both row
+    hashes (``rows, sum1, sum2, xor1, xor2``); one row, or one per value of ``group`` (column
+    ``part``).  Partial aggregation leaves one row a task and group to shuffle."""
+    first, second = row_hashes(df.columns)
+    hashed = df.select(*([group.alias("part")] if group is not None else []), first.alias("h1"), second.alias("h2"))
+    total = lambda h: F.sum(F.col(h).cast("decimal(28,0)"))
+    return hashed.groupBy(*(["part"] if group is not None else [])).agg(
+        F.count(F.lit(1)).alias("rows"), total("h1").alias("sum1"), total("h2").alias("sum2"),
+        F.bit_xor("h1").alias("xor1"), F.bit_xor("h2").alias("xor2"))
+
+
+def changed_buckets(old: DataFrame, new: DataFrame, bucket: Column) -> list[int]:
+    """Values of ``bucket`` (a function of the key with a bounded range) whose rows differ
+    between two versions of a table."""
+    a = bag_digest(old, bucket)
+    b = bag_digest(new.select(*old.columns), bucket)
+    b = b.select(*[F.col(c).alias(f"_{c}") for c in b.columns])
+    same = F.lit(True)
+    for c in ("rows", "sum1", "sum2", "xor1", "xor2"):
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    differ = a.join(b, F.col("part") == F.col("_part"), "full_outer").where(~same)
+    return sorted(r[0] for r in differ.select(F.coalesce("part", "_part")).collect())
+
+
+def bag_difference(a: DataFrame, b: DataFrame) -> DataFrame:
+    """One row: ``only_in_first, only_in_second, first_rows`` (repeated rows count).
+
+    Each side is computed once, for its digest.  Equal digests mean equal bags; only if they
+    differ are the rows themselves compared."""
+    b = b.select(*[F.col(f"`{c}`") for c in a.columns])
+    first, second = bag_digest(a).first(), bag_digest(b).first()
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    if first == second:
+        return a.sparkSession.range(1).select(
+            F.lit(0).cast("long").alias("only_in_first"), F.lit(0).cast("long").alias("only_in_second"),
+            F.lit(first["rows"]).cast("long").alias("first_rows"))
+    return count(a.exceptAll(b), "only_in_first").select(
+        "only_in_first", count(b.exceptAll(a), "only_in_second").scalar().alias("only_in_second"),
+        F.lit(first["rows"]).cast("long").alias("first_rows"))

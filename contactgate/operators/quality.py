@@ -53,8 +53,9 @@ def evaluate(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
 
 def verdict(results: DataFrame) -> DataFrame:
-    """One row: ``all_passed`` and ``failed`` (count of failed checks)."""
-    return results.agg(F.coalesce(F.bool_and("passed"), F.lit(True)).alias("all_passed"),
+    """One row: ``all_passed`` and ``failed`` (count of failed checks).  No results have
+    not passed."""
+    return results.agg(F.coalesce(F.bool_and("passed"), F.lit(False)).alias("all_passed"),
                        F.count_if(~F.col("passed")).cast("long").alias("failed"))
 
 
@@ -68,9 +69,10 @@ def check_mode(on_fail: str) -> None:
 
 def gate(results: DataFrame, on_fail: str = "raise") -> bool:
     """Publish gate: evaluate the verdict (one small job) and raise, warn, or just
-    return False (``block``)."""
+    return False (``block``).  A table without any result fails."""
     check_mode(on_fail)
-    failed = [r["name"] for r in results.where(~F.col("passed")).select("name").collect()]
+    found = results.select("name", "passed").collect()
+    failed = [r["name"] for r in found if not r["passed"]] if found else ["no check was run"]
     if failed and on_fail == "raise":
         raise QualityGateError(f"quality checks failed: {', '.join(failed)}")
     if failed and on_fail == "warn":

@@ -265,6 +265,36 @@ def consent_transitions(nonfin: DataFrame, supplfwd: DataFrame, enrollment: Data
                     F.col("event_date").alias("withdrawn_at"), "record_source"))
 
 
+CONSENT_VALUES = ["has_sms_consent", "phone_source", "record_source", "event_date"]
+
+
+def consent_records(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame) -> DataFrame:
+    """Every record of the feeds by published key, with what it says and its ``rank``: the
+    precedence by which the reconcile picks a key's current record."""
+    return aligned_events(nonfin, supplfwd, enrollment, ordered=True).selectExpr(
+        f"{account_from_legacy_sql('legacy_identifier')} AS account_number",
+        f"{normalize_phone_sql('phone_number')} AS phone_number",
+        f"{tri_state_sql('consent_flag')} AS has_sms_consent", "phone_source", "record_source", "event_date",
+        "struct(__class, event_date, __prio, __tb) AS rank")
+
+
+def consent_as_of(requests: DataFrame, nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame,
+                  at: str = "asked_on") -> DataFrame:
+    """What the records said about each request's key on the request's day ``at``: consent,
+    source and date of the record that held then (all NULL if there was none)."""
+    from contactgate.operators.asof import as_of
+    asked = requests.withColumn("phone_number", normalize_phone_input("phone_number"))
+    return as_of(asked, consent_records(nonfin, supplfwd, enrollment), ["account_number", "phone_number"], at,
+                 "event_date", F.col("rank"), CONSENT_VALUES)
+
+
+def consent_validity(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame) -> DataFrame:
+    """The intervals in which each record held for its key (:func:`asof.validity`)."""
+    from contactgate.operators.asof import validity
+    return validity(consent_records(nonfin, supplfwd, enrollment), ["account_number", "phone_number"],
+                    "event_date", F.col("rank"), CONSENT_VALUES)
+
+
 class LayerGateError(RuntimeError):
     """A layer's checks failed; nothing further was built."""
 

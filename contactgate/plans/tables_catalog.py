@@ -19,7 +19,7 @@ from contactgate.sources import schemas as S
 from contactgate.sources.delivery import (
     deliver, ingest_change, ingest_enrollment, ingest_snapshot,
 )
-from contactgate.sources.tables import DeliveryTable, RunTable
+from contactgate.sources.tables import DeliveryTable, KeyedTable, RunTable
 
 KEYS = ["account_number", "phone_number"]
 
@@ -150,6 +150,17 @@ def q_upsert_merge_plain(spark, sf):
     return upsert(early, late, KEYS)
 
 
+@register("upsert_touched_buckets", _UPSERT_SQL, "I1 J9")
+def q_upsert_touched_buckets(spark, sf):
+    """The later batch merged into a table in key buckets: the buckets it has keys of are
+    replaced, all other files stay."""
+    early, late = _early_late(spark, sf)
+    t = KeyedTable(spark, _fresh(spark, "consent-keyed"), KEYS, buckets=8)
+    t.merge(early, run=1)
+    t.merge(late, run=2)
+    return t.read()
+
+
 _VALUES = ["phone_source", "has_sms_consent", "sms_consent_updated_at", "is_deleted",
            "delete_type", "deleted_at", "_source_file"]
 
@@ -200,6 +211,93 @@ def q_version_as_of(spark, sf):
     return t.read(1)
 
 
+@register("schema_per_run", """
+SELECT account_number, phone_number, CAST(has_sms_consent AS VARCHAR) AS has_sms_consent,
+       NULL AS delete_type, phone_source, 1 AS run FROM gold_early
+UNION ALL
+SELECT account_number, phone_number, CASE WHEN has_sms_consent THEN 'yes' ELSE 'no' END, delete_type, NULL, 2 FROM gold""",
+          "B8 I4")
+def q_schema_per_run(spark, sf):
+    """Two runs of one table: the second has a column more, one less, and another type for
+    a third; each reads back as written, the history aligns them by name."""
+    early, _ = _early_late(spark, sf)
+    t = RunTable(spark, _fresh(spark, "schema"))
+    t.write(early.select(*KEYS, "has_sms_consent", "phone_source"), run=1)
+    said = F.when(F.col("has_sms_consent"), "yes").otherwise("no").alias("has_sms_consent")
+    t.write(Layers(spark, sf).consent.select(*KEYS, said, "delete_type"), run=2)
+    if t.read(1).columns != [*KEYS, "has_sms_consent", "phone_source"] or t.read(2).columns != [*KEYS, "has_sms_consent", "delete_type"]:
+        raise AssertionError("a run came back with another schema")
+    return t.history()
+
+
+_RECORDS_SQL = """
+SELECT substr(legacy, 1, length(legacy) - 1) AS account_number, '+1' || phone AS phone_number,
+       CASE WHEN flag = 'Y' THEN true WHEN flag = 'N' THEN false END AS has_sms_consent,
+       phone_source, record_source, event_date, class, prio, t0, t1
+FROM (SELECT cnsmr_idntfr_lgcy_txt AS legacy, cnsmr_phn_nmbr_txt AS phone, cnsmr_phn_cnsnt_flg AS flag,
+             cnsmr_phn_src_val_txt AS phone_source, 'NON-FIN' AS record_source, _file_date AS event_date,
+             1 AS class, 0 AS prio, _source_file AS t0, _row_id AS t1 FROM nf_dedup
+      UNION ALL
+      SELECT cnsmr_idntfr_lgcy_txt, cnsmr_phn_nmbr_txt, cnsmr_phn_cnsnt_flg, cnsmr_phn_src_val_txt, 'SUPPLFWD',
+             CAST(try_strptime(record_date, '%Y-%m-%d') AS DATE), 1, 1, cnsmr_phn_hst_id, _row_id FROM sf_dedup
+      UNION ALL
+      SELECT consumer_legacy_identifier, phone_number, NULL, phone_source, 'ENRLMT',
+             CAST(try_strptime(enrollment_date, '%Y-%m-%d') AS DATE), 0, 0, _source_file, _row_id FROM enrollment) u
+WHERE event_date IS NOT NULL"""
+
+
+@register("consent_as_of", f"""
+SELECT r.request_id, r.account_number, '+1' || r.phone_number AS phone_number, r.asked_on,
+       h.has_sms_consent, h.phone_source, h.record_source, h.event_date
+FROM (SELECT *, DATE '1992-01-01' + CAST(request_id % 3652 AS INTEGER) AS asked_on FROM requests) r
+LEFT JOIN ({_RECORDS_SQL}) h
+  ON h.account_number = r.account_number AND h.phone_number = '+1' || r.phone_number AND h.event_date <= r.asked_on
+QUALIFY row_number() OVER (PARTITION BY r.request_id ORDER BY class DESC, event_date DESC, prio DESC,
+                           t0 DESC NULLS LAST, t1 DESC NULLS LAST) = 1""", "I6")
+def q_consent_as_of(spark, sf):
+    """Every request with a day: which record held for its key on that day?"""
+    from contactgate.plans.phone_state import consent_as_of
+    from contactgate.sources.standin import permission_requests
+    L = Layers(spark, sf)
+    asked = permission_requests(spark, sf).withColumn(
+        "asked_on", F.expr("date_add(DATE'1992-01-01', CAST(request_id % 3652 AS INT))"))
+    return consent_as_of(asked, L.nonfin, L.supplfwd, L.enrollment)
+
+
+@register("consent_validity", f"""
+SELECT account_number, phone_number, has_sms_consent, phone_source, record_source, event_date,
+       event_date AS valid_from, lead(event_date) OVER (PARTITION BY account_number, phone_number ORDER BY event_date) AS valid_to
+FROM (SELECT *, max(r) OVER (PARTITION BY account_number, phone_number ORDER BY event_date
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+      FROM (SELECT *, row_number() OVER (PARTITION BY account_number, phone_number
+                        ORDER BY class, event_date, prio, t0 NULLS FIRST, t1 NULLS FIRST) AS r
+            FROM ({_RECORDS_SQL}) h
+            QUALIFY row_number() OVER (PARTITION BY account_number, phone_number, event_date
+                        ORDER BY class DESC, prio DESC, t0 DESC NULLS LAST, t1 DESC NULLS LAST) = 1) d) e
+WHERE before IS NULL OR before < r""", "I6")
+def q_consent_validity(spark, sf):
+    from contactgate.plans.phone_state import consent_validity
+    L = Layers(spark, sf)
+    return consent_validity(L.nonfin, L.supplfwd, L.enrollment)
+
+
+@register("stream_served_state", """
+SELECT * EXCLUDE (_source_file, _row_id) FROM sf_latest""", "X1 I1")
+def q_stream_served_state(spark, sf):
+    """Change deliveries merged by the stream into a served table, some of them once more;
+    read as it stands."""
+    from contactgate.streaming.served import serve_changes, served_changes
+    L = Layers(spark, sf)
+    root, table, ckpt = (_fresh(spark, x) for x in ("deliveries", "served", "stream-ckpt"))
+    deliver(L.supplfwd, root, "MAINTENANCE", S.CHANGE_COLUMNS)
+    serve_changes(spark, root, table, ckpt, layout="directory", max_files_per_trigger=80, buckets=8)
+    again = L.supplfwd.where(F.col("_file_date") < F.lit(SPLIT_DATE).cast("date")).withColumn(
+        "_source_file", F.regexp_replace("_source_file", r"_000\.csv\.gz$", "_001.csv.gz"))
+    deliver(again, root, "MAINTENANCE", S.CHANGE_COLUMNS)
+    serve_changes(spark, root, table, ckpt, layout="directory", buckets=8)
+    return served_changes(spark, table, buckets=8).drop("_source_file")
+
+
 @register("stream_change_apply", """
 SELECT * EXCLUDE (_source_file, _row_id) FROM sf_latest""", "X1")
 def q_stream_change_apply(spark, sf):
@@ -228,6 +326,26 @@ def q_incremental_state(spark, sf):
     return inc.state()
 
 
+@register("incremental_partial_feeds", "SELECT * FROM silver", "C4 I1 B1")
+def q_incremental_partial_feeds(spark, sf):
+    """Folds as deliveries come in an ordinary week: change files alone, enrollments
+    alone, nothing at all, a snapshot date in two files on two days; equals the batch state."""
+    from contactgate.plans.incremental import IncrementalState
+    split = F.lit(SPLIT_DATE).cast("date")
+    early, late = (Layers(spark, sf, where=c) for c in (F.col("_file_date") < split, F.col("_file_date") >= split))
+    second = F.crc32("_row_id") % 2 == 1
+    none = [f.limit(0) for f in (late.nonfin, late.supplfwd, late.enrollment)]
+    newest = late.nonfin.select("_file_date").distinct().count()
+    inc = IncrementalState(spark, _fresh(spark, "incremental"), open_dates=max(1, newest))
+    inc.apply(early.nonfin, early.supplfwd.where(~second), early.enrollment)
+    inc.apply(none[0], early.supplfwd.where(second), none[2])
+    inc.apply(none[0], none[1], late.enrollment)
+    inc.apply(*none)
+    inc.apply(late.nonfin.where(second), none[1], none[2])
+    inc.apply(late.nonfin.where(~second), late.supplfwd, none[2])
+    return inc.state()
+
+
 from contactgate.plans.catalog import LOOKUP_ACCOUNT, LOOKUP_PHONE  # noqa: E402
 
 LOOKUP_SQL = f"""
