@@ -295,6 +295,30 @@ def consent_validity(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFra
                     "event_date", F.col("rank"), CONSENT_VALUES)
 
 
+LINEAGE_OF = ["phone_type", "phone_status", "phone_source", "phone_technology", "quality_score", "consent_flag"]
+
+
+def column_lineage(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame) -> DataFrame:
+    """Which record supplied each attribute of a key: ``legacy_identifier, phone_number,
+    column_name, value, event_date, record_source, _source_file, current_value``.
+
+    Per attribute the record of highest precedence that has a value for it (not NULL or
+    empty), with its date, feed and file, beside what the key's winning record says
+    (``current_value``: NULL or empty where the newest record dropped it).  Attributes that
+    no record supplied have no row.  All of it is one aggregate over the aligned records, so one
+    shuffle after the feeds' dedup, reduced before it."""
+    records = aligned_events(nonfin, supplfwd, enrollment, ordered=True).withColumn(
+        "__rank", F.expr("struct(__class, event_date, __prio, __tb)"))
+    from_ = ["event_date", "record_source", "_source_file"]
+    supplied = [F.max_by(F.struct(F.col(c).alias("value"), *from_),
+                         F.when(F.coalesce(F.col(c) != "", F.lit(False)), F.col("__rank"))).alias(f"__{c}") for c in LINEAGE_OF]
+    reduced = records.groupBy(*KEYS).agg(*supplied, F.max_by(F.struct(*LINEAGE_OF), "__rank").alias("__now"))
+    each = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"__{c}").alias("s"), F.col(f"__now.{c}").alias("current_value"))
+                     for c in LINEAGE_OF])
+    return (reduced.select(*KEYS, F.explode(each).alias("e")).where(F.col("e.s").isNotNull())
+            .select(*KEYS, "e.column_name", "e.s.value", *[f"e.s.{c}" for c in from_], "e.current_value"))
+
+
 class LayerGateError(RuntimeError):
     """A layer's checks failed; nothing further was built."""
 

@@ -165,33 +165,26 @@ def q_duplicate_keys_state(spark, sf):
 
 
 @register("format_check_account", """
-SELECT count(*) AS total,
-       count(*) FILTER (WHERE length(account_number) = 16 AND regexp_matches(account_number, '^[0-9]+$'))
-         AS valid_format,
-       count(*) FILTER (WHERE length(account_number) <> 16 OR NOT regexp_matches(account_number, '^[0-9]+$'))
-         AS bad_format
-FROM silver""", "P7 F1 A6")
+SELECT sum(n)::BIGINT AS total, coalesce(sum(n) FILTER (ok), 0)::BIGINT AS valid_format,
+       coalesce(sum(n) FILTER (NOT ok), 0)::BIGINT AS bad_format
+FROM (SELECT regexp_full_match(account_number, '[0-9]{16}') AS ok, count(*) AS n FROM silver GROUP BY ok) by_form""", "P7 F1 A6")
 def q_format_check_account(spark, sf):
-    a = F.col("account_number")
-    good = (F.length(a) == 16) & a.rlike("^[0-9]+$")
-    bad = (F.length(a) != 16) | ~a.rlike("^[0-9]+$")
-    return Layers(spark, sf).state.agg(_count("total"), _ci(good, "valid_format"),
-                                       _ci(bad, "bad_format"))
+    ok = F.col("account_number").rlike("^[0-9]{16}$")
+    return Layers(spark, sf).state.agg(_count("total"), _ci(ok, "valid_format"), _ci(~ok, "bad_format"))
 
 
 @register("delete_consistency", """
-SELECT count(*) FILTER (WHERE is_deleted = true AND delete_type IS NULL) AS deleted_missing_type,
-       count(*) FILTER (WHERE is_deleted = false AND delete_type IS NOT NULL) AS not_deleted_has_type,
-       count(*) FILTER (WHERE deleted_at IS NOT NULL AND is_deleted = false) AS has_date_not_deleted,
-       count(*) FILTER (WHERE is_deleted = true AND deleted_at IS NULL) AS deleted_missing_date
-FROM silver""", "Q5 A6")
+SELECT coalesce(sum(n) FILTER (gone AND NOT typed), 0)::BIGINT AS deleted_missing_type,
+       coalesce(sum(n) FILTER (NOT gone AND typed), 0)::BIGINT AS not_deleted_has_type,
+       coalesce(sum(n) FILTER (NOT gone AND dated), 0)::BIGINT AS has_date_not_deleted,
+       coalesce(sum(n) FILTER (gone AND NOT dated), 0)::BIGINT AS deleted_missing_date
+FROM (SELECT is_deleted AS gone, delete_type IS NOT NULL AS typed, deleted_at IS NOT NULL AS dated, count(*) AS n
+      FROM silver GROUP BY ALL) by_status""", "Q5 A6")
 def q_delete_consistency(spark, sf):
-    d = F.col("is_deleted")
+    gone, typed, dated = F.col("is_deleted"), F.col("delete_type").isNotNull(), F.col("deleted_at").isNotNull()
     return Layers(spark, sf).state.agg(
-        _ci(d & F.col("delete_type").isNull(), "deleted_missing_type"),
-        _ci(~d & F.col("delete_type").isNotNull(), "not_deleted_has_type"),
-        _ci(F.col("deleted_at").isNotNull() & ~d, "has_date_not_deleted"),
-        _ci(d & F.col("deleted_at").isNull(), "deleted_missing_date"))
+        _ci(gone & ~typed, "deleted_missing_type"), _ci(~gone & typed, "not_deleted_has_type"),
+        _ci(~gone & dated, "has_date_not_deleted"), _ci(gone & ~dated, "deleted_missing_date"))
 
 
 @register("delete_summary", """
@@ -492,33 +485,34 @@ def q_readded_phones(spark, sf):
         .agg(_count("readded_phones"))
 
 
-@register("compliance_boundaries", f"""
-SELECT
-  count(*) FILTER (WHERE has_sms_consent = false AND phone_source = 'CLIENT' AND is_deleted = false)
-    AS consent_withdrawn,
-  count(*) FILTER (WHERE has_sms_consent = false AND phone_source = 'CLIENT' AND is_deleted = false
-                   AND {_DECISION_SQL} = 'CAN_SEND') AS withdrawn_can_send,
-  count(*) FILTER (WHERE has_sms_consent IS NULL AND phone_source = 'CLIENT' AND is_deleted = false
-                   AND {_DECISION_SQL} = 'CAN_SEND') AS null_consent_can_send,
-  count(*) FILTER (WHERE has_sms_consent IS NULL AND phone_source = 'CLIENT' AND is_deleted = false
-                   AND {_DECISION_SQL} = 'CANNOT_SEND') AS null_consent_cannot_send,
-  count(*) FILTER (WHERE phone_source != 'CLIENT' AND is_deleted = false
-                   AND (has_sms_consent = true OR has_sms_consent IS NULL)) AS non_client_sendable,
-  count(*) FILTER (WHERE is_deleted = true AND phone_source = 'CLIENT'
-                   AND (has_sms_consent = true OR has_sms_consent IS NULL)) AS deleted_would_send
-FROM gold""", "C8 A11")
+@register("compliance_boundaries", """
+SELECT coalesce(sum(n) FILTER (live AND client AND said = 'no'), 0)::BIGINT AS consent_withdrawn,
+       coalesce(sum(n) FILTER (live AND client AND said = 'no' AND sends), 0)::BIGINT AS withdrawn_can_send,
+       coalesce(sum(n) FILTER (live AND client AND said = 'nothing' AND sends), 0)::BIGINT AS null_consent_can_send,
+       coalesce(sum(n) FILTER (live AND client AND said = 'nothing' AND NOT sends), 0)::BIGINT AS null_consent_cannot_send,
+       coalesce(sum(n) FILTER (live AND NOT client AND said <> 'no'), 0)::BIGINT AS non_client_sendable,
+       coalesce(sum(n) FILTER (NOT live AND client AND said <> 'no'), 0)::BIGINT AS deleted_would_send
+FROM (SELECT *, live AND coalesce(client, false) AND said <> 'no' AS sends
+      FROM (SELECT NOT is_deleted AS live, phone_source = 'CLIENT' AS client,
+                   CASE has_sms_consent WHEN true THEN 'yes' WHEN false THEN 'no' ELSE 'nothing' END AS said, count(*) AS n
+            FROM gold GROUP BY ALL) grouped) g""", "C8 A11")
 def q_compliance_boundaries(spark, sf):
-    src, dele, con = F.col("phone_source"), F.col("is_deleted"), F.col("has_sms_consent")
-    client_live = (src == "CLIENT") & ~dele
-    allowed_consent = (con == F.lit(True)) | con.isNull()
-    send = can_send_rule()
-    return Layers(spark, sf).consent.agg(
-        _ci((con == F.lit(False)) & client_live, "consent_withdrawn"),
-        _ci((con == F.lit(False)) & client_live & send, "withdrawn_can_send"),
-        _ci(con.isNull() & client_live & send, "null_consent_can_send"),
-        _ci(con.isNull() & client_live & ~send, "null_consent_cannot_send"),
-        _ci((src != "CLIENT") & ~dele & allowed_consent, "non_client_sendable"),
-        _ci(dele & (src == "CLIENT") & allowed_consent, "deleted_would_send"))
+    """Counts over one grouped table of (deleted, client, consent, decision)."""
+    said = F.when(F.col("has_sms_consent"), "yes").when(~F.col("has_sms_consent"), "no").otherwise("nothing")
+    g = Layers(spark, sf).consent.groupBy(
+        (~F.col("is_deleted")).alias("live"), (F.col("phone_source") == "CLIENT").alias("client"), said.alias("said"),
+        can_send_rule().alias("sends")).agg(_count("n"))
+    live, client, sends, said = (F.col(c) for c in ("live", "client", "sends", "said"))
+
+    def rows(condition, name):
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).cast("long").alias(name)
+    return g.agg(
+        rows(live & client & (said == "no"), "consent_withdrawn"),
+        rows(live & client & (said == "no") & sends, "withdrawn_can_send"),
+        rows(live & client & (said == "nothing") & sends, "null_consent_can_send"),
+        rows(live & client & (said == "nothing") & ~sends, "null_consent_cannot_send"),
+        rows(live & ~client & (said != "no"), "non_client_sendable"),
+        rows(~live & client & (said != "no"), "deleted_would_send"))
 
 
 @register("consent_null_share", """

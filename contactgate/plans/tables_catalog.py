@@ -17,7 +17,7 @@ from contactgate.plans.oracle import SPLIT_DATE
 from contactgate.session import fresh_path as _fresh
 from contactgate.sources import schemas as S
 from contactgate.sources.delivery import (
-    deliver, ingest_change, ingest_enrollment, ingest_snapshot,
+    DELIVERY_DIR, deliver, good_rows, ingest_change, ingest_enrollment, ingest_lines, ingest_snapshot, reject_share_check, rejects,
 )
 from contactgate.sources.tables import DeliveryTable, KeyedTable, RunTable
 
@@ -53,6 +53,48 @@ def q_ingest_enrollment(spark, sf):
     return ingest_enrollment(spark, root, layout="directory").drop("_source_file")
 
 
+_LINE_SQL = " || '|' || ".join(f"coalesce({c}, '')" for c in S.CHANGE_COLUMNS)
+_SHORT_SQL = " || '|' || ".join(f"coalesce({c}, '')" for c in S.CHANGE_COLUMNS[:10])
+_LINE_NO_SQL = "CAST(substr(cnsmr_phn_hst_id, 2) AS BIGINT) % 50"
+
+
+def _damaged_lines(spark, sf):
+    """Change files as delivered, some lines cut short, some with fields too many."""
+    feed = Layers(spark, sf).supplfwd
+    number = F.expr(_LINE_NO_SQL)
+    joined = lambda columns: F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in columns])
+    line = (F.when(number == 0, joined(S.CHANGE_COLUMNS[:10]))
+            .when(number == 1, F.concat(joined(S.CHANGE_COLUMNS), F.lit("|one|more"))).otherwise(joined(S.CHANGE_COLUMNS)))
+    root = _fresh(spark, "damaged")
+    stem = F.regexp_extract("_source_file", r"([^/]+)\.csv\.gz$", 1)
+    # one column of whole lines, named by the header
+    (feed.select(line.alias("|".join(S.CHANGE_COLUMNS)), stem.alias(DELIVERY_DIR)).sortWithinPartitions(DELIVERY_DIR)
+     .write.partitionBy(DELIVERY_DIR).option("sep", "\x01").option("header", "true").option("compression", "gzip")
+     .csv(f"{root}/MAINTENANCE"))
+    return ingest_lines(spark, root, S.CHANGE_GLOB, S.CHANGE_SCHEMA, layout="directory")
+
+
+@register("ingest_good_rows", f"""
+SELECT * EXCLUDE (_source_file, _row_id) FROM supplfwd WHERE {_LINE_NO_SQL} > 1""", "B1 B6")
+def q_ingest_good_rows(spark, sf):
+    return good_rows(_damaged_lines(spark, sf)).drop("_source_file")
+
+
+@register("ingest_rejects", f"""
+SELECT _file_date, CASE WHEN {_LINE_NO_SQL} = 0 THEN 'short' ELSE 'long' END AS _reject_reason,
+       CASE WHEN {_LINE_NO_SQL} = 0 THEN {_SHORT_SQL} ELSE {_LINE_SQL} || '|one|more' END AS _raw
+FROM supplfwd WHERE {_LINE_NO_SQL} <= 1""", "B1 B2")
+def q_ingest_rejects(spark, sf):
+    return rejects(_damaged_lines(spark, sf)).drop("_source_file")
+
+
+@register("quality_reject_share", f"""
+SELECT 'reject_share' AS name, bad <= n * 0.05 AS passed, bad AS observed, 'share<=0.05' AS expected
+FROM (SELECT count(*) AS n, count(*) FILTER (WHERE {_LINE_NO_SQL} <= 1) AS bad FROM supplfwd) x""", "B1 Q1 Q4")
+def q_quality_reject_share(spark, sf):
+    return reject_share_check(_damaged_lines(spark, sf), 0.05)
+
+
 @register("ingest_file_layout", """
 SELECT * EXCLUDE (_source_file, _row_id), 'snapshot' AS feed FROM nonfin""", "B1 B2 B3 B5")
 def q_ingest_file_layout(spark, sf):
@@ -264,6 +306,59 @@ def q_consent_as_of(spark, sf):
     return consent_as_of(asked, L.nonfin, L.supplfwd, L.enrollment)
 
 
+_LINEAGE_RECORDS_SQL = """
+SELECT cnsmr_idntfr_lgcy_txt AS legacy_identifier, cnsmr_phn_nmbr_txt AS phone_number, cnsmr_phn_typ_val_txt AS phone_type,
+       cnsmr_phn_stts_val_txt AS phone_status, cnsmr_phn_src_val_txt AS phone_source, cnsmr_phn_tchnlgy_typ_val_txt AS phone_technology,
+       cnsmr_phn_qlty_score_nmbr AS quality_score, cnsmr_phn_cnsnt_flg AS consent_flag, 'NON-FIN' AS record_source,
+       _source_file, _file_date AS event_date, 1 AS class, 0 AS prio, _source_file AS t0, _row_id AS t1 FROM nf_dedup
+UNION ALL
+SELECT cnsmr_idntfr_lgcy_txt, cnsmr_phn_nmbr_txt, cnsmr_phn_typ_val_txt, cnsmr_phn_stts_val_txt, cnsmr_phn_src_val_txt,
+       cnsmr_phn_tchnlgy_typ_val_txt, cnsmr_phn_qlty_score_nmbr, cnsmr_phn_cnsnt_flg, 'SUPPLFWD', _source_file,
+       CAST(try_strptime(record_date, '%Y-%m-%d') AS DATE), 1, 1, cnsmr_phn_hst_id, _row_id FROM sf_dedup
+UNION ALL
+SELECT consumer_legacy_identifier, phone_number, phone_type, phone_status, phone_source, phone_technology, quality_score, NULL,
+       'ENRLMT', _source_file, CAST(try_strptime(enrollment_date, '%Y-%m-%d') AS DATE), 0, 0, _source_file, _row_id FROM enrollment"""
+
+
+def _lineage_sql() -> str:
+    from contactgate.plans.phone_state import LINEAGE_OF
+    rank = "class DESC, event_date DESC NULLS LAST, prio DESC, t0 DESC NULLS LAST, t1 DESC NULLS LAST"
+    key = "PARTITION BY legacy_identifier, phone_number"
+    each = [f"""
+SELECT legacy_identifier, phone_number, '{c}' AS column_name, {c} AS value, event_date, record_source, _source_file,
+       first_value({c}) OVER ({key} ORDER BY {rank}) AS current_value
+FROM ({_LINEAGE_RECORDS_SQL}) r
+QUALIFY row_number() OVER ({key} ORDER BY coalesce({c}, '') <> '' DESC, {rank}) = 1""" for c in LINEAGE_OF]
+    return "SELECT * FROM (" + "\nUNION ALL".join(each) + ") l WHERE coalesce(value, '') <> ''"
+
+
+@register("column_lineage", _lineage_sql(), "I5")
+def q_column_lineage(spark, sf):
+    """Which record and file supplied each attribute of every key."""
+    from contactgate.plans.phone_state import column_lineage
+    L = Layers(spark, sf)
+    return column_lineage(L.nonfin, L.supplfwd, L.enrollment)
+
+
+@register("presence_intervals", """
+SELECT cnsmr_idntfr_lgcy_txt, cnsmr_phn_nmbr_txt, listed_from, listed_to,
+       (SELECT min(c) FROM (SELECT unnest(cal) AS c) u WHERE c > listed_to) AS gone_at,
+       lead(listed_from) OVER (PARTITION BY cnsmr_idntfr_lgcy_txt, cnsmr_phn_nmbr_txt ORDER BY listed_from) AS back_at
+FROM (SELECT cnsmr_idntfr_lgcy_txt, cnsmr_phn_nmbr_txt, island, any_value(cal) AS cal, min(d) AS listed_from, max(d) AS listed_to
+      FROM (SELECT *, count(*) FILTER (opens) OVER (PARTITION BY cnsmr_idntfr_lgcy_txt, cnsmr_phn_nmbr_txt ORDER BY d) AS island
+            FROM (SELECT p.*, cal, prev IS NULL OR len(list_filter(cal, lambda x: x > prev AND x < d)) > 0 AS opens
+                  FROM (SELECT *, lag(d) OVER (PARTITION BY cnsmr_idntfr_lgcy_txt, cnsmr_phn_nmbr_txt ORDER BY d) AS prev
+                        FROM (SELECT DISTINCT cnsmr_idntfr_lgcy_txt, cnsmr_phn_nmbr_txt, _file_date AS d FROM nf_dedup) a) p,
+                       (SELECT list(d) AS cal FROM (SELECT _file_date AS d, count(*) AS n, coalesce(max(count(*)) OVER (
+                          ORDER BY _file_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS most
+                        FROM nf_dedup GROUP BY _file_date) c WHERE n >= most * 0.5) k) o) i
+      GROUP BY cnsmr_idntfr_lgcy_txt, cnsmr_phn_nmbr_txt, island) s""", "A3 D6 W7")
+def q_presence_intervals(spark, sf):
+    """When each key was listed, when it was gone and when it came back."""
+    from contactgate.operators.deletes import presence
+    return presence(Layers(spark, sf).nonfin_dedup, ["cnsmr_idntfr_lgcy_txt", "cnsmr_phn_nmbr_txt"])
+
+
 @register("consent_validity", f"""
 SELECT account_number, phone_number, has_sms_consent, phone_source, record_source, event_date,
        event_date AS valid_from, lead(event_date) OVER (PARTITION BY account_number, phone_number ORDER BY event_date) AS valid_to

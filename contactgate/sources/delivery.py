@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from contactgate.functions.columns import file_date_from_name
 from contactgate.sources import schemas as S
@@ -39,21 +39,72 @@ def with_lineage(df: DataFrame) -> DataFrame:
               .withColumn("_file_date", F.coalesce(from_name, from_path)))
 
 
-def _ingest(spark: SparkSession, data_dir: str, glob: str, schema: StructType,
-            layout: str) -> DataFrame:
+def _path(data_dir: str, glob: str, layout: str) -> str:
     root = data_dir.rstrip("/")
     if layout == "file":
-        path = f"{root}/{glob}"
-    elif layout == "directory":
+        return f"{root}/{glob}"
+    if layout == "directory":
         folder, pattern = glob.split("/", 1)
         stem = pattern.removesuffix(".csv.gz")
-        path = f"{root}/{folder}/{DELIVERY_DIR}={stem}/*.csv.gz"
-    else:
-        raise ValueError(f"unknown layout {layout!r}")
-    df = with_lineage(read_pipe_csv(spark, path, schema))
+        return f"{root}/{folder}/{DELIVERY_DIR}={stem}/*.csv.gz"
+    raise ValueError(f"unknown layout {layout!r}")
+
+
+def _ingest(spark: SparkSession, data_dir: str, glob: str, schema: StructType,
+            layout: str) -> DataFrame:
+    df = with_lineage(read_pipe_csv(spark, _path(data_dir, glob, layout), schema))
     return df.select(*schema.fieldNames(), *S.LINEAGE_COLUMNS)
 
 
+RAW, REASON = "_raw", "_reject_reason"
+UNDECODABLE = "\ufffd"      # what a reader puts in place of bytes that are no UTF-8
+
+
+def ingest_lines(spark: SparkSession, data_dir: str, glob: str, schema: StructType, layout: str = "file") -> DataFrame:
+    """Every delivered line once: the declared columns, lineage, and for a line that does not
+    fit the layout why (``_reject_reason``: ``short``, ``long``, ``undecodable`` or
+    ``malformed``) and the line itself (``_raw``); both are NULL for a good line.
+
+    The reader keeps a line with too few or too many fields in its corrupt-record
+    column; a line whose bytes are no UTF-8 shows by the replacement character.  Blank lines
+    are no lines."""
+    columns = schema.fieldNames()
+    with_raw = StructType([*schema.fields]).add(RAW, StringType())
+    read = with_lineage(spark.read.schema(with_raw).option("sep", "|").option("header", "true")
+                        .option("enforceSchema", "false").option("mode", "PERMISSIVE")
+                        .option("columnNameOfCorruptRecord", RAW).csv(_path(data_dir, glob, layout)))
+    fields = F.size(F.split(RAW, r"\|", -1))
+    joined = F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in columns])
+    garbled = F.coalesce(F.col(RAW), joined).contains(UNDECODABLE)
+    reason = (F.when(garbled, F.lit("undecodable"))
+              .when(F.col(RAW).isNull(), F.lit(None))
+              .when(fields < len(columns), F.lit("short"))
+              .when(fields > len(columns), F.lit("long"))
+              .otherwise(F.lit("malformed")))
+    return (read.withColumn(REASON, reason)
+            .withColumn(RAW, F.when(F.col(REASON).isNotNull(), F.coalesce(F.col(RAW), joined)))
+            .select(*columns, *S.LINEAGE_COLUMNS, RAW, REASON))
+
+
+def good_rows(lines: DataFrame) -> DataFrame:
+    return lines.where(F.col(REASON).isNull()).drop(RAW, REASON)
+
+
+def rejects(lines: DataFrame) -> DataFrame:
+    """The rejects table of a feed: the line, why it was rejected, and where it came from."""
+    return lines.where(F.col(REASON).isNotNull()).select(RAW, REASON, *S.LINEAGE_COLUMNS)
+
+
+def reject_share_check(lines: DataFrame, max_share: float, name: str = "reject_share") -> DataFrame:
+    """Check result (see ``operators.quality``): observed are the rejected lines; passes
+    while they are at most ``max_share`` of all lines.  One aggregate over the lines."""
+    if not 0 <= max_share <= 1:
+        raise ValueError("max_share must be from 0 to 1")
+    counted = lines.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(REASON).isNotNull()).alias("bad"))
+    return counted.select(F.lit(name).alias("name"), (F.col("bad") <= F.col("n") * F.lit(max_share)).alias("passed"),
+                          F.col("bad").cast("long").alias("observed"), F.lit(f"share<={max_share:g}").alias("expected"))
+
+
 def ingest_enrollment(spark: SparkSession, data_dir: str, layout: str = "file") -> DataFrame:
     return _ingest(spark, data_dir, S.ENROLLMENT_GLOB, S.ENROLLMENT_SCHEMA, layout)
 

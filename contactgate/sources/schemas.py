@@ -45,7 +45,7 @@ DELETE_TYPES = ("hard_delete", "soft_delete")
 HARD_DELETE = "hard_delete"
 SOFT_DELETE = "soft_delete"
 
-# Silver / Gold column order
+# --- fixed values: column order of the state and the consent table ---------
 STATE_COLUMNS = [
     "account_number", "legacy_identifier", "phone_number", "phone_id", "phone_type",
     "phone_status", "phone_source", "phone_technology", "quality_score",
