@@ -9,10 +9,10 @@ caller asks for the verdict.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -52,6 +52,21 @@ def evaluate(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
                       "observed", "expected")
 
 
+def evaluate_while_writing(df: DataFrame, checks: Sequence[Check], write: Callable[[DataFrame], object]) -> DataFrame:
+    """Run the checks on the rows that ``write`` writes, as it writes them (observed
+    metrics): the same results as :func:`evaluate`, without reading the rows again.
+
+    ``write`` gets the frame and must write it as it is, in one job: then the metrics are
+    collected by the tasks that write, and only the attempt of a task that is committed
+    counts.  The checks must be plain aggregates (no distinct counts)."""
+    seen = Observation()
+    write(df.observe(seen, *[F.coalesce(c.observed.cast("long"), F.lit(0)).alias(f"c{i}") for i, c in enumerate(checks)]))
+    found = [(c.name, seen.get[f"c{i}"], c.expected) for i, c in enumerate(checks)]
+    return df.sparkSession.createDataFrame(
+        [(name, n == 0 if expected == "eq0" else n > 0, n, expected) for name, n, expected in found],
+        "name string, passed boolean, observed long, expected string")
+
+
 def verdict(results: DataFrame) -> DataFrame:
     """One row: ``all_passed`` and ``failed`` (count of failed checks).  No results have
     not passed."""

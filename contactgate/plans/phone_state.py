@@ -59,13 +59,13 @@ def prune(df: DataFrame, used: list[str]) -> DataFrame:
 
 def row_key(df: DataFrame, raw_columns: list[str]) -> str:
     """Deterministic in-file tiebreak: a provided ``_row_id``, or else the text
-    of the used fields (NULL as empty).  Rows equal on every used field are
+    of the used fields (NULL is told from the empty text).  Rows equal on every used field are
     interchangeable downstream, so ordering by them is a total order for all
     that matters."""
     if "_row_id" in df.columns:
         return "_row_id"
     present = [c for c in raw_columns if c in df.columns]
-    return "concat_ws('|', " + ", ".join(f"coalesce({c}, '')" for c in present) + ")"
+    return "concat_ws('|', " + ", ".join(f"coalesce({c}, char(0))" for c in present) + ")"
 
 
 CHANGE_DATE = parse_date_sql("record_date")
@@ -327,13 +327,14 @@ def gated_run(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame, tab
               base: int | None = None, on_fail: str = "raise") -> int | None:
     """Feeds -> state -> consent with a gate after each layer.
 
-    Every layer is written once under ``tables`` as ``run`` and checked there: feeds
+    Every layer is written once under ``tables`` as ``run`` and checked: what can be counted
+    row by row while it is written, unique keys in one scan of what was written.  Feeds
     (rows, dates, share of keys kept from the snapshot before), state, consent (with its
     consistency against the state).  The results of all checks are stored as a run of
     ``<tables>/quality`` before the verdict is acted on.  A failed gate stops the run
     (``raise``), or ends it returning None (``block``), or is warned of (``warn``); the
     consent table is merged into ``<tables>/consent`` from run ``base`` only behind all gates."""
-    from contactgate.operators.quality import check_mode, gate
+    from contactgate.operators.quality import check_mode, evaluate_while_writing, gate, row_count_positive
     from contactgate.plans import reports as R
     from contactgate.sources.tables import RunTable
     check_mode(on_fail)
@@ -349,12 +350,13 @@ def gated_run(nonfin: DataFrame, supplfwd: DataFrame, enrollment: DataFrame, tab
     if not passed(0, R.feed_quality(nonfin, supplfwd, enrollment)):
         return None
     state = RunTable(spark, f"{root}/state")
-    state.write(build_state(nonfin, supplfwd, enrollment), run)
+    rows = evaluate_while_writing(build_state(nonfin, supplfwd, enrollment), [row_count_positive("state_rows")],
+                                  lambda df: state.write(df, run)).first()["observed"]
     if not passed(1, R.state_gate(state.read(run))):
         return None
     consent = RunTable(spark, f"{root}/consent_candidate")
-    consent.write(build_consent(state.read(run)), run)
-    if not passed(2, R.consent_gate(consent.read(run), state.read(run))):
+    seen = evaluate_while_writing(build_consent(state.read(run)), R.consent_row_checks(rows), lambda df: consent.write(df, run))
+    if not passed(2, R.consent_gate(consent.read(run), seen=seen)):
         return None
     keys = ["account_number", "phone_number"]
     return RunTable(spark, f"{root}/consent").upsert(consent.read(run), keys, run, base, sort_by=keys)
@@ -366,14 +368,14 @@ def publish_consent(consent: DataFrame, table, run: int, base: int | None = None
     one pass there, and merge it into the :class:`RunTable` ``table`` as ``run`` only when
     they pass (or ``on_fail='warn'``).  An empty table does not pass.  Returns the run, or
     None when blocked (``on_fail='block'``)."""
-    from contactgate.operators.quality import check_mode, gate
-    from contactgate.plans.reports import consent_gate
+    from contactgate.operators.quality import check_mode, evaluate_while_writing, gate
+    from contactgate.plans.reports import consent_gate, consent_row_checks
     from contactgate.sources.tables import RunTable
     check_mode(on_fail)
     staged = RunTable(consent.sparkSession, f"{table.path}_candidate")
-    staged.write(consent, run)
+    seen = evaluate_while_writing(consent, consent_row_checks(), lambda df: staged.write(df, run))
     rows = staged.read(run)
-    if not gate(consent_gate(rows), on_fail) and on_fail != "warn":
+    if not gate(consent_gate(rows, seen=seen), on_fail) and on_fail != "warn":
         return None
     return table.upsert(rows, list(keys), run, base, sort_by=list(keys))
 

@@ -707,20 +707,25 @@ def state_gate(state: DataFrame) -> DataFrame:
         Check("silver_no_null_accounts", F.sum(F.when(F.col("account_number").isNull(), F.col("__n"))), "eq0")])
 
 
-def consent_gate(consent: DataFrame, state: DataFrame | None = None) -> DataFrame:
-    """What the gate on the published table asks: rows, the published checks, delete columns that
-    agree with each other and, given the state, as many rows as it has."""
+def consent_row_checks(state_rows: int | None = None) -> list:
+    """Checks of the published table that are counted row by row: rows, delete columns that
+    agree with each other and, given the state's rows, as many as it has."""
     from contactgate.operators.quality import Check
     deleted, kind = F.col("is_deleted"), F.col("delete_type")
-    own = evaluate(consent, [
-        row_count_positive("gold_row_count_positive"),
-        bad_rows("gold_deleted_has_type", deleted & kind.isNull()),
-        bad_rows("gold_live_has_no_type", ~deleted & kind.isNotNull())])
-    found = own.unionByName(published_quality(consent))
-    if state is None:
-        return found
-    rows = (consent.select(F.lit(1).alias("__d")).unionByName(state.select(F.lit(-1).alias("__d"))))
-    return found.unionByName(evaluate(rows, [Check("gold_row_count_as_silver", F.abs(F.sum("__d")), "eq0")]))
+    own = [row_count_positive("gold_row_count_positive"),
+           bad_rows("gold_deleted_has_type", deleted & kind.isNull()),
+           bad_rows("gold_live_has_no_type", ~deleted & kind.isNotNull())]
+    if state_rows is not None:
+        own.append(Check("gold_row_count_as_silver", F.abs(F.count(F.lit(1)) - F.lit(state_rows)), "eq0"))
+    return own
+
+
+def consent_gate(consent: DataFrame, state: DataFrame | None = None, seen: DataFrame | None = None) -> DataFrame:
+    """What the gate on the published table asks: the row checks (``seen``: their results, if
+    they were counted while the table was written) and the published checks."""
+    if seen is None:
+        seen = evaluate(consent, consent_row_checks(state.count() if state is not None else None))
+    return seen.unionByName(published_quality(consent))
 
 
 def published_quality(consent: DataFrame) -> DataFrame:

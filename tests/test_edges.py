@@ -150,3 +150,36 @@ def test_every_layer_is_gated_and_results_are_kept(spark, tmp_path, scenario):
     kept = RunTable(spark, f"{root}/quality").history()
     assert sorted(r["run"] for r in kept.select("run").distinct().collect()) == [3, 6, 7, 9, 10, 11]
     assert kept.where("NOT passed").select("name").distinct().count() == 2
+
+
+def test_checks_counted_while_writing_equal_those_of_a_scan(spark, tmp_path, scenario):
+    from contactgate.operators.quality import Check, evaluate, evaluate_while_writing
+    from contactgate.plans import reports as R
+    from contactgate.sources.tables import RunTable
+    good = P.build_consent(P.build_state(*scenario))
+    bad = good.withColumn("delete_type", F.when(F.col("is_deleted"), F.lit(None)).otherwise(F.lit("soft_delete")))
+    for n, (df, rows) in enumerate(((good, good.count()), (bad, 3), (good.limit(0), 0))):
+        t = RunTable(spark, str(tmp_path / "t"))
+        checks = [*R.consent_row_checks(rows), Check("phones", F.sum(F.length("phone_number")), "gt0")]
+        seen = evaluate_while_writing(df.repartition(5), checks, lambda d: t.write(d, n))
+        assert sorted(map(tuple, seen.collect())) == sorted(map(tuple, evaluate(t.read(n), checks).collect()))
+        assert sorted(map(tuple, R.consent_gate(t.read(n), seen=seen.where("name <> 'phones'")).collect())) == sorted(
+            map(tuple, R.consent_gate(t.read(n), df if n != 1 else df.limit(3)).collect()))
+
+
+def test_a_layer_is_scanned_once_for_its_gate(spark, tmp_path, scenario):
+    from contactgate.operators.quality import evaluate_while_writing
+    from contactgate.plans import reports as R
+    from contactgate.sources.tables import RunTable
+    t = RunTable(spark, str(tmp_path / "t"))
+    df = P.build_consent(P.build_state(*scenario))
+    seen = evaluate_while_writing(df, R.consent_row_checks(), lambda d: t.write(d, 1))
+    plan = R.consent_gate(t.read(1), seen=seen)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_null_and_the_empty_text_differ_in_the_last_order(spark):
+    rows = spark.createDataFrame([("h", "l", "p", None, "1"), ("h", "l", "p", "", "2")],
+                                 "cnsmr_phn_hst_id string, cnsmr_idntfr_lgcy_txt string, cnsmr_phn_nmbr_txt string, cnsmr_phn_typ_val_txt string, n string")
+    key = F.expr(P.row_key(rows, ["cnsmr_phn_hst_id", "cnsmr_phn_typ_val_txt"]))
+    assert rows.select(key.alias("k")).distinct().count() == 2
