@@ -49,3 +49,29 @@ def test_held_out_accuracy(spark):
     assert len(got) == 200
     held = [r for r in got if r["held_out"] and r["lang"]]
     assert sum(r["lang"] == r["lang_pred"] for r in held) / len(held) > 0.97
+
+
+def test_predictions_as_by_one_ngram_after_the_other(spark, model):
+    import brute
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for fitted in (model, language.fit(docs)):
+        for r in language.identify(docs.select("text"), fitted).collect():
+            lang, score = brute.language(fitted, r["text"], language.MULTIPLIERS)
+            assert r["lang_pred"] == lang and r["score"] == pytest.approx(score, abs=1e-3)
+
+
+def test_counts_behind_the_model(spark):
+    """Fitting counts every n-gram of the sample once."""
+    from collections import Counter
+    rows = [(1, "Ab ab", "x"), (2, "b", "y"), (3, "a--b", "x")]
+    fitted = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    seen = {lang: Counter() for lang in ("x", "y")}
+    for _, text, lang in rows:
+        for n, ids in enumerate(language.features(language.code_points(text), language.BUCKETS)):
+            seen[lang].update(ids.tolist())
+    import math
+    for k, lang in enumerate(fitted.languages):
+        total = sum(seen[lang].values()) + language.ALPHA * language.BUCKETS
+        for feature, n in seen[lang].items():
+            assert fitted.table[feature, k] == pytest.approx(math.log((n + language.ALPHA) / total), abs=1e-4)

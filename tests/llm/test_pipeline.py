@@ -111,11 +111,78 @@ def test_run(spark):
     assert [name for name, _ in cp.STAGES] == ["language ID", "SimHash near-dedup", "suffix-array dedup", "mixing to target weights", "byte-level BPE"]
 
 
+def _stays(texts, length=100):
+    """Texts without the characters that have a byte in a window that starts earlier too."""
+    seen, out = set(), {}
+    for i, text in sorted(texts.items()):
+        raw = (text or "").encode()
+        gone = [False] * len(raw)
+        for p in range(len(raw) - length + 1):
+            if raw[p:p + length] in seen:
+                gone[p:p + length] = [True] * length
+            seen.add(raw[p:p + length])
+        kept, at = [], 0
+        for c in text or "":
+            n = len(c.encode())
+            if not any(gone[at:at + n]):
+                kept.append(c)
+            at += n
+        out[i] = None if text is None else "".join(kept)
+    return out
+
+
+def test_run_equals_the_plain_versions_chained(spark):
+    """The whole pipeline against one plain version after the other (the language model is
+    the fitted one, its predictions are made by hand)."""
+    import base64
+    from collections import Counter
+
+    import duckdb
+    import pandas as pd
+    import public_tokenizers
+
+    from contactgate.llm import language, mixing
+    sf = "/root/testdata/sf0.001"
+    frame = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = {r["doc_id"]: r for r in frame.collect()}
+    model = language.fit(frame)
+    texts = {}
+    for i, r in rows.items():
+        lang, score = brute.language(model, r["text"], language.MULTIPLIERS)
+        if lang != language.UNKNOWN and score >= cp.MIN_POSTERIOR:
+            texts[i] = r["text"]
+    assert 0 < len(texts) <= len(rows)
+    ids = sorted(texts)
+    label = brute.components(len(ids), brute.near([brute.fingerprint(texts[i]) for i in ids]))
+    texts = {ids[k]: texts[ids[k]] for k in set(label)}
+    assert len(texts) < len(ids)
+    texts = _stays(texts)
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame([{"doc_id": i, "source": rows[i]["source"], "text": t} for i, t in texts.items()]))
+    copies = {i: taken // size if size else 0 for i, size, _, _, taken in con.execute(mixing.SQL).fetchall()}
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
+    reference = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = Counter()
+    for i, n in copies.items():
+        want[i, rows[i]["lang"], rows[i]["source"], tuple(reference.encode_ordinary(texts[i] or ""))] += n
+    got = Counter((r["doc_id"], r["lang"], r["source"], tuple(r["ids"])) for r in cp.run(spark, sf).collect())
+    assert got == +want
+
+
+def test_stages_take_any_column_names(spark, rows):
+    """Columns named like the ones a stage makes, and rows that tie."""
+    docs = _docs(spark, rows).selectExpr("*", "1 AS language_found", "2 AS Posterior_Found", "'x' AS component", "doc_id AS fp")
+    assert sorted(r["doc_id"] for r in cp.known_language(spark, docs, "").collect()) == [1, 2, 3, 4, 4, 8]
+    once = cp.one_of_each_group(spark, docs, "")
+    assert once.columns == docs.columns and sorted(r["doc_id"] for r in once.collect()) == sorted(
+        r["doc_id"] for r in cp.one_of_each_group(spark, _docs(spark, rows), "").collect())
+
+
 def test_all_is_registered():
     import __spark_entry__ as entry
     names = set(entry.queries())
     assert "pipeline" in names
-    assert {f"op{i}" for i in range(1, 11)} == {n.split("_")[0] for n in names if n.startswith("op")}
+    assert {f"op{i}" for i in range(1, 14)} == {n.split("_")[0] for n in names if n.startswith("op")}
     assert set(entry.oracle_sql()) <= names
 
 

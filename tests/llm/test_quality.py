@@ -38,3 +38,30 @@ def test_held_out_accuracy(spark):
     auc = np.mean([[(g > b) + (g == b) / 2 for b in bad] for g in good])
     assert auc > 0.9
     assert all(r["predicted"] == (r["score"] >= 0.7) for r in held)
+
+
+def test_scores_as_by_one_unit_after_the_other(spark):
+    import brute
+    import pytest
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("text")
+    rng = np.random.default_rng(3)
+    x = np.stack([quality.features(r["text"]) for r in docs.collect()])
+    model = quality.train(x[:60], x[60:], 0.6)
+    model.weights = [w + rng.normal(0, 0.1, w.shape) for w in model.weights]
+    for r in quality.score(docs, model).collect():
+        assert r["score"] == pytest.approx(brute.quality(model, quality.features(r["text"])), abs=1e-9)
+
+
+def test_the_risk_as_by_its_formula():
+    """One step of training moves against the gradient of the non-negative risk."""
+    rng = np.random.default_rng(0)
+    p, u = rng.normal(1, 1, (200, 3)), rng.normal(0, 1, (400, 3))
+    model = quality.train(p, u, 0.4)
+
+    def risk(m):
+        zp, zu = (quality._forward(m.weights, m.prepared(x))[1] for x in (p, u))
+        rest = np.logaddexp(0, zu).mean() - 0.4 * np.logaddexp(0, zp).mean()
+        return 0.4 * np.logaddexp(0, -zp).mean() + max(0.0, rest)
+    start = quality.QualityModel(model.mean, model.scale, [np.zeros_like(w) for w in model.weights], 0.4)
+    assert risk(model) < risk(start) - 0.02
