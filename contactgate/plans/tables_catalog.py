@@ -385,7 +385,7 @@ def q_stream_served_state(spark, sf):
     L = Layers(spark, sf)
     root, table, ckpt = (_fresh(spark, x) for x in ("deliveries", "served", "stream-ckpt"))
     deliver(L.supplfwd, root, "MAINTENANCE", S.CHANGE_COLUMNS)
-    serve_changes(spark, root, table, ckpt, layout="directory", max_files_per_trigger=80, buckets=8)
+    serve_changes(spark, root, table, ckpt, layout="directory", max_files_per_trigger=600, buckets=8)
     again = L.supplfwd.where(F.col("_file_date") < F.lit(SPLIT_DATE).cast("date")).withColumn(
         "_source_file", F.regexp_replace("_source_file", r"_000\.csv\.gz$", "_001.csv.gz"))
     deliver(again, root, "MAINTENANCE", S.CHANGE_COLUMNS)

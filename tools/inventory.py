@@ -10,7 +10,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 IMPL = {
-    "B1": "sources.delivery.read_pipe_csv", "B2": "sources.delivery.with_lineage",
+    "B1": "sources.delivery.read_pipe_csv / ingest_lines", "B2": "sources.delivery.with_lineage",
     "B3": "functions.columns.file_date_from_name", "B4": "sources.delivery.ingest_enrollment",
     "B5": "sources.delivery.ingest_snapshot", "B6": "sources.delivery.ingest_change",
     "B7": "sources.tables.RunTable.read / DeliveryTable.read",
@@ -24,11 +24,11 @@ IMPL = {
     "J1": "operators.merge.gap_fill (and fallback class in reconcile)",
     "J2": "operators.deletes.absent_from_latest (folded into reconcile)",
     "J3": "operators.deletes.flag_deletes (folded into reconcile)",
-    "J4": "per-phone countDistinct (re-aimed self join)", "J5": "join on computed key",
+    "J4": "per-phone countDistinct (re-aimed self join)", "J5": "grouped counts of the winners (no join)",
     "J6": "left_semi joins", "J7": "scalar subquery of a grouped min", "J8": "left_semi + scalar subquery",
-    "J9": "operators.merge.upsert",
+    "J9": "operators.merge.upsert / sources.tables.KeyedTable.merge",
     "A1": "operators.deletes.latest_snapshot_date (scalar subquery)", "A2": "groupBy.max",
-    "A3": "operators.deletes.absent_from_latest", "A4": "groupBy.count", "A5": "reports._dups (two-level)",
+    "A3": "operators.deletes.absent_from_latest / presence", "A4": "groupBy.count", "A5": "reports._dups (two-level)",
     "A6": "count_if", "A7": "groupBy + countDistinct + filter", "A8": "min/max/count",
     "A9": "reports.with_share (exact half-up)", "A10": "distinct via per-key aggregate",
     "A11": "groupBy on CASE expression", "A12": "scalar subqueries", "A13": "ratio aggregate",
@@ -37,7 +37,7 @@ IMPL = {
     "W5": "operators.reconcile.reconcile (precedence order)", "W6": "operators.latest.latest_by",
     "W7": "Window.partitionBy() over grouped rows",
     "S1": "orderBy", "S2": "orderBy.limit (top-k)", "S3": "ordered sample",
-    "U1": "unionByName", "U2": "tagged union + one aggregate", "U3": "exceptAll both ways",
+    "U1": "unionByName", "U2": "tagged union + one aggregate", "U3": "operators.merge.bag_difference (digests; exceptAll only if they differ)",
     "F1": "substring/length", "F2": "functions.columns.normalize_phone", "F3": "regexp_extract",
     "F4": "functions.columns.parse_date (try_to_date)", "F5": "functions.columns.tri_state",
     "F6": "coalesce + three-valued logic (delete_status)", "F7": "CASE precedence (delete_status)",
@@ -49,10 +49,10 @@ IMPL = {
     "Q1": "operators.quality.evaluate (feed checks)", "Q2": "reports.published_quality",
     "Q3": "reports.published_quality", "Q4": "operators.quality.verdict / gate",
     "Q5": "count_if consistency", "Q6": "count_if(isNull)", "Q7": "row parity",
-    "I1": "operators.merge.upsert / RunTable.upsert", "I2": "RunTable.upsert (create)",
-    "I3": "operators.merge.diff / RunTable.changes", "I4": "RunTable.read(run)",
-    "I5": "_source_file carried in the winning row", "I6": "plans.phone_state.consent_history",
-    "X1": "streaming.change_stream.run_change_stream",
+    "I1": "operators.merge.upsert / RunTable.upsert / KeyedTable.merge", "I2": "RunTable.upsert (create)",
+    "I3": "operators.merge.diff / RunTable.changes (digests per key bucket first)", "I4": "RunTable.read(run), RunTable.runs, RunTable.history",
+    "I5": "_source_file carried in the winning row; plans.phone_state.column_lineage", "I6": "plans.phone_state.consent_history / consent_as_of / consent_validity",
+    "X1": "streaming.change_stream.run_change_stream / streaming.served.serve_changes",
 }
 
 
