@@ -84,7 +84,7 @@ def _survivors(spark: SparkSession, state_path: str) -> tuple[DataFrame, int | N
         *S.CHANGE_COLUMNS, F.lit(None).cast("string").alias("_source_file"), F.lit(None).cast("date").alias("_file_date"))
     batches = read_or_none(spark, f"{state_path}/{BATCHES}")
     marks = RunTable(spark, f"{state_path}/{MARKS}")
-    upto = marks.history().agg(F.max("run")).first()[0] if marks.exists() else None
+    upto = marks.last_run()
     if batches is None:
         return empty, upto
     applied = batches if upto is None else batches.where(F.col(BATCH_COL) > upto)
@@ -102,7 +102,7 @@ def compact(spark: SparkSession, state_path: str) -> int | None:
     or None when there is nothing new to fold."""
     survivors, newest = _survivors(spark, state_path)
     marks = RunTable(spark, f"{state_path}/{MARKS}")
-    if newest is None or (marks.exists() and marks.read(newest).take(1)):
+    if newest is None or newest in marks.runs():
         return None
     RunTable(spark, f"{state_path}/{COMPACTED}").write(survivors, newest)
     marks.write(spark.range(1).select(F.lit(newest).cast("long").alias("upto")), newest)
