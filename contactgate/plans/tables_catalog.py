@@ -379,14 +379,14 @@ def q_consent_validity(spark, sf):
 @register("stream_served_state", """
 SELECT * EXCLUDE (_source_file, _row_id) FROM sf_latest""", "X1 I1")
 def q_stream_served_state(spark, sf):
-    """Change deliveries merged by the stream into a served table, some of them once more;
+    """Change deliveries merged by the stream into a served table, those of two months once more;
     read as it stands."""
     from contactgate.streaming.served import serve_changes, served_changes
     L = Layers(spark, sf)
     root, table, ckpt = (_fresh(spark, x) for x in ("deliveries", "served", "stream-ckpt"))
     deliver(L.supplfwd, root, "MAINTENANCE", S.CHANGE_COLUMNS)
-    serve_changes(spark, root, table, ckpt, layout="directory", max_files_per_trigger=600, buckets=8)
-    again = L.supplfwd.where(F.col("_file_date") < F.lit(SPLIT_DATE).cast("date")).withColumn(
+    serve_changes(spark, root, table, ckpt, layout="directory", max_files_per_trigger=120, buckets=8)
+    again = L.supplfwd.where(F.col("_file_date") < F.lit("1998-03-01").cast("date")).withColumn(
         "_source_file", F.regexp_replace("_source_file", r"_000\.csv\.gz$", "_001.csv.gz"))
     deliver(again, root, "MAINTENANCE", S.CHANGE_COLUMNS)
     serve_changes(spark, root, table, ckpt, layout="directory", buckets=8)
