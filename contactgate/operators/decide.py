@@ -6,11 +6,12 @@ key.  If a key has several published rows (two legacy suffixes of one
 account), the most restrictive answer wins (``bool_and``), so the result never
 depends on row order.  Unknown keys are denied.
 
-Plan shape: the published side is reduced to a *written* decision table, one row
-per key.  Joined as a table, both sides of the join are plain shuffles, which is
-what AQE's skew-join handling needs to split a hot question key (an aggregate
-straight under the join would not be split); a table that Spark measures as
-small is broadcast instead.  :func:`decide` can also salt hot keys explicitly.
+Plan shape: the published side is reduced to one row per key and dealt again, so
+both sides of the join are plain shuffles, which is what AQE's skew-join handling
+needs to split a hot question key (an aggregate straight under the join would not be
+split); a side that Spark measures as small is broadcast instead.  Nothing runs
+while the plan is built.  :func:`decision_table` writes that side once for callers
+that ask the same published run often; :func:`decide` can also salt hot keys explicitly.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from contactgate.session import checkpoint_dir, fresh_path
 
 KEYS = ("account_number", "phone_number")
 MAX_BROADCAST_HOT_KEYS = 100_000    # longest list of hot keys that is broadcast
+ALL_PARTITIONS = 1 << 20            # more than any stage has
 
 
 def keyed_decisions(consent: DataFrame, keys: Sequence[str] = KEYS,
@@ -65,7 +67,7 @@ def decide(requests: DataFrame, consent: DataFrame, keys: Sequence[str] = KEYS,
     ``out`` (never NULL).
 
     ``decisions`` is a decision table to join (see :func:`decision_table`); by default
-    one is written first.  Skew: a hot request key is split at run time by AQE's skew
+    the decisions are computed within the query.  Skew: a hot request key is split at run time by AQE's skew
     join.  With ``hot_key_share`` the split is explicit: keys above that share of all
     requests (a list of at most ``1 / hot_key_share`` rows, broadcast if that is no
     more than ``MAX_BROADCAST_HOT_KEYS``) are salted -- their request rows are spread
@@ -73,8 +75,10 @@ def decide(requests: DataFrame, consent: DataFrame, keys: Sequence[str] = KEYS,
     single decision row is replicated to each bucket; all other keys join unsalted."""
     keys = list(keys)
     req = requests.withColumn(phone_col, normalize_phone_input(phone_col))
+    # coalesce to more partitions than there are moves nothing, but drops the aggregate's
+    # partitioning: the join then shuffles both sides, and AQE may split either
     decided = decisions if decisions is not None else \
-        decision_table(consent, keys=keys, allowed_sources=allowed_sources, out=out)
+        keyed_decisions(consent, keys, allowed_sources, out).coalesce(ALL_PARTITIONS)
     if hot_key_share is None:
         joined = req.join(decided, on=keys, how="left")
     else:

@@ -55,6 +55,21 @@ def test_bulk_decide_matches_single(spark, consent):
         assert out[i] is can_send_sms(spark, consent, ACCOUNTS[k], PHONES[k])
 
 
+def test_decide_runs_nothing_while_it_is_planned(spark, consent):
+    from pathlib import Path
+
+    from contactgate.operators.decide import decision_table
+    from contactgate.session import scratch_path
+    req = spark.createDataFrame([(ACCOUNTS[k], PHONES[k]) for k in PHONES], "account_number string, phone_number string")
+    folder = Path(scratch_path(spark, "contactgate").removeprefix("file:"))
+    before = set(folder.glob("decisions-*"))
+    planned = decide(req, consent)
+    assert set(folder.glob("decisions-*")) == before
+    written = decide(req, consent, decisions=decision_table(consent))
+    assert sorted(planned.collect()) == sorted(written.collect())
+    assert len(set(folder.glob("decisions-*")) - before) == 1
+
+
 def test_decide_is_most_restrictive_on_duplicate_keys(spark):
     c = spark.createDataFrame(
         [("1", "+12025550100", "CLIENT", None, False), ("1", "+12025550100", "OTHER", None, False)],
