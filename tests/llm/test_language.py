@@ -35,6 +35,23 @@ def test_long_text_counts_each_ngram_once(monkeypatch):
     assert cut == whole
 
 
+def test_a_batch_scores_as_its_texts_one_by_one(model, monkeypatch):
+    texts = [SAMPLES["en"] * 3, None, "le", SAMPLES["de"] * 30, "", "x", "12 34", SAMPLES["fr"], "\u00e9" * 500]
+    alone = [model.predict(t) for t in texts]
+    for slab in (7, 100, 1 << 20):
+        monkeypatch.setattr(language, "SLAB_CHARS", slab)
+        names, scores = model.predict_batch(texts)
+        assert names == [n for n, _ in alone]
+        assert scores.tolist() == pytest.approx([x for _, x in alone], abs=1e-6)
+    assert model.predict_batch([]) == ([], pytest.approx([]))
+
+
+def test_too_many_languages_are_refused(spark):
+    docs = spark.range(20).selectExpr("id AS doc_id", "'some text' AS text", "cast(id AS string) AS lang")
+    with pytest.raises(ValueError, match="more than 10 values"):
+        language.fit(docs, max_languages=10)
+
+
 def test_no_labels_and_empty_table(spark, model):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string")
     none = language.fit(empty)
