@@ -10,10 +10,10 @@ ended), which is how a small source reaches a target above its own size.
 
 Only DataFrame functions run here.  Two running sums are needed, one along each
 queue and one along the global order; neither is a single window: a queue is
-cut into buckets of its shuffled order, the global order into the range
-partitions of the sort, and a running sum over the per-bucket totals supplies
-each bucket's start.  With about sqrt(rows) buckets both the buckets and the
-list of totals stay near sqrt(rows), however large one source is.
+cut into range partitions of its shuffled order, the global order into those of the
+sort, and a running sum over the totals of the parts supplies each part's start.
+With a number of parts near sqrt(rows) both the parts and the list of totals stay
+near sqrt(rows), however large one source is and however many rows share an id.
 """
 
 from __future__ import annotations
@@ -76,31 +76,33 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
 
     ``copies`` (0 to ``max_repeats``) says how often the mix takes the document and
     ``taken = copies * size``.  The copy that would pass the total budget and all
-    later ones are left out.  The shuffled order is the md5 of the id, so reruns
-    agree.
+    later ones are left out.  The shuffled order is the md5 of the id, then a hash of
+    the text, so reruns agree.
 
     Null texts have size 0 and are never counted; null sources form a source of
     their own; a null id sorts as the empty string; rows that repeat an id are
-    separate documents (ordered among themselves by size and ``carried``, which leaves
-    equal ones interchangeable); an empty table gives no rows; other columns are
+    separate documents (ordered among themselves by a hash of the text, size and
+    ``carried``, which leaves equal ones interchangeable); an empty table gives no rows; other columns are
     not read.
     """
     kept = ["carried"] if carry else []
     key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     sized = materialized(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                                     word_count(text_col).alias("size"), key.alias("key"),
+                                     word_count(text_col).alias("size"), key.alias("key"), F.xxhash64(text_col).alias("tie"),
                                      *[F.struct(*[F.col(f"`{c}`") for c in carry]).alias(c) for c in kept]))
     rows = sized.count()
-    buckets = max(1, math.isqrt(rows))
-    bucket = (F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * buckets / F.lit(1 << 32)).cast("int")
     targets = materialized(source_targets(sized, weights, max_repeats))
 
-    # running words along each queue: inside a bucket, plus the buckets before it
-    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size", *kept)
-    queued = (sized.withColumn("bucket", bucket)
-              .select("*", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias("run"),
-                      F.row_number().over(inside).alias("rn")))
-    starts = (sized.withColumn("bucket", bucket).groupBy("source", "bucket").agg(F.sum("size").alias("total"))
+    # running words along each queue: inside a bucket, plus the buckets before it; rows that
+    # share an id are told apart by their texts, so they too are cut into buckets
+    along = ["key", "doc_id", "tie", "size", *kept]
+    buckets = max(1, math.isqrt(rows) // 8)
+    queues = materialized(sized.repartitionByRange(buckets, F.col("source").asc_nulls_last(), *along[:4])
+                          .withColumn("bucket", F.spark_partition_id()))
+    inside = Window.partitionBy("source", "bucket").orderBy(*along)
+    queued = queues.select("*", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias("run"),
+                           F.row_number().over(inside).alias("rn"))
+    starts = (queues.groupBy("source", "bucket").agg(F.sum("size").alias("total"))
               .select("source", "bucket",
                       F.coalesce(F.sum("total").over(
                           Window.partitionBy("source").orderBy("bucket")
@@ -109,16 +111,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     q, s = queued.alias("q"), starts.alias("s")
     served = materialized(
         q.join(s, F.col("q.source").eqNullSafe(F.col("s.source")) & (F.col("q.bucket") == F.col("s.bucket")))
-        .select("q.doc_id", "q.source", "q.bucket", "q.rn", "q.size", "q.key", "s.source_size", "s.target",
+        .select("q.doc_id", "q.source", "q.bucket", "q.rn", "q.size", "q.key", "q.tie", "s.source_size", "s.target",
                 (F.col("s.start") + F.col("q.run")).alias("run"), *[f"q.{c}" for c in kept]))
 
     # every copy with its finish time, sorted over the corpus
     turns = (served.where("size > 0")
-             .select("doc_id", "source", "bucket", "rn", "size", "key",
+             .select("doc_id", "source", "bucket", "rn", "size", "key", "tie",
                      F.explode(F.transform(
                          F.sequence(F.lit(0), F.lit(max_repeats - 1)),
                          lambda e: (F.col("run") + e * F.col("source_size")) / F.col("target"))).alias("finish")))
-    order = ["finish", F.col("source").asc_nulls_last(), "key", "doc_id", "rn"]
+    order = ["finish", F.col("source").asc_nulls_last(), "key", "doc_id", "tie", "bucket", "rn"]
     parts = max(1, math.isqrt(rows * max_repeats) // 8)
     ranged = materialized(turns.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()))
     part_starts = (ranged.groupBy("part").agg(F.sum("size").alias("total"))

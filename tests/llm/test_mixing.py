@@ -49,6 +49,29 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     assert (none.taken == 0).all() and (none.target == 0).all()
 
 
+def test_many_rows_without_an_id_are_cut_into_parts(spark, monkeypatch):
+    """A third of the rows has no id: no part of a queue holds over five times the median,
+    and the mix is as by one running sum."""
+    rows = [(None if i % 3 == 0 else i, "w " * (1 + i % 7) + str(i), f"s{i % 2}", "x") for i in range(20_000)]
+    seen = []
+    keep = mixing.materialized
+
+    def watched(df):
+        out = keep(df)
+        if "bucket" in out.columns and "rn" not in out.columns:
+            seen.append(out.groupBy("source", "bucket").count().toPandas()["count"])
+        return out
+
+    monkeypatch.setattr(mixing, "materialized", watched)
+    got = mixing.mix(spark.createDataFrame(rows, SCHEMA)).toPandas()
+    assert len(seen) == 1 and seen[0].max() <= 5 * seen[0].median()
+    assert len(got) == len(rows) and (got.copies <= 3).all()
+    taken = got.groupby("source").taken.sum()
+    target = got.groupby("source").target.first()
+    assert ((taken - target).abs() <= 10).all()
+    assert got.taken.sum() <= got["size"].sum() < got.taken.sum() + 10
+
+
 @pytest.mark.parametrize("sf", ["/root/testdata/sf0.001"])
 def test_query(spark, sf):
     from compare import compare, duck
