@@ -4,12 +4,12 @@ The fingerprint of a text has bit i set if over half of its shingles' 64-bit
 hashes have it set.  Fingerprints within ``max_bits`` differing bits are linked
 without comparing all pairs, in three steps.
 
-1. Cells, by blocks (pigeonhole).  The block pivots are zero outside their
-   block, so such a pivot's distance minus the distance to the zero pivot
-   depends on that block's bits alone; the block's single bits are among them, so
-   its coordinates amount to its bits.  A pair within ``max_bits`` leaves all but
-   ``max_bits`` blocks unchanged and meets in a cell keyed by the coordinates of
-   ``blocks - max_bits`` blocks (one cell per choice of blocks).
+1. Cells, by blocks (pigeonhole).  The block pivots are single bits, so such a pivot's
+   distance minus the distance to the zero pivot tells one bit.  A pair within
+   ``max_bits`` leaves all but ``max_bits`` blocks unchanged and meets in a cell keyed by
+   the coordinates of ``blocks - max_bits`` blocks (one cell per choice of blocks).
+   With 5 blocks and 2 bits that is 10 cells, each leaving 24 to 26 bits free: wide
+   cells, in which the tables of step 2 have to tell the pairs apart.
 2. Pivot tables.  Inside a cell the distances of every fingerprint to many random
    64-bit references are tabulated.  The cell is sorted by the distance to the first
    reference, and a row is paired only with rows at most ``max_bits`` further along;
@@ -17,10 +17,12 @@ without comparing all pairs, in three steps.
    (triangle inequality).
 3. Survivors are verified bit by bit.  No pair is lost.
 
-Equal fingerprints are collapsed before any of this.  With 8 blocks of 8 bits
-and 2 bits a cell leaves 16 bits free, so it holds at most 65,536 fingerprints
-whatever the size of a group of copies (cells with equal coordinates but different
-bits only add candidates); it emits a spanning forest of its links.
+Equal fingerprints are collapsed before any of this.  A cell of more than ``split_rows``
+fingerprints is cut again by the same principle: its free blocks are halved, a pair
+leaves all but ``max_bits`` of the halves unchanged, and each choice of halves is a
+cell of its own (6 with 2 bits).  That leaves at most 14 bits free, so no cell holds more
+than the greater of ``split_rows`` and 16,384 fingerprints, whatever the size of a
+group of near copies.  A cell emits a spanning forest of its links.
 """
 
 from __future__ import annotations
@@ -41,9 +43,11 @@ from .common import components, materialized, ship
 SHINGLE_WORDS = 3
 MAX_BITS = 2
 SEED = 42
-BLOCKS = 8
-PIVOTS_PER_BLOCK = 8
+BLOCKS = 5
 REFERENCES = 64             # random fingerprints whose distances are tabulated
+FIRST_REFERENCES = 8        # those looked at before the rest
+SPLIT_ROWS = 1024           # fingerprints of a cell beyond which it is cut again
+BROADCAST_CELLS = 10_000    # cells to cut, a number each
 PAIR_CHUNK = 1 << 18        # candidate pairs checked at a time
 SLAB_SHINGLES = 1 << 17     # shingles hashed at a time
 
@@ -80,18 +84,24 @@ def fingerprints(docs: DataFrame, text_col: str = "text", words: int = SHINGLE_W
     return docs.withColumn(out, fp(F.col(text_col)))
 
 
-def pivots(blocks: int = BLOCKS, per_block: int = PIVOTS_PER_BLOCK) -> list[list[int]]:
-    """Block pivots: for each block, masks within it (fixed by a seed).
+def ranges(blocks: int = BLOCKS) -> list[tuple[int, int]]:
+    """First bit and end of each block."""
+    edges = [64 * b // blocks for b in range(blocks + 1)]
+    return list(zip(edges, edges[1:]))
 
-    The first are the block's single bits, which alone tell all values of the
-    block apart; the rest, if any, are random."""
-    width, rng = 64 // blocks, np.random.default_rng(7)
-    made = []
-    for b in range(blocks):
-        masks = [1 << i for i in range(min(width, per_block))]
-        masks += [int(rng.integers(1, 1 << width)) for _ in range(per_block - len(masks))]
-        made.append([m << (b * width) for m in masks])
-    return made
+
+def pivots(blocks: int = BLOCKS) -> list[list[int]]:
+    """Block pivots: the single bits of each block, which tell all its values apart."""
+    return [[1 << i for i in range(low, high)] for low, high in ranges(blocks)]
+
+
+def halves(blocks: int, gone: tuple[int, ...]) -> list[int]:
+    """For each choice of as many halves of the blocks ``gone`` as there are blocks in it,
+    the mask of their other halves."""
+    parts = [part for low, high in (ranges(blocks)[b] for b in gone)
+             for part in ((low, (low + high) // 2), ((low + high) // 2, high))]
+    masks = [(1 << high) - (1 << low) for low, high in parts]
+    return [sum(masks) - sum(out) for out in combinations(masks, len(gone))]
 
 
 def references(n: int = REFERENCES) -> np.ndarray:
@@ -111,7 +121,7 @@ def _signed(x: int) -> int:
 def _coordinates(fp: Column, block: list[int]) -> Column:
     """One long per block: its pivots' distances relative to the zero pivot."""
     base = F.bit_count(fp)
-    return reduce(lambda acc, p: acc * 9 + (F.bit_count(fp.bitwiseXOR(F.lit(_signed(p)))) - base + 4).cast("long"),
+    return reduce(lambda acc, p: acc * 3 + (F.bit_count(fp.bitwiseXOR(F.lit(_signed(p)))) - base + 1).cast("long"),
                   block, F.lit(0).cast("long"))
 
 
@@ -122,6 +132,7 @@ def _pair_links(fps: np.ndarray, group: np.ndarray, table: np.ndarray, max_bits:
     ends = np.searchsorted(along, along + max_bits, "right")
     counts = ends - np.arange(len(group)) - 1       # later rows of the same cell, no further along than that
     left, right = [], []
+    tables = [np.ascontiguousarray(t) for t in np.split(table, [FIRST_REFERENCES], axis=1)]
     stop = np.cumsum(counts)
     at = 0
     while at < len(fps):
@@ -129,8 +140,9 @@ def _pair_links(fps: np.ndarray, group: np.ndarray, table: np.ndarray, max_bits:
         own = counts[at:upto]
         i = np.repeat(np.arange(at, upto), own)
         j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(own) - own, own)
-        near = np.abs(table[i] - table[j]).max(axis=1) <= max_bits if len(i) else np.zeros(0, bool)
-        i, j = i[near], j[near]
+        for some in tables:
+            near = np.abs(some[i] - some[j]).max(axis=1, initial=0) <= max_bits
+            i, j = i[near], j[near]
         near = np.bitwise_count(fps[i] ^ fps[j]) <= max_bits
         left.append(i[near])
         right.append(j[near])
@@ -153,17 +165,27 @@ def forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return label
 
 
-def links(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS,
-          per_block: int = PIVOTS_PER_BLOCK) -> DataFrame:
+def links(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS, split_rows: int = SPLIT_ROWS) -> DataFrame:
     """Edges ``(u, v)`` that connect the distinct fingerprints of column ``fp``
     exactly as all pairs within ``max_bits`` do (a spanning forest per cell)."""
     ship(fps.sparkSession)
     signatures = fps.select("fp", *[
-        _coordinates(F.col("fp"), b).alias(f"c{i}") for i, b in enumerate(pivots(blocks, per_block))])
+        _coordinates(F.col("fp"), b).alias(f"c{i}") for i, b in enumerate(pivots(blocks))])
     refs = references()
+    choices = list(combinations(range(blocks), max_bits))
     keys = [F.xxhash64(F.lit(k), *[F.col(f"c{i}") for i in range(blocks) if i not in gone])
-            for k, gone in enumerate(combinations(range(blocks), max_bits))]
-    cells = signatures.select("fp", F.explode(F.array(*keys)).alias("cell"))
+            for k, gone in enumerate(choices)]
+    cells = signatures.select("fp", F.posexplode(F.array(*keys)).alias("choice", "cell"))
+    # cells to cut again: at most cells' rows / split_rows; broadcast only if counted to be few
+    wide = materialized(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"))
+                        .where(F.col("rows") > split_rows).select("cell", F.lit(True).alias("wide")))
+    n = wide.limit(BROADCAST_CELLS + 1).count()
+    if n:
+        kept = F.array(*[F.array(*[F.lit(_signed(m)) for m in halves(blocks, gone)]) for gone in choices])
+        again = F.transform(F.element_at(kept, F.col("choice") + 1),
+                            lambda m: F.xxhash64("cell", m, F.col("fp").bitwiseAND(m)))
+        cells = (cells.join(F.broadcast(wide) if n <= BROADCAST_CELLS else wide, "cell", "left")
+                 .select("fp", F.explode(F.when(F.col("wide"), again).otherwise(F.array("cell"))).alias("cell")))
 
     def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = pd.DataFrame({"cell": np.zeros(0, np.int64), "fp": np.zeros(0, np.int64)})

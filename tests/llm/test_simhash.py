@@ -95,3 +95,43 @@ def test_only_rows_near_along_the_first_reference_are_paired(monkeypatch):
     left, right = simhash._pair_links(fps, np.zeros(len(fps), np.int64), simhash.distances(fps, refs), 2)
     assert len(left) == len(fps) * (12 + 66) // 2 and (np.bitwise_count(fps[left] ^ fps[right]) <= 2).all()
     assert sum(made) // 2 < 0.8 * len(fps) * (len(fps) - 1) // 2
+
+
+def test_blocks_and_halves_cover_all_bits():
+    for blocks in (3, 5, 8):
+        assert sorted(p for block in simhash.pivots(blocks) for p in block) == [1 << i for i in range(64)]
+    for gone in ((0, 1), (1, 4), (2, 3)):
+        free = sum(p for b in gone for p in simhash.pivots()[b])
+        kept = simhash.halves(simhash.BLOCKS, gone)
+        assert len(set(kept)) == 6
+        assert all(m & ~free == 0 and (free ^ m).bit_count() <= 14 for m in kept)
+        bits = [1 << i for i in range(64) if free >> i & 1]
+        for a in bits:          # whichever two free bits differ, some choice of halves ignores both
+            assert all(any(not m & (a | b) for m in kept) for b in bits)
+
+
+def test_split_cells_lose_nothing(spark):
+    rng = random.Random(9)
+    base = rng.getrandbits(64)
+    fps = {base ^ sum(1 << b for b in rng.sample(range(26), rng.randrange(6))) for _ in range(700)}
+    fps |= {base ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(5))) for _ in range(300)}
+    fps |= {rng.getrandbits(64) for _ in range(50)}
+    fps = sorted(fps)
+    signed = [simhash._signed(f) for f in fps]
+    place = {f: i for i, f in enumerate(signed)}
+    want = brute.components(len(fps), brute.near(fps))
+    df = spark.createDataFrame([(f,) for f in signed], "fp long")
+    for split_rows in (1, 40):
+        got = simhash.links(df, split_rows=split_rows).collect()
+        assert all(((r["u"] ^ r["v"]) & (2 ** 64 - 1)).bit_count() <= 64 for r in got)
+        assert brute.components(len(fps), [(place[r["u"]], place[r["v"]]) for r in got]) == want
+
+
+def test_references_decide_in_a_wide_cell():
+    rng = np.random.default_rng(4)
+    fps = np.unique(rng.integers(0, 1 << 26, 1000, np.uint64))       # two of five blocks are free
+    table = simhash.distances(fps, simhash.references())
+    i, j = np.triu_indices(len(fps), 1)
+    far = np.bitwise_count(fps[i] ^ fps[j]) > simhash.MAX_BITS
+    left = np.abs(table[i] - table[j]).max(axis=1) <= simhash.MAX_BITS
+    assert far.mean() > 0.99 and left[far].mean() < 1e-4 and left[~far].all()
