@@ -29,14 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ship
+from .common import give_back, ship
 
 BUCKETS = (4, 8, 12, 16, 24, 32, 64, 128)   # row widths in bytes; longer pieces use the heap
-MATRIX_CELLS = 1 << 20                      # cells of one matrix
-SLAB_PIECES = 200_000                       # pieces held at a time
+MATRIX_CELLS = 1 << 18                      # cells of one matrix
+SLAB_PIECES = 50_000                        # pieces held at a time
 CACHE_PIECES = 200_000                      # distinct pieces remembered by a task
 SLICE_BYTES = 2 << 20                       # input bytes whose results are held at a time, unless one row has more
-GATHERED = 1 << 20                          # elements gathered at a time
+GATHERED = 1 << 18                          # elements gathered at a time
 NONE = np.iinfo(np.int32).max
 HASH = np.uint64(0x9E3779B97F4A7C15)
 
@@ -333,6 +333,8 @@ def _added(docs: DataFrame, made: dict[str, T.DataType], sizes, step, without: t
             for at, n in _slices(sizes(batch)):
                 rows = batch.slice(at, n)
                 yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in kept], *work(rows)], names=[*kept, *made])
+        work = batch = rows = None
+        give_back()
 
     return docs.mapInArrow(run, schema)
 

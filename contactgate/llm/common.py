@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,17 @@ def ship(spark: SparkSession) -> None:
     sc._contactgate_shipped = True
 
 
+def give_back() -> None:
+    """Return the memory that this Python worker has freed to the system.
+
+    Spark keeps a worker for later tasks, of other stages too, and all that it holds counts
+    against its executor; the allocators keep what was freed unless they are asked."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def materialized(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared checkpoint folder (eager
     ``checkpoint()``): later uses neither recompute it nor depend on the

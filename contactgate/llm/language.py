@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HASH_RANGE, hash_part, ship
+from .common import HASH_RANGE, give_back, hash_part, ship
 
 UNKNOWN = "und"
 ORDERS = 3
@@ -201,6 +201,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text",
             names, scores = shared.value.predict_batch(batch.to_pylist())
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                              names=["lang", "score"])
+        give_back()
 
     other = [F.col(f"`{c}`") for c in docs.columns if c not in (lang_out, score_out)]
     made = docs.select(*other, predict(F.col(text_col)).alias("__language"))

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialized, ship
+from .common import components, give_back, materialized, ship
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -80,6 +80,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text", words: int = SHINGLE_W
     def fp(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield pa.array([fingerprint(t.as_py(), words) for t in batch], pa.int64())
+        give_back()
 
     return docs.withColumn(out, fp(F.col(text_col)))
 
@@ -214,6 +215,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS, split_
             rest = rows.iloc[split:]
         if len(rest):
             yield cut(rest)
+        give_back()
 
     # repartition keeps a cell in one task, the sort puts its rows together
     return (cells.select("cell", "fp").repartition("cell").sortWithinPartitions("cell", "fp")

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import ship, union
+from .common import give_back, ship, union
 
 LENGTH = 100
 GRAM = 36
@@ -585,11 +585,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def noted(notes: DataFrame, step, schema) -> DataFrame:
         return blocks.groupBy("block").cogroup(notes.groupBy("block")).applyInArrow(step, schema)
 
+    def last(t: pa.Table, m: pa.Table) -> pa.Table:
+        made = _removed(t, m, length, whole_characters) if len(t) else nothing
+        give_back()     # here alone: the steps before run in the same workers
+        return made
+
     keys = blocks.groupBy("block").applyInArrow(lambda t: _keys(t, length, n), _COUNT_DDL)
     repeated = keys.groupBy("bucket").applyInArrow(lambda t: _repeated(t, REPEATED, hot), _NOTE_DDL)
     windows = noted(repeated, lambda t, m: _windows(t, m, length, n), _COUNT_DDL)
     notes = union(repeated, windows.groupBy("bucket").applyInArrow(lambda t: _repeated(t, WINDOW, None), _NOTE_DDL))
     pieces = noted(notes, lambda t, m: _pieces(t, m, length, n), _PIECE_DDL)
     classes = pieces.groupBy("bucket").applyInArrow(lambda t: _classes(t, length), _NOTE_DDL)
-    return noted(union(notes, classes),
-                 lambda t, m: _removed(t, m, length, whole_characters) if len(t) else nothing, result)
+    return noted(union(notes, classes), last, result)
