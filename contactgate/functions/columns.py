@@ -55,8 +55,10 @@ def parse_date(col: str | Column, fmt: str = DATE_FORMAT) -> Column:
 
 def file_date_from_name(name: str | Column, pattern: str = FILE_DATE_PATTERN,
                         fmt: str = FILE_DATE_FORMAT) -> Column:
-    """Delivery date encoded in a file name (``…-20190101000000863-…``)."""
-    return parse_date(F.regexp_extract(_c(name), pattern, 1), fmt)
+    """Delivery date encoded in a file name (``…-20190101000000863-…``).  A name without a
+    stamp has none; it is not parsed, as a failing parse costs far more than a good one."""
+    stamp = F.regexp_extract(_c(name), pattern, 1)
+    return F.when(stamp != "", parse_date(stamp, fmt))
 
 
 def account_from_legacy(legacy: str | Column) -> Column:
