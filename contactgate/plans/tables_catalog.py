@@ -17,7 +17,7 @@ from contactgate.plans.oracle import SPLIT_DATE
 from contactgate.session import fresh_path as _fresh
 from contactgate.sources import schemas as S
 from contactgate.sources.delivery import (
-    DELIVERY_DIR, deliver, good_rows, ingest_change, ingest_enrollment, ingest_lines, ingest_snapshot, reject_share_check, rejects,
+    DELIVERY_DIR, deliver, delivery_stem, good_rows, ingest_change, ingest_enrollment, ingest_lines, ingest_snapshot, reject_share_check, rejects,
 )
 from contactgate.sources.tables import DeliveryTable, KeyedTable, RunTable
 
@@ -66,7 +66,7 @@ def _damaged_lines(spark, sf):
     line = (F.when(number == 0, joined(S.CHANGE_COLUMNS[:10]))
             .when(number == 1, F.concat(joined(S.CHANGE_COLUMNS), F.lit("|one|more"))).otherwise(joined(S.CHANGE_COLUMNS)))
     root = _fresh(spark, "damaged")
-    stem = F.regexp_extract("_source_file", r"([^/]+)\.csv\.gz$", 1)
+    stem = delivery_stem("_source_file")
     # one column of whole lines, named by the header
     (feed.select(line.alias("|".join(S.CHANGE_COLUMNS)), stem.alias(DELIVERY_DIR)).sortWithinPartitions(DELIVERY_DIR)
      .write.partitionBy(DELIVERY_DIR).option("sep", "\x01").option("header", "true").option("compression", "gzip")
@@ -124,7 +124,8 @@ def q_lineage_columns(spark, sf):
     for f in frames:
         part = f.select("_source_file", "_file_date")
         files = part if files is None else files.unionByName(part)
-    delivery = F.regexp_extract("_source_file", r"delivery=([^/]+)/[^/]+$", 1)
+    parent = F.substring_index(F.substring_index("_source_file", "/", -2), "/", 1)      # delivery=<name>
+    delivery = F.substring_index(parent, f"{DELIVERY_DIR}=", -1)
     return files.groupBy(delivery.alias("delivery")).agg(
         F.count(F.lit(1)).alias("row_count"), F.min("_file_date").alias("file_date"))
 
