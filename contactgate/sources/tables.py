@@ -176,6 +176,10 @@ class KeyedTable:
             raise FileNotFoundError(f"nothing written to {self.path}")
         return found.drop(self.bucket_col)
 
+    def last_run(self) -> int | None:
+        """The run merged last, None before the first."""
+        return self._merged.last_run()
+
     def rows_of(self, buckets: Sequence[int]) -> DataFrame | None:
         """Rows of some buckets (only their folders are scanned); None before the first merge."""
         found = self._found()
@@ -241,9 +245,12 @@ class DeliveryTable:
         """Name of the delivery: the last part of its path and a hash of the whole of it.
         Rows that name no file cannot be told apart from other deliveries and are refused."""
         file = F.col(source_file)
-        folder = F.regexp_extract(file, r"^(.*delivery=[^/]+)/", 1)
+        # the pattern is searched only where it can be found: a search costs a row more than the rest
+        folder = F.when(file.contains("delivery="), F.regexp_extract(file, r"^(.*delivery=[^/]+)/", 1)).otherwise("")
         whole = F.when(folder != "", folder).otherwise(file)
-        last = F.regexp_extract(whole, r"(?:delivery=)?([^/]+)$", 1)
+        part = F.substring_index(whole, "/", -1)
+        last = F.when(part.startswith("delivery=") & (part != "delivery="),
+                      F.substring(part, F.lit(len("delivery=") + 1), F.length(part))).otherwise(part)
         return F.when(file.isNull(), F.raise_error(F.lit(f"a delivered row has no {source_file}"))).otherwise(
             F.concat_ws("-", last, F.lower(F.hex(F.xxhash64(whole)))))
 
