@@ -49,7 +49,7 @@ from .common import give_back, ship, union
 LENGTH = 100
 GRAM = 36
 BLOCK_BYTES = 4 << 20
-SLAB = 1 << 20              # window starts hashed at a time
+SLAB = 1 << 17              # window starts hashed at a time
 RUN = 4096                  # windows of one piece at most
 CHUNK = 1 << 18             # symbols of one suffix array, unless one key has more
 HOT = 8192                  # pieces of a key beyond which its windows are counted
@@ -64,38 +64,41 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-_BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * _ODD[0])
-
-
 def hashes(data: np.ndarray, n: int) -> np.ndarray:
-    """64-bit hash of the ``n`` bytes from every position (by doubling)."""
-    power, size, at = _BYTE[data], 1, 0
-    parts: list[tuple[int, np.ndarray]] = []
-    rest = n
-    while rest:
-        if rest & 1:
-            parts.append((size, power))
-        rest >>= 1
-        if rest:
-            power = power[:-size] * _ODD[0] + power[size:] if len(power) > size else power[:0]
-            # a different odd factor per level keeps aligned swaps apart
-            power = power * _ODD[1] + np.uint64(size)
-            size *= 2
+    """64-bit hash of the ``n`` bytes from every position, made of its words of eight
+    bytes, the last one ending with it (``n`` is eight at least)."""
     count = max(0, len(data) - n + 1)
-    total = np.zeros(count, np.uint64)
-    for size, power in reversed(parts):
-        total = total * _ODD[2] + power[at: at + count]
-        at += size
+    if not count:
+        return np.zeros(0, np.uint64)
+    word = np.ndarray(len(data) - 7, "<u8", np.ascontiguousarray(data), strides=(1,)) * _ODD[0]
+    word ^= word >> np.uint64(32)
+    total = word[:count] * _ODD[1]
+    for at in (*range(8, n - 8, 8), n - 8):
+        total += word[at: at + count]
+        total *= _ODD[2]
     return _mix(total)
 
 
-def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
-    """Minimum of every ``n`` consecutive values."""
+def sliding(pick: np.ufunc, x: np.ndarray, n: int) -> np.ndarray:
+    """Minimum (or maximum, by ``pick``) of every ``n`` consecutive values."""
     size = 1
     while size * 2 <= n:
-        x = np.minimum(x[:-size], x[size:])
+        x = pick(x[:-size], x[size:])
         size *= 2
-    return np.minimum(x[: len(x) - (n - size)], x[n - size:]) if n > size else x
+    return pick(x[: len(x) - (n - size)], x[n - size:]) if n > size else x
+
+
+def _by(group: np.ndarray, value: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Both arrays in the order of group, then value; values are 0 to ``most``.  Sorting
+    pairs packed into one number is faster than sorting places."""
+    bits = most.bit_length()
+    if len(group) and int(group.max()).bit_length() + bits > 63:
+        order = np.lexsort((value, group))
+        return group[order], value[order]
+    pair = group << bits
+    pair |= value
+    pair.sort()
+    return pair >> bits, pair & ((1 << bits) - 1)
 
 
 class Texts:
@@ -134,7 +137,7 @@ class Texts:
         for at in range(0, max(0, total), SLAB):
             count = min(SLAB, total - at)
             gram = hashes(self.data[at: at + count + length - 1], GRAM)
-            key = sliding_min(gram, width)[:count]
+            key = sliding(np.minimum, gram, width)
             inside, edge = np.ones(count, bool), np.ones(count, bool)
             edge[1:] = key[1:] != key[:-1]
             doc = int(np.searchsorted(ends, at, "right"))
@@ -153,14 +156,20 @@ class Texts:
                 n = -(-size // RUN)
                 nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 first, size = np.repeat(first, n) + nth * RUN, np.minimum(np.repeat(size, n) - nth * RUN, RUN)
+            # only grams that are some window's smallest, at two places of the slab, can be so in a piece
+            around = np.zeros(count + 2 * (width - 1), np.uint64)
+            around[width - 1: width - 1 + count] = key
+            chosen = np.sort(gram[gram == sliding(np.maximum, around, width)])
+            maybe = np.flatnonzero(_member(key[first], chosen[1:][chosen[1:] == chosen[:-1]]))
             step = np.arange(width)
             twice = np.zeros(len(first), bool)
-            for a in range(0, len(first), 1 << 15):
-                f, z = first[a: a + (1 << 15)], size[a: a + (1 << 15)]
+            for a in range(0, len(maybe), 1 << 13):
+                own = maybe[a: a + (1 << 13)]
+                f, z = first[own], size[own]
                 k = key[f][:, None]
                 head = f + (gram[f[:, None] + step] == k).argmax(axis=1)
                 tail = f + z - 1 + width - 1 - (gram[(f + z - 1)[:, None] + step[::-1]] == k).argmax(axis=1)
-                twice[a: a + (1 << 15)] = tail > head
+                twice[own] = tail > head
             keys.append(key[first])
             starts.append(first + at)
             sizes.append(size)
@@ -351,27 +360,35 @@ def suffix_array(text: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
     at least.  ``text`` holds symbols, 0 at the end of each piece; ``left`` is the
     number of symbols before the piece's end.  Ends differ from each other;
     suffixes equal up to an end or to that depth are in any order."""
-    n, size = len(text), 7
+    n = len(text)
+    code = np.bincount(text, minlength=1) > 0
+    code[0] = True
+    code = (np.cumsum(code) - 1)[text]          # symbols numbered without gaps, few bits each
+    bits = max(1, int(code.max()).bit_length())
+    size = max(1, (63 - n.bit_length()) // bits)
     key = np.zeros(n, np.int64)
-    alive = np.ones(n, bool)
-    for k in range(size):           # pack symbols, zeros from the piece's end on
-        alive[: n - k] &= left[: n - k] >= k
-        alive[n - k:] = False
-        key <<= 9
-        key[: n - k][alive[: n - k]] |= text[k:][alive[: n - k]]
-    order = np.argsort(key)
+    for k in range(size):           # what follows an end makes no difference: no two ends are alike
+        key <<= bits
+        key[: max(0, n - k)] |= code[k:]
+    own, order = _by(key, np.arange(n), n)
+    rank = np.empty(n, np.int64)
+    rows = np.arange(n)             # rows whose suffixes are still to be ordered
     while True:
-        own = key[order]
-        new = np.ones(n, bool)
         # a suffix that meets its piece's end within the depth is unlike all others
-        new[1:] = (own[1:] != own[:-1]) | (left[order][1:] < size) | (left[order][:-1] < size)
-        if size >= depth or new.all():
+        suffix = order[rows]
+        short = left[suffix] < size
+        new = np.ones(len(rows) + 1, bool)
+        new[1:-1] = (own[1:] != own[:-1]) | short[1:] | short[:-1]
+        rank[suffix] = np.maximum.accumulate(np.where(new[:-1], rows, 0))
+        if size >= depth:
+            return order
+        alike = ~(new[:-1] & new[1:])
+        rows, suffix = rows[alike], suffix[alike]
+        if not len(rows):
             return order
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new)
-        key = rank * (n + 1)
-        key[: n - size] += rank[size:]
-        order = np.argsort(key)
+        # all of them have more than ``size`` symbols left
+        own, at = _by(rank[suffix] * (n + 1) + rank[suffix + size], np.arange(len(rows)), n)
+        order[rows] = suffix[at]
         size *= 2
 
 
@@ -416,11 +433,10 @@ def boundaries(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
             keep = c != 0
             row, group = row[keep], group[keep]
             if len(row):
-                by = np.argsort(group)
-                group, to = group[by], back[row[by]]
-                at = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-                lows.append(np.minimum.reduceat(to, at))
-                highs.append(np.maximum.reduceat(to, at) + 1)
+                group, to = _by(group, back[row], n)
+                last = np.flatnonzero(np.append(group[1:] != group[:-1], True))
+                lows.append(to[np.append(0, last[:-1] + 1)])
+                highs.append(to[last] + 1)
         low, high = np.concatenate(lows), np.concatenate(highs)
         fresh = ~bound[high]
         low, high = low[fresh], high[fresh]
@@ -440,10 +456,14 @@ def repeats(data: np.ndarray, sizes: np.ndarray, ids: np.ndarray, places: np.nda
     left = np.repeat(begin + spans, spans + 1) - np.arange(len(text))
     order = suffix_array(text, left, length)
     bound = boundaries(text, order, length)
-    # rows of windows, grouped by class
+    # rows of windows, grouped by class; a class of one window has no later one
     group = np.cumsum(bound)
     window = left[order] >= length
     rows, group = order[window], group[window]
+    new = np.ones(len(rows) + 1, bool)
+    new[1:-1] = group[1:] != group[:-1]
+    shared = ~(new[:-1] & new[1:])
+    rows, group = rows[shared], group[shared]
     piece = np.searchsorted(begin, rows, "right") - 1
     offset = rows - begin[piece]
     by = np.lexsort((places[piece] + offset, ids[piece], group))

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import brute
 import numpy as np
@@ -63,6 +64,56 @@ def test_boundaries_are_common_prefixes():
             assert bound[r] == (not same)
 
 
+def _texts(raw):
+    texts = suffix.Texts.__new__(suffix.Texts)
+    texts.data, texts.offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(r) for r in raw])
+    return texts
+
+
+def test_pieces_with_their_gram_at_two_places():
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 60)))
+    texts = _texts([(w * 9 + word() + w[:50] + v + w).encode() for w, v in ((word(), word()) for _ in range(300))])
+    keys, starts, sizes, doubled = texts.runs(100)
+    grams = suffix.hashes(texts.data, suffix.GRAM)
+    width = 100 - suffix.GRAM + 1
+    assert [bool(d) for d in doubled] == [int((grams[a: a + n + width - 1] == k).sum()) > 1
+                                          for k, a, n in zip(keys, starts.tolist(), sizes.tolist())]
+    assert doubled.any() and not doubled.all()
+    assert all(k == grams[a: a + width].min() for k, a in zip(keys, starts.tolist()))
+
+
+def test_hashes_tell_bytes_apart():
+    text = np.frombuffer(random.Random(1).randbytes(3000) * 2, np.uint8)
+    for n in (8, 9, 36, 100):
+        found = suffix.hashes(text, n)
+        assert len(found) == 6001 - n and (found[:3001 - n] == found[3000:]).all() and len(np.unique(found)) == 3000
+        changed = text.copy()
+        for at in range(200, 200 + n):
+            changed[at] ^= 1
+            assert suffix.hashes(changed, n)[200] != found[200]
+            changed[at] ^= 1
+    assert len(suffix.hashes(text[:35], 36)) == 0
+
+
+def test_a_block_is_cut_with_little_memory_and_few_sorted_suffixes(monkeypatch):
+    rng = random.Random(5)
+    texts = _texts(["".join(rng.choices("abcdefghij ", k=2000)).encode() for _ in range(1000)])
+    tracemalloc.start()
+    texts.runs(100)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 24 << 20      # beside the 2 MB of text
+    # suffixes that differ early, or end early, leave the sort
+    asked, by = [], suffix._by
+    monkeypatch.setattr(suffix, "_by", lambda group, value, most: asked.append(len(group)) or by(group, value, most))
+    text = np.concatenate([np.append(row, 0) for row in np.random.default_rng(0).integers(1, 12, (200, 150))])
+    text[:150] = text[151:301]
+    left = np.tile(np.arange(150, -1, -1), 200)
+    suffix.suffix_array(text, left, 100)
+    assert len(text) <= sum(asked) < 1.5 * len(text)
+
+
 def test_repeated_and_null_ids(spark):
     rng = random.Random(4)
     long = "".join(rng.choice("abcdefghij") for _ in range(300))
