@@ -101,18 +101,14 @@ class Appender:
         return self.open[levels][0][0]
 
 
-def _levels(total: int) -> int:
-    """Levels of a block of a tree with so many nodes."""
-    return min(LEVELS, depth(total))
-
-
-def _block_roots(digests: pa.Array, totals: pa.Array) -> pa.Array:
+def _block_roots(digests: pa.Array, totals: pa.Array, levels: int) -> pa.Array:
+    """Root of each block; a block has ``levels`` levels, or all of a smaller tree."""
     roots = []
     for nodes, total in zip(digests, totals):
         tree = Appender(witnesses=False)
         for node in nodes.as_py():
             tree.append(node)
-        roots.append(tree.finish(_levels(total.as_py())))
+        roots.append(tree.finish(min(levels, depth(total.as_py()))))
     return pa.array(roots, pa.string())
 
 
@@ -143,11 +139,16 @@ def _blocks(nodes: DataFrame) -> DataFrame:
     """One row per block: ``group, block, total, nodes, root``; ``nodes`` has ``group,
     position, total, node``, the node a struct with its ``digest``."""
     ship(nodes.sparkSession)
+    levels = LEVELS     # as set here: the workers import the module for themselves
+
+    def roots(digests: pa.Array, totals: pa.Array) -> pa.Array:
+        return _block_roots(digests, totals, levels)
+
     gathered = (nodes.groupBy("group", F.floor(F.col("position") / SPAN).cast("long").alias("block"))
                 .agg(F.max("total").alias("total"), F.collect_list(F.struct("position", "node")).alias("nodes")))
     # positions are unique within a block, so the sort never looks at the nodes
     ordered = F.transform(F.array_sort("nodes"), lambda x: x["node"])
-    root = F.arrow_udf(_block_roots, "string")
+    root = F.arrow_udf(roots, "string")
     return gathered.select("group", "block", "total", ordered.alias("nodes")).withColumn(
         "root", root(F.col("nodes.digest"), F.col("total")))
 
@@ -251,7 +252,7 @@ def _witnessed(blocks: DataFrame, extra: list[T.StructField]) -> DataFrame:
     """One row per node of the blocks: ``group, position, node, witness`` and the block's
     columns named by ``extra``.  ``above`` is the block's own witness."""
     ship(blocks.sparkSession)
-    kept = [f.name for f in extra]
+    kept, levels, span = [f.name for f in extra], LEVELS, SPAN
     schema = T.StructType([blocks.schema["group"], T.StructField("position", T.LongType()),
                            T.StructField("node", blocks.schema["nodes"].dataType.elementType),
                            T.StructField("witness", T.ArrayType(T.StringType())), *extra])
@@ -264,8 +265,8 @@ def _witnessed(blocks: DataFrame, extra: list[T.StructField]) -> DataFrame:
                 tree = Appender()
                 for node in nodes.field("digest").to_pylist():
                     tree.append(node)
-                tree.finish(_levels(row.column("total")[0].as_py()))
-                above, first = row.column("above")[0].as_py(), row.column("block")[0].as_py() * SPAN
+                tree.finish(min(levels, depth(row.column("total")[0].as_py())))
+                above, first = row.column("above")[0].as_py(), row.column("block")[0].as_py() * span
                 for at in range(0, len(nodes), ROWS_OUT):
                     part = nodes.slice(at, ROWS_OUT)
                     same = pa.array([0] * len(part))
